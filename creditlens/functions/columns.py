@@ -89,6 +89,16 @@ def ordered_distinct_reasons(*conds_and_texts) -> Column:
     return F.array_distinct(F.array_compact(F.array(*items)))
 
 
+def let(value: Column, fn) -> Column:
+    """Bind ``value`` once and use it many times inside ``fn`` (a lambda variable).
+
+    ``transform(array(v), x -> f(x))[0]`` keeps the optimizer from inlining a
+    large expression into each of its references, which otherwise multiplies
+    the expression tree (and planning time) by the number of references.
+    """
+    return F.transform(F.array(value), fn)[0]
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` only when a row-count probe proves it small.
 
@@ -96,8 +106,19 @@ def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     returned unchanged and the planner falls back to a shuffle join (AQE may
     still convert it at runtime from real statistics).
     """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+    try:
+        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
+    except Exception:  # noqa: BLE001  (e.g. plans without a semantic hash)
+        key = None
+    small = _PROBES.get(key) if key is not None else None
+    if small is None:
+        small = df.limit(max_rows + 1).count() <= max_rows
+        if key is not None:
+            _PROBES[key] = small
+    return F.broadcast(df) if small else df
+
+
+_PROBES: dict = {}
 
 
 def _lit(v) -> Column:

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from creditlens.plans import features, portfolio  # noqa: F401
+from creditlens.plans import features, policy_plans, portfolio  # noqa: F401
 from creditlens.plans.registry import ORACLE, QUERIES
 
 

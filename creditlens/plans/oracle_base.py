@@ -208,5 +208,18 @@ reasons AS (
   FROM decided d)"""
 
 
+DECISION_CTE_NAMES = ("beh", "cand0", "cand1", "cand2", "cand", "checks", "elig", "best", "warn",
+                      "decided", "reasons")
+
+
+def suffixed_decision_ctes(sfx: str, *args, **kwargs) -> str:
+    """``decision_ctes`` with every CTE name suffixed, so several policies can coexist."""
+    import re
+    text = decision_ctes(*args, **kwargs)
+    for name in DECISION_CTE_NAMES:
+        text = re.sub(rf"\b{name}\b", f"{name}{sfx}", text)
+    return text
+
+
 def with_ctes(*blocks: str) -> str:
     return "WITH " + ",".join(blocks)

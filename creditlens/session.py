@@ -26,6 +26,7 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
     if master:
         builder = builder.master(master)
     conf = dict(BASE_CONF)
+    conf.setdefault("spark.driver.memory", os.environ.get("CREDITLENS_DRIVER_MEMORY", "12g"))
     if shuffle_partitions:
         conf["spark.sql.shuffle.partitions"] = str(shuffle_partitions)
     conf.update(extra or {})
