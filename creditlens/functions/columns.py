@@ -141,3 +141,16 @@ def sql_dround(expr: str, digits: int = 2) -> str:
 
 def sql_dsum(expr: str, digits: int = 2) -> str:
     return f"CAST(ROUND(SUM(CAST({expr} AS DECIMAL(38,9))), {digits}) AS DOUBLE)"
+
+
+def join_on_keys(left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner") -> DataFrame:
+    """Equi-join on ``keys`` treating NULL keys as equal (a NULL cohort is still a cohort)."""
+    if not keys:
+        raise ValueError("join_on_keys needs at least one key")
+    r = right.select(*[F.col(k).alias(f"__r_{k}") for k in keys],
+                     *[c for c in right.columns if c not in keys])
+    cond = None
+    for k in keys:
+        c = left[k].eqNullSafe(r[f"__r_{k}"])
+        cond = c if cond is None else cond & c
+    return left.join(r, cond, how).drop(*[f"__r_{k}" for k in keys])

@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import bounded_broadcast, risk_band, RISK_BAND_LABELS
+from creditlens.functions.columns import RISK_BAND_LABELS, bounded_broadcast, join_on_keys, risk_band
 
 SCORE_BUCKETS = 4096
 EPS = 2.220446049250313e-16  # float64 machine epsilon (log-loss clipping)
@@ -51,7 +51,7 @@ def cumulative_scores(df: DataFrame, score: str = "pd", label: str = "y", group_
         F.coalesce(F.sum("bpos").over(above), F.lit(0.0)).alias("off_pos"),
         F.coalesce(F.sum("bneg").over(above), F.lit(0.0)).alias("off_neg"),
         F.sum("bpos").over(whole).alias("P"), F.sum("bneg").over(whole).alias("N"))
-    j = h.join(bounded_broadcast(offsets, 500_000), [*g, "bucket"])
+    j = join_on_keys(h, bounded_broadcast(offsets, 500_000), [*g, "bucket"])
     within = Window.partitionBy(*g, "bucket").orderBy(F.desc("score")).rowsBetween(
         Window.unboundedPreceding, 0)
     return j.select(
@@ -69,7 +69,7 @@ def discrimination(df: DataFrame, score: str = "pd", label: str = "y", group_col
         F.first("P").alias("positives"), F.first("N").alias("negatives"),
         F.sum(F.col("pos") * (N - F.col("fp") + 0.5 * F.col("neg"))).alias("_auc_num"),
         F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))).alias("_ap_num"),
-        F.max(F.col("tp") / P - F.col("fp") / N).alias("_ks"))
+        F.max(F.try_divide(F.col("tp"), P) - F.try_divide(F.col("fp"), N)).alias("_ks"))
     both = (F.col("positives") > 0) & (F.col("negatives") > 0)
     auc = F.when(both, F.col("_auc_num") / (F.col("positives") * F.col("negatives")))
     return agg.select(
@@ -167,7 +167,7 @@ def order_statistics(cum: DataFrame, quantiles, group_cols=None) -> DataFrame:
     cum_asc = n_col - (F.col("tp") + F.col("fp")) + F.col("pos") + F.col("neg")
     c = cum.withColumn("_n", n_col).withColumn("_ca", cum_asc)
     first = c.groupBy(*g).agg(F.first("_n").alias("_n"))
-    c2 = c.join(bounded_broadcast(first, 1_000_000), g) if g else c
+    c2 = join_on_keys(c, bounded_broadcast(first, 1_000_000), g) if g else c
     aggs = []
     for i, q in enumerate(quantiles):
         h = (F.col("_n") - 1) * F.lit(float(q))

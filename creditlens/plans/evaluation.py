@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import dround, sql_dround
+from creditlens.functions.columns import dround, join_on_keys, sql_dround
 from creditlens.operators import evaluate as ev
 from creditlens.plans.oracle_base import acct_ctes, with_ctes
 from creditlens.plans.registry import register
@@ -188,3 +188,120 @@ SELECT pts.i, {sql_dround('score', 6)} AS score, {sql_dround('fpr', 6)} AS fpr,
 FROM pts WHERE i IN (SELECT i FROM keep)"""))
 def q_roc_curve(spark, sf_dir):
     return _r6(ev.roc_points(_scored(spark, sf_dir)), ["score", "fpr", "tpr"])
+
+
+COHORT_METRICS = ["event_rate", "mean_score", "brier_score", "log_loss", "roc_auc", "average_precision",
+                  "ks", "gini"]
+
+
+def cohort_metrics(df, group_cols, score="pd", label="y"):
+    """Per-cohort metric table: proper scores joined with rank metrics on the group key."""
+    p = ev.proper_scores(df, score, label, group_cols)
+    d = ev.discrimination(df, score, label, group_cols).drop("positives", "negatives")
+    return join_on_keys(p, d, list(group_cols))
+
+
+def _cohort_sql(group: str) -> str:
+    eps = f"{ev.EPS!r}::DOUBLE"
+    pc = f"least(greatest(pd, {eps}), 1 - {eps})"
+    return f""",
+rk AS (SELECT {group} AS g, pd, y, rank() OVER (PARTITION BY {group} ORDER BY pd)
+              + (count(*) OVER (PARTITION BY {group}, pd) - 1) / 2.0 AS avg_rank FROM scored_y),
+auc AS (SELECT g, CASE WHEN sum(y) > 0 AND sum(1 - y) > 0 THEN (sum(CASE WHEN y = 1 THEN avg_rank END)
+               - sum(y) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * sum(1 - y)) END AS roc_auc FROM rk GROUP BY g),
+h AS (SELECT {group} AS g, pd AS score, CAST(sum(y) AS DOUBLE) AS pos, CAST(sum(1 - y) AS DOUBLE) AS neg
+      FROM scored_y GROUP BY 1, 2),
+c AS (SELECT *, sum(pos) OVER (PARTITION BY g ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
+             sum(neg) OVER (PARTITION BY g ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+             sum(pos) OVER (PARTITION BY g) AS P, sum(neg) OVER (PARTITION BY g) AS N FROM h),
+rk2 AS (SELECT g, CASE WHEN max(P) > 0 THEN sum(pos / P * tp / (tp + fp)) END AS average_precision,
+               CASE WHEN max(P) > 0 AND max(N) > 0 THEN max(tp / P - fp / N) END AS ks FROM c GROUP BY g),
+ps AS (SELECT {group} AS g, count(*) AS accounts, avg(CAST(y AS DOUBLE)) AS event_rate, avg(pd) AS mean_score,
+              avg((pd - y) * (pd - y)) AS brier_score,
+              avg(-(y * ln({pc}) + (1 - y) * ln(1 - {pc}))) AS log_loss FROM scored_y GROUP BY 1),
+cm AS (SELECT ps.g, CAST(ps.accounts AS BIGINT) AS accounts, event_rate, mean_score, brier_score, log_loss,
+              auc.roc_auc, rk2.average_precision, rk2.ks, 2 * auc.roc_auc - 1 AS gini
+       FROM ps JOIN auc ON ps.g IS NOT DISTINCT FROM auc.g JOIN rk2 ON ps.g IS NOT DISTINCT FROM rk2.g)"""
+
+
+@register("metrics_by_cohort", lambda: _base_sql(_cohort_sql("source_dataset") + "\nSELECT g AS source_dataset, accounts, "
+          + ", ".join(f"{sql_dround(m, 6)} AS {m}" for m in COHORT_METRICS) + " FROM cm"))
+def q_metrics_by_cohort(spark, sf_dir):
+    return _r6(cohort_metrics(_scored(spark, sf_dir), ["source_dataset"]), COHORT_METRICS)
+
+
+@register("metrics_by_vintage", lambda: _base_sql(_cohort_sql("vintage") + "\nSELECT g AS vintage, accounts, "
+          + ", ".join(f"{sql_dround(m, 6)} AS {m}" for m in COHORT_METRICS) + " FROM cm"))
+def q_metrics_by_vintage(spark, sf_dir):
+    return _r6(cohort_metrics(_scored(spark, sf_dir), ["vintage"]), COHORT_METRICS)
+
+
+MACRO_METRICS = ["roc_auc", "average_precision", "brier_score", "log_loss"]
+
+
+def macro_vs_pooled(df, group_cols, score="pd", label="y"):
+    """Equal-weight (macro) mean of per-cohort metrics next to the pooled value."""
+    per = cohort_metrics(df, group_cols, score, label)
+    macro = per.agg(*[F.avg(m).alias(m) for m in MACRO_METRICS])
+    pooled = cohort_metrics(df.withColumn("_all", F.lit(1)), ["_all"], score, label).drop("_all")
+    long = lambda d, name: d.select(*MACRO_METRICS).unpivot([], MACRO_METRICS, "metric", name)
+    return long(pooled, "pooled").join(long(macro, "macro"), "metric")
+
+
+@register("macro_metrics", lambda: _base_sql(_cohort_sql("source_dataset") + _cohort_sql("1").replace(
+    "rk AS", "rk_p AS").replace("FROM rk GROUP", "FROM rk_p GROUP").replace("auc AS", "auc_p AS")
+    .replace("h AS", "h_p AS").replace("FROM h)", "FROM h_p)").replace("c AS", "c_p AS")
+    .replace("FROM c GROUP", "FROM c_p GROUP").replace("rk2 AS", "rk2_p AS").replace("ps AS", "ps_p AS")
+    .replace("cm AS", "cm_p AS").replace("FROM ps JOIN auc ON ps.g IS NOT DISTINCT FROM auc.g JOIN rk2 ON ps.g IS NOT DISTINCT FROM rk2.g",
+                                         "FROM ps_p ps JOIN auc_p auc ON ps.g IS NOT DISTINCT FROM auc.g JOIN rk2_p rk2 ON ps.g IS NOT DISTINCT FROM rk2.g")
+    + "\n" + " UNION ALL ".join(
+        f"SELECT '{m}' AS metric, (SELECT {sql_dround(m, 6)} FROM cm_p) AS pooled, "
+        f"(SELECT {sql_dround(f'avg({m})', 6)} FROM cm) AS macro" for m in MACRO_METRICS)))
+def q_macro_metrics(spark, sf_dir):
+    return _r6(macro_vs_pooled(_scored(spark, sf_dir), ["source_dataset"]), ["pooled", "macro"])
+
+
+AUC_TOLERANCE = 0.02
+
+
+def champion(df, models: dict, label="y"):
+    """Champion: within 0.02 AUC of the best, then lowest Brier, then name."""
+    from functools import reduce
+    per = []
+    for name, col in models.items():
+        d = ev.discrimination(df, col, label).select("roc_auc")
+        p = ev.proper_scores(df, col, label).select("brier_score")
+        # both sides are single-row aggregates: attach them through a one-row key
+        per.append(join_on_keys(d.withColumn("_k", F.lit(1)), p.withColumn("_k", F.lit(1)), ["_k"])
+                   .drop("_k").withColumn("model", F.lit(name)))
+    allm = reduce(lambda a, b: a.unionByName(b), per)
+    from pyspark.sql import Window
+    w = Window.partitionBy(F.lit(0))  # one row per model: bounded
+    near = allm.withColumn("_best", F.max("roc_auc").over(w)).withColumn(
+        "eligible", F.col("roc_auc") >= F.col("_best") - AUC_TOLERANCE)
+    order = Window.partitionBy(F.lit(0)).orderBy(F.desc("eligible"), "brier_score", "model")
+    return near.withColumn("selected", F.row_number().over(order) == 1).drop("_best")
+
+
+CHAMPION_MODELS = {"behavioural_scorecard": "pd", "delinquency_only": "pd_benchmark"}
+
+
+def _champion_sql() -> str:
+    parts = []
+    for name, col in CHAMPION_MODELS.items():
+        parts.append(f"""
+SELECT '{name}' AS model,
+  (SELECT (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * sum(1 - y))
+   FROM (SELECT y, rank() OVER (ORDER BY {col}) + (count(*) OVER (PARTITION BY {col}) - 1) / 2.0 AS r FROM scored_y))
+   AS roc_auc,
+  (SELECT avg(({col} - y) * ({col} - y)) FROM scored_y) AS brier_score""")
+    return _base_sql(f""",
+m AS ({' UNION ALL '.join(parts)}),
+e AS (SELECT *, roc_auc >= max(roc_auc) OVER () - {AUC_TOLERANCE} AS eligible FROM m)
+SELECT model, {sql_dround('roc_auc', 6)} AS roc_auc, {sql_dround('brier_score', 6)} AS brier_score, eligible,
+       row_number() OVER (ORDER BY eligible DESC, brier_score, model) = 1 AS selected FROM e""")
+
+
+@register("champion_selection", _champion_sql)
+def q_champion(spark, sf_dir):
+    return _r6(champion(_scored(spark, sf_dir), CHAMPION_MODELS), ["roc_auc", "brier_score"])
