@@ -38,11 +38,12 @@ def cumulative_scores(df: DataFrame, score: str = "pd", label: str = "y", group_
                       buckets: int = SCORE_BUCKETS) -> DataFrame:
     """Per distinct score: pos, neg, tp / fp (counts with score >= s) and totals P, N.
 
-    Scores are probabilities in [0, 1]; values outside are clamped to the end buckets.
+    Buckets have width 1/``buckets`` on the score axis (probabilities use
+    ``buckets`` + 1 of them; wider-ranged values simply use more).
     """
     g = _g(group_cols)
     h = score_histogram(df, score, label, g).withColumn(
-        "bucket", F.least(F.greatest(F.floor(F.col("score") * buckets), F.lit(0)), F.lit(buckets)).cast("int"))
+        "bucket", F.floor(F.col("score") * buckets).cast("bigint"))
     bt = h.groupBy(*g, "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     whole = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     above = whole.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -165,9 +166,7 @@ def order_statistics(cum: DataFrame, quantiles, group_cols=None) -> DataFrame:
     g = _g(group_cols)
     n_col = F.col("P") + F.col("N")
     cum_asc = n_col - (F.col("tp") + F.col("fp")) + F.col("pos") + F.col("neg")
-    c = cum.withColumn("_n", n_col).withColumn("_ca", cum_asc)
-    first = c.groupBy(*g).agg(F.first("_n").alias("_n"))
-    c2 = join_on_keys(c, bounded_broadcast(first, 1_000_000), g) if g else c
+    c2 = cum.withColumn("_n", n_col).withColumn("_ca", cum_asc)  # P + N are per-group totals
     aggs = []
     for i, q in enumerate(quantiles):
         h = (F.col("_n") - 1) * F.lit(float(q))

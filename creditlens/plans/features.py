@@ -9,7 +9,7 @@ from creditlens.plans.registry import register
 from creditlens.sources import adapters
 
 
-def _feature_sql() -> str:
+def feature_select_sql() -> str:
     l_ = "greatest(LIMIT_BAL, 1.0::DOUBLE)"
     b = [f"greatest(BILL_AMT{i}, 0.0::DOUBLE)" for i in range(1, 7)]
     p = [f"greatest(PAY_AMT{i}, 0.0::DOUBLE)" for i in range(1, 7)]
@@ -48,7 +48,11 @@ def _feature_sql() -> str:
     }
     cols = ", ".join(f"{sql_dround(f'least(greatest({v}, -20.0::DOUBLE), 20.0::DOUBLE)', 6)} AS {k}"
                      for k, v in f.items())
-    return with_ctes(acct_ctes()) + f"\nSELECT account_id, {cols} FROM acct6"
+    return f"SELECT account_id, year(first_order) AS vintage, {cols} FROM acct6"
+
+
+def _feature_sql() -> str:
+    return with_ctes(acct_ctes()) + f"\nSELECT * EXCLUDE (vintage) FROM ({feature_select_sql()})"
 
 
 @register("behavioral_features", _feature_sql)

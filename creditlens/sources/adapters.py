@@ -157,3 +157,26 @@ def scored(spark: SparkSession, sf_dir: str, prof: DataFrame | None = None) -> D
              .withColumn("pd_benchmark", score_expr("delinquency_count", "utilization", False))
              .withColumn("y", (hash_uniform("y:", "account_id") < F.col("pd")).cast("int"))
              .withColumn("vintage", F.year("first_order")))
+
+
+def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Monitoring snapshot (A5 shape) from the events stream, one row per event.
+
+    probability = least(value / 500, 1); outcome = error event; override = props.k
+    divisible by 10; action = event type; period = 7-day window start (UTC).
+    delinquency_count and utilization are derived from props.k and value.
+    """
+    ev = read_table(spark, sf_dir, "events", ["event_id", "ts", "event_type", "value", "props"])
+    k = F.get_json_object("props", "$.k").try_cast("int")
+    ts = F.col("ts").cast("timestamp")
+    return ev.select(
+        "event_id",
+        ts.alias("ts"),
+        F.to_date(F.window(ts, "7 days", startTime="4 days").start).alias("period"),
+        F.least(F.col("value") / 500.0, F.lit(1.0)).alias("probability"),
+        (F.col("event_type") == "error").cast("int").alias("outcome"),
+        (k % 4).cast("double").alias("delinquency_count"),
+        F.least(F.col("value") / 100.0, F.lit(5.0)).alias("utilization"),
+        F.col("event_type").alias("action"),
+        F.when(k.isNull(), F.lit(None)).otherwise((k % 10 == 0).cast("int")).alias("override"),
+    )
