@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from creditlens.plans import evaluation, features, monitoring, policy_plans, portfolio  # noqa: F401
+from creditlens.plans import evaluation, features, monitoring, pilot_ledger, policy_plans, portfolio  # noqa: F401
 from creditlens.plans.registry import ORACLE, QUERIES
 
 

@@ -180,3 +180,61 @@ def snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.col("event_type").alias("action"),
         F.when(k.isNull(), F.lit(None)).otherwise((k % 10 == 0).cast("int")).alias("override"),
     )
+
+
+PILOT_CUTOFF_YEAR = 1999
+
+
+def pilot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Randomized-pilot table (A6 shape), one row per customer.
+
+    baseline_spend = order value before 1999; contribution = 0.1 x later order
+    value plus the arm's simulated response (increase x later value x 0.18);
+    delinquency = returned-line share > 0.4; accepted = has an urgent order.
+    """
+    from creditlens.operators.experiment import ARM_INCREASE, assign_arm
+    orders = read_table(spark, sf_dir, "orders",
+                        ["o_orderkey", "o_custkey", "o_totalprice", "o_orderdate", "o_orderpriority"])
+    lines = order_line_totals(spark, sf_dir)
+    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    early = F.year("o_orderdate") < PILOT_CUTOFF_YEAR
+    per = o.groupBy(F.col("o_custkey").alias("custkey")).agg(
+        F.sum(F.when(early, F.col("o_totalprice")).otherwise(0.0)).alias("baseline_spend"),
+        F.sum(F.when(~early, F.col("o_totalprice")).otherwise(0.0)).alias("later_spend"),
+        F.sum(F.coalesce("n_lines", F.lit(0))).alias("n_lines"),
+        F.sum(F.coalesce("n_returned", F.lit(0))).alias("n_returned"),
+        F.max((F.col("o_orderpriority") == "1-URGENT").cast("int")).alias("accepted"))
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_mktsegment"])
+    j = cust.join(per, cust.c_custkey == per.custkey, "left")
+    arm = assign_arm("c_custkey")
+    inc = F.create_map(*[x for k, v in ARM_INCREASE.items() for x in (F.lit(k), F.lit(v))])[arm]
+    later = F.coalesce("later_spend", F.lit(0.0))
+    return j.select(
+        account_id("c_custkey").alias("account_id"), F.col("c_mktsegment").alias("segment"),
+        arm.alias("arm"),
+        F.coalesce("baseline_spend", F.lit(0.0)).alias("baseline_spend"),
+        (0.1 * later + inc * later * 0.18).alias("contribution"),
+        F.coalesce((F.col("n_returned") * 5 > F.col("n_lines") * 2).cast("int"), F.lit(0)).alias("delinquency"),
+        F.coalesce("accepted", F.lit(0)).alias("accepted"))
+
+
+# Governed review decisions and reasons.
+REVIEW_DECISIONS = ("Approve proposed action", "Hold current limit", "Freeze increases")
+REVIEW_REASONS = ("Verified additional information", "Affordability concern",
+                  "Recent repayment deterioration", "Policy exception declined",
+                  "Escalated for specialist review")
+
+
+def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Review events (A10 shape) from conversations: one review per conversation."""
+    c = read_table(spark, sf_dir, "conversations", ["conv_id", "turn", "role"])
+    dec = F.element_at(F.array(*[F.lit(d) for d in REVIEW_DECISIONS]), (F.col("conv_id") % 3 + 1).cast("int"))
+    rea = F.element_at(F.array(*[F.lit(r) for r in REVIEW_REASONS]), (F.col("conv_id") % 5 + 1).cast("int"))
+    return c.select(
+        F.concat(F.lit("REV-"), F.lpad(F.col("conv_id").cast("string"), 9, "0")).alias("review_id"),
+        F.col("turn").cast("bigint").alias("seq"),
+        F.concat(F.lit("LIQ-"), F.lpad((F.col("conv_id") % 1000000).cast("string"), 6, "0")).alias("account_id"),
+        F.when(F.col("turn") == 0, "submitted").when(F.col("turn") == 1, "approved").otherwise("noted").alias("event"),
+        F.col("role").alias("actor"), dec.alias("decision"), rea.alias("reason"),
+        F.concat(F.lit("2024-01-01T00:"), F.lpad(F.col("turn").cast("string"), 2, "0"), F.lit(":00+00:00"))
+         .alias("created_at"))
