@@ -14,7 +14,7 @@ CONFUSION_THRESHOLD = 0.15
 
 
 def _scored(spark, sf_dir):
-    return adapters.scored(spark, sf_dir)
+    return adapters.shared_scored(spark, sf_dir)
 
 
 def _r6(df, cols):

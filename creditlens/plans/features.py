@@ -57,7 +57,7 @@ def _feature_sql() -> str:
 
 @register("behavioral_features", _feature_sql)
 def q_behavioral_features(spark, sf_dir):
-    f = engineer_features(adapters.acct6(spark, sf_dir), keep=["account_id"])
+    f = engineer_features(adapters.shared_scored(spark, sf_dir), keep=["account_id"])
     return f.select("account_id", *[dround(c, 6).alias(c) for c in FEATURE_NAMES])
 
 
@@ -75,7 +75,7 @@ def _history_sql() -> str:
 
 @register("history_long", _history_sql)
 def q_history_long(spark, sf_dir):
-    h = history_long(adapters.profile(spark, sf_dir))
+    h = history_long(adapters.shared_scored(spark, sf_dir))
     return h.select("account_id", "position", "period", dround("bill", 2).alias("bill"),
                     dround("payment", 2).alias("payment"), dround("utilization", 6).alias("utilization"),
                     "delinquency")

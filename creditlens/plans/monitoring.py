@@ -148,7 +148,7 @@ FROM res"""
 
 @register("feature_psi", _feature_psi_sql)
 def q_feature_psi(spark, sf_dir):
-    a = adapters.acct6(spark, sf_dir)
+    a = adapters.shared_scored(spark, sf_dir)
     f = engineer_features(a, keep=["account_id", "first_order"])
     f = f.select(F.year("first_order").alias("vintage"), *[dround(c, 6).alias(c) for c in FEATURE_NAMES])
     ref = f.filter(F.col("vintage") == REFERENCE_VINTAGE)

@@ -30,7 +30,7 @@ FROM elig"""
 
 @register("policy_candidates", _candidates_sql)
 def q_policy_candidates(spark, sf_dir):
-    d = policy.decide(adapters.scored(spark, sf_dir), keep_candidates=True)
+    d = policy.decide(adapters.shared_scored(spark, sf_dir), keep_candidates=True)
     c = policy.explode_candidates(d)
     money = ["proposed_limit", "proposed_ead", "proposed_expected_loss", "incremental_contribution"]
     return c.select(
@@ -126,7 +126,7 @@ def _sensitivity_sql() -> str:
 
 @register("scenario_sensitivity", _sensitivity_sql)
 def q_scenario_sensitivity(spark, sf_dir):
-    return scenarios.sensitivity(adapters.scored(spark, sf_dir))
+    return scenarios.sensitivity(adapters.shared_scored(spark, sf_dir))
 
 
 def _directional_sql() -> str:

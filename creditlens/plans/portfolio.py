@@ -15,7 +15,7 @@ MONEY = ["current_limit_inr", "proposed_limit", "current_ead", "proposed_ead",
 
 
 def decisions(spark, sf_dir, assumptions=None, enabled=True):
-    return policy.decide(adapters.scored(spark, sf_dir), assumptions, enabled)
+    return policy.decide(adapters.shared_scored(spark, sf_dir), assumptions, enabled)
 
 
 def _mart(spark, sf_dir, view):
