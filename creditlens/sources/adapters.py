@@ -258,3 +258,18 @@ def shared_scored(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = scored(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
         _SHARED[key] = df
     return df
+
+
+def raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Profile before harmonization clean-up: unclipped utilisation and balance,
+    raw lower-cased region names.  Input for contract validation."""
+    s = shared_scored(spark, sf_dir)
+    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
+    region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
+    names = nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
+        "n_nationkey", F.lower(F.trim("r_name")).alias("raw_region"))
+    return s.join(bounded_broadcast(names), s.c_nationkey == names.n_nationkey, "left").select(
+        "account_id", "delinquency_count", (F.col("BILL_AMT1") / F.col("LIMIT_BAL")).alias("utilization"),
+        "debt_to_income", "credit_lines", "income_inr", "credit_age_months",
+        F.col("raw_region").alias("region"), "current_limit_inr",
+        F.col("BILL_AMT1").alias("current_balance_inr"))
