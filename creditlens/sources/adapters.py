@@ -273,3 +273,17 @@ def raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
         "debt_to_income", "credit_lines", "income_inr", "credit_age_months",
         F.col("raw_region").alias("region"), "current_limit_inr",
         F.col("BILL_AMT1").alias("current_balance_inr"))
+
+
+def harmonization_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFrame]:
+    """Three differently coded sources (B5): customers' card history, supplier ledgers, order loans."""
+    regions = region_lookup(spark, sf_dir)
+    cards = shared_scored(spark, sf_dir)
+    sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey", "s_acctbal"])
+    sup = sup.join(bounded_broadcast(regions, 10_000), sup.s_nationkey == regions.n_nationkey, "left")
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
+    cust = cust.join(bounded_broadcast(regions, 10_000), cust.c_nationkey == regions.n_nationkey, "left").select(
+        "c_custkey", "region")
+    loans = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
+    return {"card_history": cards, "supplier_ledger": sup, "order_loans": loans}
