@@ -18,6 +18,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from creditlens.functions.columns import RISK_BAND_LABELS, bounded_broadcast, join_on_keys, risk_band
+from creditlens.session import cut_lineage
 
 SCORE_BUCKETS = 4096
 EPS = 2.220446049250313e-16  # float64 machine epsilon (log-loss clipping)
@@ -245,6 +246,11 @@ def global_rank(df: DataFrame, order: list[Column], partitions: int | None = Non
     n = partitions or df.sparkSession.sparkContext.defaultParallelism
     ranged = (df.repartitionByRange(n, *order).sortWithinPartitions(*order)
                 .withColumn("_mid", F.monotonically_increasing_id()))
+    # Range bounds come from sampling, and row order after a shuffle is not
+    # fixed, so two evaluations could partition differently.  A reliable
+    # checkpoint (shared checkpoint folder) pins one partitioning for both uses
+    # below and survives executor loss.
+    ranged = cut_lineage(ranged)
     ranged = ranged.withColumn("_pid", F.shiftright("_mid", 33)).withColumn(
         "_local", F.col("_mid") - F.shiftleft(F.col("_pid"), 33) + 1)
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))

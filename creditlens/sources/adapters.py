@@ -287,3 +287,15 @@ def harmonization_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFra
         "c_custkey", "region")
     loans = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
     return {"card_history": cards, "supplier_ledger": sup, "order_loans": loans}
+
+
+def vintage_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Vintage loans (A7 shape, B4): one row per order with order/line features."""
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    lines = order_line_totals(spark, sf_dir)
+    o = orders.join(lines, orders.o_orderkey == lines.l_orderkey, "left")
+    return o.select(
+        F.col("o_orderkey").alias("id"), F.col("o_orderdate").alias("issue_date"),
+        F.year("o_orderdate").alias("vintage"), (F.col("o_orderstatus") == "F").cast("int").alias("target"),
+        F.col("o_totalprice").alias("loan_amnt"), F.coalesce("n_lines", F.lit(0)).cast("double").alias("n_lines"),
+        F.coalesce("net_revenue", F.lit(0.0)).alias("net_revenue"))
