@@ -82,3 +82,67 @@ def capped_sample(df: DataFrame, group: str, key: str, cap: int, seed: int = SEE
     """At most ``cap`` rows per group, in hash order (T5)."""
     r = rank_within(df, [group], key, seed)
     return r.filter(F.col("stratum_rank") <= cap).drop("stratum_rank", "stratum_size")
+
+
+def poisson1_draw(u: Column) -> Column:
+    """Poisson(1) variate by inverse CDF of a uniform (k <= 12 covers 1 - 1e-10)."""
+    import math
+    cdf, expr, acc = 0.0, None, None
+    for k in range(13):
+        cdf += math.exp(-1.0) / math.factorial(k)
+        expr = F.when(u < cdf, F.lit(k)) if expr is None else expr.when(u < cdf, F.lit(k))
+    return expr.otherwise(F.lit(13))
+
+
+def bootstrap_weights(df: DataFrame, key: str, replicates: int, seed: int = SEED) -> DataFrame:
+    """Rows x replicates with deterministic Poisson(1) weights from md5 uniforms.
+
+    The replicate rows are produced and consumed inside the same task (the
+    caller aggregates right after), so the shuffle carries only aggregates.
+    """
+    from creditlens.functions.columns import hash_uniform
+    b = F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
+    x = df.select("*", b)
+    u = hash_uniform("", F.concat_ws(":", F.lit(f"boot{seed}"), F.col("replicate").cast("string"),
+                                     F.col(key).cast("string")))
+    return x.withColumn("weight", poisson1_draw(u)).filter(F.col("weight") > 0)
+
+
+def bootstrap_ci(df: DataFrame, key: str, score: str, label: str, replicates: int = 200,
+                 seed: int = SEED, benchmark: str | None = None) -> DataFrame:
+    """Percentile 95% intervals of AUC, Brier, log loss and event rate (E14); with a
+    ``benchmark`` score the intervals are for the paired difference (E15)."""
+    from creditlens.operators import evaluate as ev
+    w = bootstrap_weights(df.select(key, score, label, *([benchmark] if benchmark else [])), key, replicates, seed)
+    y = F.col(label).cast("double")
+
+    def metrics(sc):
+        p = F.col(sc)
+        pc = F.least(F.greatest(p, F.lit(ev.EPS)), F.lit(1 - ev.EPS))
+        wt = F.col("weight")
+        prop = w.groupBy("replicate").agg(
+            (F.sum(wt * (p - y) * (p - y)) / F.sum(wt)).alias("brier_score"),
+            (F.sum(wt * -(y * F.log(pc) + (1 - y) * F.log(1 - pc))) / F.sum(wt)).alias("log_loss"),
+            (F.sum(wt * y) / F.sum(wt)).alias("event_rate"))
+        hist = w.groupBy("replicate", F.col(sc).alias("score")).agg(
+            F.sum(F.col("weight") * y).alias("pos"), F.sum(F.col("weight") * (1 - y)).alias("neg"))
+        from pyspark.sql import Window
+        wdesc = Window.partitionBy("replicate").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+        wall = Window.partitionBy("replicate")
+        c = hist.select("replicate", "pos", "neg", F.sum("neg").over(wdesc).alias("fp"),
+                        F.sum("pos").over(wall).alias("P"), F.sum("neg").over(wall).alias("N"))
+        auc = c.groupBy("replicate").agg(
+            (F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg")))
+             / (F.first("P") * F.first("N"))).alias("roc_auc"))
+        return prop.join(auc, "replicate")
+
+    names = ["roc_auc", "brier_score", "log_loss", "event_rate"]
+    m = metrics(score)
+    if benchmark:
+        mb = metrics(benchmark).select("replicate", *[F.col(n).alias(f"b_{n}") for n in names])
+        m = m.join(mb, "replicate").select("replicate", *[(F.col(n) - F.col(f"b_{n}")).alias(n) for n in names])
+    long = m.unpivot(["replicate"], names, "metric", "value")
+    return long.groupBy("metric").agg(
+        F.count(F.lit(1)).alias("replicates"),
+        F.percentile("value", 0.025).alias("lower"), F.percentile("value", 0.975).alias("upper"),
+        F.avg("value").alias("mean"))

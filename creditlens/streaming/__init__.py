@@ -1,0 +1 @@
+"""Structured Streaming jobs (watermarked windowed monitoring)."""
