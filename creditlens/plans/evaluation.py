@@ -305,3 +305,61 @@ SELECT model, {sql_dround('roc_auc', 6)} AS roc_auc, {sql_dround('brier_score',
 @register("champion_selection", _champion_sql)
 def q_champion(spark, sf_dir):
     return _r6(champion(_scored(spark, sf_dir), CHAMPION_MODELS), ["roc_auc", "brier_score"])
+
+
+# Overlapping segment definitions (label, rule on the behavioural features).
+SEGMENTS = [
+    ("Utilization <30%", lambda u, d: u < 0.30),
+    ("Utilization 30–70%", lambda u, d: (u >= 0.30) & (u < 0.70)),
+    ("Utilization ≥70%", lambda u, d: u >= 0.70),
+    ("No reported delinquency", lambda u, d: d == 0),
+    ("One delinquent month", lambda u, d: d == 1),
+    ("Two or more delinquent months", lambda u, d: d >= 2),
+]
+SEGMENT_SQL = [
+    ("Utilization <30%", "current_utilization < 0.30"),
+    ("Utilization 30–70%", "current_utilization >= 0.30 AND current_utilization < 0.70"),
+    ("Utilization ≥70%", "current_utilization >= 0.70"),
+    ("No reported delinquency", "delinquent_month_count = 0"),
+    ("One delinquent month", "delinquent_month_count = 1"),
+    ("Two or more delinquent months", "delinquent_month_count >= 2"),
+]
+
+
+def segment_performance(scored_df):
+    """Overlapping segments (A12): explode matched labels, then per-segment metrics incl. AUC."""
+    from creditlens.operators.features import engineer_features
+    f = engineer_features(scored_df, keep=["account_id", "pd", "y"])
+    u, d = dround("current_utilization", 6), F.col("delinquent_month_count")
+    labels = F.array_compact(F.array(*[F.when(rule(u, d), F.lit(name)) for name, rule in SEGMENTS]))
+    seg = f.select("account_id", "pd", "y", F.explode(labels).alias("segment"))
+    base = seg.groupBy("segment").agg(F.count(F.lit(1)).alias("accounts"),
+                                      F.avg(F.col("y").cast("double")).alias("event_rate"),
+                                      F.avg("pd").alias("mean_probability"))
+    auc = ev.discrimination(seg, "pd", "y", ["segment"]).select("segment", "roc_auc")
+    return join_on_keys(base, auc, ["segment"])
+
+
+def _segment_sql() -> str:
+    from creditlens.plans.features import feature_select_sql
+    arr = ", ".join(f"CASE WHEN {cond} THEN '{name}' END" for name, cond in SEGMENT_SQL)
+    return _base_sql(f""",
+feat AS ({feature_select_sql()}),
+seg AS (SELECT s.account_id, s.pd, s.y, unnest(list_filter([{arr}], lambda x: x IS NOT NULL)) AS segment
+        FROM feat f JOIN scored_y s ON s.account_id = f.account_id),
+rk AS (SELECT segment, y, rank() OVER (PARTITION BY segment ORDER BY pd)
+              + (count(*) OVER (PARTITION BY segment, pd) - 1) / 2.0 AS r FROM seg)
+SELECT b.segment, b.accounts, {sql_dround('b.event_rate', 6)} AS event_rate,
+       {sql_dround('b.mean_probability', 6)} AS mean_probability, {sql_dround('a.roc_auc', 6)} AS roc_auc
+FROM (SELECT segment, CAST(count(*) AS BIGINT) AS accounts, avg(CAST(y AS DOUBLE)) AS event_rate,
+             avg(pd) AS mean_probability FROM seg GROUP BY segment) b
+JOIN (SELECT segment, CASE WHEN sum(y) > 0 AND sum(1 - y) > 0 THEN (sum(CASE WHEN y = 1 THEN r END)
+             - sum(y) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * sum(1 - y)) END AS roc_auc
+      FROM rk GROUP BY segment) a ON a.segment = b.segment""")
+
+
+@register("segment_performance", _segment_sql)
+def q_segment_performance(spark, sf_dir):
+    r = segment_performance(_scored(spark, sf_dir))
+    return r.select("segment", F.col("accounts").cast("bigint").alias("accounts"),
+                    *[dround(c, 6).alias(c) for c in ("event_rate", "mean_probability", "roc_auc")])
