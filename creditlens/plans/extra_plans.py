@@ -39,3 +39,14 @@ def q_stream_monitoring(spark, sf_dir):
     t = monitor_stream.run_available(spark, sf_dir)
     return t.select("period", F.col("rows").cast("bigint").alias("rows"), dround("mean_score", 6).alias("mean_score"),
                     dround("event_rate", 6).alias("event_rate"), F.col("events").cast("bigint").alias("events"))
+
+
+@register("ml_train_select")
+def q_ml_train_select(spark, sf_dir):
+    """Spark ML candidates on labelled documents; champion by validation AUC/Brier (rows-only check)."""
+    from creditlens.operators import models
+    d = adapters.labelled_documents(spark, sf_dir)
+    s = rs.stratified_split(d, ["quality"], "doc_id")
+    r = models.train_select(s, ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"], "quality")
+    return r.select("model", "split", F.col("accounts").cast("bigint").alias("accounts"),
+                    dround("roc_auc", 6).alias("roc_auc"), dround("brier_score", 6).alias("brier_score"), "champion")

@@ -299,3 +299,16 @@ def vintage_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.year("o_orderdate").alias("vintage"), (F.col("o_orderstatus") == "F").cast("int").alias("target"),
         F.col("o_totalprice").alias("loan_amnt"), F.coalesce("n_lines", F.lit(0)).cast("double").alias("n_lines"),
         F.coalesce("net_revenue", F.lit(0.0)).alias("net_revenue"))
+
+
+def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled documents (B10): quality target, language cohort, whole-text length features."""
+    docs = read_table(spark, sf_dir, "documents", ["doc_id", "text", "lang", "n_chars"])
+    labels = read_table(spark, sf_dir, "labels", ["doc_id", "quality"])
+    j = labels.join(docs, "doc_id")
+    words = F.size(F.split(F.trim(F.col("text")), r"\s+"))
+    lines = F.size(F.split(F.col("text"), "\n"))
+    return j.select("doc_id", F.col("quality").cast("double").alias("quality"), "lang",
+                    F.col("n_chars").cast("double").alias("n_chars"), words.cast("double").alias("n_words"),
+                    lines.cast("double").alias("n_lines"),
+                    (F.col("n_chars") / F.greatest(words, F.lit(1))).alias("chars_per_word"))
