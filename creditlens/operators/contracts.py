@@ -145,3 +145,62 @@ def clean_report(df: DataFrame, key: str, target: str, numeric: list[str]) -> tu
                    "missing_cells", "invalid_limit_rows", "invalid_target_rows", "invalid_payment_status_rows",
                    "invalid_payment_amount_rows", "target_rate"))
     return dedup.filter(~invalid).drop(order_col), rep
+
+
+# Readiness contract fields, prohibited identifiers and evidence age bounds.
+READINESS_REQUIRED = (
+    "customer_reference", "as_of_date", "consent_reference", "consent_timestamp", "bureau_report_date",
+    "bureau_dpd_30_12m", "bureau_dpd_90_24m", "open_trades", "total_monthly_obligation_inr",
+    "verified_monthly_income_inr", "income_verified_at", "current_limit_inr", "current_balance_inr",
+    "statement_months", "data_lineage_id",
+)
+PROHIBITED_IDENTIFIERS = ("name", "pan", "aadhaar", "phone", "email", "address")
+READINESS_NUMERIC = ("bureau_dpd_30_12m", "bureau_dpd_90_24m", "open_trades", "total_monthly_obligation_inr",
+                     "verified_monthly_income_inr", "current_limit_inr", "current_balance_inr", "statement_months")
+READINESS_TIMESTAMPS = ("as_of_date", "consent_timestamp", "bureau_report_date", "income_verified_at")
+BUREAU_MAX_DAYS = 30
+INCOME_MAX_DAYS = 90
+MIN_STATEMENT_MONTHS = 6
+OFFSET_PATTERN = r"(Z|[+-]\d{2}:\d{2})$"
+
+
+def _instant(c: str) -> Column:
+    """Epoch seconds of an ISO timestamp that carries an offset (NULL otherwise)."""
+    s = F.col(c)
+    return F.when(s.rlike(OFFSET_PATTERN), F.unix_timestamp(F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))))
+
+
+def readiness_rules(df: DataFrame) -> dict[str, Column]:
+    """Readiness contract as rules (P8); prohibited identifier columns fail every row."""
+    rules: dict[str, Column] = {}
+    for f in READINESS_REQUIRED:
+        rules[f"missing_{f}"] = F.col(f).isNull() | (F.trim(F.col(f).cast("string")) == "")
+    bad_cols = sorted(set(PROHIBITED_IDENTIFIERS) & set(df.columns))
+    rules["prohibited_identifier"] = F.lit(bool(bad_cols))
+    rules["timezone_missing"] = F.exists(F.array(*[F.col(c) for c in READINESS_TIMESTAMPS]),
+                                         lambda x: ~F.coalesce(x.rlike(OFFSET_PATTERN), F.lit(False)))
+    asof = _instant("as_of_date")
+    cons, bur, inc = _instant("consent_timestamp"), _instant("bureau_report_date"), _instant("income_verified_at")
+    rules["evidence_after_decision"] = F.coalesce((cons > asof) | (bur > asof) | (inc > asof), F.lit(False))
+    rules["bureau_stale"] = F.coalesce(asof - bur > BUREAU_MAX_DAYS * 86400, F.lit(False))
+    rules["income_stale"] = F.coalesce(asof - inc > INCOME_MAX_DAYS * 86400, F.lit(False))
+    rules["negative_numeric"] = F.exists(F.array(*[F.col(c) for c in READINESS_NUMERIC]), lambda x: x < 0)
+    rules["nonpositive_income_or_limit"] = (F.col("verified_monthly_income_inr") <= 0) | (F.col("current_limit_inr") <= 0)
+    rules["balance_above_bound"] = F.col("current_balance_inr") > F.col("current_limit_inr") * 2
+    rules["short_history"] = F.col("statement_months") < MIN_STATEMENT_MONTHS
+    return {k: F.coalesce(v, F.lit(False)) for k, v in rules.items()}
+
+
+def readiness(df: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """(violations(customer_reference, rule), derived controls of the passing rows)."""
+    rules = readiness_rules(df)
+    v = violations(df, "customer_reference", rules)
+    ok = df.filter(~F.exists(F.array(*rules.values()), lambda x: x))
+    asof = _instant("as_of_date")
+    derived = ok.select(
+        "customer_reference", "data_lineage_id", "consent_reference",
+        (F.col("total_monthly_obligation_inr") / F.col("verified_monthly_income_inr")).alias("foir_proxy"),
+        (F.col("current_balance_inr") / F.col("current_limit_inr")).alias("utilization"),
+        F.floor((asof - _instant("bureau_report_date")) / 86400).cast("int").alias("bureau_age_days"),
+        F.floor((asof - _instant("income_verified_at")) / 86400).cast("int").alias("income_age_days"))
+    return v, derived

@@ -91,3 +91,59 @@ def q_surrogate_ids(spark, sf_dir):
                     F.col("account_id").rlike(ct.ID_PATTERN).alias("valid_id"),
                     ct.missing_fields(["debt_to_income", "income_inr", "credit_age_months"])
                     .alias("missing_model_fields"))
+
+
+READY_SQL = """
+WITH per AS (
+  SELECT o_custkey AS ck, max(o_orderdate) AS last_order, count(*) AS n_orders,
+         sum(CASE WHEN o_orderstatus = 'O' THEN 1 ELSE 0 END) AS open_trades, sum(o_totalprice) AS spend,
+         count(DISTINCT strftime(o_orderdate, '%Y-%m')) AS statement_months
+  FROM orders GROUP BY o_custkey),
+j AS (SELECT c.c_custkey AS ck, c.c_acctbal, p.last_order, p.n_orders, p.open_trades, p.spend, p.statement_months,
+             p.last_order + INTERVAL 1 DAY AS as_of
+      FROM customer c JOIN per p ON c.c_custkey = p.ck),
+t AS (SELECT *, CASE WHEN ck % 43 = 0 THEN as_of + INTERVAL 2 DAY ELSE as_of - INTERVAL 10 DAY END AS consent_ts,
+             CAST(CAST(as_of AS DATE) - CAST(ck % 35 AS INTEGER) AS TIMESTAMP) AS bureau_ts,
+             CAST(CAST(as_of AS DATE) - CAST(ck % 100 AS INTEGER) AS TIMESTAMP) AS income_ts,
+             ck % 47 <> 0 AS has_tz FROM j),
+rec AS (
+  SELECT 'ACCT-' || lpad(CAST(ck AS VARCHAR), 12, '0') AS customer_reference, has_tz, as_of, consent_ts, bureau_ts, income_ts,
+         CASE WHEN ck % 41 = 0 THEN NULL ELSE 'CNS-' || CAST(ck AS VARCHAR) END AS consent_reference,
+         CAST(n_orders % 3 AS DOUBLE) AS bureau_dpd_30_12m, CAST(n_orders % 2 AS DOUBLE) AS bureau_dpd_90_24m,
+         CAST(open_trades AS DOUBLE) AS open_trades,
+         CASE WHEN ck % 53 = 0 THEN -spend / 120.0 ELSE spend / 120.0 END AS total_monthly_obligation_inr,
+         c_acctbal * 10.0 AS verified_monthly_income_inr, 150000.0 + 100 * (c_acctbal + 1000) AS current_limit_inr,
+         spend / 4.0 AS current_balance_inr, CAST(statement_months AS DOUBLE) AS statement_months
+  FROM t),
+rules AS (
+  SELECT customer_reference, 'missing_consent_reference' AS rule FROM rec WHERE consent_reference IS NULL
+  UNION ALL SELECT customer_reference, 'timezone_missing' FROM rec WHERE NOT has_tz
+  UNION ALL SELECT customer_reference, 'evidence_after_decision' FROM rec
+    WHERE has_tz AND (consent_ts > as_of OR bureau_ts > as_of OR income_ts > as_of)
+  UNION ALL SELECT customer_reference, 'bureau_stale' FROM rec WHERE has_tz AND epoch(as_of) - epoch(bureau_ts) > 30 * 86400
+  UNION ALL SELECT customer_reference, 'income_stale' FROM rec WHERE has_tz AND epoch(as_of) - epoch(income_ts) > 90 * 86400
+  UNION ALL SELECT customer_reference, 'negative_numeric' FROM rec
+    WHERE bureau_dpd_30_12m < 0 OR bureau_dpd_90_24m < 0 OR open_trades < 0 OR total_monthly_obligation_inr < 0
+       OR verified_monthly_income_inr < 0 OR current_limit_inr < 0 OR current_balance_inr < 0 OR statement_months < 0
+  UNION ALL SELECT customer_reference, 'nonpositive_income_or_limit' FROM rec
+    WHERE verified_monthly_income_inr <= 0 OR current_limit_inr <= 0
+  UNION ALL SELECT customer_reference, 'balance_above_bound' FROM rec WHERE current_balance_inr > current_limit_inr * 2
+  UNION ALL SELECT customer_reference, 'short_history' FROM rec WHERE statement_months < 6)"""
+
+
+@register("readiness_violations", READY_SQL + "\nSELECT customer_reference, rule FROM rules")
+def q_readiness_violations(spark, sf_dir):
+    v, _ = ct.readiness(adapters.readiness_records(spark, sf_dir))
+    return v
+
+
+@register("readiness_controls", READY_SQL + f"""
+SELECT customer_reference, {sql_dround('total_monthly_obligation_inr / verified_monthly_income_inr', 6)} AS foir_proxy,
+       {sql_dround('current_balance_inr / current_limit_inr', 6)} AS utilization,
+       CAST(floor((epoch(as_of) - epoch(bureau_ts)) / 86400) AS INTEGER) AS bureau_age_days,
+       CAST(floor((epoch(as_of) - epoch(income_ts)) / 86400) AS INTEGER) AS income_age_days
+FROM rec WHERE customer_reference NOT IN (SELECT customer_reference FROM rules)""")
+def q_readiness_controls(spark, sf_dir):
+    _, d = ct.readiness(adapters.readiness_records(spark, sf_dir))
+    return d.select("customer_reference", dround("foir_proxy", 6).alias("foir_proxy"),
+                    dround("utilization", 6).alias("utilization"), "bureau_age_days", "income_age_days")

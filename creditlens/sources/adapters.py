@@ -312,3 +312,45 @@ def labelled_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
                     F.col("n_chars").cast("double").alias("n_chars"), words.cast("double").alias("n_words"),
                     lines.cast("double").alias("n_lines"),
                     (F.col("n_chars") / F.greatest(words, F.lit(1))).alias("chars_per_word"))
+
+
+def readiness_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Regulated-market readiness records (A9 shape, B9), one per customer with orders.
+
+    Timestamps are ISO-8601 strings with an offset; a few rows per rule break it
+    by formula on the customer key (missing consent, no offset, future consent,
+    negative obligation), others break it naturally (stale evidence, short
+    history, negative balances, balance above twice the limit).
+    """
+    o = read_table(spark, sf_dir, "orders", ["o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
+    per = o.groupBy(F.col("o_custkey").alias("ck")).agg(
+        F.max("o_orderdate").alias("last_order"), F.count(F.lit(1)).alias("n_orders"),
+        F.sum(F.when(F.col("o_orderstatus") == "O", 1).otherwise(0)).alias("open_trades"),
+        F.sum("o_totalprice").alias("spend"),
+        F.countDistinct(F.date_format("o_orderdate", "yyyy-MM")).alias("statement_months"))
+    c = read_table(spark, sf_dir, "customer", ["c_custkey", "c_acctbal"])
+    j = c.join(per, c.c_custkey == per.ck)
+    ck = F.col("c_custkey")
+    as_of = F.col("last_order") + F.expr("INTERVAL 1 DAY")
+    fmt = lambda ts, off: F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(off))
+    offset = F.lit("+05:30")
+    iso = lambda ts: F.when(ck % 47 == 0, fmt(ts, "")).otherwise(F.concat(fmt(ts, ""), offset))
+    consent_ts = F.when(ck % 43 == 0, as_of + F.expr("INTERVAL 2 DAYS")).otherwise(as_of - F.expr("INTERVAL 10 DAYS"))
+    bureau = F.date_sub(F.to_date(as_of), (ck % 35).cast("int"))
+    income = F.date_sub(F.to_date(as_of), (ck % 100).cast("int"))
+    return j.select(
+        account_id("c_custkey").alias("customer_reference"),
+        iso(as_of).alias("as_of_date"),
+        F.when(ck % 41 == 0, F.lit(None)).otherwise(F.concat(F.lit("CNS-"), ck.cast("string"))).alias("consent_reference"),
+        iso(consent_ts).alias("consent_timestamp"),
+        iso(bureau.cast("timestamp_ntz")).alias("bureau_report_date"),
+        (F.col("n_orders") % 3).cast("double").alias("bureau_dpd_30_12m"),
+        (F.col("n_orders") % 2).cast("double").alias("bureau_dpd_90_24m"),
+        F.col("open_trades").cast("double").alias("open_trades"),
+        F.when(ck % 53 == 0, -F.col("spend") / 120.0).otherwise(F.col("spend") / 120.0).alias("total_monthly_obligation_inr"),
+        (F.col("c_acctbal") * 10.0).alias("verified_monthly_income_inr"),
+        iso(income.cast("timestamp_ntz")).alias("income_verified_at"),
+        (F.lit(150000.0) + 100 * (F.col("c_acctbal") + 1000)).alias("current_limit_inr"),
+        (F.col("spend") / 4.0).alias("current_balance_inr"),
+        F.col("statement_months").cast("double").alias("statement_months"),
+        F.concat(F.lit("LIN-"), ck.cast("string")).alias("data_lineage_id"))
