@@ -338,3 +338,14 @@ def roc_points(df: DataFrame, score: str = "pd", label: str = "y", max_points: i
         F.lit(0.0).alias("fpr"), F.lit(0.0).alias("tpr"))
     allpts = origin.unionByName(ranked.select(F.col("rank").cast("bigint").alias("i"), "score", "fpr", "tpr"))
     return allpts.filter(F.array_contains(keep_arr, F.col("i")))
+
+
+def nearest_rank(cum: DataFrame, quantiles, group_cols=None) -> DataFrame:
+    """Nearest-rank percentiles sorted[ceil(p * n) - 1] from ``cumulative_scores`` output."""
+    g = _g(group_cols)
+    n_col = F.col("P") + F.col("N")
+    c = cum.withColumn("_n", n_col).withColumn(
+        "_ca", n_col - (F.col("tp") + F.col("fp")) + F.col("pos") + F.col("neg"))
+    aggs = [F.min(F.when(F.col("_ca") >= F.greatest(F.ceil(F.col("_n") * F.lit(float(q))), F.lit(1)),
+                         F.col("score"))).alias(f"p{i}") for i, q in enumerate(quantiles)]
+    return c.groupBy(*g).agg(F.first("_n").cast("bigint").alias("n"), *aggs)

@@ -168,3 +168,26 @@ def exact_summary(decisions: DataFrame) -> DataFrame:
         "*", F.round("_ie", 2).cast("double").alias("incremental_exposure"),
         F.when(F.col("_ie") > 0, F.round(F.col("_ic").cast("double") / F.col("_ie").cast("double"), 6))
          .otherwise(F.lit(0.0)).alias("risk_adjusted_return")).drop("_ie", "_ic")
+
+
+def scenario_deltas(scored: DataFrame, scenario: PolicyAssumptions, base: PolicyAssumptions | None = None) -> DataFrame:
+    """Scenario summary minus baseline summary in one pass (D18): both policies are
+    evaluated per row, one aggregate, then unpivoted to (metric, baseline, scenario, change)."""
+    base = base or PolicyAssumptions()
+    b = policy.with_behavior(scored)
+    en = F.lit(True)
+
+    def summary(a):
+        P = policy.params(a)
+        return let(policy.candidates_expr(P, en), lambda c: let(policy.selected_option(c, en), lambda s: F.struct(
+            (s["increase_pct"] > 0).cast("long").alias("eligible_increases"),
+            s["proposed_limit"].alias("proposed_limit"),
+            s["proposed_expected_loss"].alias("proposed_expected_loss"),
+            s["incremental_contribution"].alias("incremental_contribution"))))
+    x = b.select(summary(base).alias("b"), summary(scenario).alias("s"))
+    metrics = ["proposed_limit", "proposed_expected_loss", "eligible_increases", "incremental_contribution"]
+    dec = lambda c: F.round(F.sum(F.col(c).cast("decimal(38,9)")), 2).cast("double")
+    agg = x.agg(*[dec(f"b.{m}").alias(f"b_{m}") for m in metrics], *[dec(f"s.{m}").alias(f"s_{m}") for m in metrics])
+    rows = F.array(*[F.struct(F.lit(m).alias("metric"), F.col(f"b_{m}").alias("baseline"),
+                              F.col(f"s_{m}").alias("scenario")) for m in metrics])
+    return agg.select(F.inline(rows)).withColumn("change", F.col("scenario") - F.col("baseline"))

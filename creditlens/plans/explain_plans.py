@@ -81,3 +81,25 @@ def q_permutation_importance(spark, sf_dir):
     s = adapters.shared_scored(spark, sf_dir)
     r = explain.permutation_importance(s, "account_id", "source_dataset", "y")
     return r.select("feature", *[dround(c, 6).alias(c) for c in ("mean_auc_drop", "std_auc_drop", "base_auc")])
+
+
+def _pdp_sql(feature: str) -> str:
+    qs = ", ".join(f"{q!r}" for q in explain.PDP_QUANTILES)
+    dq = "g.value" if feature == "delinquency_count" else "s.delinquency_count"
+    ut = "g.value" if feature == "utilization" else "s.utilization"
+    return with_ctes(acct_ctes()) + f""",
+q AS (SELECT quantile_cont({feature}, [{qs}]) AS v FROM scored_y WHERE {feature} IS NOT NULL),
+g AS (SELECT i - 1 AS point, v[i] AS value FROM q, range(1, 17) t(i)),
+n AS (SELECT source_dataset, count(*) AS c FROM scored_y WHERE {feature} IS NOT NULL GROUP BY 1),
+per AS (SELECT s.source_dataset, g.point, g.value, avg({_score_sql(dq, ut)}) AS m
+        FROM scored_y s, g GROUP BY 1, 2, 3)
+SELECT CAST(point AS INTEGER) AS point, {sql_dround('value', 6)} AS value, {sql_dround('avg(m)', 6)} AS partial_dependence,
+       CAST(count(*) AS BIGINT) AS sources
+FROM per JOIN n ON n.source_dataset = per.source_dataset WHERE n.c >= 100 GROUP BY point, value"""
+
+
+@register("partial_dependence", lambda: _pdp_sql("utilization"))
+def q_partial_dependence(spark, sf_dir):
+    p = explain.partial_dependence(adapters.shared_scored(spark, sf_dir), "utilization", "source_dataset")
+    return p.select("point", dround("value", 6).alias("value"),
+                    dround("partial_dependence", 6).alias("partial_dependence"), "sources")
