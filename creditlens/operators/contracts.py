@@ -204,3 +204,25 @@ def readiness(df: DataFrame) -> tuple[DataFrame, DataFrame]:
         F.floor((asof - _instant("bureau_report_date")) / 86400).cast("int").alias("bureau_age_days"),
         F.floor((asof - _instant("income_verified_at")) / 86400).cast("int").alias("income_age_days"))
     return v, derived
+
+
+HISTORY_BILLS = [f"BILL_AMT{i}" for i in range(1, 7)]
+
+
+def behavioral_rules(key: str = "ACCOUNT_ID") -> dict[str, Column]:
+    """Six-month history + exposure contract (P3, P4): finite numerics, no blanks, limit > 0,
+    repayment status in [-2, 9], payments >= 0, exposure bounds."""
+    hist = ["LIMIT_BAL", *PAY_COLUMNS, *HISTORY_BILLS, *PAYMENT_COLUMNS]
+    v = lambda c: F.col(c).cast("string").try_cast("double")
+    rules: dict[str, Column] = {
+        "id_blank": F.coalesce(F.trim(F.col(key).cast("string")), F.lit("")) == "",
+        "history_blank_or_not_numeric": F.exists(F.array(*[v(c) for c in hist]), lambda x: x.isNull()),
+        "history_not_finite": F.exists(F.array(*[v(c) for c in hist]), lambda x: F.isnan(x) | (F.abs(x) == float("inf"))),
+        "limit_not_positive": v("LIMIT_BAL") <= 0,
+        "repayment_status_range": F.exists(F.array(*[v(c) for c in PAY_COLUMNS]), lambda x: (x < -2) | (x > 9)),
+        "payment_negative": F.exists(F.array(*[v(c) for c in PAYMENT_COLUMNS]), lambda x: x < 0),
+        "exposure_blank": v("current_limit_inr").isNull() | v("current_balance_inr").isNull(),
+        "limit_range": (v("current_limit_inr") <= 0) | (v("current_limit_inr") > MAX_LIMIT),
+        "balance_range": (v("current_balance_inr") < 0) | (v("current_balance_inr") > v("current_limit_inr") * 2),
+    }
+    return {k: F.coalesce(c, F.lit(False)) for k, c in rules.items()}
