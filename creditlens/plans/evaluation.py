@@ -363,3 +363,57 @@ def q_segment_performance(spark, sf_dir):
     r = segment_performance(_scored(spark, sf_dir))
     return r.select("segment", F.col("accounts").cast("bigint").alias("accounts"),
                     *[dround(c, 6).alias(c) for c in ("event_rate", "mean_probability", "roc_auc")])
+
+
+# Right-closed age bands (0,29] (29,39] (39,49] (49,59] (59,inf) and labels.
+AGE_BANDS = [(0, 29, "<30"), (29, 39, "30-39"), (39, 49, "40-49"), (49, 59, "50-59"), (59, None, "60+")]
+FAIRNESS_THRESHOLD = 0.15
+
+
+def segment_fairness(df, threshold: float = FAIRNESS_THRESHOLD):
+    """Per (dimension, segment): accounts, default rate, mean pd, TPR, FPR, AUC."""
+    age = F.col("credit_age_months")
+    band = None
+    for lo, hi, label in AGE_BANDS:
+        cond = (age > lo) & (age <= hi) if hi is not None else (age > lo)
+        band = F.when(cond, F.lit(label)) if band is None else band.when(cond, F.lit(label))
+    dims = F.array(F.struct(F.lit("source_dataset").alias("dimension"), F.col("source_dataset").alias("segment")),
+                   F.struct(F.lit("region").alias("dimension"), F.col("region").alias("segment")),
+                   F.struct(F.lit("credit_age_band").alias("dimension"), band.alias("segment")))
+    long = df.select("pd", "y", F.inline(dims)).filter(F.col("segment").isNotNull())
+    pred = (F.col("pd") >= threshold).cast("double")
+    base = long.groupBy("dimension", "segment").agg(
+        F.count(F.lit(1)).alias("accounts"), F.avg(F.col("y").cast("double")).alias("observed_default_rate"),
+        F.avg("pd").alias("mean_pd"),
+        F.avg(F.when(F.col("y") == 1, pred)).alias("tpr"), F.avg(F.when(F.col("y") == 0, pred)).alias("fpr"))
+    auc = ev.discrimination(long, "pd", "y", ["dimension", "segment"]).select("dimension", "segment", "roc_auc")
+    return join_on_keys(base, auc, ["dimension", "segment"])
+
+
+def _fairness_sql() -> str:
+    band = "CASE " + " ".join(
+        (f"WHEN credit_age_months > {lo} AND credit_age_months <= {hi} THEN '{lab}'" if hi is not None
+         else f"WHEN credit_age_months > {lo} THEN '{lab}'") for lo, hi, lab in AGE_BANDS) + " END"
+    return _base_sql(f""",
+lng AS (SELECT * FROM (
+          SELECT 'source_dataset' AS dimension, source_dataset AS segment, pd, y FROM scored_y
+          UNION ALL SELECT 'region', region, pd, y FROM scored_y
+          UNION ALL SELECT 'credit_age_band', {band}, pd, y FROM scored_y) WHERE segment IS NOT NULL),
+rk AS (SELECT dimension, segment, y, rank() OVER (PARTITION BY dimension, segment ORDER BY pd)
+              + (count(*) OVER (PARTITION BY dimension, segment, pd) - 1) / 2.0 AS r FROM lng),
+auc AS (SELECT dimension, segment, CASE WHEN sum(y) > 0 AND sum(1 - y) > 0 THEN (sum(CASE WHEN y = 1 THEN r END)
+               - sum(y) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * sum(1 - y)) END AS roc_auc
+        FROM rk GROUP BY 1, 2)
+SELECT l.dimension, l.segment, CAST(count(*) AS BIGINT) AS accounts,
+       {sql_dround('avg(CAST(y AS DOUBLE))', 6)} AS observed_default_rate, {sql_dround('avg(pd)', 6)} AS mean_pd,
+       {sql_dround(f'avg(CASE WHEN y = 1 THEN CASE WHEN pd >= {FAIRNESS_THRESHOLD} THEN 1.0 ELSE 0.0 END END)', 6)} AS tpr,
+       {sql_dround(f'avg(CASE WHEN y = 0 THEN CASE WHEN pd >= {FAIRNESS_THRESHOLD} THEN 1.0 ELSE 0.0 END END)', 6)} AS fpr,
+       {sql_dround('max(a.roc_auc)', 6)} AS roc_auc
+FROM lng l JOIN auc a ON a.dimension = l.dimension AND a.segment = l.segment GROUP BY l.dimension, l.segment""")
+
+
+@register("segment_fairness", _fairness_sql)
+def q_segment_fairness(spark, sf_dir):
+    r = segment_fairness(_scored(spark, sf_dir))
+    return r.select("dimension", "segment", F.col("accounts").cast("bigint").alias("accounts"),
+                    *[dround(c, 6).alias(c) for c in ("observed_default_rate", "mean_pd", "tpr", "fpr", "roc_auc")])
