@@ -55,27 +55,31 @@ def counterfactuals(acct: DataFrame, key: str = "account_id") -> DataFrame:
 
 
 PERMUTED = ("delinquency_count", "utilization")
+PERM_MULTIPLIER = 2305843009213693951  # 2**61 - 1, a prime larger than any stratum size
 
 
 def permutation_importance(df: DataFrame, key: str, source: str, label: str, repeats: int = 5) -> DataFrame:
-    """Within-source permutation of each scorecard input; mean and std of the pooled AUC drop."""
+    """Within-source permutation of each scorecard input; mean and std of the pooled AUC drop.
+
+    One hash rank k (0-based) per source; repeat r maps k -> (k * a + r * 7919) mod n, a
+    bijection because a is a prime above every n.  Each repeat is an equi-join on
+    (source, mapped rank): unique keys, no skew, no second ranking job.
+    """
     base_auc = ev.discrimination(df.withColumn("_p", scorecard(F.col("delinquency_count"), F.col("utilization"))),
                                  "_p", label).select("roc_auc").first()[0]
-    a = rank_within(df, [source], key, seed=1000).select(key, source, label, *PERMUTED,
-                                                         F.col("stratum_rank").alias("k"))
-    parts = []
-    for r in range(1, repeats + 1):
-        b = rank_within(df, [source], key, seed=1000 + r).select(
-            source, F.col("stratum_rank").alias("k"), *[F.col(f).alias(f"_perm_{f}") for f in PERMUTED])
-        j = a.join(b, [source, "k"])
-        for f in PERMUTED:
-            dq = F.col("_perm_delinquency_count") if f == "delinquency_count" else F.col("delinquency_count")
-            ut = F.col("_perm_utilization") if f == "utilization" else F.col("utilization")
-            parts.append(j.select(F.lit(f).alias("feature"), F.lit(r).alias("repeat"), label,
-                                  scorecard(dq, ut).alias("_p")))
-    u = parts[0]
-    for p in parts[1:]:
-        u = u.unionByName(p)
+    ranked = rank_within(df, [source], key, seed=1000).select(
+        key, source, label, *PERMUTED, (F.col("stratum_rank") - 1).alias("k"), F.col("stratum_size").alias("n"))
+    donors = ranked.select(source, F.col("k").alias("_k2"), *[F.col(f).alias(f"_perm_{f}") for f in PERMUTED])
+    reps = ranked.select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat"))
+    mapped = F.pmod(F.col("k").cast("decimal(38,0)") * F.lit(PERM_MULTIPLIER).cast("decimal(38,0)")
+                    + F.col("repeat").cast("decimal(38,0)") * 7919, F.col("n").cast("decimal(38,0)")).cast("bigint")
+    j = reps.withColumn("_k2", mapped).join(donors, [source, "_k2"])  # one join for all repeats
+    scores = F.array(
+        F.struct(F.lit("delinquency_count").alias("feature"),
+                 scorecard(F.col("_perm_delinquency_count"), F.col("utilization")).alias("_p")),
+        F.struct(F.lit("utilization").alias("feature"),
+                 scorecard(F.col("delinquency_count"), F.col("_perm_utilization")).alias("_p")))
+    u = j.select("repeat", label, F.inline(scores))
     aucs = ev.discrimination(u, "_p", label, ["feature", "repeat"]).select("feature", "repeat", "roc_auc")
     drops = aucs.withColumn("drop", F.lit(float(base_auc)) - F.col("roc_auc"))
     return drops.groupBy("feature").agg(F.avg("drop").alias("mean_auc_drop"),

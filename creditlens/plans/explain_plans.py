@@ -53,18 +53,18 @@ def q_counterfactuals(spark, sf_dir):
 def _perm_sql() -> str:
     auc = lambda src, p: f"""(SELECT (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * sum(1 - y))
         FROM (SELECT y, rank() OVER (ORDER BY {p}) + (count(*) OVER (PARTITION BY {p}) - 1) / 2.0 AS r FROM {src}))"""
-    ranks = []
-    for r in range(0, 6):
-        ranks.append(f"""r{r} AS (SELECT account_id, source_dataset, delinquency_count, utilization, y,
-           row_number() OVER (PARTITION BY source_dataset ORDER BY md5('{1000 + r}:' || account_id), account_id) AS k FROM scored_y)""")
     perms = []
     for r in range(1, 6):
         for f in ("delinquency_count", "utilization"):
             dq = "b.delinquency_count" if f == "delinquency_count" else "a.delinquency_count"
             ut = "b.utilization" if f == "utilization" else "a.utilization"
-            perms.append(f"SELECT '{f}' AS feature, {r} AS rep, a.y, {_score_sql(dq, ut)} AS p "
-                         f"FROM r0 a JOIN r{r} b ON a.source_dataset = b.source_dataset AND a.k = b.k")
-    return with_ctes(acct_ctes()) + ",\n" + ",\n".join(ranks) + f""",
+            perms.append(f"SELECT '{f}' AS feature, {r} AS rep, a.y, {_score_sql(dq, ut)} AS p FROM r0 a JOIN r0 b "
+                         f"ON a.source_dataset = b.source_dataset AND b.k = "
+                         f"CAST((CAST(a.k AS HUGEINT) * {explain.PERM_MULTIPLIER} + {r * 7919}) % a.n AS BIGINT)")
+    return with_ctes(acct_ctes()) + f""",
+r0 AS (SELECT account_id, source_dataset, delinquency_count, utilization, y,
+              row_number() OVER (PARTITION BY source_dataset ORDER BY md5('1000:' || account_id), account_id) - 1 AS k,
+              count(*) OVER (PARTITION BY source_dataset) AS n FROM scored_y),
 perm AS ({' UNION ALL '.join(perms)}),
 rk AS (SELECT feature, rep, y, rank() OVER (PARTITION BY feature, rep ORDER BY p)
               + (count(*) OVER (PARTITION BY feature, rep, p) - 1) / 2.0 AS r FROM perm),
