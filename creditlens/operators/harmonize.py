@@ -137,3 +137,43 @@ def median_impute(df: DataFrame, columns: list[str], group_cols=None, indicators
             out = out.withColumn(f"{c}_missing", F.col(c).isNull().cast("int"))
         out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}"))).drop(f"_med_{c}")
     return out
+
+
+# ---- helper patterns of the coded-source harmonizers (H2-H4, H7, H13) ----
+
+def code_map(c: Column, mapping: dict) -> Column:
+    """Lookup of coded values through a literal map (unknown codes -> NULL) (H2, H3)."""
+    m = F.create_map(*[x for k, v in mapping.items() for x in (F.lit(k), F.lit(v))])
+    return m[c]
+
+
+def placeholder_null(c: Column, threshold: float) -> Column:
+    """Values at or above a placeholder threshold mean 'unknown' (H4)."""
+    return F.when(c < threshold, c)
+
+
+def sum_min_count(cols: list[Column]) -> Column:
+    """Row sum ignoring NULLs, but NULL when every input is NULL (pandas min_count=1) (H4)."""
+    total = sum(F.coalesce(c, F.lit(0.0)) for c in cols)
+    return F.when(F.coalesce(*cols).isNull(), F.lit(None).cast("double")).otherwise(total)
+
+
+def ratio_clip(num: Column, den: Column, lo: float = 0.0, hi: float = 1.0) -> Column:
+    """num / max(den, 1) clipped to [lo, hi], NULL-preserving (H7)."""
+    return clip(num / F.greatest(den, F.lit(1.0)), lo, hi)
+
+
+def one_hot(df: DataFrame, columns: list[str], numeric: list[str] | None = None, max_levels: int = 1000) -> DataFrame:
+    """Dense dummies ``{column}_{value}`` for the listed categorical columns.
+
+    The levels of each column (a bounded set, checked against ``max_levels``) are
+    the only values brought to the driver.
+    """
+    out = df
+    for c in columns:
+        levels = [r[0] for r in df.select(c).distinct().limit(max_levels + 1).collect()]
+        if len(levels) > max_levels:
+            raise ValueError(f"{c} has more than {max_levels} levels")
+        for v in sorted(x for x in levels if x is not None):
+            out = out.withColumn(f"{c}_{v}", (F.col(c) == F.lit(v)).cast("int"))
+    return out

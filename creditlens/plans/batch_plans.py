@@ -79,7 +79,7 @@ def q_stream_decisions(spark, sf_dir):
     def decide_batch(batch_df, epoch_id):
         policy.decision_table(policy.decide(batch_df)).write.mode("append").parquet(out)
 
-    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 2).parquet(src).writeStream
+    q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(src).writeStream
          .foreachBatch(decide_batch).option("checkpointLocation", out + "-ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
     return _summary(spark.read.parquet(out))

@@ -84,3 +84,17 @@ def q_median_imputation(spark, sf_dir):
     imp = hz.median_impute(u, ["credit_age_months"], ["market"])
     return imp.groupBy("market").agg(F.sum("credit_age_months_missing").cast("bigint").alias("imputed"),
                                      dround(F.avg("credit_age_months"), 6).alias("mean_after"))
+
+
+@register("one_hot_levels", lambda: with_ctes(acct_ctes()) + """
+SELECT 'source_dataset' AS column_name, source_dataset AS level, CAST(count(*) AS BIGINT) AS ones FROM scored_y GROUP BY 2
+UNION ALL SELECT 'region', region, CAST(count(*) AS BIGINT) FROM scored_y GROUP BY 2""")
+def q_one_hot_levels(spark, sf_dir):
+    s = adapters.shared_scored(spark, sf_dir).select("account_id", "source_dataset", "region")
+    oh = hz.one_hot(s, ["source_dataset", "region"])
+    dummies = [c for c in oh.columns if c.startswith("source_dataset_") or c.startswith("region_")]
+    sums = oh.agg(*[F.sum(c).cast("bigint").alias(c) for c in dummies])
+    rows = F.array(*[F.struct(F.lit("source_dataset" if c.startswith("source_dataset_") else "region").alias("column_name"),
+                              F.lit(c.split("_", 2)[-1] if c.startswith("source_dataset_") else c[len("region_"):]).alias("level"),
+                              F.col(c).alias("ones")) for c in dummies])
+    return sums.select(F.inline(rows))

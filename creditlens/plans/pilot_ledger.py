@@ -160,3 +160,12 @@ SELECT review_id, seq, rule FROM r""")
 def q_ledger_violations(spark, sf_dir):
     c = ledger.chain(adapters.ledger_events(spark, sf_dir))
     return ledger.violations(c)
+
+
+@register("arm_tests")
+def q_arm_tests(spark, sf_dir):
+    """Arm-versus-control delinquency tests with Holm adjustment (rows-only: normal CDF)."""
+    r = xp.arm_tests(adapters.pilot(spark, sf_dir))
+    return r.select("arm", F.col("n").cast("bigint").alias("n"), dround("rate", 6).alias("rate"),
+                    dround("z", 6).alias("z"), dround("p_value", 6).alias("p_value"),
+                    dround("holm_p", 6).alias("holm_p"), "reject")
