@@ -66,3 +66,39 @@ def train_select(df: DataFrame, numeric: list[str], categorical: list[str], labe
               .select("model", (F.col("rank") == 1).alias("champion")))
     train.unpersist()
     return allm.join(sel, "model")
+
+
+def sigmoid_calibrated(df: DataFrame, pipe: Pipeline, label: str, key: str, train_filter, folds: int = 3):
+    """Cross-fitted sigmoid calibration (M3).
+
+    Fold f fits the base pipeline on the other folds and a one-feature logistic
+    calibrator on the held-out fold's raw scores; predictions average the calibrated
+    probabilities of the fold models.  Returns a function DataFrame -> DataFrame with ``p_cal``.
+    """
+    from creditlens.operators.resample import hash_order
+    train = df.filter(train_filter).withColumn(
+        "_fold", F.pmod(F.conv(F.substring(hash_order(key, 7), 1, 8), 16, 10).cast("bigint"), F.lit(folds)))
+    pairs = []
+    for f in range(folds):
+        base = pipe.fit(train.filter(F.col("_fold") != f))
+        held = score(base, train.filter(F.col("_fold") == f)).select(
+            F.col(label), F.array(F.log(F.col("p") / (1 - F.col("p")))).alias("_z"))
+        from pyspark.ml.functions import array_to_vector
+        cal = LogisticRegression(featuresCol="_zv", labelCol=label, regParam=0.0, maxIter=100).fit(
+            held.select(label, array_to_vector("_z").alias("_zv")))
+        pairs.append((base, cal))
+
+    def predict(x: DataFrame) -> DataFrame:
+        from pyspark.ml.functions import array_to_vector
+        out = x
+        probs = []
+        for i, (base, cal) in enumerate(pairs):
+            s = score(base, out).select(key, F.array(F.log(F.col("p") / (1 - F.col("p")))).alias("_z"))
+            c = cal.transform(s.select(key, array_to_vector("_z").alias("_zv")))
+            probs.append(c.select(key, vector_to_array("probability")[1].alias(f"_p{i}")))
+        j = out
+        for p in probs:
+            j = j.join(p, key)  # unique key: an equi-join, no positional alignment
+        return j.withColumn("p_cal", sum(F.col(f"_p{i}") for i in range(len(pairs))) / len(pairs)).drop(
+            *[f"_p{i}" for i in range(len(pairs))])
+    return predict

@@ -50,3 +50,22 @@ def q_ml_train_select(spark, sf_dir):
     r = models.train_select(s, ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"], "quality")
     return r.select("model", "split", F.col("accounts").cast("bigint").alias("accounts"),
                     dround("roc_auc", 6).alias("roc_auc"), dround("brier_score", 6).alias("brier_score"), "champion")
+
+
+@register("ml_calibration")
+def q_ml_calibration(spark, sf_dir):
+    """Brier and AUC on the test split before and after cross-fitted sigmoid calibration (rows-only)."""
+    from creditlens.operators import evaluate as ev
+    from creditlens.operators import models
+    d = rs.stratified_split(adapters.labelled_documents(spark, sf_dir), ["quality"], "doc_id").persist()
+    num, cat = ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"]
+    train = d.filter("split = 'train'")
+    pipe = models.candidates(num, cat, "quality", train.count())["Gradient boosted trees"]
+    raw = models.score(pipe.fit(train), d.filter("split = 'test'"))
+    predict = models.sigmoid_calibrated(d, pipe, "quality", "doc_id", F.col("split") == "train")
+    cal = predict(d.filter("split = 'test'"))
+    def m(x, col, name):
+        return ev.proper_scores(x, col, "quality").select("brier_score").withColumn("_k", F.lit(1)).join(
+            ev.discrimination(x, col, "quality").select("roc_auc").withColumn("_k", F.lit(1)), "_k").select(
+            F.lit(name).alias("model"), dround("brier_score", 6).alias("brier_score"), dround("roc_auc", 6).alias("roc_auc"))
+    return m(raw, "p", "uncalibrated").unionByName(m(cal, "p_cal", "sigmoid_calibrated"))
