@@ -39,12 +39,23 @@ def cumulative_scores(df: DataFrame, score: str = "pd", label: str = "y", group_
                       buckets: int = SCORE_BUCKETS) -> DataFrame:
     """Per distinct score: pos, neg, tp / fp (counts with score >= s) and totals P, N.
 
-    Buckets have width 1/``buckets`` on the score axis (probabilities use
-    ``buckets`` + 1 of them; wider-ranged values simply use more).
+    Buckets split each group's score range into ``buckets`` equal slices (per-group
+    min / max come from a small aggregate), so the offset table has at most
+    buckets + 1 rows per group whatever the value range, and each within-bucket
+    window sees only that slice's distinct values.
     """
     g = _g(group_cols)
-    h = score_histogram(df, score, label, g).withColumn(
-        "bucket", F.floor(F.col("score") * buckets).cast("bigint"))
+    h = score_histogram(df, score, label, g)
+    rng = h.groupBy(*g).agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"))
+    if g:
+        h = join_on_keys(h, bounded_broadcast(rng, 1_000_000), g)
+    else:  # one group: two numbers as literals
+        r = rng.first()
+        h = h.withColumn("_lo", F.lit(r["_lo"]).cast("double")).withColumn("_hi", F.lit(r["_hi"]).cast("double"))
+    width = F.col("_hi") - F.col("_lo")
+    h = h.withColumn("bucket", F.when(width > 0, F.least(
+        F.floor((F.col("score") - F.col("_lo")) / width * buckets), F.lit(buckets))).otherwise(F.lit(0))
+        .cast("bigint")).drop("_lo", "_hi")
     bt = h.groupBy(*g, "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     whole = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     above = whole.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)

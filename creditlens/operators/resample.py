@@ -61,7 +61,7 @@ def quantile_split(df: DataFrame, date_col: str, q1: float = 0.6, q2: float = 0.
     from creditlens.operators import evaluate as ev
     secs = df.filter(F.col(date_col).isNotNull()).select(
         F.unix_timestamp(F.col(date_col).cast("timestamp")).cast("double").alias("_s"), F.lit(0).alias("_y"))
-    row = ev.order_statistics(ev.cumulative_scores(secs, "_s", "_y", buckets=1), [q1, q2]).first()
+    row = ev.order_statistics(ev.cumulative_scores(secs, "_s", "_y"), [q1, q2]).first()
     c1, c2 = float(row["q0"]), float(row["q1"])
     s = F.unix_timestamp(F.col(date_col).cast("timestamp")).cast("double")
     return df.withColumn("split", F.when(s <= c1, "train").when(s <= c2, "validation")
