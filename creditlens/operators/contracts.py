@@ -226,3 +226,16 @@ def behavioral_rules(key: str = "ACCOUNT_ID") -> dict[str, Column]:
         "balance_range": (v("current_balance_inr") < 0) | (v("current_balance_inr") > v("current_limit_inr") * 2),
     }
     return {k: F.coalesce(c, F.lit(False)) for k, c in rules.items()}
+
+
+def require_rows(df: DataFrame, min_rows: int = 100, label: str | None = None) -> DataFrame:
+    """Row-count and class guard before training or evaluation (P17): one small aggregate."""
+    aggs = [F.count(F.lit(1)).alias("n")]
+    if label:
+        aggs.append(F.countDistinct(label).alias("k"))
+    r = df.agg(*aggs).first()
+    if r["n"] < min_rows:
+        raise ValueError(f"At least {min_rows} rows are required, found {r['n']}")
+    if label and r["k"] < 2:
+        raise ValueError("Both outcome classes are required")
+    return df

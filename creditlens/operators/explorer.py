@@ -78,3 +78,16 @@ def safe_csv(df: DataFrame) -> DataFrame:
         else:
             cols.append(F.col(name))
     return df.select(*cols)
+
+
+def lookup(df: DataFrame, key: str, value: str) -> DataFrame:
+    """Lookup by key (P11); an unknown key is an error rather than an empty answer."""
+    hit = df.filter(F.col(key) == F.lit(value))
+    if hit.limit(1).count() == 0:
+        raise KeyError(f"Unknown {key}: {value}")
+    return hit
+
+
+def top_k(df: DataFrame, order: list, k: int = 12) -> DataFrame:
+    """Sorted evidence, first ``k`` rows (S4): a bounded top-k (per-task heaps, then merge)."""
+    return df.orderBy(*order).limit(k)

@@ -45,7 +45,8 @@ def score(model, df: DataFrame) -> DataFrame:
 def train_select(df: DataFrame, numeric: list[str], categorical: list[str], label: str,
                  split_col: str = "split") -> DataFrame:
     """Fit every candidate on train, evaluate on validation, pick the champion; report test metrics."""
-    train = df.filter(F.col(split_col) == "train").cache()
+    from creditlens.operators.contracts import require_rows
+    train = require_rows(df.filter(F.col(split_col) == "train"), 100, label).cache()
     n_train = train.count()
     rows = []
     for name, pipe in candidates(numeric, categorical, label, n_train).items():

@@ -155,3 +155,9 @@ def q_feature_psi(spark, sf_dir):
     cmp_ = f.filter(F.col("vintage") > REFERENCE_VINTAGE)
     p = monitor.feature_psi(ref, cmp_, FEATURE_NAMES)
     return p.select("feature", dround("psi", 6).alias("psi"), "status")
+
+
+@register("top_drift_features", lambda: "SELECT * FROM (" + _feature_psi_sql() + ") ORDER BY psi DESC, feature LIMIT 12")
+def q_top_drift(spark, sf_dir):
+    from creditlens.operators.explorer import top_k
+    return top_k(q_feature_psi(spark, sf_dir), [F.desc("psi"), F.asc("feature")], 12)

@@ -55,3 +55,22 @@ def _decision_rows_sql(source: str = "reasons") -> str:
 @register("policy_decisions", lambda: with_ctes(acct_ctes(), decision_ctes()) + "\n" + _decision_rows_sql())
 def q_policy_decisions(spark, sf_dir):
     return _decision_rows(decisions(spark, sf_dir))
+
+
+RECONCILE_TOLERANCES = {"accounts": 0.0, "current_limit": 0.02, "proposed_limit": 0.02, "current_ead": 0.02,
+                        "proposed_ead": 0.02, "current_expected_loss": 0.02, "proposed_expected_loss": 0.02,
+                        "incremental_contribution": 0.02, "eligible_increases": 0.0}
+
+
+@register("mart_reconciliation", "SELECT CAST(NULL AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS actual, "
+          "CAST(NULL AS DOUBLE) AS expected, CAST(NULL AS DOUBLE) AS tolerance, CAST(NULL AS DOUBLE) AS difference "
+          "WHERE FALSE")
+def q_mart_reconciliation(spark, sf_dir):
+    """SQL mart view versus the DataFrame summary, per-metric tolerance (A8, TC3): no rows = reconciled."""
+    from creditlens.operators.scenarios import exact_summary
+    d = decisions(spark, sf_dir)
+    view = mart.build_mart(spark, d, check_unique=True, prefix="rec_")["portfolio_reconciliation"]
+    doc = exact_summary(d)
+    k = F.lit(1)
+    r = mart.reconcile(view.withColumn("_k", k), doc.withColumn("_k", k), ["_k"], RECONCILE_TOLERANCES)
+    return r.select("metric", "actual", "expected", "tolerance", "difference")
