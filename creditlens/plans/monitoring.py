@@ -161,3 +161,46 @@ def q_feature_psi(spark, sf_dir):
 def q_top_drift(spark, sf_dir):
     from creditlens.operators.explorer import top_k
     return top_k(q_feature_psi(spark, sf_dir), [F.desc("psi"), F.asc("feature")], 12)
+
+
+BASELINE_MISSING = ["delinquency_count", "utilization", "debt_to_income", "credit_lines", "income_inr",
+                    "credit_age_months"]
+
+
+@register("monitoring_baseline", lambda: with_ctes(acct_ctes()) + f"""
+SELECT 'source_mix' AS section, source_dataset AS key, 'share' AS metric,
+       {sql_dround('count(*) / CAST((SELECT count(*) FROM scored_y) AS DOUBLE)', 6)} AS value FROM scored_y GROUP BY 2
+UNION ALL
+SELECT 'missingness', feature, 'missing_rate', {sql_dround('missing_rate', 6)} FROM (UNPIVOT (
+  SELECT {', '.join(f'avg(CASE WHEN {c} IS NULL THEN 1.0 ELSE 0.0 END) AS {c}' for c in BASELINE_MISSING)} FROM scored_y)
+  ON {', '.join(BASELINE_MISSING)} INTO NAME feature VALUE missing_rate)
+UNION ALL
+SELECT 'histogram', CAST(e.range AS VARCHAR), 'count', CAST(count(s.pd) AS DOUBLE)
+FROM range(20) e LEFT JOIN scored_y s ON {_bin_sql('s.pd')} = e.range AND s.pd >= 0 AND s.pd <= 1 GROUP BY e.range
+UNION ALL
+SELECT 'risk_band', CASE WHEN pd < 0.05 THEN 'Low' WHEN pd < 0.15 THEN 'Moderate' WHEN pd < 0.30 THEN 'High'
+       ELSE 'Very high' END, 'accounts', CAST(count(*) AS DOUBLE) FROM scored_y GROUP BY 2
+UNION ALL
+SELECT 'source_signal', source_dataset, 'event_rate', {sql_dround('avg(CAST(y AS DOUBLE))', 6)} FROM scored_y GROUP BY 2
+UNION ALL
+SELECT 'source_signal', source_dataset, 'mean_score', {sql_dround('avg(pd)', 6)} FROM scored_y GROUP BY 2""")
+def q_monitoring_baseline(spark, sf_dir):
+    """Baseline snapshot for monitoring (MO2) as one tidy (section, key, metric, value) table."""
+    from creditlens.functions.columns import risk_band
+    s = adapters.shared_scored(spark, sf_dir)
+    n = s.count()  # one number
+    mix = s.groupBy("source_dataset").agg((F.count(F.lit(1)) / F.lit(float(n))).alias("value")).select(
+        F.lit("source_mix").alias("section"), F.col("source_dataset").alias("key"), F.lit("share").alias("metric"),
+        dround("value", 6).alias("value"))
+    miss = s.agg(*[F.avg(F.col(c).isNull().cast("double")).alias(c) for c in BASELINE_MISSING]).unpivot(
+        [], BASELINE_MISSING, "key", "value").select(F.lit("missingness").alias("section"), "key",
+                                                    F.lit("missing_rate").alias("metric"), dround("value", 6).alias("value"))
+    hist = ev.score_histogram_bins(s, "pd").select(F.lit("histogram").alias("section"), F.col("bin").cast("string").alias("key"),
+                                                  F.lit("count").alias("metric"), F.col("count").cast("double").alias("value"))
+    bands = s.groupBy(risk_band("pd").alias("key")).agg(F.count(F.lit(1)).cast("double").alias("value")).select(
+        F.lit("risk_band").alias("section"), "key", F.lit("accounts").alias("metric"), "value")
+    sig = s.groupBy(F.col("source_dataset").alias("key")).agg(
+        dround(F.avg(F.col("y").cast("double")), 6).alias("event_rate"), dround(F.avg("pd"), 6).alias("mean_score")
+    ).unpivot(["key"], ["event_rate", "mean_score"], "metric", "value").select(
+        F.lit("source_signal").alias("section"), "key", "metric", "value")
+    return mix.unionByName(miss).unionByName(hist).unionByName(bands).unionByName(sig)
