@@ -69,3 +69,57 @@ def q_ml_calibration(spark, sf_dir):
             ev.discrimination(x, col, "quality").select("roc_auc").withColumn("_k", F.lit(1)), "_k").select(
             F.lit(name).alias("model"), dround("brier_score", 6).alias("brier_score"), dround("roc_auc", 6).alias("roc_auc"))
     return m(raw, "p", "uncalibrated").unionByName(m(cal, "p_cal", "sigmoid_calibrated"))
+
+
+def _poisson_case(u: str) -> str:
+    import math
+    cdf, parts = 0.0, []
+    for k in range(13):
+        cdf += math.exp(-1.0) / math.factorial(k)
+        parts.append(f"WHEN {u} < {cdf!r}::DOUBLE THEN {k}")
+    return "CASE " + " ".join(parts) + " ELSE 13 END"
+
+
+def _bootstrap_sql(paired: bool) -> str:
+    from creditlens.operators.evaluate import EPS
+    from creditlens.plans.oracle_base import acct_ctes, with_ctes
+    eps = f"{EPS!r}::DOUBLE"
+
+    def metric_ctes(col: str, sfx: str) -> str:
+        pc = f"least(greatest({col}, {eps}), 1 - {eps})"
+        return f""",
+prop{sfx} AS (SELECT replicate, sum(weight * ({col} - y) * ({col} - y)) / sum(weight) AS brier_score,
+              sum(weight * -(y * ln({pc}) + (1 - y) * ln(1 - {pc}))) / sum(weight) AS log_loss,
+              sum(weight * y) / sum(weight) AS event_rate FROM w2 GROUP BY replicate),
+h{sfx} AS (SELECT replicate, {col} AS score, sum(weight * y) AS pos, sum(weight * (1 - y)) AS neg FROM w2 GROUP BY 1, 2),
+c{sfx} AS (SELECT *, sum(neg) OVER (PARTITION BY replicate ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+                 sum(pos) OVER (PARTITION BY replicate) AS P, sum(neg) OVER (PARTITION BY replicate) AS N FROM h{sfx}),
+m{sfx} AS (SELECT p.*, a.roc_auc FROM prop{sfx} p JOIN (SELECT replicate,
+             sum(pos * (N - fp + 0.5 * neg)) / (max(P) * max(N)) AS roc_auc FROM c{sfx} GROUP BY replicate) a
+           USING (replicate))"""
+    u = ("CAST('0x' || substr(md5('boot42:' || CAST(r.range AS VARCHAR) || ':' || s.account_id), 1, 8) AS BIGINT)"
+         " / 4294967296.0::DOUBLE")
+    body = with_ctes(acct_ctes()) + f""",
+b AS (SELECT s.account_id, s.pd, s.pd_benchmark, CAST(s.y AS DOUBLE) AS y, r.range AS replicate, {u} AS u
+      FROM scored_y s, range(1, {REPLICATES + 1}) r),
+w2 AS (SELECT * FROM (SELECT *, {_poisson_case('u')} AS weight FROM b) WHERE weight > 0)"""
+    body += metric_ctes("pd", "")
+    names = ["roc_auc", "brier_score", "log_loss", "event_rate"]
+    if paired:
+        body += metric_ctes("pd_benchmark", "_b")
+        body += ",\nmm AS (SELECT a.replicate, " + ", ".join(f"a.{n} - b.{n} AS {n}" for n in names) + \
+                " FROM m a JOIN m_b b USING (replicate))"
+        src = "mm"
+    else:
+        src = "m"
+    return body + f""",
+lng AS (SELECT metric, value FROM (UNPIVOT {src} ON {', '.join(names)} INTO NAME metric VALUE value))
+SELECT metric, CAST(count(*) AS BIGINT) AS replicates, {sql_dround('quantile_cont(value, 0.025)', 6)} AS lower,
+       {sql_dround('quantile_cont(value, 0.975)', 6)} AS upper, {sql_dround('avg(value)', 6)} AS mean
+FROM lng GROUP BY metric"""
+
+
+from creditlens.plans.registry import ORACLE  # noqa: E402
+
+ORACLE["bootstrap_ci"] = _bootstrap_sql(False)
+ORACLE["paired_bootstrap"] = _bootstrap_sql(True)
