@@ -99,6 +99,17 @@ def let(value: Column, fn) -> Column:
     return F.transform(F.array(value), fn)[0]
 
 
+def adaptive_small(df: DataFrame) -> DataFrame:
+    """A derived table expected to be small (offsets, ranges, edges): no probe job.
+
+    Adaptive execution measures its real shuffle output and switches the join to
+    a broadcast join when it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
+    beyond that the join stays a shuffle join.  Probing with a count here would
+    re-run the whole upstream lineage, so derived tables are left to that runtime check.
+    """
+    return df
+
+
 def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
     """Broadcast ``df`` only when a row-count probe proves it small.
 

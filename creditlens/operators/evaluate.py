@@ -17,7 +17,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import RISK_BAND_LABELS, bounded_broadcast, join_on_keys, risk_band
+from creditlens.functions.columns import RISK_BAND_LABELS, adaptive_small, bounded_broadcast, join_on_keys, risk_band
 from creditlens.session import cut_lineage
 
 SCORE_BUCKETS = 4096
@@ -48,7 +48,7 @@ def cumulative_scores(df: DataFrame, score: str = "pd", label: str = "y", group_
     h = score_histogram(df, score, label, g)
     rng = h.groupBy(*g).agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"))
     if g:
-        h = join_on_keys(h, bounded_broadcast(rng, 1_000_000), g)
+        h = join_on_keys(h, adaptive_small(rng), g)
     else:  # one group: two numbers as literals
         r = rng.first()
         h = h.withColumn("_lo", F.lit(r["_lo"]).cast("double")).withColumn("_hi", F.lit(r["_hi"]).cast("double"))
@@ -64,7 +64,7 @@ def cumulative_scores(df: DataFrame, score: str = "pd", label: str = "y", group_
         F.coalesce(F.sum("bpos").over(above), F.lit(0.0)).alias("off_pos"),
         F.coalesce(F.sum("bneg").over(above), F.lit(0.0)).alias("off_neg"),
         F.sum("bpos").over(whole).alias("P"), F.sum("bneg").over(whole).alias("N"))
-    j = join_on_keys(h, bounded_broadcast(offsets, 500_000), [*g, "bucket"])
+    j = join_on_keys(h, adaptive_small(offsets), [*g, "bucket"])
     within = Window.partitionBy(*g, "bucket").orderBy(F.desc("score")).rowsBetween(
         Window.unboundedPreceding, 0)
     return j.select(
@@ -267,7 +267,7 @@ def global_rank(df: DataFrame, order: list[Column], partitions: int | None = Non
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    return (ranged.join(bounded_broadcast(offsets, 1_000_000), "_pid")
+    return (ranged.join(adaptive_small(offsets), "_pid")
                   .withColumn("rank", F.col("_off") + F.col("_local"))
                   .drop("_mid", "_pid", "_local", "_off"))
 

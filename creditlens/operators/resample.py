@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import bounded_broadcast, join_on_keys
+from creditlens.functions.columns import adaptive_small, bounded_broadcast, join_on_keys
 from creditlens.operators.evaluate import global_rank
 
 SEED = 42
@@ -31,7 +31,7 @@ def rank_within(df: DataFrame, strata: list[str], key: str, seed: int = SEED) ->
     w = Window.partitionBy(F.lit(0)).orderBy(*[F.asc_nulls_first(s) for s in strata]).rowsBetween(
         Window.unboundedPreceding, -1)  # one row per stratum
     offsets = sizes.withColumn("_off", F.coalesce(F.sum("stratum_size").over(w), F.lit(0)))
-    j = join_on_keys(ranked, bounded_broadcast(offsets, 1_000_000), strata)
+    j = join_on_keys(ranked, adaptive_small(offsets), strata)
     return j.withColumn("stratum_rank", F.col("rank") - F.col("_off")).drop("rank", "_off", "_h")
 
 
