@@ -30,7 +30,7 @@ def candidates(numeric: list[str], categorical: list[str], label: str, n_train:
     pre = [*idx, *([ohe] if ohe else []), asm]
     # C = 0.5 in the sklearn parameterisation -> regParam = 1 / (C * n)
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (0.5 * max(n_train, 1)),
-                            elasticNetParam=0.0, maxIter=200)
+                            elasticNetParam=0.0, maxIter=100)
     gbt = GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=20, stepSize=0.06, maxDepth=4,
                         seed=SEED)
     return {"Regularized logistic regression": Pipeline(stages=[*pre, scaler, lr]),

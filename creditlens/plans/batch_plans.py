@@ -91,7 +91,7 @@ def q_ml_ablation(spark, sf_dir):
     reloaded before scoring (E22, M6; rows-only check)."""
     from creditlens.operators import models, resample as rs
     from pyspark.ml import PipelineModel
-    d = rs.stratified_split(adapters.labelled_documents(spark, sf_dir), ["quality"], "doc_id")
+    d = rs.stratified_split(adapters.shared_documents(spark, sf_dir), ["quality"], "doc_id")
     sets = {"with_language": (["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"]),
             "text_length_only": (["n_chars", "n_words", "n_lines", "chars_per_word"], []),
             "language_only": ([], ["lang"])}

@@ -45,7 +45,7 @@ def q_stream_monitoring(spark, sf_dir):
 def q_ml_train_select(spark, sf_dir):
     """Spark ML candidates on labelled documents; champion by validation AUC/Brier (rows-only check)."""
     from creditlens.operators import models
-    d = adapters.labelled_documents(spark, sf_dir)
+    d = adapters.shared_documents(spark, sf_dir)
     s = rs.stratified_split(d, ["quality"], "doc_id")
     r = models.train_select(s, ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"], "quality")
     return r.select("model", "split", F.col("accounts").cast("bigint").alias("accounts"),
@@ -57,10 +57,10 @@ def q_ml_calibration(spark, sf_dir):
     """Brier and AUC on the test split before and after cross-fitted sigmoid calibration (rows-only)."""
     from creditlens.operators import evaluate as ev
     from creditlens.operators import models
-    d = rs.stratified_split(adapters.labelled_documents(spark, sf_dir), ["quality"], "doc_id").persist()
+    d = rs.stratified_split(adapters.shared_documents(spark, sf_dir), ["quality"], "doc_id").persist()
     num, cat = ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"]
     train = d.filter("split = 'train'")
-    pipe = models.candidates(num, cat, "quality", train.count())["Gradient boosted trees"]
+    pipe = models.candidates(num, cat, "quality", train.count())["Regularized logistic regression"]
     raw = models.score(pipe.fit(train), d.filter("split = 'test'"))
     predict = models.sigmoid_calibrated(d, pipe, "quality", "doc_id", F.col("split") == "train")
     cal = predict(d.filter("split = 'test'"))

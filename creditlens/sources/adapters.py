@@ -354,3 +354,18 @@ def readiness_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         (F.col("spend") / 4.0).alias("current_balance_inr"),
         F.col("statement_months").cast("double").alias("statement_months"),
         F.concat(F.lit("LIN-"), ck.cast("string")).alias("data_lineage_id"))
+
+
+def shared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Labelled-document features, persisted once per session and input directory.
+
+    Word and line counts read the whole text of every document; model fitting
+    passes over the table many times, so the features are computed once.
+    """
+    from pyspark import StorageLevel
+    key = ("documents", spark.sparkContext.applicationId, sf_dir)
+    df = _SHARED.get(key)
+    if df is None:
+        df = labelled_documents(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        _SHARED[key] = df
+    return df
