@@ -91,3 +91,10 @@ def lookup(df: DataFrame, key: str, value: str) -> DataFrame:
 def top_k(df: DataFrame, order: list, k: int = 12) -> DataFrame:
     """Sorted evidence, first ``k`` rows (S4): a bounded top-k (per-task heaps, then merge)."""
     return df.orderBy(*order).limit(k)
+
+
+def localise(df: DataFrame, money_cols: list[str], currency: str, rates: dict, default: float = 1.0) -> DataFrame:
+    """Convert money columns with a literal rate map; an unknown code falls back to ``default``."""
+    rate_map = F.create_map(*[x for k, v in rates.items() for x in (F.lit(k), F.lit(float(v)))])
+    rate = F.coalesce(rate_map[F.lit(currency)], F.lit(float(default)))
+    return df.withColumns({c: F.col(c) * rate for c in money_cols})
