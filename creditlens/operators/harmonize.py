@@ -177,3 +177,24 @@ def one_hot(df: DataFrame, columns: list[str], numeric: list[str] | None = None,
         for v in sorted(x for x in levels if x is not None):
             out = out.withColumn(f"{c}_{v}", (F.col(c) == F.lit(v)).cast("int"))
     return out
+
+
+# Coded-source maps (installment-rate code -> share of income; placeholder bound).
+INSTALLMENT_RATE = {1: 0.35, 2: 0.30, 3: 0.225, 4: 0.125}
+PLACEHOLDER_AT = 45
+
+
+@harmonizer("coded_parts")
+def coded_parts(df: DataFrame) -> DataFrame:
+    """Coded legacy source (H2-H4, H7): placeholder codes -> NULL, min_count sums,
+    a code map for the installment rate, a clipped ratio and a code-set target."""
+    size = placeholder_null(F.col("p_size").cast("double"), PLACEHOLDER_AT)
+    brand_digit = F.substring(F.col("p_brand"), -1, 1).cast("int")
+    return df.select(*_typed({
+        "source_key": F.concat(F.lit("PART-"), F.col("p_partkey").cast("string")),
+        "delinquency_count": sum_min_count([size / 10.0, F.lit(None).cast("double")]),
+        "debt_to_income": code_map(brand_digit, INSTALLMENT_RATE),
+        "utilization": ratio_clip(F.col("p_retailprice"), F.lit(1000.0), 0.0, 5.0),
+        "region": F.lit("undisclosed"),
+        TARGET: F.col("p_type").startswith("PROMO").cast("int"),
+    }))

@@ -36,7 +36,25 @@ h_loan AS (
          g.region, CASE WHEN o_orderstatus IN ('F') THEN 1 ELSE 0 END AS "default", 'order_loans' AS market
   FROM orders o LEFT JOIN customer c ON o.o_custkey = c.c_custkey LEFT JOIN reg g ON c.c_nationkey = g.n_nationkey
   WHERE o_orderstatus IN ('F', 'O')),
-allsrc AS (SELECT * FROM h_card UNION ALL SELECT * FROM h_sup UNION ALL SELECT * FROM h_loan),
+h_part AS (
+  SELECT 'PART-' || CAST(p_partkey AS VARCHAR) AS source_key,
+         CASE WHEN CAST(p_size AS DOUBLE) < 45 THEN CAST(p_size AS DOUBLE) / 10.0 END AS delinquency_count,
+         CASE WHEN p_retailprice IS NULL THEN NULL ELSE least(greatest(p_retailprice / greatest(1000.0, 1.0), 0.0), 5.0) END
+           AS utilization,
+         CASE CAST(right(p_brand, 1) AS INTEGER) WHEN 1 THEN 0.35 WHEN 2 THEN 0.30 WHEN 3 THEN 0.225 WHEN 4 THEN 0.125 END
+           AS debt_to_income,
+         NULL::DOUBLE AS credit_lines, NULL::DOUBLE AS income_inr, NULL::DOUBLE AS credit_age_months,
+         'undisclosed' AS region, CASE WHEN starts_with(p_type, 'PROMO') THEN 1 ELSE 0 END AS "default",
+         'coded_parts' AS market
+  FROM part),
+allsrc AS (SELECT source_key, delinquency_count, utilization, debt_to_income, credit_lines, income_inr,
+                  credit_age_months, region, "default", market FROM h_card
+           UNION ALL SELECT source_key, delinquency_count, utilization, debt_to_income, credit_lines, income_inr,
+                  credit_age_months, region, "default", market FROM h_sup
+           UNION ALL SELECT source_key, delinquency_count, utilization, debt_to_income, credit_lines, income_inr,
+                  credit_age_months, region, "default", market FROM h_loan
+           UNION ALL SELECT source_key, delinquency_count, utilization, debt_to_income, credit_lines, income_inr,
+                  credit_age_months, region, "default", market FROM h_part),
 uni AS (SELECT * FROM allsrc WHERE market NOT IN ('supplier_ledger'))"""
 
 NUM = hz.NUMERIC_FEATURES

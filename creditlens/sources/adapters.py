@@ -286,7 +286,8 @@ def harmonization_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFra
     cust = cust.join(bounded_broadcast(regions, 10_000), cust.c_nationkey == regions.n_nationkey, "left").select(
         "c_custkey", "region")
     loans = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
-    return {"card_history": cards, "supplier_ledger": sup, "order_loans": loans}
+    parts = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"])
+    return {"card_history": cards, "supplier_ledger": sup, "order_loans": loans, "coded_parts": parts}
 
 
 def vintage_loans(spark: SparkSession, sf_dir: str) -> DataFrame:
