@@ -111,38 +111,43 @@ def bootstrap_weights(df: DataFrame, key: str, replicates: int, seed: int = SEED
 def bootstrap_ci(df: DataFrame, key: str, score: str, label: str, replicates: int = 200,
                  seed: int = SEED, benchmark: str | None = None) -> DataFrame:
     """Percentile 95% intervals of AUC, Brier, log loss and event rate (E14); with a
-    ``benchmark`` score the intervals are for the paired difference (E15)."""
+    ``benchmark`` score the intervals are for the paired difference (E15).
+
+    Weights are drawn once; every score column is evaluated from the same weighted
+    rows (a model column), so a paired comparison shares its replicates exactly.
+    """
     from creditlens.operators import evaluate as ev
-    w = bootstrap_weights(df.select(key, score, label, *([benchmark] if benchmark else [])), key, replicates, seed)
+    scores = [score] + ([benchmark] if benchmark else [])
+    w = bootstrap_weights(df.select(key, label, *scores), key, replicates, seed)
     y = F.col(label).cast("double")
-
-    def metrics(sc):
-        p = F.col(sc)
-        pc = F.least(F.greatest(p, F.lit(ev.EPS)), F.lit(1 - ev.EPS))
-        wt = F.col("weight")
-        prop = w.groupBy("replicate").agg(
-            (F.sum(wt * (p - y) * (p - y)) / F.sum(wt)).alias("brier_score"),
-            (F.sum(wt * -(y * F.log(pc) + (1 - y) * F.log(1 - pc))) / F.sum(wt)).alias("log_loss"),
-            (F.sum(wt * y) / F.sum(wt)).alias("event_rate"))
-        hist = w.groupBy("replicate", F.col(sc).alias("score")).agg(
-            F.sum(F.col("weight") * y).alias("pos"), F.sum(F.col("weight") * (1 - y)).alias("neg"))
-        from pyspark.sql import Window
-        wdesc = Window.partitionBy("replicate").orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-        wall = Window.partitionBy("replicate")
-        c = hist.select("replicate", "pos", "neg", F.sum("neg").over(wdesc).alias("fp"),
-                        F.sum("pos").over(wall).alias("P"), F.sum("neg").over(wall).alias("N"))
-        auc = c.groupBy("replicate").agg(
-            (F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg")))
-             / (F.first("P") * F.first("N"))).alias("roc_auc"))
-        return prop.join(auc, "replicate")
-
+    long = w.select("replicate", "weight", y.alias("_y"), F.inline(F.array(*[
+        F.struct(F.lit(i).alias("model"), F.col(c).alias("_p")) for i, c in enumerate(scores)])))
+    p, yy, wt = F.col("_p"), F.col("_y"), F.col("weight")
+    pc = F.least(F.greatest(p, F.lit(ev.EPS)), F.lit(1 - ev.EPS))
+    prop = long.groupBy("model", "replicate").agg(
+        (F.sum(wt * (p - yy) * (p - yy)) / F.sum(wt)).alias("brier_score"),
+        (F.sum(wt * -(yy * F.log(pc) + (1 - yy) * F.log(1 - pc))) / F.sum(wt)).alias("log_loss"),
+        (F.sum(wt * yy) / F.sum(wt)).alias("event_rate"))
+    hist = long.groupBy("model", "replicate", F.col("_p").alias("score")).agg(
+        F.sum(wt * yy).alias("pos"), F.sum(wt * (1 - yy)).alias("neg"))
+    from pyspark.sql import Window
+    part = Window.partitionBy("model", "replicate")
+    wdesc = part.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
+    c = hist.select("model", "replicate", "pos", "neg", F.sum("neg").over(wdesc).alias("fp"),
+                    F.sum("pos").over(part).alias("P"), F.sum("neg").over(part).alias("N"))
+    auc = c.groupBy("model", "replicate").agg(
+        (F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg")))
+         / (F.first("P") * F.first("N"))).alias("roc_auc"))
     names = ["roc_auc", "brier_score", "log_loss", "event_rate"]
-    m = metrics(score)
+    m = prop.join(auc, ["model", "replicate"])
     if benchmark:
-        mb = metrics(benchmark).select("replicate", *[F.col(n).alias(f"b_{n}") for n in names])
-        m = m.join(mb, "replicate").select("replicate", *[(F.col(n) - F.col(f"b_{n}")).alias(n) for n in names])
-    long = m.unpivot(["replicate"], names, "metric", "value")
-    return long.groupBy("metric").agg(
+        a = m.filter("model = 0").select("replicate", *names)
+        b = m.filter("model = 1").select("replicate", *[F.col(n).alias(f"b_{n}") for n in names])
+        m = a.join(b, "replicate").select("replicate", *[(F.col(n) - F.col(f"b_{n}")).alias(n) for n in names])
+    else:
+        m = m.select("replicate", *names)
+    lng = m.unpivot(["replicate"], names, "metric", "value")
+    return lng.groupBy("metric").agg(
         F.count(F.lit(1)).alias("replicates"),
         F.percentile("value", 0.025).alias("lower"), F.percentile("value", 0.975).alias("upper"),
         F.avg("value").alias("mean"))
