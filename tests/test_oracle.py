@@ -12,7 +12,8 @@ from creditlens.sources.tables import TABLES
 NAMES = ["action_summary", "policy_decisions", "behavioral_features", "scenario_sensitivity", "roc_auc",
          "lift_table", "calibration_curve", "best_threshold", "metrics_by_cohort", "monitoring_status",
          "feature_psi", "pilot_cuped", "ledger_chain", "contract_violations", "harmonized_union",
-         "stratified_split", "explorer_page", "allocation_unconstrained"]
+         "stratified_split", "explorer_page", "allocation_unconstrained", "orders_csv_scan",
+         "currency_localisation", "paired_bootstrap", "readiness_violations", "counterfactuals"]
 
 
 @pytest.fixture(scope="module")
