@@ -17,7 +17,7 @@ REFERENCE_VINTAGE = 1995
 
 
 def _snapshot_with_reference(spark, sf_dir):
-    snap = adapters.snapshot(spark, sf_dir)
+    snap = adapters.shared_snapshot(spark, sf_dir)
     p0 = snap.agg(F.min("period")).first()[0]  # tiny statistic: first (reference) week
     ref = snap.filter(F.col("period") == F.lit(p0))
     return snap, ref
@@ -118,7 +118,7 @@ SELECT period, action, CAST(rows AS BIGINT) AS rows, {sql_dround('mean_score', 6
        abs(mix_share - pm) > 0.05 AS mix_shift
 FROM c""")
 def q_monitoring_by_period(spark, sf_dir):
-    d = monitor.period_drift(adapters.snapshot(spark, sf_dir), "period", "action")
+    d = monitor.period_drift(adapters.shared_snapshot(spark, sf_dir), "period", "action")
     return d.select("period", "action", F.col("rows").cast("bigint").alias("rows"),
                     *[dround(c, 6).alias(c) for c in ("mean_score", "event_rate", "mix_share")],
                     "risk_rate_shift", "mix_shift")

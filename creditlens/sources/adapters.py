@@ -370,3 +370,14 @@ def shared_documents(spark: SparkSession, sf_dir: str) -> DataFrame:
         df = labelled_documents(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
         _SHARED[key] = df
     return df
+
+
+def shared_snapshot(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The monitoring snapshot, persisted once per session (several monitoring branches read it)."""
+    from pyspark import StorageLevel
+    key = ("snapshot", spark.sparkContext.applicationId, sf_dir)
+    df = _SHARED.get(key)
+    if df is None:
+        df = snapshot(spark, sf_dir).persist(StorageLevel.MEMORY_AND_DISK)
+        _SHARED[key] = df
+    return df
