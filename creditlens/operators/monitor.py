@@ -112,13 +112,14 @@ def qcut_calibration_gap(df: DataFrame, score: str, label: str, group_cols: list
     cum = ev.cumulative_scores(df, score, label, g)
     # quantile fractions k/q for q = min(10, distinct): computed for every possible q <= 10
     fr = {}
-    for q in range(1, 11):
+    min_nd = nd.agg(F.min("_nd")).first()[0] or 0  # one number
+    for q in (range(1, 11) if min_nd < 10 else [10]):
         fr[q] = ev.linspace(0.0, 1.0, q + 1)
     allq = sorted({x for v in fr.values() for x in v})
     os = ev.order_statistics(cum, allq, g)
     pos = {x: i for i, x in enumerate(allq)}
     edges_expr = None
-    for q in range(1, 11):
+    for q in fr:
         arr = F.array(*[F.col(f"q{pos[x]}") for x in fr[q]])
         cond = F.least(F.col("_nd"), F.lit(10)) == q
         edges_expr = F.when(cond, arr) if edges_expr is None else edges_expr.when(cond, arr)
