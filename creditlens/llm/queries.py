@@ -37,3 +37,36 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from creditlens.llm.op10_packing import pack
 
     return pack(table(spark, sf_dir, "documents"), WORDS, END, window=4096)
+
+
+# Words: runs of digits, letters and characters beyond ASCII, in lower case (A-Z alone).
+_WORDS = r"""regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+')"""
+
+
+@query("op7_decontamination", rf"""
+with items as (select cast(item_id as varchar) as item, {_WORDS} as w from benchmark),
+ windows as (select distinct item, least(len(w), 10) as n,
+             unnest(list_transform(range(1, len(w) - least(len(w), 10) + 2), lambda i: array_to_string(w[i : i + least(len(w), 10) - 1], ' '))) as phrase
+             from items where len(w) > 0),
+ texts as (select doc_id, {_WORDS} as w from documents),
+ lengths as (select distinct n from windows),
+ spans as (select doc_id, n, unnest(range(1, len(w) - n + 2)) as at, w from texts, lengths where len(w) >= n),
+ phrases as (select doc_id, n, at, array_to_string(w[at : at + n - 1], ' ') as phrase from spans),
+ hits as (select doc_id, p.n, at, item from phrases p join windows v on p.phrase = v.phrase and p.n = v.n),
+ words as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(at, at + n)) as pos from hits) group by doc_id),
+ found as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as list from hits group by doc_id)
+select t.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
+       sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
+from texts t left join words using (doc_id) left join found using (doc_id)""")
+def op7_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op7_decontamination import find
+
+    found = find(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), window=10)
+    return found.drop("h", "spans")
+
+
+@query("op9_simhash")
+def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op9_simhash import near_duplicates
+
+    return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
