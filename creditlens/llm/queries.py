@@ -70,3 +70,19 @@ def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     from creditlens.llm.op9_simhash import near_duplicates
 
     return near_duplicates(table(spark, sf_dir, "documents"), shingle=3, bits=2)
+
+
+@query("op5_toxicity")
+def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op5_toxicity import grade, train
+
+    docs = table(spark, sf_dir, "documents")
+    return grade(docs, train(docs, table(spark, sf_dir, "labels"), max_train=20_000))
+
+
+@query("op8_quality")
+def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op8_quality import score, train
+
+    docs = table(spark, sf_dir, "documents")
+    return score(docs, train(docs, table(spark, sf_dir, "labels"), max_train=2400))
