@@ -3,9 +3,11 @@
 Grades run from 0 (clean) to 3.  The labels are 0 or 1, so the grade of a labelled toxic
 document is the third, among all of them, into which the count of its words that mark
 toxicity falls.  One weight vector is shared by the ordered thresholds: P(grade > k) =
-sigmoid(w.x - threshold_k).  Features are log(1 + count) of words chosen by how far their
-document rates in the two classes lie apart; copies among the labelled documents are taken
-once, so a word of one copied text does not count as a mark.
+sigmoid(w.x - threshold_k).  Features are log(1 + count) of words and word beginnings, chosen
+by how far their document rates in the two classes lie apart; copies among the labelled
+documents are taken once, so a word of one copied text does not count as a mark.  A
+document is toxic where its chance of a grade above 0 reaches the cut with the best F1 in
+the sample.
 
 The fit uses a sample of at most ``max_train`` labelled documents, in order of a hash of
 doc_id; every document is scored over its whole text.
@@ -19,8 +21,9 @@ toxic; equal rows get equal results; other columns are not read.
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 
 import numpy as np
 import pyarrow as pa
@@ -30,25 +33,39 @@ from pyspark.sql import functions as F
 from creditlens.llm.shared import text_or_empty, written
 
 WORD = re.compile(r"[^\W_]+")
+BEGINNINGS = range(4, 9)
 GRADES = 4
+KEPT_WORDS = 400_000
 SCHEMA = "doc_id long, p_toxic double, severity double, grade int, toxic boolean"
 
 
+def features(word: str) -> list[str]:
+    """A word and its beginnings of 4 to 8 letters."""
+    return [word, *("^" + word[:n] for n in BEGINNINGS if len(word) > n)]
+
+
 @dataclass(frozen=True)
 class Model:
     words: dict[str, int]
     weights: np.ndarray
     thresholds: np.ndarray
+    cut: float = 0.5
+    met: dict[str, tuple[int, ...]] = field(default_factory=dict)
 
     def above(self, score: np.ndarray) -> np.ndarray:
         """(rows, thresholds): the chance that the grade lies above each threshold."""
         return 1 / (1 + np.exp(-np.clip(score[:, None] - self.thresholds[None, :], -40, 40)))
 
     def score(self, text: str) -> float:
-        counts: dict[int, int] = {}
-        known = self.words
-        for i in [known[w] for w in WORD.findall(text.lower()) if w in known]:
-            counts[i] = counts.get(i, 0) + 1
+        words, met, counts = WORD.findall(text.lower()), self.met, {}
+        if len(met) > KEPT_WORDS:
+            met.clear()
+        for w in set(words):
+            if w not in met:
+                met[w] = tuple(self.words[f] for f in features(w) if f in self.words)
+        for own in filter(None, map(met.__getitem__, words)):
+            for i in own:
+                counts[i] = counts.get(i, 0) + 1
         return float(sum(self.weights[i] * np.log1p(n) for i, n in sorted(counts.items())))
 
 
@@ -67,8 +84,9 @@ def _training_rows(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFr
                 for t in part.column("text").to_pylist():
                     w = WORD.findall(t.lower())
                     c: dict[str, int] = {}
-                    for x in w:
-                        c[x] = c.get(x, 0) + 1
+                    for x, n in Counter(w).items():
+                        for f in features(x):
+                            c[f] = c.get(f, 0) + n
                     words.append(list(c))
                     counts.append(list(c.values()))
                     shingles = {" ".join(w[i:i + 5]) for i in range(max(1, len(w) - 4))}
@@ -87,7 +105,7 @@ def _training_rows(docs: DataFrame, labels: DataFrame, max_train: int) -> DataFr
     return rows.join(later, "doc_id", "left_anti").select("doc_id", "toxic", "words", "counts")
 
 
-def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, min_docs: int = 5, min_z: float = 5.0,
+def train(docs: DataFrame, labels: DataFrame, max_train: int = 12_000, min_docs: int = 5, min_z: float = 5.0,
           max_words: int = 4096) -> Model:
     rows = written(_training_rows(docs, labels, max_train))
     n = {r["toxic"]: r["n"] for r in rows.groupBy("toxic").agg(F.count(F.lit(1)).alias("n")).collect()}
@@ -113,8 +131,8 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 20_000, min_docs:
     return _fit(words, plus, [(r["toxic"], [(y["i"], y["c"]) for y in r["x"] or ()]) for r in data])
 
 
-def _fit(words: dict[str, int], plus: np.ndarray, data: list[tuple[int, list[tuple[int, int]]]], rounds: int = 400,
-         penalty: float = 1e-3) -> Model:
+def _fit(words: dict[str, int], plus: np.ndarray, data: list[tuple[int, list[tuple[int, int]]]], rounds: int = 1500,
+         penalty: float = 2e-5) -> Model:
     """Gradient steps (Adam) on the ordinal likelihood; the order of thresholds holds by construction."""
     toxic = np.array([t for t, _ in data])
     marks = np.array([sum(c for i, c in x if plus[i]) for _, x in data])
@@ -124,7 +142,6 @@ def _fit(words: dict[str, int], plus: np.ndarray, data: list[tuple[int, list[tup
     col = np.array([i for _, x in data for i, _ in x], dtype=np.int64)
     val = np.log1p(np.array([c for _, x in data for _, c in x], dtype=float))
     k, m = len(words), len(data)
-    above = (grade[:, None] > np.arange(GRADES - 1)[None, :]).astype(float)
     theta = np.concatenate([np.zeros(k), [1.0, 0.0, 0.0]])  # weights, first threshold, logs of the steps between
     first, second = np.zeros_like(theta), np.zeros_like(theta)
     for t in range(1, rounds + 1):
@@ -141,8 +158,15 @@ def _fit(words: dict[str, int], plus: np.ndarray, data: list[tuple[int, list[tup
                             [dcut[j + 1:].sum() * steps[j] for j in range(GRADES - 2)]])
         first, second = 0.9 * first + 0.1 * g, 0.999 * second + 0.001 * g * g
         theta = theta - 0.05 * (first / (1 - 0.9**t)) / (np.sqrt(second / (1 - 0.999**t)) + 1e-8)
-    assert above.shape == (m, GRADES - 1)
-    return Model(words, theta[:k], theta[k] + np.concatenate([[0], np.cumsum(np.exp(theta[k + 1:]))]))
+    model = Model(words, theta[:k], theta[k] + np.concatenate([[0], np.cumsum(np.exp(theta[k + 1:]))]))
+    p = model.above(np.bincount(row, weights=val * theta[col], minlength=m))[:, 0]
+    order = np.argsort(-p, kind="stable")
+    hits = np.cumsum(toxic[order])
+    f1 = 2 * hits / (np.arange(1, m + 1) + toxic.sum())
+    ends = np.flatnonzero(np.r_[p[order][1:] != p[order][:-1], True])
+    best = int(f1[ends].argmax())
+    after = p[order][ends[best] + 1] if ends[best] + 1 < m else 0.0
+    return Model(words, model.weights, model.thresholds, float((p[order][ends[best]] + after) / 2))
 
 
 def grade(docs: DataFrame, model: Model) -> DataFrame:
@@ -155,7 +179,7 @@ def grade(docs: DataFrame, model: Model) -> DataFrame:
                 each = np.concatenate([1 - above[:, :1], above[:, :-1] - above[:, 1:], above[:, -1:]], axis=1)
                 yield pa.RecordBatch.from_arrays(
                     [part.column("doc_id"), pa.array(above[:, 0]), pa.array(above.sum(axis=1)), pa.array(each.argmax(axis=1).astype(np.int32)),
-                     pa.array(above[:, 0] >= 0.5)], names=["doc_id", "p_toxic", "severity", "grade", "toxic"])
+                     pa.array(above[:, 0] >= model.cut)], names=["doc_id", "p_toxic", "severity", "grade", "toxic"])
 
     return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, SCHEMA)
 
@@ -166,6 +190,6 @@ def clean(docs: DataFrame, model: Model) -> DataFrame:
     def toxic(text):
         import pandas as pd
 
-        return pd.Series(model.above(np.array([model.score(t) for t in text]))[:, 0] >= 0.5)
+        return pd.Series(model.above(np.array([model.score(t) for t in text]))[:, 0] >= model.cut)
 
     return docs.filter(~toxic(text_or_empty()))

@@ -77,7 +77,7 @@ def op5_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from creditlens.llm.op5_toxicity import grade, train
 
     docs = table(spark, sf_dir, "documents")
-    return grade(docs, train(docs, table(spark, sf_dir, "labels"), max_train=20_000))
+    return grade(docs, train(docs, table(spark, sf_dir, "labels"), max_train=12_000))
 
 
 @query("op8_quality")

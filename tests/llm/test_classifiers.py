@@ -36,7 +36,7 @@ def test_toxicity_held_out(spark, data):
     held = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
     model = tox.train(docs, labels.filter(~held))
     assert (np.diff(model.thresholds) > 0).all()
-    rows = tox.grade(docs, model).join(labels.filter(held), "doc_id").select("p_toxic", "severity", "grade", F.expr("p_toxic >= 0.5").alias("t"), labels["toxic"].alias("y")).collect()
+    rows = tox.grade(docs, model).withColumnRenamed("toxic", "predicted").join(labels.filter(held), "doc_id").select("p_toxic", "severity", "grade", F.col("predicted").alias("t"), labels["toxic"].alias("y")).collect()
     y = [r.y for r in rows]
     assert auc(y, [r.severity for r in rows]) > 0.85
     assert np.mean([r.t == bool(r.y) for r in rows]) > 0.93
