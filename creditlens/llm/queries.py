@@ -86,3 +86,13 @@ def op8_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     docs = table(spark, sf_dir, "documents")
     return score(docs, train(docs, table(spark, sf_dir, "labels"), max_train=2400))
+
+
+@query("op4_neighbours")
+def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from creditlens.llm.op4_neighbours import search
+
+    vectors = table(spark, sf_dir, "embeddings")
+    return search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
