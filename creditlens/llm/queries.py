@@ -96,3 +96,10 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     vectors = table(spark, sf_dir, "embeddings")
     return search(vectors, vectors.filter(F.col("vec_id") % 50 == 0), k=5)
+
+
+@query("op2_passages")
+def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op2_passages import passages
+
+    return passages(table(spark, sf_dir, "documents"), min_words=50, similarity=0.8).drop("h")
