@@ -103,3 +103,40 @@ def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from creditlens.llm.op2_passages import passages
 
     return passages(table(spark, sf_dir, "documents"), min_words=50, similarity=0.8).drop("h")
+
+
+@query("op1_token_counts")
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op1_token_counts import own_edits, recount, trees
+    from creditlens.llm.shared import written
+
+    docs = table(spark, sf_dir, "documents")
+    return recount(docs, written(trees(docs, WORDS)), own_edits(docs), WORDS)
+
+
+# The replica is made from the pages: of some pages a byte is changed, others lose their end or are left out.
+_RECORD = """'WARC/1.1' || chr(13) || chr(10) || 'WARC-Type: response' || chr(13) || chr(10) || 'WARC-Target-URI: ' || coalesce(url, '') || chr(13) || chr(10)
+ || 'Content-Length: ' || strlen(coalesce(html, '')) || chr(13) || chr(10) || chr(13) || chr(10) || coalesce(html, '') || chr(13) || chr(10) || chr(13) || chr(10)"""
+
+
+@query("op6_fixity", f"""
+with p as (select page_id, {_RECORD} as record, cast('0x' || substr(md5('file' || page_id), 1, 4) as bigint) % (select greatest(1, cast(ceil(count(*) / 2048.0) as bigint)) from pages) as file,
+             cast('0x' || substr(md5('fault' || page_id), 1, 4) as bigint) % 100 as fault from pages),
+ r as (select *, row_number() over (partition by file order by page_id, sha256(record)) - 1 as seq, strlen(record) as length,
+             coalesce(sum(strlen(record)) over (partition by file order by page_id, sha256(record) rows between unbounded preceding and 1 preceding), 0) as start from p),
+ d as (select *, case fault when 0 then left(record, 10) || '~' || substr(record, 12) when 1 then left(record, length(record) - 8) end as damaged from r where fault < 3)
+select file, seq, page_id, cast(start as bigint) as start, cast(length as bigint) as length, case fault when 2 then 'missing' else 'changed' end as found,
+       sha256(record) as expected_sha256, sha256(damaged) as found_sha256 from d""")
+def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from pyspark.sql import functions as F
+
+    from creditlens.llm.op6_fixity import RECORDS, audit, number, record
+
+    pages = table(spark, sf_dir, "pages")
+    files = max(1, -(-pages.count() // RECORDS))
+    kept = pages.select((number(F.col("page_id"), "file") % files).alias("file"), "page_id", record(F.col("url"), F.col("html")).alias("record"))
+    fault = number(F.col("page_id"), "fault") % 100
+    replica = kept.filter(fault != 2).withColumn(
+        "record", F.when(fault == 0, F.concat(F.substring("record", 1, 10), F.lit("~"), F.expr("substring(record, 12)")))
+        .when(fault == 1, F.expr("left(record, length(record) - 8)")).otherwise(F.col("record")))
+    return audit(kept, replica)
