@@ -50,10 +50,10 @@ with items as (select cast(item_id as varchar) as item, {_WORDS} as w from bench
              from items where len(w) > 0),
  texts as (select doc_id, {_WORDS} as w from documents),
  lengths as (select distinct n from windows),
- spans as (select doc_id, n, unnest(range(1, len(w) - n + 2)) as at, w from texts, lengths where len(w) >= n),
- phrases as (select doc_id, n, at, array_to_string(w[at : at + n - 1], ' ') as phrase from spans),
- hits as (select doc_id, p.n, at, item from phrases p join windows v on p.phrase = v.phrase and p.n = v.n),
- words as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(at, at + n)) as pos from hits) group by doc_id),
+ spans as (select doc_id, n, unnest(range(1, len(w) - n + 2)) as first, w from texts, lengths where len(w) >= n),
+ phrases as (select doc_id, n, first, array_to_string(w[first : first + n - 1], ' ') as phrase from spans),
+ hits as (select doc_id, p.n, first, item from phrases p join windows v on p.phrase = v.phrase and p.n = v.n),
+ words as (select doc_id, count(distinct pos) as n_hit from (select doc_id, unnest(range(first, first + n)) as pos from hits) group by doc_id),
  found as (select doc_id, count(distinct item) as n_items, string_agg(distinct item, ',' order by item) as list from hits group by doc_id)
 select t.doc_id, cast(len(w) as bigint) as n_words, coalesce(n_hit, 0) as n_hit, coalesce(n_items, 0) as n_items,
        sha256(coalesce(list, '')) as items_sha256, coalesce(n_hit, 0) > 0 as contaminated
