@@ -99,37 +99,10 @@ def let(value: Column, fn) -> Column:
     return F.transform(F.array(value), fn)[0]
 
 
-def adaptive_small(df: DataFrame) -> DataFrame:
-    """A derived table expected to be small (offsets, ranges, edges): no probe job.
-
-    Adaptive execution measures its real shuffle output and switches the join to
-    a broadcast join when it is under ``spark.sql.adaptive.autoBroadcastJoinThreshold``;
-    beyond that the join stays a shuffle join.  Probing with a count here would
-    re-run the whole upstream lineage, so derived tables are left to that runtime check.
-    """
-    return df
-
-
-def bounded_broadcast(df: DataFrame, max_rows: int = 100_000) -> DataFrame:
-    """Broadcast ``df`` only when a row-count probe proves it small.
-
-    The probe reads at most ``max_rows + 1`` rows. Beyond the bound the frame is
-    returned unchanged and the planner falls back to a shuffle join (AQE may
-    still convert it at runtime from real statistics).
-    """
-    try:
-        key = (df.sparkSession.sparkContext.applicationId, df.semanticHash(), max_rows)
-    except Exception:  # noqa: BLE001  (e.g. plans without a semantic hash)
-        key = None
-    small = _PROBES.get(key) if key is not None else None
-    if small is None:
-        small = df.limit(max_rows + 1).count() <= max_rows
-        if key is not None:
-            _PROBES[key] = small
-    return F.broadcast(df) if small else df
-
-
-_PROBES: dict = {}
+def pad_digits(value: Column, width: int) -> Column:
+    """A number's digits, zero-padded to ``width``; longer numbers keep all their digits."""
+    text = value.cast("string")
+    return F.lpad(text, F.greatest(F.lit(width), F.length(text)), F.lit("0"))
 
 
 def _lit(v) -> Column:

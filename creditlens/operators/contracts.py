@@ -37,7 +37,7 @@ def require(df: DataFrame, columns) -> DataFrame:
     """Required-column check + projection; error lists the sorted missing names."""
     missing = sorted(set(columns) - set(df.columns))
     if missing:
-        raise SchemaError(f"Missing required columns: {', '.join(missing)}")
+        raise SchemaError(f"input lacks: {', '.join(missing)}")
     return df.select(*columns)
 
 
@@ -82,7 +82,8 @@ def duplicate_keys(df: DataFrame, key: str) -> DataFrame:
 def contract_violations(df: DataFrame, key: str = "account_id") -> DataFrame:
     """Row rules plus the uniqueness rule (duplicates reported once per key)."""
     rows = violations(df, key, harmonized_rules(key))
-    dups = duplicate_keys(df, key).select(key, F.lit("id_duplicate").alias("rule"))
+    trimmed = df.withColumn(key, F.trim(F.col(key).cast("string")))
+    dups = duplicate_keys(trimmed, key).select(key, F.lit("id_duplicate").alias("rule"))
     return rows.unionByName(dups)
 
 
@@ -100,9 +101,9 @@ def missing_fields(columns: list[str]) -> Column:
 
 
 def surrogate_id(key, salt: str = SURROGATE_SALT) -> Column:
-    """'LIQ-' + upper(first 10 hex of sha256(salt + id))."""
+    """'ACC-' + upper(first 10 hex of sha256(salt + id))."""
     k = F.col(key) if isinstance(key, str) else key
-    return F.concat(F.lit("LIQ-"), F.upper(F.substring(F.sha2(F.concat(F.lit(salt), k.cast("string")), 256), 1, 10)))
+    return F.concat(F.lit("ACC-"), F.upper(F.substring(F.sha2(F.concat(F.lit(salt), k.cast("string")), 256), 1, 10)))
 
 
 PAY_COLUMNS = ["PAY_0", "PAY_2", "PAY_3", "PAY_4", "PAY_5", "PAY_6"]
@@ -165,9 +166,11 @@ OFFSET_PATTERN = r"(Z|[+-]\d{2}:\d{2})$"
 
 
 def _instant(c: str) -> Column:
-    """Epoch seconds of an ISO timestamp that carries an offset (NULL otherwise)."""
-    s = F.col(c)
-    return F.when(s.rlike(OFFSET_PATTERN), F.unix_timestamp(F.try_to_timestamp(s, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))))
+    """Epoch seconds, with their fraction, of an ISO timestamp that carries an offset (NULL otherwise)."""
+    s = F.trim(F.col(c))
+    fraction = F.coalesce(F.expr("try_cast(nullif(regexp_extract(trim(" + c + r"), '(\\.[0-9]+)(Z|[+-][0-9]{2}:[0-9]{2})$', 1), '') as double)"), F.lit(0.0))
+    whole = F.regexp_replace(s, r"\.[0-9]+(Z|[+-][0-9]{2}:[0-9]{2})$", "$1")
+    return F.when(s.rlike(OFFSET_PATTERN), F.unix_timestamp(F.try_to_timestamp(whole, F.lit("yyyy-MM-dd'T'HH:mm:ssXXX"))) + fraction)
 
 
 def readiness_rules(df: DataFrame) -> dict[str, Column]:
@@ -179,9 +182,12 @@ def readiness_rules(df: DataFrame) -> dict[str, Column]:
     rules["prohibited_identifier"] = F.lit(bool(bad_cols))
     rules["timezone_missing"] = F.exists(F.array(*[F.col(c) for c in READINESS_TIMESTAMPS]),
                                          lambda x: ~F.coalesce(x.rlike(OFFSET_PATTERN), F.lit(False)))
+    rules["timestamp_unparseable"] = F.lit(False)
+    for c in READINESS_TIMESTAMPS:  # an offset, and yet no instant: no rule below could judge it
+        rules["timestamp_unparseable"] |= F.trim(F.col(c)).rlike(OFFSET_PATTERN) & _instant(c).isNull()
     asof = _instant("as_of_date")
     cons, bur, inc = _instant("consent_timestamp"), _instant("bureau_report_date"), _instant("income_verified_at")
-    rules["evidence_after_decision"] = F.coalesce((cons > asof) | (bur > asof) | (inc > asof), F.lit(False))
+    rules["evidence_after_decision"] = F.exists(F.array(cons > asof, bur > asof, inc > asof), lambda x: F.coalesce(x, F.lit(False)))
     rules["bureau_stale"] = F.coalesce(asof - bur > BUREAU_MAX_DAYS * 86400, F.lit(False))
     rules["income_stale"] = F.coalesce(asof - inc > INCOME_MAX_DAYS * 86400, F.lit(False))
     rules["negative_numeric"] = F.exists(F.array(*[F.col(c) for c in READINESS_NUMERIC]), lambda x: x < 0)
@@ -195,7 +201,8 @@ def readiness(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(violations(customer_reference, rule), derived controls of the passing rows)."""
     rules = readiness_rules(df)
     v = violations(df, "customer_reference", rules)
-    ok = df.filter(~F.exists(F.array(*rules.values()), lambda x: x))
+    known = F.forall(F.array(*[_instant(c) for c in READINESS_TIMESTAMPS]), lambda x: x.isNotNull())
+    ok = df.filter(~F.exists(F.array(*rules.values()), lambda x: x) & known)
     asof = _instant("as_of_date")
     derived = ok.select(
         "customer_reference", "data_lineage_id", "consent_reference",

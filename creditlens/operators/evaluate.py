@@ -4,12 +4,13 @@ Scale design
 ------------
 * Rank metrics (AUC, average precision, KS, ROC points, exact quantiles) start
   from a histogram of distinct scores per group, then take prefix sums in two
-  levels: coarse score buckets (a bounded table) give offsets, a window
-  partitioned by (group, bucket) finishes the running sums.  No window runs over
-  the whole table in one task, and a hot score value is one histogram row.
-* Row ranks with an id tie-break (lift deciles, gains curve) use
-  ``repartitionByRange`` on (score desc, id), which splits even a hot score
-  value across tasks, plus per-partition offsets.
+  levels: score buckets whose edges are quantiles of the data (a bounded table)
+  give offsets, a window partitioned by (group, bucket) finishes the running sums.
+  No window runs over the whole table in one task, and a hot score value is one
+  histogram row.  Rows without a score take no part.
+* Cuts by rank with an id tie-break (lift deciles, gains curve) come from the same
+  histogram; only the rows of scores that straddle a cut are ranked by id, with
+  ``repartitionByRange`` on (score desc, id), which splits even a hot score.
 """
 
 from __future__ import annotations
@@ -17,10 +18,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import RISK_BAND_LABELS, adaptive_small, bounded_broadcast, join_on_keys, risk_band
+from creditlens.functions.columns import RISK_BAND_LABELS, join_on_keys, risk_band
 from creditlens.session import cut_lineage
 
-SCORE_BUCKETS = 4096
+SCORE_BUCKETS = 256
 EPS = 2.220446049250313e-16  # float64 machine epsilon (log-loss clipping)
 
 
@@ -29,33 +30,41 @@ def _g(group_cols) -> list[str]:
 
 
 def score_histogram(df: DataFrame, score: str = "pd", label: str = "y", group_cols=None) -> DataFrame:
+    """Positives and negatives of each score; rows without a score (NULL or NaN) or label take no part."""
     g = _g(group_cols)
-    y = F.col(label).cast("double")
-    return df.groupBy(*g, F.col(score).cast("double").alias("score")).agg(
+    y, x = F.col(label).cast("double"), F.col(score).cast("double")
+    return df.filter(x.isNotNull() & ~F.isnan(x) & y.isNotNull()).groupBy(*g, x.alias("score")).agg(
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
 
 
+def unscored(df: DataFrame, score: str = "pd", group_cols=None) -> DataFrame:
+    """How many rows have no usable score (NULL or NaN), per group."""
+    x = F.col(score).cast("double")
+    return df.groupBy(*_g(group_cols)).agg(F.count(F.when(x.isNull() | F.isnan(x), 1)).alias("unscored"))
+
+
 def cumulative_scores(df: DataFrame, score: str = "pd", label: str = "y", group_cols=None,
                       buckets: int = SCORE_BUCKETS) -> DataFrame:
-    """Per distinct score: pos, neg, tp / fp (counts with score >= s) and totals P, N.
+    """Per distinct score: pos, neg, tp / fp (counts with score >= s) and totals P, N."""
+    return running_counts(score_histogram(df, score, label, group_cols), group_cols, buckets)
+
 
-    Buckets split each group's score range into ``buckets`` equal slices (per-group
-    min / max come from a small aggregate), so the offset table has at most
-    buckets + 1 rows per group whatever the value range, and each within-bucket
-    window sees only that slice's distinct values.
+def running_counts(h: DataFrame, group_cols=None, buckets: int = SCORE_BUCKETS) -> DataFrame:
+    """``cumulative_scores`` from a histogram (group, score, pos, neg).
+
+    Bucket edges are quantiles of each group's distinct scores, so buckets follow the data:
+    an outlier or a dense range leaves them balanced.  The offset table has at most
+    ``buckets`` + 1 rows per group, and each window sees one bucket's distinct scores.
     """
     g = _g(group_cols)
-    h = score_histogram(df, score, label, g)
-    rng = h.groupBy(*g).agg(F.min("score").alias("_lo"), F.max("score").alias("_hi"))
+    at = [i / buckets for i in range(1, buckets)]
+    edges = h.groupBy(*g).agg(F.percentile_approx("score", at, 10 * buckets).alias("_edges"))
     if g:
-        h = join_on_keys(h, adaptive_small(rng), g)
-    else:  # one group: two numbers as literals
-        r = rng.first()
-        h = h.withColumn("_lo", F.lit(r["_lo"]).cast("double")).withColumn("_hi", F.lit(r["_hi"]).cast("double"))
-    width = F.col("_hi") - F.col("_lo")
-    h = h.withColumn("bucket", F.when(width > 0, F.least(
-        F.floor((F.col("score") - F.col("_lo")) / width * buckets), F.lit(buckets))).otherwise(F.lit(0))
-        .cast("bigint")).drop("_lo", "_hi")
+        h = join_on_keys(h, edges, g)
+    else:  # one group: a bounded array as a literal
+        row = edges.first()
+        h = h.withColumn("_edges", F.array(*[F.lit(float(e)) for e in row["_edges"] or ()]).cast("array<double>"))
+    h = h.withColumn("bucket", F.size(F.filter("_edges", lambda e: e < F.col("score"))).cast("bigint")).drop("_edges")
     bt = h.groupBy(*g, "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     whole = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     above = whole.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -64,7 +73,7 @@ def cumulative_scores(df: DataFrame, score: str = "pd", label: str = "y", group_
         F.coalesce(F.sum("bpos").over(above), F.lit(0.0)).alias("off_pos"),
         F.coalesce(F.sum("bneg").over(above), F.lit(0.0)).alias("off_neg"),
         F.sum("bpos").over(whole).alias("P"), F.sum("bneg").over(whole).alias("N"))
-    j = join_on_keys(h, adaptive_small(offsets), [*g, "bucket"])
+    j = join_on_keys(h, offsets, [*g, "bucket"])
     within = Window.partitionBy(*g, "bucket").orderBy(F.desc("score")).rowsBetween(
         Window.unboundedPreceding, 0)
     return j.select(
@@ -267,34 +276,48 @@ def global_rank(df: DataFrame, order: list[Column], partitions: int | None = Non
     counts = ranged.groupBy("_pid").agg(F.count(F.lit(1)).alias("_cnt"))
     w = Window.orderBy("_pid").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition
     offsets = counts.select("_pid", F.coalesce(F.sum("_cnt").over(w), F.lit(0)).alias("_off"))
-    return (ranged.join(adaptive_small(offsets), "_pid")
+    return (ranged.join(offsets, "_pid")
                   .withColumn("rank", F.col("_off") + F.col("_local"))
                   .drop("_mid", "_pid", "_local", "_off"))
 
 
-def ranked_scores(df: DataFrame, score: str = "pd", label: str = "y", key: str = "account_id") -> DataFrame:
-    return global_rank(df.select(key, F.col(score).alias("score"), F.col(label).cast("long").alias("y")),
-                       [F.desc("score"), F.asc(key)])
-
+def rank_cells(df: DataFrame, cuts: list[int], score: str = "pd", label: str = "y", key: str = "account_id") -> DataFrame:
+    """(cell, accounts, events, score_sum): rows by the number of ``cuts`` below their rank.
 
-def _totals(df: DataFrame, label: str) -> tuple[int, int]:
-    """(rows, events): two numbers brought to the driver as a tiny statistic."""
-    row = df.agg(F.count(F.lit(1)).alias("n"), F.sum(F.col(label).cast("long")).alias("e")).first()
-    return int(row["n"]), int(row["e"] or 0)
+    Ranks run from 1 by score descending, then id; ``cuts`` ascend.  A score whose rows all
+    fall into one cell is counted from the histogram.  At most len(cuts) scores straddle a
+    cut; their rows alone are ranked by id.
+    """
+    upto, count = F.col("tp") + F.col("fp"), F.col("pos") + F.col("neg")
+    at = F.array(*[F.lit(int(c)) for c in cuts]).cast("array<bigint>")
+    below = lambda rank: F.size(F.filter(at, lambda c: c < rank))
+    c = cumulative_scores(df, score, label).select("score", "pos", count.alias("n"), (upto - count).alias("before"))
+    c = c.withColumn("cell", below(F.col("before") + 1)).withColumn("last", below(F.col("before") + F.col("n")))
+    whole = c.filter("cell = last").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum(F.col("n") * F.col("score")).alias("s"))
+    split = c.filter("cell < last")
+    ahead = F.sum("n").over(Window.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, -1))  # a row per straddling score
+    split = split.select(F.col("score").alias("c_score"), (F.col("before") - F.coalesce(ahead, F.lit(0.0))).alias("shift"))
+    rows = df.select(F.col(key).alias("k"), F.col(score).cast("double").alias("score"), F.col(label).cast("double").alias("pos"))
+    own = global_rank(rows.join(split, F.col("score") == F.col("c_score")).filter("pos is not null").drop("c_score"), [F.desc("score"), F.asc("k")])
+    ranked = own.groupBy(below(F.col("rank") + F.col("shift")).alias("cell")).agg(F.count(F.lit(1)).cast("double").alias("n"), F.sum("pos").alias("pos"), F.sum("score").alias("s"))
+    return whole.unionByName(ranked).groupBy("cell").agg(F.sum("n").cast("bigint").alias("accounts"), F.sum("pos").cast("bigint").alias("events"), F.sum("s").alias("score_sum"))
+
+
+def _totals(df: DataFrame, score: str, label: str) -> tuple[int, int]:
+    """(scored rows, events): two numbers brought to the driver as a tiny statistic."""
+    row = score_histogram(df, score, label).agg(F.sum(F.col("pos") + F.col("neg")).alias("n"), F.sum("pos").alias("e")).first()
+    return int(row["n"] or 0), int(row["e"] or 0)
 
 
 def lift_table(df: DataFrame, score: str = "pd", label: str = "y", key: str = "account_id",
                n_groups: int = 10) -> DataFrame:
     """Score-decile lift: decile of rank r of n is ceil(10 r / n); ties by id."""
-    n, events = _totals(df, label)
-    r = ranked_scores(df, score, label, key)
-    d = F.ceil(F.lit(n_groups) * F.col("rank") / F.lit(n)).cast("int")
-    a = r.groupBy(d.alias("decile")).agg(
-        F.count(F.lit(1)).alias("accounts"), F.sum("y").alias("events"), F.avg("score").alias("mean_pd"))
+    n, events = _totals(df, score, label)
+    a = rank_cells(df, [n * i // n_groups for i in range(1, n_groups)], score, label, key)
     base = events / n if n else 0.0
     return a.select(
-        "decile", F.col("accounts").cast("bigint").alias("accounts"),
-        (F.col("events") / F.col("accounts")).alias("risk_rate"), "mean_pd",
+        (F.col("cell") + 1).alias("decile"), "accounts",
+        (F.col("events") / F.col("accounts")).alias("risk_rate"), (F.col("score_sum") / F.col("accounts")).alias("mean_pd"),
         (F.col("events") / F.lit(max(events, 1))).alias("default_share"),
         ((F.col("events") / F.greatest(F.col("accounts"), F.lit(1))) / F.lit(base) if base
          else F.lit(0.0)).alias("lift"))
@@ -311,16 +334,13 @@ def lorenz_curve(df: DataFrame, score: str = "pd", label: str = "y", key: str =
                  points: int = 250) -> DataFrame:
     """Gains curve at ``points`` evenly spaced ranks: population share and event share.
 
-    Every row is bucketed to the first sample point at or after its rank, events
-    are counted per bucket and a running sum over at most ``points`` rows follows.
+    Events are counted per cell between sample points, and a running sum over at most
+    ``points`` rows follows.
     """
-    n, events = _totals(df, label)
+    n, events = _totals(df, score, label)
     idx = sample_indices(n, points)
     cuts = sorted(set(i + 1 for i in idx))
-    r = ranked_scores(df, score, label, key)
-    cut_arr = F.array(*[F.lit(c) for c in cuts])
-    bucket = F.size(F.filter(cut_arr, lambda c: c < F.col("rank")))
-    ev = r.groupBy(bucket.alias("b")).agg(F.sum("y").alias("ev"))
+    ev = rank_cells(df, cuts, score, label, key).select(F.col("cell").alias("b"), F.col("events").alias("ev"))
     spark = df.sparkSession
     pts = spark.range(1).select(F.inline(F.array(*[
         F.struct(F.lit(j).alias("point"), F.lit(i).alias("index"), F.lit(cuts.index(i + 1)).alias("b"))

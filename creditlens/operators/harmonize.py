@@ -13,7 +13,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import adaptive_small, bounded_broadcast, clip
+from creditlens.functions.columns import clip
 from creditlens.operators.contracts import REGION_CATEGORIES
 
 # The harmonized target schema (features, then the target).
@@ -130,7 +130,7 @@ def median_impute(df: DataFrame, columns: list[str], group_cols=None, indicators
         vals = df.filter(F.col(c).isNotNull()).select(*g, F.col(c).alias("_v"), F.lit(0).alias("_y"))
         med = ev.order_statistics(ev.cumulative_scores(vals, "_v", "_y", g), [0.5], g).withColumnRenamed("q0", f"_med_{c}")
         if g:
-            out = join_on_keys(out, adaptive_small(med), g, "left")
+            out = join_on_keys(out, med, g, "left")
         else:
             out = out.withColumn(f"_med_{c}", F.lit(med.first()[f"_med_{c}"]))  # one number
         if indicators:

@@ -18,15 +18,36 @@ GENESIS = "GENESIS"
 # Canonical event document: keys in sorted order, compact separators.
 HASH_KEYS = ("account_id", "actor", "created_at", "decision", "event", "previous_hash", "reason", "review_id")
 EVENT_FIELDS = ("account_id", "actor", "created_at", "decision", "event", "reason")
-ACCOUNT_PATTERN = r"^LIQ-\d{6}$"
+ACCOUNT_PATTERN = r"^ACC-\d{6,}$"
 MAX_ACTOR_LENGTH = 80
 
 
+def _unicode_escape(code: Column) -> Column:
+    """A backslash, u and four lower-case hex digits for a UTF-16 code unit."""
+    return F.concat(F.lit("\\u"), F.lpad(F.lower(F.hex(code)), 4, "0"))
+
+
+def json_string(text: Column) -> Column:
+    """A JSON string in ASCII, or null: every other character is escaped by its UTF-16 code units."""
+    def one(ch: Column) -> Column:
+        code = F.ascii(ch)
+        out = F.when(ch == '"', F.lit('\\"')).when(ch == "\\", F.lit("\\\\"))
+        for raw, letter in (("\n", "n"), ("\r", "r"), ("\t", "t"), ("\b", "b"), ("\f", "f")):
+            out = out.when(ch == raw, F.lit("\\" + letter))
+        above = code - 0x10000
+        pair = F.concat(_unicode_escape(F.shiftright(above, 10) + 0xD800), _unicode_escape(above.bitwiseAND(F.lit(0x3FF)) + 0xDC00))
+        return out.when(code > 0xFFFF, pair).when((code < 0x20) | (code > 0x7E), _unicode_escape(code)).otherwise(ch)
+
+    plain = F.concat(F.lit('"'), text, F.lit('"'))
+    escaped = F.concat(F.lit('"'), F.array_join(F.transform(F.split(text, ""), one), ""), F.lit('"'))
+    return F.when(text.isNull(), F.lit("null")).when(text.rlike(r'[^ -~]|["\\]'), escaped).otherwise(plain)
+
+
 def event_hash(src, previous_hash: Column) -> Column:
-    """sha256 of the canonical JSON document of an event (incl. the previous hash)."""
+    """sha256 of the canonical JSON document of an event (incl. the previous hash); nulls are kept as null."""
     get = (lambda k: src[k]) if not isinstance(src, str) else (lambda k: F.col(k))
-    parts = [(previous_hash if k == "previous_hash" else get(k)).alias(k) for k in HASH_KEYS]
-    return F.sha2(F.to_json(F.struct(*parts)), 256)
+    parts = [F.concat(F.lit(f'"{k}":'), json_string(previous_hash if k == "previous_hash" else get(k))) for k in HASH_KEYS]
+    return F.sha2(F.concat(F.lit("{"), F.concat_ws(",", *parts), F.lit("}")), 256)
 
 
 def chain(events: DataFrame) -> DataFrame:
@@ -68,11 +89,11 @@ def violations(ledger: DataFrame) -> DataFrame:
     rules = [
         ("account_pattern", ~F.coalesce(F.col("account_id").rlike(ACCOUNT_PATTERN), F.lit(False))),
         ("maker_identity", (F.col("event") == "submitted")
-         & (F.coalesce(actor, F.lit("")) == "") | (F.length(F.col("actor")) > MAX_ACTOR_LENGTH)),
-        ("governed_values", ~F.col("decision").isin(*REVIEW_DECISIONS) | ~F.col("reason").isin(*REVIEW_REASONS)),
+         & ((F.coalesce(actor, F.lit("")) == "") | (F.length(F.col("actor")) > MAX_ACTOR_LENGTH))),
+        ("governed_values", ~F.coalesce(F.col("decision").isin(*REVIEW_DECISIONS) & F.col("reason").isin(*REVIEW_REASONS), F.lit(False))),
         ("approval_state", (F.col("event") == "approved") & ~F.coalesce(prev_event == "submitted", F.lit(False))),
         ("distinct_checker", (F.col("event") == "approved")
-         & ((actor == "") | (F.lower(actor) == F.lower(F.trim(maker))))),
+         & ((F.coalesce(actor, F.lit("")) == "") | F.coalesce(F.lower(actor) == F.lower(F.trim(maker)), F.lit(False)))),
     ]
     flagged = ledger.select("review_id", "seq", F.array_compact(F.array(
         *[F.when(cond, F.lit(name)) for name, cond in rules])).alias("rules"))

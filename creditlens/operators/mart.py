@@ -60,7 +60,7 @@ VIEW_ORDER = {
 def require_columns(df: DataFrame, required) -> DataFrame:
     missing = sorted(set(required) - set(df.columns))
     if missing:
-        raise ValueError(f"Missing required columns: {', '.join(missing)}")
+        raise ValueError(f"input lacks: {', '.join(missing)}")
     return df.select(*required)
 
 
@@ -85,7 +85,7 @@ def build_mart(spark: SparkSession, decisions: DataFrame, check_unique: bool = T
 def read_view(spark: SparkSession, view: str, order_by: str, prefix: str = "") -> DataFrame:
     key = VIEW_ORDER.get((view, order_by))
     if key is None:
-        raise ValueError("Unknown analytics view or sort")
+        raise ValueError("no such mart view, or it has no such sort key")
     return spark.table(f"{prefix}{view}").orderBy(key)
 
 

@@ -12,7 +12,7 @@ from dataclasses import asdict, dataclass
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import adaptive_small, bounded_broadcast, join_on_keys
+from creditlens.functions.columns import join_on_keys
 from creditlens.operators import evaluate as ev
 
 SHARE_FLOOR = 1e-6
@@ -64,7 +64,7 @@ def feature_psi(reference: DataFrame, comparison: DataFrame, features: list[str]
         return df.select(*features).unpivot([], features, "feature", "value").withColumn("pop", F.lit(pop))
 
     ref, cmp_ = long(reference, "expected"), long(comparison, "actual")
-    edges = adaptive_small(decile_edges(ref, ["feature"]))
+    edges = decile_edges(ref, ["feature"])
     both = ref.unionByName(cmp_)
     inner = F.slice(F.col("edges"), 2, F.greatest(F.size("edges") - 2, F.lit(0)))
     binned = join_on_keys(both, edges, ["feature"]).withColumn(
@@ -125,7 +125,7 @@ def qcut_calibration_gap(df: DataFrame, score: str, label: str, group_cols: list
         edges_expr = F.when(cond, arr) if edges_expr is None else edges_expr.when(cond, arr)
     e = join_on_keys(os, nd, g).select(*g, F.array_sort(F.array_distinct(edges_expr)).alias("edges"))
     inner = F.slice(F.col("edges"), 2, F.greatest(F.size("edges") - 2, F.lit(0)))
-    b = join_on_keys(df, adaptive_small(e), g).withColumn(
+    b = join_on_keys(df, e, g).withColumn(
         "_bin", F.size(F.filter(inner, lambda x: x < F.col(score))))
     per = b.groupBy(*g, "_bin").agg(F.avg(F.col(label).cast("double")).alias("o"), F.avg(score).alias("p"))
     return per.groupBy(*g).agg(F.avg(F.abs(F.col("o") - F.col("p"))).alias("calibration_gap"))

@@ -1,9 +1,9 @@
 """Splits and samples (T1-T5) with exact, engine-independent counts.
 
-Row order inside a stratum is a hash order (md5 of 'seed:id'), so results do
-not depend on partitioning.  Ranks within strata come from one range-partitioned
-global rank (hot strata are split across tasks by the hash key) minus the
-stratum's offset (a table with one row per stratum).
+Row order inside a stratum is a hash order (md5 of 'seed:id'), so results do not depend on
+partitioning.  A row's rank is the number of rows in its stratum with a smaller hash prefix
+(a table of at most 65,536 counts per stratum) plus its rank within the prefix, so a stratum
+with most of the rows is spread over many windows.
 """
 
 from __future__ import annotations
@@ -11,10 +11,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import adaptive_small, bounded_broadcast, join_on_keys
-from creditlens.operators.evaluate import global_rank
+from creditlens.functions.columns import join_on_keys
 
 SEED = 42
+PREFIX_DIGITS = 4  # hexadecimal digits of the hash that make a cell
 # Split fractions (train, validation, test).
 SPLIT_FRACTIONS = (0.6, 0.2, 0.2)
 
@@ -23,16 +23,21 @@ def hash_order(key, seed: int = SEED) -> Column:
     return F.md5(F.concat(F.lit(f"{seed}:"), F.col(key).cast("string")))
 
 
-def rank_within(df: DataFrame, strata: list[str], key: str, seed: int = SEED) -> DataFrame:
-    """Adds ``stratum_rank`` (1-based, hash order) and ``stratum_size`` per stratum."""
-    h = df.withColumn("_h", hash_order(key, seed))
-    ranked = global_rank(h, [*[F.asc_nulls_first(s) for s in strata], F.asc("_h"), F.asc(key)])
-    sizes = h.groupBy(*strata).agg(F.count(F.lit(1)).alias("stratum_size"))
-    w = Window.partitionBy(F.lit(0)).orderBy(*[F.asc_nulls_first(s) for s in strata]).rowsBetween(
-        Window.unboundedPreceding, -1)  # one row per stratum
-    offsets = sizes.withColumn("_off", F.coalesce(F.sum("stratum_size").over(w), F.lit(0)))
-    j = join_on_keys(ranked, adaptive_small(offsets), strata)
-    return j.withColumn("stratum_rank", F.col("rank") - F.col("_off")).drop("rank", "_off", "_h")
+def rank_within(df: DataFrame, strata: list[str], key: str, seed: int = SEED, most: Column | None = None) -> DataFrame:
+    """Adds ``stratum_rank`` (1-based, hash order) and ``stratum_size`` per stratum.
+
+    ``most``: rows whose rank is surely above it may be left out before any row is ranked.
+    """
+    h = df.withColumn("_h", hash_order(key, seed)).withColumn("_p", F.substring("_h", 1, PREFIX_DIGITS))
+    counts = h.groupBy(*strata, "_p").agg(F.count(F.lit(1)).alias("_n"))
+    cell = Window.partitionBy(*strata).orderBy("_p").rowsBetween(Window.unboundedPreceding, -1)  # prefixes of one stratum
+    cells = counts.withColumn("_before", F.coalesce(F.sum("_n").over(cell), F.lit(0))).withColumn(
+        "stratum_size", F.sum("_n").over(Window.partitionBy(*strata))).drop("_n")
+    j = join_on_keys(h, cells, [*strata, "_p"])
+    if most is not None:
+        j = j.filter(F.col("_before") < most)
+    own = F.row_number().over(Window.partitionBy(*strata, "_p").orderBy("_h", key))
+    return j.withColumn("stratum_rank", F.col("_before") + own).drop("_before", "_h", "_p")
 
 
 def stratified_split(df: DataFrame, strata: list[str], key: str, fractions=SPLIT_FRACTIONS,
@@ -72,15 +77,15 @@ def quantile_split(df: DataFrame, date_col: str, q1: float = 0.6, q2: float = 0.
 def proportional_sample(df: DataFrame, group: str, key: str, max_rows: int, seed: int = SEED) -> DataFrame:
     """Per-group quota min(n, max(1, round_half_even(max_rows * n / total))) in hash order (T4)."""
     total = df.count()
-    r = rank_within(df, [group], key, seed)
     quota = F.least(F.col("stratum_size"),
                     F.greatest(F.lit(1), F.bround(F.lit(float(max_rows)) * F.col("stratum_size") / F.lit(float(total)), 0)))
+    r = rank_within(df, [group], key, seed, quota)
     return r.filter(F.col("stratum_rank") <= quota).drop("stratum_rank", "stratum_size")
 
 
 def capped_sample(df: DataFrame, group: str, key: str, cap: int, seed: int = SEED) -> DataFrame:
     """At most ``cap`` rows per group, in hash order (T5)."""
-    r = rank_within(df, [group], key, seed)
+    r = rank_within(df, [group], key, seed, F.lit(cap))
     return r.filter(F.col("stratum_rank") <= cap).drop("stratum_rank", "stratum_size")
 
 
@@ -95,23 +100,27 @@ def poisson1_draw(u: Column) -> Column:
 
 
 def bootstrap_weights(df: DataFrame, key: str, replicates: int, seed: int = SEED) -> DataFrame:
-    """Rows x replicates with deterministic Poisson(1) weights from md5 uniforms.
+    """Rows x replicates with deterministic Poisson(1) weights from hash uniforms.
 
     The replicate rows are produced and consumed inside the same task (the
     caller aggregates right after), so the shuffle carries only aggregates.
     """
-    from creditlens.functions.columns import hash_uniform
-    b = F.explode(F.sequence(F.lit(1), F.lit(replicates))).alias("replicate")
-    x = df.select("*", b)
-    u = hash_uniform("", F.concat_ws(":", F.lit(f"boot{seed}"), F.col("replicate").cast("string"),
-                                     F.col(key).cast("string")))
-    return x.withColumn("weight", poisson1_draw(u)).filter(F.col("weight") > 0)
+    digests = F.explode(F.sequence(F.lit(0), F.lit((replicates - 1) // 8)))
+    x = df.withColumn("_d", digests).withColumn("_x", F.sha2(F.concat_ws(":", F.lit(f"boot{seed}"), F.col("_d").cast("string"), F.col(key).cast("string")), 256))
+    # one digest gives eight uniforms of 32 bits
+    draws = F.inline(F.array(*[F.struct((F.col("_d") * 8 + j + 1).alias("replicate"), (
+        F.conv(F.substring("_x", 8 * j + 1, 8), 16, 10).cast("bigint") / F.lit(4294967296.0)).alias("_u")) for j in range(8)]))
+    x = x.select(*df.columns, draws).filter(F.col("replicate") <= replicates)
+    return x.withColumn("weight", poisson1_draw(F.col("_u"))).filter(F.col("weight") > 0).drop("_u")
 
 
-def bootstrap_ci(df: DataFrame, key: str, score: str, label: str, replicates: int = 200,
+def bootstrap_ci(df: DataFrame, key: str, score: str, label: str, replicates: int = 500,
                  seed: int = SEED, benchmark: str | None = None) -> DataFrame:
-    """Percentile 95% intervals of AUC, Brier, log loss and event rate (E14); with a
-    ``benchmark`` score the intervals are for the paired difference (E15).
+    """Percentile 95% intervals of AUC, average precision, Brier, log loss and event rate (E14);
+    with a ``benchmark`` score the intervals are for the paired difference (E15).
+
+    A replicate whose rows are all of one class has no AUC and is left out; ``replicates``
+    in the result counts the others.
 
     Weights are drawn once; every score column is evaluated from the same weighted
     rows (a model column), so a paired comparison shares its replicates exactly.
@@ -130,15 +139,13 @@ def bootstrap_ci(df: DataFrame, key: str, score: str, label: str, replicates: in
         (F.sum(wt * yy) / F.sum(wt)).alias("event_rate"))
     hist = long.groupBy("model", "replicate", F.col("_p").alias("score")).agg(
         F.sum(wt * yy).alias("pos"), F.sum(wt * (1 - yy)).alias("neg"))
-    from pyspark.sql import Window
-    part = Window.partitionBy("model", "replicate")
-    wdesc = part.orderBy(F.desc("score")).rowsBetween(Window.unboundedPreceding, 0)
-    c = hist.select("model", "replicate", "pos", "neg", F.sum("neg").over(wdesc).alias("fp"),
-                    F.sum("pos").over(part).alias("P"), F.sum("neg").over(part).alias("N"))
-    auc = c.groupBy("model", "replicate").agg(
+    g = ["model", "replicate"]
+    c = ev.running_counts(hist, g, 64).filter("P > 0 and N > 0")
+    auc = c.groupBy(*g).agg(
         (F.sum(F.col("pos") * (F.col("N") - F.col("fp") + 0.5 * F.col("neg")))
-         / (F.first("P") * F.first("N"))).alias("roc_auc"))
-    names = ["roc_auc", "brier_score", "log_loss", "event_rate"]
+         / (F.first("P") * F.first("N"))).alias("roc_auc"),
+        (F.sum(F.col("pos") * F.col("tp") / (F.col("tp") + F.col("fp"))) / F.first("P")).alias("average_precision"))
+    names = ["roc_auc", "average_precision", "brier_score", "log_loss", "event_rate"]
     m = prop.join(auc, ["model", "replicate"])
     if benchmark:
         a = m.filter("model = 0").select("replicate", *names)

@@ -77,12 +77,13 @@ def q_stream_decisions(spark, sf_dir):
     schema = spark.read.parquet(src).schema
 
     def decide_batch(batch_df, epoch_id):
-        policy.decision_table(policy.decide(batch_df)).write.mode("append").parquet(out)
+        # a batch that runs again replaces its own folder
+        policy.decision_table(policy.decide(batch_df)).write.mode("overwrite").parquet(f"{out}/epoch={epoch_id}")
 
     q = (spark.readStream.schema(schema).option("maxFilesPerTrigger", 8).parquet(src).writeStream
          .foreachBatch(decide_batch).option("checkpointLocation", out + "-ckpt").trigger(availableNow=True).start())
     q.awaitTermination()
-    return _summary(spark.read.parquet(out))
+    return _summary(spark.read.parquet(out).drop("epoch"))
 
 
 @register("ml_ablation")

@@ -78,7 +78,7 @@ def q_clean_report(spark, sf_dir):
 
 
 @register("surrogate_ids", lambda: with_ctes(acct_ctes()) + f"""
-SELECT account_id, 'LIQ-' || upper(substr(sha256('{ct.SURROGATE_SALT}' || account_id), 1, 10)) AS surrogate_id,
+SELECT account_id, 'ACC-' || upper(substr(sha256('{ct.SURROGATE_SALT}' || account_id), 1, 10)) AS surrogate_id,
        regexp_full_match(account_id, '^[A-Za-z0-9][A-Za-z0-9_-]{{2,39}}$') AS valid_id,
        array_to_string(list_filter([CASE WHEN debt_to_income IS NULL THEN 'debt_to_income' END,
                                     CASE WHEN income_inr IS NULL THEN 'income_inr' END,
@@ -102,12 +102,12 @@ WITH per AS (
 j AS (SELECT c.c_custkey AS ck, c.c_acctbal, p.last_order, p.n_orders, p.open_trades, p.spend, p.statement_months,
              p.last_order + INTERVAL 1 DAY AS as_of
       FROM customer c JOIN per p ON c.c_custkey = p.ck),
-t AS (SELECT *, CASE WHEN ck % 43 = 0 THEN as_of + INTERVAL 2 DAY ELSE as_of - INTERVAL 10 DAY END AS consent_ts,
+t AS (SELECT *, CASE WHEN ck % 59 = 0 THEN NULL WHEN ck % 43 = 0 THEN as_of + INTERVAL 2 DAY ELSE as_of - INTERVAL 10 DAY END AS consent_ts,
              CAST(CAST(as_of AS DATE) - CAST(ck % 35 AS INTEGER) AS TIMESTAMP) AS bureau_ts,
              CAST(CAST(as_of AS DATE) - CAST(ck % 100 AS INTEGER) AS TIMESTAMP) AS income_ts,
              ck % 47 <> 0 AS has_tz FROM j),
 rec AS (
-  SELECT 'ACCT-' || lpad(CAST(ck AS VARCHAR), 12, '0') AS customer_reference, has_tz, as_of, consent_ts, bureau_ts, income_ts,
+  SELECT 'ACCT-' || printf('%012d', ck) AS customer_reference, has_tz, as_of, consent_ts, bureau_ts, income_ts,
          CASE WHEN ck % 41 = 0 THEN NULL ELSE 'CNS-' || CAST(ck AS VARCHAR) END AS consent_reference,
          CAST(n_orders % 3 AS DOUBLE) AS bureau_dpd_30_12m, CAST(n_orders % 2 AS DOUBLE) AS bureau_dpd_90_24m,
          CAST(open_trades AS DOUBLE) AS open_trades,
@@ -118,6 +118,7 @@ rec AS (
 rules AS (
   SELECT customer_reference, 'missing_consent_reference' AS rule FROM rec WHERE consent_reference IS NULL
   UNION ALL SELECT customer_reference, 'timezone_missing' FROM rec WHERE NOT has_tz
+  UNION ALL SELECT customer_reference, 'timestamp_unparseable' FROM rec WHERE consent_ts IS NULL
   UNION ALL SELECT customer_reference, 'evidence_after_decision' FROM rec
     WHERE has_tz AND (consent_ts > as_of OR bureau_ts > as_of OR income_ts > as_of)
   UNION ALL SELECT customer_reference, 'bureau_stale' FROM rec WHERE has_tz AND epoch(as_of) - epoch(bureau_ts) > 30 * 86400

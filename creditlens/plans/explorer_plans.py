@@ -42,8 +42,16 @@ def q_explorer_filter(spark, sf_dir):
 def q_explorer_page(spark, sf_dir):
     d = decisions(spark, sf_dir)
     n = d.count()
-    return xr.page(_explorer_rows(xr.sort_portfolio(d, "utilization", "desc")), PAGE_NO, n).withColumn(
-        "page", F.lit(PAGE_NO))
+    return xr.page(_explorer_rows(xr.sort_portfolio(d, "utilization", "desc")), PAGE_NO, n)
+
+
+@register("explorer_last_page", lambda: "SELECT account_id, page FROM (SELECT account_id, rn, CAST(ceil(n / 25.0) AS INTEGER) AS page, n FROM ("
+          "SELECT account_id, row_number() OVER (ORDER BY utilization DESC NULLS LAST, account_id) AS rn, count(*) OVER () AS n FROM ("
+          + _explorer_sql("TRUE", "account_id", "") + "))) WHERE rn > (page - 1) * 25")
+def q_explorer_last_page(spark, sf_dir):
+    """A page number beyond the last is clamped to it."""
+    d = decisions(spark, sf_dir)
+    return xr.page(_explorer_rows(xr.sort_portfolio(d, "utilization", "desc")), 10**6, d.count()).select("account_id", "page")
 
 
 @register("explorer_search", lambda: "SELECT * FROM (" + _explorer_sql(

@@ -10,7 +10,7 @@ from creditlens.plans.registry import register
 from creditlens.sources import adapters
 from creditlens.streaming import monitor_stream
 
-REPLICATES = 200
+REPLICATES = 500
 
 
 @register("bootstrap_ci")
@@ -93,18 +93,20 @@ prop{sfx} AS (SELECT replicate, sum(weight * ({col} - y) * ({col} - y)) / sum(we
               sum(weight * y) / sum(weight) AS event_rate FROM w2 GROUP BY replicate),
 h{sfx} AS (SELECT replicate, {col} AS score, sum(weight * y) AS pos, sum(weight * (1 - y)) AS neg FROM w2 GROUP BY 1, 2),
 c{sfx} AS (SELECT *, sum(neg) OVER (PARTITION BY replicate ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS fp,
+                 sum(pos) OVER (PARTITION BY replicate ORDER BY score DESC ROWS UNBOUNDED PRECEDING) AS tp,
                  sum(pos) OVER (PARTITION BY replicate) AS P, sum(neg) OVER (PARTITION BY replicate) AS N FROM h{sfx}),
-m{sfx} AS (SELECT p.*, a.roc_auc FROM prop{sfx} p JOIN (SELECT replicate,
-             sum(pos * (N - fp + 0.5 * neg)) / (max(P) * max(N)) AS roc_auc FROM c{sfx} GROUP BY replicate) a
+m{sfx} AS (SELECT p.*, a.roc_auc, a.average_precision FROM prop{sfx} p JOIN (SELECT replicate,
+             sum(pos * (N - fp + 0.5 * neg)) / (max(P) * max(N)) AS roc_auc,
+             sum(pos * tp / (tp + fp)) / max(P) AS average_precision FROM c{sfx} WHERE P > 0 AND N > 0 GROUP BY replicate) a
            USING (replicate))"""
-    u = ("CAST('0x' || substr(md5('boot42:' || CAST(r.range AS VARCHAR) || ':' || s.account_id), 1, 8) AS BIGINT)"
+    u = ("CAST('0x' || substr(sha256('boot42:' || CAST((r.range - 1) // 8 AS VARCHAR) || ':' || s.account_id), 8 * ((r.range - 1) % 8) + 1, 8) AS BIGINT)"
          " / 4294967296.0::DOUBLE")
     body = with_ctes(acct_ctes()) + f""",
 b AS (SELECT s.account_id, s.pd, s.pd_benchmark, CAST(s.y AS DOUBLE) AS y, r.range AS replicate, {u} AS u
       FROM scored_y s, range(1, {REPLICATES + 1}) r),
 w2 AS (SELECT * FROM (SELECT *, {_poisson_case('u')} AS weight FROM b) WHERE weight > 0)"""
     body += metric_ctes("pd", "")
-    names = ["roc_auc", "brier_score", "log_loss", "event_rate"]
+    names = ["roc_auc", "average_precision", "brier_score", "log_loss", "event_rate"]
     if paired:
         body += metric_ctes("pd_benchmark", "_b")
         body += ",\nmm AS (SELECT a.replicate, " + ", ".join(f"a.{n} - b.{n} AS {n}" for n in names) + \

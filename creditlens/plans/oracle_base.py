@@ -58,7 +58,7 @@ hist AS (
     {_hist_aggs()}
   FROM ord GROUP BY o_custkey),
 acct6 AS (
-  SELECT c.c_custkey, 'ACCT-' || lpad(CAST(c.c_custkey AS VARCHAR), 12, '0') AS account_id,
+  SELECT c.c_custkey, 'ACCT-' || printf('%012d', c.c_custkey) AS account_id,
     c.c_nationkey, c.c_mktsegment,
     150000.0::DOUBLE + 100 * (c.c_acctbal + 1000) AS LIMIT_BAL,
     {_acct_cols()},

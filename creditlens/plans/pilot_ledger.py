@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from creditlens.functions.columns import dround, sql_dround
@@ -26,7 +27,7 @@ per AS (
          max(CASE WHEN o.o_orderpriority = '1-URGENT' THEN 1 ELSE 0 END) AS accepted
   FROM orders o LEFT JOIN lines_o l ON o.o_orderkey = l.l_orderkey GROUP BY o.o_custkey),
 pilot AS (
-  SELECT 'ACCT-' || lpad(CAST(c.c_custkey AS VARCHAR), 12, '0') AS account_id, c.c_mktsegment AS segment,
+  SELECT 'ACCT-' || printf('%012d', c.c_custkey) AS account_id, c.c_mktsegment AS segment,
          {ARM_SQL} AS arm, coalesce(p.baseline_spend, 0.0) AS baseline_spend,
          0.1 * coalesce(p.later_spend, 0.0) + (CASE {ARM_SQL} WHEN 'control' THEN 0.0 WHEN 'increase_10' THEN 0.1
               WHEN 'increase_20' THEN 0.2 ELSE 0.3 END) * coalesce(p.later_spend, 0.0) * 0.18 AS contribution,
@@ -108,12 +109,12 @@ def _json_sql(prev: str) -> str:
 
 LEDGER_EVENTS_SQL = f"""
 ev AS (
-  SELECT 'REV-' || lpad(CAST(conv_id AS VARCHAR), 9, '0') AS review_id, CAST(turn AS BIGINT) AS seq,
-         'LIQ-' || lpad(CAST(conv_id % 1000000 AS VARCHAR), 6, '0') AS account_id,
+  SELECT 'REV-' || printf('%09d', conv_id) AS review_id, CAST(turn AS BIGINT) AS seq,
+         'ACC-' || printf('%06d', conv_id) AS account_id,
          CASE WHEN turn = 0 THEN 'submitted' WHEN turn = 1 THEN 'approved' ELSE 'noted' END AS event,
          role AS actor, list_element({list(REVIEW_DECISIONS)}, CAST(conv_id % 3 + 1 AS INTEGER)) AS decision,
          list_element({list(REVIEW_REASONS)}, CAST(conv_id % 5 + 1 AS INTEGER)) AS reason,
-         '2024-01-01T00:' || lpad(CAST(turn AS VARCHAR), 2, '0') || ':00+00:00' AS created_at,
+         '2024-01-01T00:' || printf('%02d', turn) || ':00+00:00' AS created_at,
          row_number() OVER (PARTITION BY conv_id ORDER BY turn) AS idx
   FROM conversations)"""
 
@@ -135,31 +136,50 @@ def q_ledger_chain(spark, sf_dir):
 
 @register("ledger_verification", CHAIN_SQL + """
 SELECT CAST(count(*) AS BIGINT) AS events, CAST(count(DISTINCT review_id) AS BIGINT) AS reviews,
-       CAST(0 AS BIGINT) AS broken_links FROM chain""")
+       CAST(0 AS BIGINT) AS broken_links,
+       -- an altered reason breaks its own hash; a lost second event breaks the link of the event after it
+       CAST(sum(CASE WHEN seq = 0 AND CAST(substr(review_id, 5) AS BIGINT) % 11 = 0 AND idx = 1 THEN 1
+                     WHEN idx = 3 AND CAST(substr(review_id, 5) AS BIGINT) % 7 = 0 THEN 1 ELSE 0 END) AS BIGINT) AS broken_in_altered
+FROM chain""")
 def q_ledger_verification(spark, sf_dir):
-    c = ledger.chain(adapters.ledger_events(spark, sf_dir)).cache()
-    broken = ledger.verify(c)
-    a = c.agg(F.count(F.lit(1)).alias("events"), F.countDistinct("review_id").alias("reviews"))
-    b = broken.agg(F.count(F.lit(1)).alias("broken_links"))
-    return a.withColumn("_k", F.lit(1)).join(b.withColumn("_k", F.lit(1)), "_k").drop("_k")
+    """The chain as stored, and a copy with altered reasons and lost events, both verified."""
+    c = ledger.chain(adapters.ledger_events(spark, sf_dir))
+    number = F.expr("cast(substring(review_id, 5) as bigint)")
+    lost = (F.col("idx") == 2) & (number % 7 == 0)
+    altered = (c.withColumn("idx", F.row_number().over(Window.partitionBy("review_id").orderBy("seq"))).filter(~lost)
+               .withColumn("reason", F.when((F.col("seq") == 0) & (F.col("idx") == 1) & (number % 11 == 0), F.lit("Altered")).otherwise(F.col("reason"))).drop("idx"))
+    count = lambda df, name: df.agg(F.count(F.lit(1)).alias(name)).withColumn("_k", F.lit(1))
+    a = c.agg(F.count(F.lit(1)).alias("events"), F.countDistinct("review_id").alias("reviews")).withColumn("_k", F.lit(1))
+    return (a.join(count(ledger.verify(c), "broken_links"), "_k").join(count(ledger.verify(altered), "broken_in_altered"), "_k").drop("_k"))
 
 
 @register("ledger_violations", f"""WITH {LEDGER_EVENTS_SQL},
+faulty AS (SELECT review_id, seq, event, reason,
+             CASE WHEN CAST(substr(review_id, 5) AS BIGINT) % 19 = 0 THEN 'X-1' ELSE account_id END AS account_id,
+             CASE WHEN event = 'approved' AND CAST(substr(review_id, 5) AS BIGINT) % 13 = 0 THEN NULL
+                  WHEN event = 'submitted' AND CAST(substr(review_id, 5) AS BIGINT) % 23 = 0 THEN repeat('m', 90) ELSE actor END AS actor,
+             CASE WHEN CAST(substr(review_id, 5) AS BIGINT) % 17 = 0 THEN NULL ELSE decision END AS decision FROM ev),
 w AS (SELECT *, first_value(actor) OVER (PARTITION BY review_id ORDER BY seq) AS maker,
-             lag(event) OVER (PARTITION BY review_id ORDER BY seq) AS prev_event FROM ev),
+             lag(event) OVER (PARTITION BY review_id ORDER BY seq) AS prev_event FROM faulty),
 r AS (
-  SELECT review_id, seq, 'account_pattern' AS rule FROM w WHERE NOT coalesce(regexp_full_match(account_id, '^LIQ-\\d{{6}}$'), FALSE)
+  SELECT review_id, seq, 'account_pattern' AS rule FROM w WHERE NOT coalesce(regexp_full_match(account_id, '^ACC-\\d{{6,}}$'), FALSE)
   UNION ALL SELECT review_id, seq, 'maker_identity' FROM w
-    WHERE (event = 'submitted' AND coalesce(trim(actor), '') = '') OR length(actor) > {ledger.MAX_ACTOR_LENGTH}
+    WHERE event = 'submitted' AND (coalesce(trim(actor), '') = '' OR length(actor) > {ledger.MAX_ACTOR_LENGTH})
   UNION ALL SELECT review_id, seq, 'governed_values' FROM w
-    WHERE decision NOT IN {tuple(REVIEW_DECISIONS)} OR reason NOT IN {tuple(REVIEW_REASONS)}
+    WHERE coalesce(decision NOT IN {tuple(REVIEW_DECISIONS)}, TRUE) OR coalesce(reason NOT IN {tuple(REVIEW_REASONS)}, TRUE)
   UNION ALL SELECT review_id, seq, 'approval_state' FROM w WHERE event = 'approved' AND coalesce(prev_event = 'submitted', FALSE) = FALSE
   UNION ALL SELECT review_id, seq, 'distinct_checker' FROM w
-    WHERE event = 'approved' AND (trim(actor) = '' OR lower(trim(actor)) = lower(trim(maker))))
+    WHERE event = 'approved' AND (coalesce(trim(actor), '') = '' OR lower(trim(actor)) = lower(trim(maker))))
 SELECT review_id, seq, rule FROM r""")
 def q_ledger_violations(spark, sf_dir):
-    c = ledger.chain(adapters.ledger_events(spark, sf_dir))
-    return ledger.violations(c)
+    """Rule violations of the events, some of which are made faulty by their review number."""
+    e = adapters.ledger_events(spark, sf_dir)
+    number = F.expr("cast(substring(review_id, 5) as bigint)")
+    e = (e.withColumn("account_id", F.when(number % 19 == 0, "X-1").otherwise(F.col("account_id")))
+         .withColumn("actor", F.when((F.col("event") == "approved") & (number % 13 == 0), F.lit(None).cast("string"))
+                     .when((F.col("event") == "submitted") & (number % 23 == 0), F.repeat(F.lit("m"), 90)).otherwise(F.col("actor")))
+         .withColumn("decision", F.when(number % 17 == 0, F.lit(None).cast("string")).otherwise(F.col("decision"))))
+    return ledger.violations(ledger.chain(e))
 
 
 @register("arm_tests")

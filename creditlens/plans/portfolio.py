@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import dround, sql_dround
+from creditlens.functions.columns import dround, sql_dround, sql_dsum
 from creditlens.operators import mart, policy
 from creditlens.plans.oracle_base import acct_ctes, decision_ctes, with_ctes
 from creditlens.plans.registry import register
@@ -62,15 +62,25 @@ RECONCILE_TOLERANCES = {"accounts": 0.0, "current_limit": 0.02, "proposed_limit"
                         "incremental_contribution": 0.02, "eligible_increases": 0.0}
 
 
-@register("mart_reconciliation", "SELECT CAST(NULL AS VARCHAR) AS metric, CAST(NULL AS DOUBLE) AS actual, "
-          "CAST(NULL AS DOUBLE) AS expected, CAST(NULL AS DOUBLE) AS tolerance, CAST(NULL AS DOUBLE) AS difference "
-          "WHERE FALSE")
+@register("mart_reconciliation", lambda: with_ctes(acct_ctes(), decision_ctes()) + f"""
+SELECT 'accounts' AS metric, CAST(count(*) AS DOUBLE) AS actual, CAST(count(*) - 1 AS DOUBLE) AS expected, 0.0::DOUBLE AS tolerance, 1.0::DOUBLE AS difference
+FROM reasons
+UNION ALL SELECT 'current_limit', {sql_dsum('current_limit_inr', 2)}, {sql_dsum('current_limit_inr', 2)} + 5.0, 0.02, 5.0 FROM reasons""")
 def q_mart_reconciliation(spark, sf_dir):
-    """SQL mart view versus the DataFrame summary, per-metric tolerance (A8, TC3): no rows = reconciled."""
+    """SQL mart view versus a stored summary in which two metrics have drifted (A8, TC3).
+
+    The stored document is the DataFrame summary, written to JSON with one account less,
+    5.00 more of current limit, and 0.01 more of proposed limit, which is within tolerance.
+    """
     from creditlens.operators.scenarios import exact_summary
+    from creditlens.sources import files
     d = decisions(spark, sf_dir)
     view = mart.build_mart(spark, d, check_unique=True, prefix="rec_")["portfolio_reconciliation"]
-    doc = exact_summary(d)
+    metrics = list(RECONCILE_TOLERANCES)
+    drift = {"accounts": -1, "current_limit": 5.0, "proposed_limit": 0.01}
+    path = files.scratch_path(spark, "summary")
+    files.write_json_lines(exact_summary(d).select(*[(F.col(m).cast("double") + F.lit(float(drift.get(m, 0)))).alias(m) for m in metrics]), path)
+    doc = files.read_json_document(spark, path, ", ".join(f"{m} double" for m in metrics), multi_line=False)
     k = F.lit(1)
     r = mart.reconcile(view.withColumn("_k", k), doc.withColumn("_k", k), ["_k"], RECONCILE_TOLERANCES)
-    return r.select("metric", "actual", "expected", "tolerance", "difference")
+    return r.select("metric", dround("actual", 2).alias("actual"), dround("expected", 2).alias("expected"), "tolerance", dround("difference", 2).alias("difference"))

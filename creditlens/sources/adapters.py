@@ -12,7 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import bounded_broadcast, hash_uniform
+from creditlens.functions.columns import hash_uniform, pad_digits
 from creditlens.sources.tables import read_table
 
 # Fixed adapter constants (documented in FIXTURES.md, part B).
@@ -30,7 +30,7 @@ SCORE_UTIL = 0.8
 
 
 def account_id(custkey) -> F.Column:
-    return F.concat(F.lit("ACCT-"), F.lpad(F.col(custkey).cast("string"), 12, "0"))
+    return F.concat(F.lit("ACCT-"), pad_digits(F.col(custkey), 12))
 
 
 def order_line_totals(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +83,7 @@ def region_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     mapped = F.lit(DEFAULT_REGION)
     for name, value in reversed(list(REGION_MAP.items())):
         mapped = F.when(F.upper(F.trim(F.col("r_name"))) == name, F.lit(value)).otherwise(mapped)
-    return (nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey, "left")
+    return (nation.join(region, nation.n_regionkey == region.r_regionkey, "left")
             .select("n_nationkey", F.coalesce(mapped, F.lit(DEFAULT_REGION)).alias("region")))
 
 
@@ -123,7 +123,7 @@ PAYMENT_COLUMNS = [f"PAY_AMT{k}" for k in range(1, PERIODS + 1)]
 def profile(spark: SparkSession, sf_dir: str, history: DataFrame | None = None) -> DataFrame:
     """Harmonized profile (A1 shape) plus exposure fields and the raw history."""
     h = history if history is not None else acct6(spark, sf_dir)
-    regions = bounded_broadcast(region_lookup(spark, sf_dir), 10_000)
+    regions = region_lookup(spark, sf_dir)
     delinquency = sum(F.when(F.col(c) > 0, 1).otherwise(0) for c in PAY_COLUMNS)
     ck = F.col("c_custkey")
     return (h.join(regions, h.c_nationkey == regions.n_nationkey, "left").select(
@@ -231,12 +231,12 @@ def ledger_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     dec = F.element_at(F.array(*[F.lit(d) for d in REVIEW_DECISIONS]), (F.col("conv_id") % 3 + 1).cast("int"))
     rea = F.element_at(F.array(*[F.lit(r) for r in REVIEW_REASONS]), (F.col("conv_id") % 5 + 1).cast("int"))
     return c.select(
-        F.concat(F.lit("REV-"), F.lpad(F.col("conv_id").cast("string"), 9, "0")).alias("review_id"),
+        F.concat(F.lit("REV-"), pad_digits(F.col("conv_id"), 9)).alias("review_id"),
         F.col("turn").cast("bigint").alias("seq"),
-        F.concat(F.lit("LIQ-"), F.lpad((F.col("conv_id") % 1000000).cast("string"), 6, "0")).alias("account_id"),
+        F.concat(F.lit("ACC-"), pad_digits(F.col("conv_id"), 6)).alias("account_id"),
         F.when(F.col("turn") == 0, "submitted").when(F.col("turn") == 1, "approved").otherwise("noted").alias("event"),
         F.col("role").alias("actor"), dec.alias("decision"), rea.alias("reason"),
-        F.concat(F.lit("2024-01-01T00:"), F.lpad(F.col("turn").cast("string"), 2, "0"), F.lit(":00+00:00"))
+        F.concat(F.lit("2024-01-01T00:"), pad_digits(F.col("turn"), 2), F.lit(":00+00:00"))
          .alias("created_at"))
 
 
@@ -266,9 +266,9 @@ def raw_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     s = shared_scored(spark, sf_dir)
     nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
     region = read_table(spark, sf_dir, "region", ["r_regionkey", "r_name"])
-    names = nation.join(bounded_broadcast(region), nation.n_regionkey == region.r_regionkey, "left").select(
+    names = nation.join(region, nation.n_regionkey == region.r_regionkey, "left").select(
         "n_nationkey", F.lower(F.trim("r_name")).alias("raw_region"))
-    return s.join(bounded_broadcast(names), s.c_nationkey == names.n_nationkey, "left").select(
+    return s.join(names, s.c_nationkey == names.n_nationkey, "left").select(
         "account_id", "delinquency_count", (F.col("BILL_AMT1") / F.col("LIMIT_BAL")).alias("utilization"),
         "debt_to_income", "credit_lines", "income_inr", "credit_age_months",
         F.col("raw_region").alias("region"), "current_limit_inr",
@@ -280,10 +280,10 @@ def harmonization_sources(spark: SparkSession, sf_dir: str) -> dict[str, DataFra
     regions = region_lookup(spark, sf_dir)
     cards = shared_scored(spark, sf_dir)
     sup = read_table(spark, sf_dir, "supplier", ["s_suppkey", "s_nationkey", "s_acctbal"])
-    sup = sup.join(bounded_broadcast(regions, 10_000), sup.s_nationkey == regions.n_nationkey, "left")
+    sup = sup.join(regions, sup.s_nationkey == regions.n_nationkey, "left")
     orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus", "o_totalprice", "o_orderdate"])
     cust = read_table(spark, sf_dir, "customer", ["c_custkey", "c_nationkey"])
-    cust = cust.join(bounded_broadcast(regions, 10_000), cust.c_nationkey == regions.n_nationkey, "left").select(
+    cust = cust.join(regions, cust.c_nationkey == regions.n_nationkey, "left").select(
         "c_custkey", "region")
     loans = orders.join(cust, orders.o_custkey == cust.c_custkey, "left")
     parts = read_table(spark, sf_dir, "part", ["p_partkey", "p_brand", "p_type", "p_size", "p_retailprice"])
@@ -319,7 +319,7 @@ def readiness_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Regulated-market readiness records (A9 shape, B9), one per customer with orders.
 
     Timestamps are ISO-8601 strings with an offset; a few rows per rule break it
-    by formula on the customer key (missing consent, no offset, future consent,
+    by formula on the customer key (missing consent, no offset, no such day, future consent,
     negative obligation), others break it naturally (stale evidence, short
     history, negative balances, balance above twice the limit).
     """
@@ -335,7 +335,8 @@ def readiness_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     as_of = F.col("last_order") + F.expr("INTERVAL 1 DAY")
     fmt = lambda ts, off: F.concat(F.date_format(ts, "yyyy-MM-dd'T'HH:mm:ss"), F.lit(off))
     offset = F.lit("+05:30")
-    iso = lambda ts: F.when(ck % 47 == 0, fmt(ts, "")).otherwise(F.concat(fmt(ts, ""), offset))
+    part = F.when(ck % 3 == 0, F.lit(".250")).otherwise(F.lit(""))  # some instants carry a fraction
+    iso = lambda ts: F.when(ck % 47 == 0, fmt(ts, "")).otherwise(F.concat(fmt(ts, ""), part, offset))
     consent_ts = F.when(ck % 43 == 0, as_of + F.expr("INTERVAL 2 DAYS")).otherwise(as_of - F.expr("INTERVAL 10 DAYS"))
     bureau = F.date_sub(F.to_date(as_of), (ck % 35).cast("int"))
     income = F.date_sub(F.to_date(as_of), (ck % 100).cast("int"))
@@ -343,7 +344,7 @@ def readiness_records(spark: SparkSession, sf_dir: str) -> DataFrame:
         account_id("c_custkey").alias("customer_reference"),
         iso(as_of).alias("as_of_date"),
         F.when(ck % 41 == 0, F.lit(None)).otherwise(F.concat(F.lit("CNS-"), ck.cast("string"))).alias("consent_reference"),
-        iso(consent_ts).alias("consent_timestamp"),
+        F.when(ck % 59 == 0, F.lit("2001-13-41T00:00:00+05:30")).otherwise(iso(consent_ts)).alias("consent_timestamp"),
         iso(bureau.cast("timestamp_ntz")).alias("bureau_report_date"),
         (F.col("n_orders") % 3).cast("double").alias("bureau_dpd_30_12m"),
         (F.col("n_orders") % 2).cast("double").alias("bureau_dpd_90_24m"),

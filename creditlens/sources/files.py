@@ -50,47 +50,75 @@ def guard_bytes(spark: SparkSession, path: str, max_bytes: int = MAX_UPLOAD_BYTE
         raise ValueError(f"Upload exceeds {max_bytes} bytes")
 
 
+def _placed_lines(spark: SparkSession, path: str, encoding: str = "UTF-8") -> DataFrame:
+    """(v, _f, _at): trimmed lines with their file and their order in it.
+
+    A task numbers its lines in order, and a file's splits are ordered by where they start.
+    """
+    return spark.read.option("encoding", encoding).text(path).select(
+        F.trim("value").alias("v"), F.col("_metadata.file_path").alias("_f"),
+        F.struct(F.col("_metadata.file_block_start").alias("b"), F.monotonically_increasing_id().alias("i")).alias("_at"))
+
+
 def read_arff(spark: SparkSession, path: str) -> DataFrame:
     """ARFF: names from @attribute lines, data lines after @data, '?' -> NULL (IO6).
 
-    Header lines are the only lines starting with '@' (comments start with '%'),
-    so data lines are selected by content, not position.  Attribute order is the
-    line order of the header: (file name, position within the file).  Only the
-    attribute names (a bounded header) reach the driver.
+    In a file with an @data line the data are the lines after the first of them, whatever
+    they start with; a file without one holds data alone (a part of a folder that
+    ``write_arff`` made).  Blank lines and lines that start with '%' are no data.  Values in
+    single quotes may hold commas; a backslash keeps a quote.  Only the attribute names
+    reach the driver.
     """
-    lines = spark.read.text(path).select(F.trim("value").alias("v"), F.input_file_name().alias("_f"),
-                                         F.monotonically_increasing_id().alias("_i"))
-    attrs = (lines.filter(F.lower("v").startswith("@attribute"))
-             .select("_f", "_i", F.regexp_extract("v", r"(?i)^@attribute\s+('[^']+'|\"[^\"]+\"|\S+)", 1).alias("name"))
+    lines = _placed_lines(spark, path)
+    begins = (lines.filter(F.lower("v") == "@data").groupBy(F.col("_f").alias("_d")).agg(F.min("_at").alias("_from")))
+    placed = lines.join(begins, F.col("_f") == F.col("_d"), "left")  # a row per file on the right
+    attrs = (placed.filter(F.lower("v").startswith("@attribute") & (F.col("_at") < F.col("_from")))
+             .select("_f", "_at", F.regexp_extract("v", r"(?i)^@attribute\s+('[^']+'|\"[^\"]+\"|\S+)", 1).alias("name"))
              .collect())
-    names = [r["name"].strip("'\"") for r in sorted(attrs, key=lambda r: (r["_f"], r["_i"]))]
-    data = lines.filter((F.col("v") != "") & ~F.col("v").startswith("%") & ~F.col("v").startswith("@"))
-    parts = F.split("v", ",")
-    return data.select(*[F.nullif(F.trim(parts[i]), F.lit("?")).alias(n) for i, n in enumerate(names)])
+    names = [r["name"].strip("'\"") for r in sorted(attrs, key=lambda r: (r["_f"], r["_at"]))]
+    data = placed.filter((F.col("v") != "") & ~F.col("v").startswith("%") & (F.col("_from").isNull() | (F.col("_at") > F.col("_from"))))
+    schema = T.StructType([T.StructField(f"c{i}", T.StringType()) for i in range(len(names))])
+    cells = F.from_csv("v", schema.simpleString()[7:-1].replace(":", " "), {"quote": "'", "escape": "\\", "nullValue": "?",
+                                                                         "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"})
+    return data.select(cells.alias("r")).select(*[F.col(f"r.c{i}").alias(n) for i, n in enumerate(names)])
 
 
 def write_arff(df: DataFrame, path: str, relation: str, numeric: list[str], nominal: list[str]) -> str:
-    """ARFF sink: a one-partition header (ordered lines) followed by the data files."""
+    """ARFF sink: a one-partition header (ordered lines) followed by the data files.
+
+    Text that holds a comma, a quote, a blank or a sign with a meaning of its own is quoted.
+    """
     spark = df.sparkSession
     header = [f"% {relation}", f"@relation {relation}"]
     header += [f"@attribute {c} numeric" for c in numeric] + [f"@attribute {c} string" for c in nominal]
     header += ["", "@data"]
     head = spark.createDataFrame([(h,) for h in header], "value string").coalesce(1)  # a few lines
-    body = df.select(F.concat_ws(",", *[F.coalesce(F.col(c).cast("string"), F.lit("?")) for c in numeric + nominal])
-                     .alias("value"))
+
+    def cell(c: str) -> Column:
+        text = F.col(c).cast("string")
+        quoted = F.concat(F.lit("'"), F.regexp_replace(F.regexp_replace(text, r"\\", r"\\\\"), "'", r"\\'"), F.lit("'"))
+        return F.coalesce(F.when(text.rlike(r"[\s,'%@?\\]") | (text == ""), quoted).otherwise(text), F.lit("?"))
+
+    body = df.select(F.concat_ws(",", *[cell(c) for c in numeric + nominal]).alias("value"))
     head.unionByName(body).write.mode("overwrite").text(path)
     return path
 
 
 def read_whitespace(spark: SparkSession, path: str, names: list[str] | None = None,
                     encoding: str = "ISO-8859-1") -> DataFrame:
-    """Whitespace-delimited text, blank lines skipped; header-less when ``names`` is given (IO7)."""
-    lines = spark.read.option("encoding", encoding).text(path).select(F.trim("value").alias("v")).filter("v != ''")
+    """Whitespace-delimited text, blank lines skipped; header-less when ``names`` is given (IO7).
+
+    Without names the first line of the first file is the header; it is skipped there and
+    where another file starts with it.  Equal lines further down are data.
+    """
+    lines = _placed_lines(spark, path, encoding).filter("v != ''")
     parts = F.split("v", r"\s+")
     if names is None:
-        header = lines.first()["v"]
+        tops = lines.groupBy(F.col("_f").alias("_t")).agg(F.min(F.struct("_at", "v")).alias("top"))  # a row per file
+        header = tops.orderBy("_t").select("top.v").first()["v"]
         names = header.split()
-        lines = lines.filter(F.col("v") != header)
+        lines = (lines.join(tops.filter(F.col("top.v") == header).select("_t", F.col("top._at").alias("_skip")), F.col("_f") == F.col("_t"), "left")
+                 .filter(F.col("_skip").isNull() | (F.col("_at") != F.col("_skip"))))
     return lines.select(*[parts[i].alias(n) for i, n in enumerate(names)])
 
 

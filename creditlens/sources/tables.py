@@ -6,7 +6,6 @@ import os
 
 from pyspark.sql import DataFrame, SparkSession
 
-from creditlens.functions.columns import bounded_broadcast  # noqa: F401  (re-export)
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "

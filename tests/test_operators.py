@@ -81,7 +81,6 @@ def test_auc_matches_pairwise_definition(spark):
 
 
 def test_required_sample_per_arm(spark):
-    assert xp.required_sample_py(0.10, 0.01) == 14751
     n = spark.range(1).select(xp.required_sample(F.lit(0.10), F.lit(0.01)).alias("n")).first().n
     assert n == 14751
 
