@@ -93,8 +93,14 @@ def caps_for(decided: DataFrame, a: PolicyAssumptions) -> tuple:
 
 
 def allocate(decided: DataFrame, a: PolicyAssumptions | None = None, rounds: int = 4,
-             batch: int = 24, tol: float = 1e-9) -> AllocationResult:
-    """Choose one option per account under the four portfolio caps (see module doc)."""
+             batch: int = 24, tol: float = 1e-9, gap_target: float = 0.002, max_rounds: int = 40) -> AllocationResult:
+    """Choose one option per account under the four portfolio caps (see module doc).
+
+    A common step on all violated caps is narrowed first: large enough multipliers hold every
+    account, so it ends with a feasible choice.  Then each cap's multiplier is moved by
+    itself, many candidates in one job, until the gap to the dual bound is ``gap_target`` of
+    the value or a round brings nothing.
+    """
     a = a or PolicyAssumptions()
     caps = caps_for(decided, a)
     opts = options(decided, a).select("account_id", "options").persist()
@@ -120,7 +126,9 @@ def allocate(decided: DataFrame, a: PolicyAssumptions | None = None, rounds: int
         scale = [total_v / max(c, 1e-9) for c in caps]
         viol = [1.0 if float(base[f"u{k + 1}"]) > caps[k] else 0.0 for k in range(N_RES)]
         lo, hi = 2.0 ** -20, 2.0 ** 6
-        for _ in range(rounds):
+        for turn in range(max_rounds):
+            if best is not None and turn >= rounds:
+                break
             steps = [lo * (hi / lo) ** (i / (batch - 1)) for i in range(batch)]
             lams = [tuple(s * scale[k] * viol[k] for k in range(N_RES)) for s in steps]
             res = evaluate(opts, lams)
@@ -135,13 +143,25 @@ def allocate(decided: DataFrame, a: PolicyAssumptions | None = None, rounds: int
             # widen the direction to every resource that binds at the best point
             viol = [1.0 if (viol[k] or float(res[j][f"u{k + 1}"]) > 0.999 * caps[k]) else 0.0 for k in range(N_RES)]
         if best is None:
-            best = (0.0, None, (0.0,) * N_RES)  # all-hold is feasible by construction
+            opts.unpersist()
+            raise RuntimeError("no multipliers meet the portfolio caps")
+        for _ in range(rounds):
+            value, lam, _ = best
+            if dual - value <= gap_target * max(abs(value), 1.0):
+                break
+            factors = [0.0, 0.5, 0.8, 0.95, 1.1, 1.5]
+            lams = [tuple(x * f if i == k else x for i, x in enumerate(lam)) for k in range(N_RES) if lam[k] > 0 for f in factors]
+            before = (value, dual)
+            consider(evaluate(opts, lams), lams)
+            if best[0] <= before[0] and dual >= before[1]:
+                break
     value, lam, usage = best
     chosen = choose_with(decided, a, lam)
     check = chosen.agg(*[F.sum(f"_u{k + 1}").alias(f"u{k + 1}") for k in range(N_RES)]).first()
     for k in range(N_RES):
         if float(check[f"u{k + 1}"] or 0.0) > caps[k] + tol * max(1.0, abs(caps[k])):
-            raise RuntimeError("Portfolio allocation violates a cap; refusing to publish")
+            opts.unpersist()
+            raise RuntimeError(f"cap {k + 1} is exceeded by the chosen options")
     opts.unpersist()
     return AllocationResult(chosen, lam, value, max(dual, value), usage, caps)
 

@@ -18,6 +18,7 @@ from creditlens.operators import evaluate as ev
 
 SEED = 42
 AUC_TOLERANCE = 0.02
+BOOSTING_ROUNDS = 160
 
 
 def candidates(numeric: list[str], categorical: list[str], label: str, n_train: int) -> dict[str, Pipeline]:
@@ -31,7 +32,7 @@ def candidates(numeric: list[str], categorical: list[str], label: str, n_train:
     # C = 0.5 in the sklearn parameterisation -> regParam = 1 / (C * n)
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (0.5 * max(n_train, 1)),
                             elasticNetParam=0.0, maxIter=100)
-    gbt = GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=20, stepSize=0.06, maxDepth=4,
+    gbt = GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=BOOSTING_ROUNDS, stepSize=0.06, maxDepth=4,
                         seed=SEED)
     return {"Regularized logistic regression": Pipeline(stages=[*pre, scaler, lr]),
             "Gradient boosted trees": Pipeline(stages=[*pre, gbt])}
@@ -92,14 +93,10 @@ def sigmoid_calibrated(df: DataFrame, pipe: Pipeline, label: str, key: str, trai
     def predict(x: DataFrame) -> DataFrame:
         from pyspark.ml.functions import array_to_vector
         out = x
-        probs = []
-        for i, (base, cal) in enumerate(pairs):
-            s = score(base, out).select(key, F.array(F.log(F.col("p") / (1 - F.col("p")))).alias("_z"))
-            c = cal.transform(s.select(key, array_to_vector("_z").alias("_zv")))
-            probs.append(c.select(key, vector_to_array("probability")[1].alias(f"_p{i}")))
-        j = out
-        for p in probs:
-            j = j.join(p, key)  # unique key: an equi-join, no positional alignment
-        return j.withColumn("p_cal", sum(F.col(f"_p{i}") for i in range(len(pairs))) / len(pairs)).drop(
+        for i, (base, cal) in enumerate(pairs):  # one narrow pass: each model adds its column to the same rows
+            before = out.columns
+            out = score(base, out).select(*before, array_to_vector(F.array(F.log(F.col("p") / (1 - F.col("p"))))).alias("_zv"))
+            out = cal.transform(out).select(*before, vector_to_array("probability")[1].alias(f"_p{i}"))
+        return out.withColumn("p_cal", sum(F.col(f"_p{i}") for i in range(len(pairs))) / len(pairs)).drop(
             *[f"_p{i}" for i in range(len(pairs))])
     return predict

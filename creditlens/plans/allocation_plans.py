@@ -6,11 +6,12 @@ from dataclasses import replace
 
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import dround
+from creditlens.functions.columns import dround, sql_dround
 from creditlens.operators import allocate as al
 from creditlens.operators import policy
 from creditlens.operators.policy import PolicyAssumptions
 from creditlens.plans import portfolio
+from creditlens.plans.oracle_base import acct_ctes, decision_ctes, with_ctes
 from creditlens.plans.registry import register
 from creditlens.sources import adapters
 
@@ -40,10 +41,38 @@ def q_allocation_unconstrained(spark, sf_dir):
 CAP_NAMES = ["limit_growth", "loss_growth", "capital", "higher_risk_increases"]
 
 
-@register("portfolio_allocation_usage")
+def _usage_sql(a: PolicyAssumptions) -> str:
+    caps = [f"sum(current_limit_inr) * {a.portfolio_growth_cap!r}", f"sum(current_expected_loss) * {a.portfolio_loss_growth_cap!r}",
+            f"CAST({a.portfolio_capital_budget!r} AS DOUBLE)", f"count(*) * {a.max_higher_risk_increase_share!r}"]
+    rows = " UNION ALL ".join(f"SELECT '{n}' AS constraint_name, {c} AS cap, count(*) AS accounts FROM reasons" for n, c in zip(CAP_NAMES, caps))
+    return with_ctes(acct_ctes(), decision_ctes()) + f"""
+SELECT constraint_name, {sql_dround('cap', 2)} AS cap, CAST(accounts AS BIGINT) AS accounts, TRUE AS within_cap, TRUE AS below_bound, TRUE AS gap_small, TRUE AS beats_holding
+FROM ({rows})"""
+
+
+TIGHT = dict(portfolio_growth_cap=0.03, portfolio_loss_growth_cap=0.03, portfolio_capital_budget=2_000_000_000.0, max_higher_risk_increase_share=0.1)
+
+
+@register("portfolio_allocation_usage", lambda: _usage_sql(PolicyAssumptions()))
 def q_portfolio_allocation(spark, sf_dir):
-    """Allocation under the default caps: usage per cap, value, dual bound and gap (rows-only check)."""
-    a = PolicyAssumptions()
+    """Allocation under the default caps: each cap, and whether the allocation keeps it and comes near the dual bound."""
+    return _usage(spark, sf_dir, PolicyAssumptions())
+
+
+@register("portfolio_allocation_tight", lambda: _usage_sql(replace(PolicyAssumptions(), **TIGHT)))
+def q_portfolio_allocation_tight(spark, sf_dir):
+    """The same with caps that bind: growth and loss at 3 %, higher-risk increases at 10 %."""
+    return _usage(spark, sf_dir, replace(PolicyAssumptions(), **TIGHT))
+
+
+def _usage(spark, sf_dir, a):
+    v = _usage_values(spark, sf_dir, a)
+    return v.select(F.col("constraint").alias("constraint_name"), "cap", F.col("accounts").cast("bigint").alias("accounts"),
+                    (F.col("usage") <= F.col("cap") + 0.01).alias("within_cap"), (F.col("value") <= F.col("dual_bound") + 0.01).alias("below_bound"),
+                    (F.col("gap") <= 0.05 * F.col("dual_bound")).alias("gap_small"), (F.col("value") >= 0).alias("beats_holding"))
+
+
+def _usage_values(spark, sf_dir, a):
     r = al.allocate(_decided(spark, sf_dir, a), a)
     d = r.decisions
     agg = d.agg(F.count(F.lit(1)).alias("accounts"),

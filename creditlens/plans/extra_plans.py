@@ -41,20 +41,40 @@ def q_stream_monitoring(spark, sf_dir):
                     dround("event_rate", 6).alias("event_rate"), F.col("events").cast("bigint").alias("events"))
 
 
-@register("ml_train_select")
+# Labelled documents and their hash split, as SQL.
+SPLIT_SQL = """
+d AS (SELECT doc_id, quality, row_number() OVER (PARTITION BY quality ORDER BY md5('42:' || CAST(doc_id AS VARCHAR)), doc_id) AS rk,
+             count(*) OVER (PARTITION BY quality) AS n FROM labels JOIN documents USING (doc_id)),
+s AS (SELECT *, CASE WHEN rk <= floor(n * 0.6) THEN 'train' WHEN rk <= floor(n * 0.8) THEN 'validation' ELSE 'test' END AS split FROM d)"""
+
+
+@register("ml_train_select", f"""WITH {SPLIT_SQL}
+SELECT m.model, split, CAST(count(*) AS BIGINT) AS accounts, CAST(sum(quality) AS BIGINT) AS positives, TRUE AS better_than_chance,
+       TRUE AS one_champion, TRUE AS champion_by_rule
+FROM s, (SELECT unnest(['Gradient boosted trees', 'Regularized logistic regression']) AS model) m WHERE split <> 'train' GROUP BY 1, 2""")
 def q_ml_train_select(spark, sf_dir):
-    """Spark ML candidates on labelled documents; champion by validation AUC/Brier (rows-only check)."""
+    """Candidates on labelled documents: rows and events of each split, and whether the champion follows the rule."""
     from creditlens.operators import models
     d = adapters.shared_documents(spark, sf_dir)
-    s = rs.stratified_split(d, ["quality"], "doc_id")
-    r = models.train_select(s, ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"], "quality")
-    return r.select("model", "split", F.col("accounts").cast("bigint").alias("accounts"),
-                    dround("roc_auc", 6).alias("roc_auc"), dround("brier_score", 6).alias("brier_score"), "champion")
-
-
-@register("ml_calibration")
+    s = rs.stratified_split(d, ["quality"], "doc_id").persist()
+    r = models.train_select(s, ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"], "quality").persist()
+    events = s.groupBy("split").agg(F.sum("quality").cast("bigint").alias("positives"))
+    val = r.filter("split = 'validation'")
+    top = val.agg(F.max("roc_auc").alias("top"), F.min(F.when(F.col("champion"), F.col("brier_score"))).alias("b"), F.sum(F.col("champion").cast("int")).alias("n"))
+    rule = val.crossJoin(F.broadcast(top)).agg(  # a row per candidate against one row
+        F.bool_and(F.col("n") == 1).alias("one_champion"),
+        F.bool_and(F.when(F.col("champion"), F.col("roc_auc") >= F.col("top") - models.AUC_TOLERANCE)
+                   .otherwise((F.col("roc_auc") < F.col("top") - models.AUC_TOLERANCE) | (F.col("brier_score") >= F.col("b")))).alias("champion_by_rule"))
+    return (r.join(events, "split").crossJoin(F.broadcast(rule))
+            .select("model", "split", F.col("accounts").cast("bigint").alias("accounts"), "positives", (F.col("roc_auc") > 0.5).alias("better_than_chance"),
+                    "one_champion", "champion_by_rule"))
+
+
+@register("ml_calibration", f"""WITH {SPLIT_SQL}
+SELECT m.model, CAST(count(*) AS BIGINT) AS accounts, CAST(sum(quality) AS BIGINT) AS positives, TRUE AS probabilities_valid, TRUE AS better_than_even
+FROM s, (SELECT unnest(['uncalibrated', 'sigmoid_calibrated']) AS model) m WHERE split = 'test' GROUP BY 1""")
 def q_ml_calibration(spark, sf_dir):
-    """Brier and AUC on the test split before and after cross-fitted sigmoid calibration (rows-only)."""
+    """Test split before and after cross-fitted sigmoid calibration: rows, events, valid probabilities, Brier below 0.25."""
     from creditlens.operators import evaluate as ev
     from creditlens.operators import models
     d = rs.stratified_split(adapters.shared_documents(spark, sf_dir), ["quality"], "doc_id").persist()
@@ -64,10 +84,13 @@ def q_ml_calibration(spark, sf_dir):
     raw = models.score(pipe.fit(train), d.filter("split = 'test'"))
     predict = models.sigmoid_calibrated(d, pipe, "quality", "doc_id", F.col("split") == "train")
     cal = predict(d.filter("split = 'test'"))
+
     def m(x, col, name):
-        return ev.proper_scores(x, col, "quality").select("brier_score").withColumn("_k", F.lit(1)).join(
-            ev.discrimination(x, col, "quality").select("roc_auc").withColumn("_k", F.lit(1)), "_k").select(
-            F.lit(name).alias("model"), dround("brier_score", 6).alias("brier_score"), dround("roc_auc", 6).alias("roc_auc"))
+        p = F.col(col)
+        valid = x.agg(F.bool_and((p >= 0) & (p <= 1)).alias("probabilities_valid"), F.sum("quality").cast("bigint").alias("positives"))
+        return ev.proper_scores(x, col, "quality").select("brier_score", "accounts").crossJoin(F.broadcast(valid)).select(  # one row each
+            F.lit(name).alias("model"), F.col("accounts").cast("bigint").alias("accounts"), "positives", "probabilities_valid",
+            (F.col("brier_score") < 0.25).alias("better_than_even"))
     return m(raw, "p", "uncalibrated").unionByName(m(cal, "p_cal", "sigmoid_calibrated"))
 
 

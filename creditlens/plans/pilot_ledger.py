@@ -182,9 +182,18 @@ def q_ledger_violations(spark, sf_dir):
     return ledger.violations(ledger.chain(e))
 
 
-@register("arm_tests")
+@register("arm_tests", PILOT_SQL + f""",
+a AS (SELECT arm, count(*) AS n, avg(CAST(delinquency AS DOUBLE)) AS rate FROM pilot GROUP BY arm),
+z AS (SELECT a.arm, a.n, a.rate, (a.rate * a.n + c.rate * c.n) / (a.n + c.n) AS pooled, c.n AS n0, c.rate AS r0
+      FROM a, a c WHERE c.arm = 'control' AND a.arm <> 'control'),
+t AS (SELECT arm, n, rate, (rate - r0) / sqrt(pooled * (1 - pooled) * (1.0::DOUBLE / n + 1.0::DOUBLE / n0)) AS z FROM z),
+p AS (SELECT *, {xp.normal_sf2_sql('z')} AS p_value FROM t),
+o AS (SELECT *, row_number() OVER (ORDER BY p_value, arm) AS k, count(*) OVER () AS m FROM p),
+h AS (SELECT *, max(least(1.0::DOUBLE, (m - k + 1) * p_value)) OVER (ORDER BY k) AS holm FROM o)
+SELECT arm, CAST(n AS BIGINT) AS n, {sql_dround('rate', 6)} AS rate, {sql_dround('z', 6)} AS z, {sql_dround('p_value', 6)} AS p_value,
+       {sql_dround('holm', 6)} AS holm_p, holm < 0.05 AS reject FROM h""")
 def q_arm_tests(spark, sf_dir):
-    """Arm-versus-control delinquency tests with Holm adjustment (rows-only: normal CDF)."""
+    """Arm-versus-control delinquency tests with Holm adjustment."""
     r = xp.arm_tests(adapters.pilot(spark, sf_dir))
     return r.select("arm", F.col("n").cast("bigint").alias("n"), dround("rate", 6).alias("rate"),
                     dround("z", 6).alias("z"), dround("p_value", 6).alias("p_value"),

@@ -185,15 +185,23 @@ def write_splits(df: DataFrame, path: str, split_col: str = "split") -> DataFram
              .withColumn("columns", F.lit(",".join(data_cols))))
 
 
+def hashed_files(spark: SparkSession, folder: str) -> DataFrame:
+    """(file_name, sha256, length) of every file below ``folder``; names are relative to it.
+
+    A file is one row, so this is for files of up to 2 GB; ``content_hash`` is for tables.
+    """
+    tail = folder.rstrip("/").rsplit("/", 1)[-1]
+    return (spark.read.format("binaryFile").option("recursiveFileLookup", True).load(folder)
+            .select(F.substring_index("path", f"/{tail}/", -1).alias("file_name"), F.sha2("content", 256).alias("sha256"), "length"))
+
+
 def verify_files(spark: SparkSession, folder: str, manifest: DataFrame) -> DataFrame:
     """Checksum verification of files against a manifest (TC1).
 
     manifest(file_name, sha256) left-joined with the hashed files -> status
     verified / missing / checksum-mismatch.
     """
-    files = (spark.read.format("binaryFile").load(folder)
-             .select(F.regexp_extract("path", r"([^/]+)$", 1).alias("file_name"),
-                     F.sha2(F.col("content"), 256).alias("actual_sha256"), F.col("length")))
+    files = hashed_files(spark, folder).withColumnRenamed("sha256", "actual_sha256")
     j = manifest.join(files, "file_name", "left")
     status = (F.when(F.col("actual_sha256").isNull(), "missing")
               .when(F.col("actual_sha256") == F.lower(F.col("sha256")), "verified").otherwise("checksum-mismatch"))
