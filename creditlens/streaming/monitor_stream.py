@@ -41,15 +41,23 @@ def weekly_monitor_stream(spark: SparkSession, source_path: str, watermark: str
 def run_available(spark: SparkSession, sf_dir: str, name: str | None = None) -> DataFrame:
     """Drain the events available now through the stream and return the window table.
 
-    State and progress go to a fresh folder under the session's shared
-    checkpoint directory, so a restarted driver resumes exactly once.
+    Update mode: state older than the watermark is dropped, and each micro-batch writes the
+    windows that it changed to a folder of its own, which a repeated batch replaces.  The
+    latest row of a window counts.  State, progress and results lie under the session's shared
+    checkpoint folder by ``name``; a run with the same name goes on where the last one ended.
     """
-    name = name or f"weekly_monitor_{uuid.uuid4().hex[:8]}"
-    ckpt = os.path.join(ensure_checkpoint_dir(spark), "streams", name)
+    home = os.path.join(ensure_checkpoint_dir(spark), "streams", name or f"weekly_monitor_{uuid.uuid4().hex[:8]}")
+    out = os.path.join(home, "windows")
     src = os.path.dirname(table_path(sf_dir, "events"))
     stream = weekly_monitor_stream(spark, os.path.join(src, "events*.parquet"))
-    q = (stream.writeStream.outputMode("complete").format("memory").queryName(name)
-         .option("checkpointLocation", ckpt).trigger(availableNow=True).start())
+
+    def keep(batch: DataFrame, epoch_id: int) -> None:
+        batch.withColumn("epoch", F.lit(epoch_id).cast("long")).write.mode("overwrite").parquet(f"{out}/batch-{epoch_id}")
+
+    q = (stream.writeStream.outputMode("update").foreachBatch(keep)
+         .option("checkpointLocation", os.path.join(home, "state")).trigger(availableNow=True).start())
     q.awaitTermination()
-    return spark.table(name).select(F.to_date(F.col("w.start")).alias("period"), "rows",
-                                    "mean_score", "event_rate", "events")
+    schema = T.StructType([*stream.schema.fields, T.StructField("epoch", T.LongType())])
+    rows = spark.read.schema(schema).parquet(f"{out}/batch-*")
+    last = rows.groupBy("w").agg(F.max_by(F.struct("rows", "mean_score", "event_rate", "events"), "epoch").alias("x"))
+    return last.select(F.to_date(F.col("w.start")).alias("period"), "x.rows", "x.mean_score", "x.event_rate", "x.events")

@@ -48,6 +48,9 @@ def test_allocation_caps_hold_and_match_brute_force(spark, small_dir):
                 best = max(best, sum(x.v for x in combo))
         assert r.value <= best + base + 1e-6
         assert r.dual_bound + 1e-6 >= best + base
+        # near the best: no further off than the largest single option, and better than holding all
+        widest = max(x.v - o.options[0].v for o in multi for x in o.options)
+        assert r.value >= best + base - widest - 1e-6
 
 
 def test_unconstrained_allocation_equals_per_account_optimum(spark, small_dir):
