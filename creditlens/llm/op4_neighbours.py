@@ -23,12 +23,11 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from creditlens.llm.shared import written
+from creditlens.llm.shared import partitions, written
 
 BLOCK = 16_384  # vectors, or queries, of a leaf that meet in one task
 RESULT = "query_id long, rank int, vec_id long, score double"
@@ -146,14 +145,61 @@ def best_of(query: np.ndarray, rows: np.ndarray, first: np.ndarray, k: int) -> t
     return order[top], np.take_along_axis(score, top, axis=1)
 
 
+def _meet(k: int):
+    """mapInArrow over cells, each its vectors and then its queries: the ``k`` best ids of every query in the task."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best: dict[int, list[tuple[float, int]]] = {}
+        at, raw, first, ids, x = None, [], [], [], None
+
+        def out() -> pa.RecordBatch:
+            rows = [(q, i, -s) for q, found in best.items() for s, i in found]
+            best.clear()
+            q, i, s = zip(*rows) if rows else ((), (), ())
+            return pa.RecordBatch.from_arrays([pa.array(q, pa.int64()), pa.array(i, pa.int64()), pa.array(s, pa.float64())], names=["q", "id", "score"])
+
+        for b in batches:
+            keys = np.stack([b.column(c).to_numpy(zero_copy_only=False).astype(np.int64) for c in ("leaf", "s", "t", "kind")], axis=1)
+            cuts = np.flatnonzero((np.diff(keys, axis=0) != 0).any(axis=1)) + 1
+            for lo, hi in zip(np.r_[0, cuts].tolist(), np.r_[cuts, len(keys)].tolist()):
+                if lo == hi:
+                    continue
+                part = b.slice(lo, hi - lo)
+                if tuple(keys[lo, :3]) != at:
+                    at, raw, first, ids, x = tuple(keys[lo, :3]), [], [], [], None
+                if keys[lo, 3] == 0:  # at most about BLOCK vectors in a cell
+                    raw += part.column("raw").to_pylist()
+                    first += part.column("id").to_pylist()
+                    ids += part.column("ids").to_pylist()
+                    continue
+                if not raw:
+                    continue
+                x = unit(raw) if x is None else x
+                for n in range(0, part.num_rows, 512):
+                    asks = part.slice(n, 512)
+                    top, score = best_of(unit(asks.column("raw").to_pylist()), x, np.array(first), k)
+                    for q, places, scores in zip(asks.column("id").to_pylist(), top.tolist(), score.tolist()):
+                        had = best.get(q, [])
+                        if len(had) < k or -scores[0] <= had[-1][0]:
+                            best[q] = sorted(had + [(-s, i) for p, s in zip(places, scores) for i in ids[p]])[:k]
+                if len(best) > 100_000:
+                    yield out()
+        yield out()
+
+    return run
+
+
 def _top(df: DataFrame, k: int) -> DataFrame:
     w = Window.partitionBy("q").orderBy(F.desc("score"), "id")
     return df.withColumn("place", F.row_number().over(w)).filter(F.col("place") <= k)
 
 
-def search(vectors: DataFrame, queries: DataFrame, k: int = 5, branching: int = 8, sample: int = 20_000, leaf: int = 48,
+def search(vectors: DataFrame, queries: DataFrame, k: int = 5, branching: int = 8, sample: int = 20_000, leaf: int | None = None,
            calibrate: int = 128, recall: float = 0.96) -> DataFrame:
-    """(query_id, rank, vec_id, score): the ``k`` nearest found of each row of ``queries``, its own vec_id left out."""
+    """(query_id, rank, vec_id, score): the ``k`` nearest found of each row of ``queries``, its own vec_id left out.
+
+    leaf: rows of the sample in a leaf; by default leaves are about twice the root of the
+    number of vectors, so that visits and the rows of a leaf grow alike.
+    """
     spark = vectors.sparkSession
     rows = usable(vectors)
     near = Window.partitionBy("raw").orderBy("vec_id")
@@ -162,6 +208,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, branching: int =
     drawn = classes.select("raw", "first").orderBy(F.xxhash64("first"), "first").limit(sample).collect()
     if not drawn:
         return spark.createDataFrame([], RESULT)
+    if leaf is None:  # about as many leaves as twice the root of the vectors
+        leaf = max(16, int(len(drawn) / (2 * classes.count() ** 0.5)))
     tree = fit(unit([bytes(r["raw"]) for r in drawn]), branching, leaf)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -212,26 +260,14 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, branching: int =
     blocks = spark.createDataFrame([(i, int(-(-counts[i] // BLOCK)) or 1, -(-asks.get(i, 0) // BLOCK) or 1) for i in range(len(counts))], "leaf long, of_rows int, of_asks int")
     blocks = F.broadcast(blocks)  # a row per leaf
     left = (placed.join(blocks, "leaf").withColumn("s", F.pmod(F.xxhash64("first"), F.col("of_rows")))
-            .withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of_asks").cast("long") - 1))).select("leaf", "s", "t", "raw", "first", "ids"))
+            .withColumn("t", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of_asks").cast("long") - 1)))
+            .select("leaf", "s", "t", F.lit(0).alias("kind"), "raw", F.col("first").alias("id"), "ids"))
     right = (visits.join(blocks, "leaf").withColumn("t", F.pmod(F.xxhash64("q"), F.col("of_asks")))
-             .withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of_rows").cast("long") - 1))).select("leaf", "s", "t", F.col("raw"), "q"))
-
-    def meet(rows: pd.DataFrame, asks: pd.DataFrame) -> pd.DataFrame:
-        out = {"q": [], "id": [], "score": []}
-        if len(rows) and len(asks):
-            x, first, ids = unit(rows["raw"].tolist()), rows["first"].to_numpy(), rows["ids"].tolist()
-            y, q = unit(asks["raw"].tolist()), asks["q"].tolist()
-            for at in range(0, len(q), 512):
-                top, score = best_of(y[at:at + 512], x, first, k + 1)
-                for name, places, scores in zip(q[at:at + 512], top.tolist(), score.tolist()):
-                    found = sorted(((-s, i) for p, s in zip(places, scores) for i in ids[p]))[:k + 1]
-                    out["q"] += [name] * len(found)
-                    out["id"] += [i for _, i in found]
-                    out["score"] += [-s for s, _ in found]
-        return pd.DataFrame({"q": np.array(out["q"], dtype=np.int64), "id": np.array(out["id"], dtype=np.int64), "score": np.array(out["score"], dtype=float)})
-
-    by = ["leaf", "s", "t"]
-    found = left.groupBy(*by).cogroup(right.groupBy(*by)).applyInPandas(meet, "q long, id long, score double")
+             .withColumn("s", F.explode(F.sequence(F.lit(0).cast("long"), F.col("of_rows").cast("long") - 1)))
+             .select("leaf", "s", "t", F.lit(1).alias("kind"), "raw", F.col("q").alias("id"), F.lit(None).cast("array<long>").alias("ids")))
+    cell = ["leaf", "s", "t"]
+    found = (left.unionByName(right).repartition(partitions(spark), *cell).sortWithinPartitions(*cell, "kind")
+             .mapInArrow(_meet(k + 1), "q long, id long, score double"))
     best = _top(found, k + 1).select("q", "id", "score")
     mine = asked.select("vec_id", "q").join(best, "q").filter("vec_id <> id")
     w = Window.partitionBy("vec_id", "q").orderBy(F.desc("score"), "id")
