@@ -55,36 +55,43 @@ def counterfactuals(acct: DataFrame, key: str = "account_id") -> DataFrame:
 
 
 PERMUTED = ("delinquency_count", "utilization")
-PERM_MULTIPLIER = 2305843009213693951  # 2**61 - 1, a prime larger than any stratum size
+# Primes just below powers of two, each above any stratum's size: a different permutation for each repeat.
+PERM_PRIMES = (2**59 - 55, 2**60 - 93, 2**61 - 1, 2**62 - 57, 2**63 - 25)
 
 
 def permutation_importance(df: DataFrame, key: str, source: str, label: str, repeats: int = 5) -> DataFrame:
-    """Within-source permutation of each scorecard input; mean and std of the pooled AUC drop.
+    """Within-source permutation of each scorecard input.
 
-    One hash rank k (0-based) per source; repeat r maps k -> (k * a + r * 7919) mod n, a
-    bijection because a is a prime above every n.  Each repeat is an equi-join on
+    ``mean_auc_drop`` and ``std_auc_drop`` are over repeats of the macro drop, the mean over
+    sources of a source's own AUC drop; ``pooled_mean_auc_drop`` is that of all rows together.
+    One hash rank k (0-based) per source; repeat r maps k -> (k * prime_r + r * 7919) mod n, a
+    bijection because the prime is above every n.  Each repeat is an equi-join on
     (source, mapped rank): unique keys, no skew, no second ranking job.
     """
-    base_auc = ev.discrimination(df.withColumn("_p", scorecard(F.col("delinquency_count"), F.col("utilization"))),
-                                 "_p", label).select("roc_auc").first()[0]
     ranked = rank_within(df, [source], key, seed=1000).select(
         key, source, label, *PERMUTED, (F.col("stratum_rank") - 1).alias("k"), F.col("stratum_size").alias("n"))
     donors = ranked.select(source, F.col("k").alias("_k2"), *[F.col(f).alias(f"_perm_{f}") for f in PERMUTED])
     reps = ranked.select("*", F.explode(F.sequence(F.lit(1), F.lit(repeats))).alias("repeat"))
-    mapped = F.pmod(F.col("k").cast("decimal(38,0)") * F.lit(PERM_MULTIPLIER).cast("decimal(38,0)")
-                    + F.col("repeat").cast("decimal(38,0)") * 7919, F.col("n").cast("decimal(38,0)")).cast("bigint")
+    prime = F.element_at(F.array(*[F.lit(x).cast("decimal(38,0)") for x in PERM_PRIMES]), (F.col("repeat") - 1) % len(PERM_PRIMES) + 1)
+    mapped = F.pmod(F.col("k").cast("decimal(19,0)") * prime.cast("decimal(19,0)") + F.col("repeat").cast("decimal(19,0)") * 7919,
+                    F.col("n").cast("decimal(38,0)")).cast("bigint")
     j = reps.withColumn("_k2", mapped).join(donors, [source, "_k2"])  # one join for all repeats
+    own = scorecard(F.col("delinquency_count"), F.col("utilization"))
     scores = F.array(
         F.struct(F.lit("delinquency_count").alias("feature"),
                  scorecard(F.col("_perm_delinquency_count"), F.col("utilization")).alias("_p")),
         F.struct(F.lit("utilization").alias("feature"),
                  scorecard(F.col("delinquency_count"), F.col("_perm_utilization")).alias("_p")))
-    u = j.select("repeat", label, F.inline(scores))
-    aucs = ev.discrimination(u, "_p", label, ["feature", "repeat"]).select("feature", "repeat", "roc_auc")
-    drops = aucs.withColumn("drop", F.lit(float(base_auc)) - F.col("roc_auc"))
-    return drops.groupBy("feature").agg(F.avg("drop").alias("mean_auc_drop"),
-                                        F.stddev_pop("drop").alias("std_auc_drop"),
-                                        F.lit(float(base_auc)).alias("base_auc"))
+    u = j.select("repeat", source, label, F.inline(scores)).persist()
+    base = df.withColumn("_p", own)
+    pooled_base = ev.discrimination(base, "_p", label).select("roc_auc").first()[0]
+    by_source = ev.discrimination(base, "_p", label, [source]).select(source, F.col("roc_auc").alias("_base"))
+    per = ev.discrimination(u, "_p", label, ["feature", "repeat", source]).join(by_source, source)
+    macro = per.groupBy("feature", "repeat").agg(F.avg(F.col("_base") - F.col("roc_auc")).alias("drop"))
+    pooled = ev.discrimination(u, "_p", label, ["feature", "repeat"]).groupBy("feature").agg(
+        F.avg(F.lit(float(pooled_base)) - F.col("roc_auc")).alias("pooled_mean_auc_drop"))
+    return macro.groupBy("feature").agg(F.avg("drop").alias("mean_auc_drop"), F.stddev_pop("drop").alias("std_auc_drop")).join(pooled, "feature").select(
+        "*", F.lit(float(pooled_base)).alias("base_auc"))
 
 
 # Partial-dependence grid quantiles (16 points from 0.01 to 0.99).
@@ -93,25 +100,23 @@ PDP_QUANTILES[-1] = 0.99
 
 
 def partial_dependence(df: DataFrame, feature: str, source: str, min_rows: int = 100) -> DataFrame:
-    """Mean scorecard output with ``feature`` set to each grid quantile, per source, then the
-    equal-weight average over sources with at least ``min_rows`` observed values (E17).
+    """Effect curve of ``feature``: each source's own grid of quantiles over its observed rows, and
+    the equal-weight average of values and scores over sources with at least ``min_rows`` of them (E17).
 
-    Grid values are exact order statistics of the observed feature (16 numbers on the driver);
-    each row evaluates all grid points in-row, one aggregation per (source, point).
+    A source's grid is a row of exact order statistics; each observed row evaluates all grid
+    points in-row, with one aggregation per (source, point).
     """
     obs = df.filter(F.col(feature).isNotNull())
-    cum = ev.cumulative_scores(obs.withColumn("_y", F.lit(0)), feature, "_y")
-    q = ev.order_statistics(cum, PDP_QUANTILES).first()
-    grid = [float(q[f"q{i}"]) for i in range(len(PDP_QUANTILES))]
-    counts = obs.groupBy(source).agg(F.count(F.lit(1)).alias("_n"))
-    pts = F.array(*[F.struct(F.lit(i).alias("point"), F.lit(v).alias("value")) for i, v in enumerate(grid)])
+    grid = ev.order_statistics(ev.cumulative_scores(obs.withColumn("_y", F.lit(0)), feature, "_y", [source]), PDP_QUANTILES, [source])
+    grid = grid.select(F.col(source).alias("_source"), F.array(*[F.struct(F.lit(i).alias("point"), F.col(f"q{i}").alias("value"))
+                                                                 for i in range(len(PDP_QUANTILES))]).alias("_grid"))  # a row per source
 
     def score_at(p):
         dq = p["value"] if feature == "delinquency_count" else F.col("delinquency_count")
         ut = p["value"] if feature == "utilization" else F.col("utilization")
         return F.struct(p["point"].alias("point"), p["value"].alias("value"), scorecard(dq, ut).alias("score"))
-    per = df.select(source, F.inline(F.transform(pts, score_at))).groupBy(source, "point", "value").agg(
-        F.avg("score").alias("mean_score"))
-    eligible = per.join(counts.filter(F.col("_n") >= min_rows), source)
-    return eligible.groupBy("point", "value").agg(F.avg("mean_score").alias("partial_dependence"),
-                                                  F.count(F.lit(1)).alias("sources"))
+
+    each = obs.join(grid, obs[source].eqNullSafe(F.col("_source"))).select("_source", F.inline(F.transform("_grid", score_at)))
+    per = each.groupBy("_source", "point").agg(F.count(F.lit(1)).alias("_n"), F.first("value").alias("value"), F.avg("score").alias("mean_score"))
+    return per.filter(F.col("_n") >= min_rows).groupBy("point").agg(
+        F.avg("value").alias("value"), F.avg("mean_score").alias("partial_dependence"), F.count(F.lit(1)).alias("sources"))

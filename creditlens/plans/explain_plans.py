@@ -58,9 +58,9 @@ def _perm_sql() -> str:
         for f in ("delinquency_count", "utilization"):
             dq = "b.delinquency_count" if f == "delinquency_count" else "a.delinquency_count"
             ut = "b.utilization" if f == "utilization" else "a.utilization"
-            perms.append(f"SELECT '{f}' AS feature, {r} AS rep, a.y, {_score_sql(dq, ut)} AS p FROM r0 a JOIN r0 b "
+            perms.append(f"SELECT '{f}' AS feature, {r} AS rep, a.source_dataset AS src, a.y, {_score_sql(dq, ut)} AS p FROM r0 a JOIN r0 b "
                          f"ON a.source_dataset = b.source_dataset AND b.k = "
-                         f"CAST((CAST(a.k AS HUGEINT) * {explain.PERM_MULTIPLIER} + {r * 7919}) % a.n AS BIGINT)")
+                         f"CAST((CAST(a.k AS HUGEINT) * {explain.PERM_PRIMES[r - 1]} + {r * 7919}) % a.n AS BIGINT)")
     return with_ctes(acct_ctes()) + f""",
 r0 AS (SELECT account_id, source_dataset, delinquency_count, utilization, y,
               row_number() OVER (PARTITION BY source_dataset ORDER BY md5('1000:' || account_id), account_id) - 1 AS k,
@@ -70,17 +70,25 @@ rk AS (SELECT feature, rep, y, rank() OVER (PARTITION BY feature, rep ORDER BY p
               + (count(*) OVER (PARTITION BY feature, rep, p) - 1) / 2.0 AS r FROM perm),
 aucs AS (SELECT feature, rep, (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0)
                 / (CAST(sum(y) AS DOUBLE) * sum(1 - y)) AS auc FROM rk GROUP BY feature, rep),
-base AS (SELECT {auc('scored_y', 'pd')} AS b)
-SELECT feature, {sql_dround('avg(b - auc)', 6)} AS mean_auc_drop, {sql_dround('stddev_pop(b - auc)', 6)} AS std_auc_drop,
-       {sql_dround('max(b)', 6)} AS base_auc
-FROM aucs, base GROUP BY feature"""
+srk AS (SELECT feature, rep, src, y, rank() OVER (PARTITION BY feature, rep, src ORDER BY p)
+              + (count(*) OVER (PARTITION BY feature, rep, src, p) - 1) / 2.0 AS r
+        FROM (SELECT * FROM perm UNION ALL SELECT 'base', 0, source_dataset, y, pd FROM scored_y)),
+sauc AS (SELECT feature, rep, src, (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0)
+                / (CAST(sum(y) AS DOUBLE) * sum(1 - y)) AS auc FROM srk GROUP BY feature, rep, src),
+macro AS (SELECT s.feature, s.rep, avg(b.auc - s.auc) AS d FROM sauc s JOIN sauc b ON b.feature = 'base' AND b.src = s.src
+          WHERE s.feature <> 'base' GROUP BY 1, 2),
+base AS (SELECT {auc('scored_y', 'pd')} AS b),
+m AS (SELECT feature, avg(d) AS mean_drop, stddev_pop(d) AS std_drop FROM macro GROUP BY 1)
+SELECT feature, {sql_dround('any_value(mean_drop)', 6)} AS mean_auc_drop, {sql_dround('any_value(std_drop)', 6)} AS std_auc_drop,
+       {sql_dround('avg(b - auc)', 6)} AS pooled_mean_auc_drop, {sql_dround('max(b)', 6)} AS base_auc
+FROM aucs JOIN m USING (feature), base GROUP BY feature"""
 
 
 @register("permutation_importance", _perm_sql)
 def q_permutation_importance(spark, sf_dir):
     s = adapters.shared_scored(spark, sf_dir)
     r = explain.permutation_importance(s, "account_id", "source_dataset", "y")
-    return r.select("feature", *[dround(c, 6).alias(c) for c in ("mean_auc_drop", "std_auc_drop", "base_auc")])
+    return r.select("feature", *[dround(c, 6).alias(c) for c in ("mean_auc_drop", "std_auc_drop", "pooled_mean_auc_drop", "base_auc")])
 
 
 def _pdp_sql(feature: str) -> str:
@@ -88,14 +96,13 @@ def _pdp_sql(feature: str) -> str:
     dq = "g.value" if feature == "delinquency_count" else "s.delinquency_count"
     ut = "g.value" if feature == "utilization" else "s.utilization"
     return with_ctes(acct_ctes()) + f""",
-q AS (SELECT quantile_cont({feature}, [{qs}]) AS v FROM scored_y WHERE {feature} IS NOT NULL),
-g AS (SELECT i - 1 AS point, v[i] AS value FROM q, range(1, 17) t(i)),
-n AS (SELECT source_dataset, count(*) AS c FROM scored_y WHERE {feature} IS NOT NULL GROUP BY 1),
+q AS (SELECT source_dataset, quantile_cont({feature}, [{qs}]) AS v, count(*) AS c FROM scored_y WHERE {feature} IS NOT NULL GROUP BY 1),
+g AS (SELECT source_dataset, i - 1 AS point, v[i] AS value FROM q, range(1, 17) t(i) WHERE c >= 100),
 per AS (SELECT s.source_dataset, g.point, g.value, avg({_score_sql(dq, ut)}) AS m
-        FROM scored_y s, g GROUP BY 1, 2, 3)
-SELECT CAST(point AS INTEGER) AS point, {sql_dround('value', 6)} AS value, {sql_dround('avg(m)', 6)} AS partial_dependence,
+        FROM scored_y s JOIN g ON g.source_dataset = s.source_dataset WHERE s.{feature} IS NOT NULL GROUP BY 1, 2, 3)
+SELECT CAST(point AS INTEGER) AS point, {sql_dround('avg(value)', 6)} AS value, {sql_dround('avg(m)', 6)} AS partial_dependence,
        CAST(count(*) AS BIGINT) AS sources
-FROM per JOIN n ON n.source_dataset = per.source_dataset WHERE n.c >= 100 GROUP BY point, value"""
+FROM per GROUP BY point"""
 
 
 @register("partial_dependence", lambda: _pdp_sql("utilization"))
