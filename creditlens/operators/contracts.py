@@ -110,17 +110,18 @@ PAY_COLUMNS = ["PAY_0", "PAY_2", "PAY_3", "PAY_4", "PAY_5", "PAY_6"]
 PAYMENT_COLUMNS = [f"PAY_AMT{i}" for i in range(1, 7)]
 
 
-def clean_report(df: DataFrame, key: str, target: str, numeric: list[str]) -> tuple[DataFrame, DataFrame]:
+def clean_report(df: DataFrame, key: str, target: str, numeric: list[str], order: list[str] | None = None) -> tuple[DataFrame, DataFrame]:
     """Keep-first de-duplication, invalid-row removal and a one-row quality report (P5).
 
-    Duplicates are counted before de-duplication, invalid rows after it.
-    Returns (clean rows, report).
+    The first row of a key is the least by ``order`` (columns that tell when a row was loaded),
+    then by all columns; without ``order`` by all columns.  The least is taken map-side, so a
+    key with many copies costs one row per task.  Duplicates are counted before
+    de-duplication, invalid rows after it.  Returns (clean rows, report).
     """
-    from pyspark.sql import Window
-    order_col = "_load_order"
-    src = df.withColumn(order_col, F.monotonically_increasing_id())
-    w = Window.partitionBy(key).orderBy(order_col)
-    dedup = src.withColumn("_rn", F.row_number().over(w)).filter("_rn = 1").drop("_rn")
+    lead = list(order or [])
+    src = df
+    first = df.groupBy(key).agg(F.min(F.struct(*lead, *[F.col(c) for c in df.columns if c != key and c not in lead])).alias("_r"))
+    dedup = first.select(key, "_r.*").select(*df.columns)
     invalid_status = F.exists(F.array(*[F.col(c) for c in PAY_COLUMNS]), lambda x: (x < -2) | (x > 9))
     invalid_amount = F.exists(F.array(*[F.col(c) for c in PAYMENT_COLUMNS]), lambda x: x < 0)
     any_missing = F.exists(F.array(*[F.col(c).cast("double") for c in numeric]), lambda x: x.isNull())
@@ -130,7 +131,7 @@ def clean_report(df: DataFrame, key: str, target: str, numeric: list[str]) -> tu
         F.coalesce(invalid_status, F.lit(False)) | F.coalesce(invalid_amount, F.lit(False))
     before = src.agg(F.count(F.lit(1)).alias("source_rows"),
                      (F.count(F.lit(1)) - F.countDistinct(key)).alias("duplicate_ids"))
-    exact = src.drop(order_col).distinct().agg(F.count(F.lit(1)).alias("_distinct_rows"))
+    exact = src.distinct().agg(F.count(F.lit(1)).alias("_distinct_rows"))
     after = dedup.agg(
         F.sum(sum(F.col(c).isNull().cast("long") for c in numeric)).alias("missing_cells"),
         F.sum(F.coalesce(bad_limit, F.lit(False)).cast("long")).alias("invalid_limit_rows"),
@@ -145,7 +146,7 @@ def clean_report(df: DataFrame, key: str, target: str, numeric: list[str]) -> tu
                    "duplicate_ids", (F.col("source_rows") - F.col("_distinct_rows")).alias("exact_duplicates"),
                    "missing_cells", "invalid_limit_rows", "invalid_target_rows", "invalid_payment_status_rows",
                    "invalid_payment_amount_rows", "target_rate"))
-    return dedup.filter(~invalid).drop(order_col), rep
+    return dedup.filter(~invalid), rep
 
 
 # Readiness contract fields, prohibited identifiers and evidence age bounds.

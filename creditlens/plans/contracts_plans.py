@@ -52,15 +52,28 @@ def q_violation_counts(spark, sf_dir):
 SOURCE_NUMERIC = ["LIMIT_BAL", *ct.PAY_COLUMNS, *[f"BILL_AMT{i}" for i in range(1, 7)], *ct.PAYMENT_COLUMNS, "y"]
 
 
+# Faults by account number: column -> (every so many-th, value).
+FAULTS = {"LIMIT_BAL": (7, "-LIMIT_BAL"), "PAY_0": (11, "12"), "PAY_AMT1": (13, "-1"), "y": (17, "NULL"), "BILL_AMT1": (19, "NULL")}
+
+
+def _faulty_sql(c: str) -> str:
+    return f"CASE WHEN ck % {FAULTS[c][0]} = 0 THEN {FAULTS[c][1]} ELSE {c} END AS {c}" if c in FAULTS else c
+
+
 @register("clean_report", lambda: with_ctes(acct_ctes()) + f""",
-src AS (SELECT account_id, {', '.join(SOURCE_NUMERIC)} FROM scored_y),
-inv AS (SELECT *, ({' OR '.join(f'{c} IS NULL' for c in SOURCE_NUMERIC)}) OR LIMIT_BAL <= 0 OR y NOT IN (0, 1)
-          OR {' OR '.join(f'{c} < -2 OR {c} > 9' for c in ct.PAY_COLUMNS)}
-          OR {' OR '.join(f'{c} < 0' for c in ct.PAYMENT_COLUMNS)} AS invalid FROM src)
-SELECT CAST(count(*) AS BIGINT) AS source_rows, CAST(sum(CASE WHEN NOT invalid THEN 1 ELSE 0 END) AS BIGINT) AS clean_rows,
-  CAST(sum(CASE WHEN invalid THEN 1 ELSE 0 END) AS BIGINT) AS removed_rows,
-  CAST(count(*) - count(DISTINCT account_id) AS BIGINT) AS duplicate_ids,
-  CAST(count(*) - (SELECT count(*) FROM (SELECT DISTINCT * FROM src)) AS BIGINT) AS exact_duplicates,
+base AS (SELECT account_id, CAST(substr(account_id, 6) AS BIGINT) AS ck, {', '.join(SOURCE_NUMERIC)} FROM scored_y),
+faulty AS (SELECT account_id, ck, {', '.join(_faulty_sql(c) for c in SOURCE_NUMERIC)} FROM base),
+src AS (SELECT *, 1 AS load_no FROM faulty UNION ALL SELECT *, 1 FROM faulty WHERE ck % 15 = 0
+        UNION ALL SELECT * REPLACE (LIMIT_BAL + 1 AS LIMIT_BAL), 2 FROM faulty WHERE ck % 10 = 0),
+firsts AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY account_id ORDER BY load_no) AS rn FROM src) WHERE rn = 1),
+inv AS (SELECT *, ({' OR '.join(f'{c} IS NULL' for c in SOURCE_NUMERIC)}) OR coalesce(LIMIT_BAL <= 0, FALSE) OR y IS NULL OR y NOT IN (0, 1)
+          OR {' OR '.join(f'coalesce({c} < -2 OR {c} > 9, FALSE)' for c in ct.PAY_COLUMNS)}
+          OR {' OR '.join(f'coalesce({c} < 0, FALSE)' for c in ct.PAYMENT_COLUMNS)} AS invalid FROM firsts),
+n AS (SELECT count(*) AS n, count(DISTINCT account_id) AS ids, (SELECT count(*) FROM (SELECT DISTINCT * FROM src)) AS distinct_rows FROM src)
+SELECT CAST(max(n) AS BIGINT) AS source_rows, CAST(sum(CASE WHEN NOT invalid THEN 1 ELSE 0 END) AS BIGINT) AS clean_rows,
+  CAST(max(n) - sum(CASE WHEN NOT invalid THEN 1 ELSE 0 END) AS BIGINT) AS removed_rows,
+  CAST(max(n) - max(ids) AS BIGINT) AS duplicate_ids,
+  CAST(max(n) - max(distinct_rows) AS BIGINT) AS exact_duplicates,
   CAST(sum({' + '.join(f'CASE WHEN {c} IS NULL THEN 1 ELSE 0 END' for c in SOURCE_NUMERIC)}) AS BIGINT) AS missing_cells,
   CAST(sum(CASE WHEN LIMIT_BAL <= 0 THEN 1 ELSE 0 END) AS BIGINT) AS invalid_limit_rows,
   CAST(sum(CASE WHEN y NOT IN (0, 1) OR y IS NULL THEN 1 ELSE 0 END) AS BIGINT) AS invalid_target_rows,
@@ -69,10 +82,16 @@ SELECT CAST(count(*) AS BIGINT) AS source_rows, CAST(sum(CASE WHEN NOT invalid T
   CAST(sum(CASE WHEN {' OR '.join(f'{c} < 0' for c in ct.PAYMENT_COLUMNS)} THEN 1 ELSE 0 END) AS BIGINT)
     AS invalid_payment_amount_rows,
   {sql_dround('avg(CASE WHEN NOT invalid THEN CAST(y AS DOUBLE) END)', 6)} AS target_rate
-FROM inv""")
+FROM inv, n""")
 def q_clean_report(spark, sf_dir):
-    src = adapters.shared_scored(spark, sf_dir).select("account_id", *SOURCE_NUMERIC)
-    _, rep = ct.clean_report(src, "account_id", "y", SOURCE_NUMERIC)
+    """The quality report of accounts some of which are made faulty, loaded twice, or copied."""
+    base = adapters.shared_scored(spark, sf_dir).select("account_id", *SOURCE_NUMERIC)
+    ck = F.expr("cast(substring(account_id, 6) as bigint)")
+    faulty = base.select("account_id", *[F.when(ck % FAULTS[c][0] == 0, F.expr(FAULTS[c][1])).otherwise(F.col(c)).alias(c) if c in FAULTS else F.col(c)
+                                         for c in SOURCE_NUMERIC]).withColumn("load_no", F.lit(1))
+    src = (faulty.unionByName(faulty.filter(ck % 15 == 0))
+           .unionByName(faulty.filter(ck % 10 == 0).withColumn("LIMIT_BAL", F.col("LIMIT_BAL") + 1).withColumn("load_no", F.lit(2))))
+    _, rep = ct.clean_report(src, "account_id", "y", SOURCE_NUMERIC, ["load_no"])
     return rep.select(*[F.col(c).cast("bigint").alias(c) if c != "target_rate" else dround(c, 6).alias(c)
                         for c in rep.columns])
 

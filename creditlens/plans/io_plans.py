@@ -48,16 +48,13 @@ def q_arff_roundtrip(spark, sf_dir):
 
 
 @register("whitespace_roundtrip", """
-SELECT CAST(n_regionkey AS VARCHAR) AS n_regionkey, CAST(count(*) AS BIGINT) AS nations,
-       CAST(sum(n_nationkey) AS BIGINT) AS key_sum FROM nation GROUP BY n_regionkey""")
+SELECT o_orderstatus, CAST(count(*) AS BIGINT) AS orders, CAST(sum(o_custkey) AS BIGINT) AS key_sum FROM orders GROUP BY 1""")
 def q_whitespace_roundtrip(spark, sf_dir):
-    nation = read_table(spark, sf_dir, "nation", ["n_nationkey", "n_regionkey"])
-    path = files.scratch_path(spark, "nation-txt")
-    nation.select(F.concat_ws("   ", F.col("n_nationkey").cast("string"), F.col("n_regionkey").cast("string"))
-                  .alias("value")).write.mode("overwrite").text(path)
-    back = files.read_whitespace(spark, path, ["n_nationkey", "n_regionkey"])
-    return back.groupBy("n_regionkey").agg(F.count(F.lit(1)).alias("nations"),
-                                           F.sum(F.col("n_nationkey").cast("bigint")).alias("key_sum"))
+    orders = read_table(spark, sf_dir, "orders", ["o_orderkey", "o_custkey", "o_orderstatus"])
+    path = files.scratch_path(spark, "orders-txt")
+    orders.select(F.concat_ws("   ", *[F.col(c).cast("string") for c in orders.columns]).alias("value")).write.mode("overwrite").text(path)
+    back = files.read_whitespace(spark, path, orders.columns)
+    return back.groupBy("o_orderstatus").agg(F.count(F.lit(1)).alias("orders"), F.sum(F.col("o_custkey").cast("bigint")).alias("key_sum"))
 
 
 @register("json_roundtrip", with_ctes(acct_ctes()) + f"""

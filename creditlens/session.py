@@ -40,7 +40,8 @@ def build_session(master: str | None = None, shuffle_partitions: int | None = No
 
 def configure(spark: SparkSession) -> SparkSession:
     """Apply the runtime settings the library needs to an existing session."""
-    spark.conf.set("spark.sql.session.timeZone", "UTC")
+    for key in ("spark.sql.session.timeZone", "spark.sql.ansi.enabled", "spark.sql.adaptive.enabled", "spark.sql.adaptive.skewJoin.enabled"):
+        spark.conf.set(key, BASE_CONF[key])
     ensure_checkpoint_dir(spark)
     return spark
 
