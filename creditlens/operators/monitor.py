@@ -159,6 +159,37 @@ def snapshot_signals(df: DataFrame, reference_hist: DataFrame, reference_brier:
     return s.withColumn("status", status).withColumn("required_response", resp[F.col("status")])
 
 
+def snapshot_guards(df: DataFrame, group_cols: list[str]) -> DataFrame:
+    """(group, rule, rows): what makes a snapshot unfit for monitoring (MO1).
+
+    Blank scores or outcomes, scores outside [0, 1], outcomes other than 0 and 1, and groups
+    in which only one outcome occurs.
+    """
+    g = list(group_cols)
+    p, y = F.col("probability").cast("double"), F.col("outcome").cast("double")
+    known = p.isNotNull() & ~F.isnan(p)
+    rules = {"probability_blank": ~known, "outcome_blank": y.isNull(), "probability_range": known & ~p.between(0, 1),
+             "outcome_not_binary": y.isNotNull() & ~y.isin(0.0, 1.0)}
+    counts = df.groupBy(*g).agg(*[F.count(F.when(c, 1)).alias(n) for n, c in rules.items()],
+                                F.when(F.count_distinct(y) < 2, F.count(F.lit(1))).otherwise(0).alias("one_outcome_class"))
+    return counts.unpivot(g, [*rules, "one_outcome_class"], "rule", "rows").filter("rows > 0")
+
+
+def period_checks(signals: DataFrame, period: str = "period", psi_warning: float = 0.10, psi_action: float = 0.25,
+                  gap_warning: float = 0.05, missing_shift: float = 0.20) -> DataFrame:
+    """Flags of each period's signals, a row per period (MO3).
+
+    A missing rate shifts where it moves by more than a fifth of the period before, or by
+    that much itself where there was none before.
+    """
+    before = F.lag("max_missing_rate").over(Window.orderBy(period))  # a row per period
+    now = F.col("max_missing_rate")
+    return signals.select(
+        period, (F.col("score_psi") >= psi_warning).alias("psi_warning"), (F.col("score_psi") >= psi_action).alias("psi_action"),
+        (F.col("calibration_gap") > gap_warning).alias("calibration_warning"),
+        F.when(before > 0, F.abs(now - before) / before > missing_shift).when(before == 0, now > missing_shift).alias("missingness_shift"))
+
+
 def thresholds_dict(t: MonitoringThresholds | None = None) -> dict:
     return asdict(t or MonitoringThresholds())
 

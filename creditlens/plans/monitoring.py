@@ -106,6 +106,43 @@ def q_monitoring_status(spark, sf_dir):
                     *[dround(c, 6).alias(c) for c in STATUS_COLS], "status")
 
 
+@register("monitoring_checks", lambda: "SELECT period, score_psi >= 0.1 AS psi_warning, score_psi >= 0.25 AS psi_action, calibration_gap > 0.05 AS calibration_warning, "
+          "CASE WHEN pm > 0 THEN abs(max_missing_rate - pm) / pm > 0.2 WHEN pm = 0 THEN max_missing_rate > 0.2 END AS missingness_shift FROM ("
+          "SELECT *, lag(max_missing_rate) OVER (ORDER BY period) AS pm FROM (" + _status_sql() + "))")
+def q_monitoring_checks(spark, sf_dir):
+    """Score shift, calibration and missingness flags of each week (MO3)."""
+    snap, ref = _snapshot_with_reference(spark, sf_dir)
+    rb = ref.agg(F.avg((F.col("probability") - F.col("outcome")) ** 2)).first()[0]  # tiny statistic
+    s = monitor.snapshot_signals(snap, monitor.reference_histogram(ref), rb, ["period"])
+    return monitor.period_checks(s.select("period", *[dround(c, 6).alias(c) for c in ("score_psi", "calibration_gap", "max_missing_rate")]))
+
+
+@register("monitoring_action_mix", with_ctes(SNAP_SQL) + """
+SELECT period, action, CAST(count(*) AS BIGINT) AS rows FROM snap GROUP BY 1, 2""")
+def q_monitoring_action_mix(spark, sf_dir):
+    """How often each action was taken in each week (MO1, A19)."""
+    return adapters.shared_snapshot(spark, sf_dir).groupBy("period", "action").agg(F.count(F.lit(1)).alias("rows"))
+
+
+@register("monitoring_guards", with_ctes(SNAP_SQL) + """,
+f AS (SELECT period, CASE WHEN event_id % 101 = 0 THEN NULL WHEN event_id % 103 = 0 THEN 1.5 ELSE probability END AS p,
+             CASE WHEN event_id % 107 = 0 THEN NULL WHEN event_id % 109 = 0 THEN 2 WHEN period = p0.p0 THEN 0 ELSE outcome END AS y FROM snap, p0),
+r AS (SELECT period, 'probability_blank' AS rule, count(*) AS rows FROM f WHERE p IS NULL GROUP BY 1
+      UNION ALL SELECT period, 'probability_range', count(*) FROM f WHERE p < 0 OR p > 1 GROUP BY 1
+      UNION ALL SELECT period, 'outcome_blank', count(*) FROM f WHERE y IS NULL GROUP BY 1
+      UNION ALL SELECT period, 'outcome_not_binary', count(*) FROM f WHERE y NOT IN (0, 1) GROUP BY 1
+      UNION ALL SELECT period, 'one_outcome_class', count(*) FROM f GROUP BY 1 HAVING count(DISTINCT y) < 2)
+SELECT period, rule, CAST(rows AS BIGINT) AS rows FROM r""")
+def q_monitoring_guards(spark, sf_dir):
+    """What the guards find in a snapshot with faults by event number (MO1)."""
+    snap, _ = _snapshot_with_reference(spark, sf_dir)
+    p0 = snap.agg(F.min("period")).first()[0]  # tiny statistic
+    i = F.col("event_id")
+    faulty = snap.select("period", F.when(i % 101 == 0, F.lit(None)).when(i % 103 == 0, 1.5).otherwise(F.col("probability")).alias("probability"),
+                         F.when(i % 107 == 0, F.lit(None)).when(i % 109 == 0, 2).when(F.col("period") == F.lit(p0), 0).otherwise(F.col("outcome")).alias("outcome"))
+    return monitor.snapshot_guards(faulty, ["period"])
+
+
 @register("monitoring_by_period", lambda: with_ctes(SNAP_SQL) + f""",
 a AS (SELECT period, action, count(*) AS rows, avg(probability) AS mean_score, avg(CAST(outcome AS DOUBLE)) AS event_rate
       FROM snap GROUP BY 1, 2),
@@ -167,6 +204,11 @@ BASELINE_MISSING = ["delinquency_count", "utilization", "debt_to_income", "credi
                     "credit_age_months"]
 
 
+# Monitoring thresholds of the baseline.
+BASELINE_THRESHOLDS = {"score_psi_warning": 0.10, "score_psi_action": 0.25, "calibration_gap_warning": 0.05, "risk_rate_relative_shift_warning": 0.20,
+                       "missingness_relative_shift_warning": 0.20, "source_mix_share_shift_warning": 0.05}
+
+
 @register("monitoring_baseline", lambda: with_ctes(acct_ctes()) + f"""
 SELECT 'source_mix' AS section, source_dataset AS key, 'share' AS metric,
        {sql_dround('count(*) / CAST((SELECT count(*) FROM scored_y) AS DOUBLE)', 6)} AS value FROM scored_y GROUP BY 2
@@ -183,7 +225,14 @@ SELECT 'risk_band', CASE WHEN pd < 0.05 THEN 'Low' WHEN pd < 0.15 THEN 'Moderate
 UNION ALL
 SELECT 'source_signal', source_dataset, 'event_rate', {sql_dround('avg(CAST(y AS DOUBLE))', 6)} FROM scored_y GROUP BY 2
 UNION ALL
-SELECT 'source_signal', source_dataset, 'mean_score', {sql_dround('avg(pd)', 6)} FROM scored_y GROUP BY 2""")
+SELECT 'source_signal', source_dataset, 'mean_score', {sql_dround('avg(pd)', 6)} FROM scored_y GROUP BY 2
+UNION ALL
+SELECT 'source_signal', source_dataset, m, {sql_dround("CASE m WHEN 'roc_auc' THEN auc ELSE 2 * auc - 1 END", 6)} FROM (
+  SELECT source_dataset, (sum(CASE WHEN y = 1 THEN r END) - sum(y) * (sum(y) + 1) / 2.0) / (CAST(sum(y) AS DOUBLE) * sum(1 - y)) AS auc
+  FROM (SELECT source_dataset, y, rank() OVER (PARTITION BY source_dataset ORDER BY pd)
+               + (count(*) OVER (PARTITION BY source_dataset, pd) - 1) / 2.0 AS r FROM scored_y) GROUP BY 1),
+  (SELECT unnest(['roc_auc', 'gini']) AS m)
+UNION ALL SELECT 'threshold', k, 'value', v FROM (VALUES {', '.join(f"('{k}', {v!r}::DOUBLE)" for k, v in BASELINE_THRESHOLDS.items())}) t(k, v)""")
 def q_monitoring_baseline(spark, sf_dir):
     """Baseline snapshot for monitoring (MO2) as one tidy (section, key, metric, value) table."""
     from creditlens.functions.columns import risk_band
@@ -203,4 +252,8 @@ def q_monitoring_baseline(spark, sf_dir):
         dround(F.avg(F.col("y").cast("double")), 6).alias("event_rate"), dround(F.avg("pd"), 6).alias("mean_score")
     ).unpivot(["key"], ["event_rate", "mean_score"], "metric", "value").select(
         F.lit("source_signal").alias("section"), "key", "metric", "value")
-    return mix.unionByName(miss).unionByName(hist).unionByName(bands).unionByName(sig)
+    power = ev.discrimination(s, "pd", "y", ["source_dataset"]).select(
+        F.col("source_dataset").alias("key"), dround("roc_auc", 6).alias("roc_auc"), dround("gini", 6).alias("gini")).unpivot(
+        ["key"], ["roc_auc", "gini"], "metric", "value").select(F.lit("source_signal").alias("section"), "key", "metric", "value")
+    limits = spark.createDataFrame([("threshold", k, "value", v) for k, v in BASELINE_THRESHOLDS.items()], mix.schema)
+    return mix.unionByName(miss).unionByName(hist).unionByName(bands).unionByName(sig).unionByName(power).unionByName(limits)
