@@ -43,7 +43,7 @@ class LibraryEncoder:
 class WordEncoder(LibraryEncoder):
     """The same ids, with the ids of known pieces kept: two generations of ``keep`` at most."""
 
-    def __init__(self, path: str, keep: int = 400_000):
+    def __init__(self, path: str, keep: int = 200_000):
         from tokenizers import Tokenizer
 
         super().__init__(path)

@@ -35,7 +35,7 @@ from creditlens.llm.shared import text_or_empty, written
 WORD = re.compile(r"[^\W_]+")
 BEGINNINGS = range(4, 9)
 GRADES = 4
-KEPT_WORDS = 400_000
+KEPT_WORDS = 100_000
 SCHEMA = "doc_id long, p_toxic double, severity double, grade int, toxic boolean"
 
 
