@@ -197,8 +197,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, branching: int =
            calibrate: int = 128, recall: float = 0.96) -> DataFrame:
     """(query_id, rank, vec_id, score): the ``k`` nearest found of each row of ``queries``, its own vec_id left out.
 
-    leaf: rows of the sample in a leaf; by default leaves are about twice the root of the
-    number of vectors, so that visits and the rows of a leaf grow alike.
+    leaf: rows of the sample in a leaf; by default leaves are about the root of the number
+    of vectors, so that visits and the rows of a leaf grow alike.
     """
     spark = vectors.sparkSession
     rows = usable(vectors)
@@ -208,8 +208,8 @@ def search(vectors: DataFrame, queries: DataFrame, k: int = 5, branching: int =
     drawn = classes.select("raw", "first").orderBy(F.xxhash64("first"), "first").limit(sample).collect()
     if not drawn:
         return spark.createDataFrame([], RESULT)
-    if leaf is None:  # about as many leaves as twice the root of the vectors
-        leaf = max(16, int(len(drawn) / (2 * classes.count() ** 0.5)))
+    if leaf is None:  # about as many leaves as the root of the vectors; k-means leaves are half full
+        leaf = max(16, int(2 * len(drawn) / classes.count() ** 0.5))
     tree = fit(unit([bytes(r["raw"]) for r in drawn]), branching, leaf)
 
     def place(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
