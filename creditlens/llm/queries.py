@@ -130,13 +130,18 @@ select file, seq, page_id, cast(start as bigint) as start, cast(length as bigint
 def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from pyspark.sql import functions as F
 
-    from creditlens.llm.op6_fixity import RECORDS, audit, number, record
+    from creditlens.llm.op6_fixity import RECORDS, audit, end_to_end, number, record
+    from creditlens.llm.shared import written
 
     pages = table(spark, sf_dir, "pages")
     files = max(1, -(-pages.count() // RECORDS))
-    kept = pages.select((number(F.col("page_id"), "file") % files).alias("file"), "page_id", record(F.col("url"), F.col("html")).alias("record"))
-    fault = number(F.col("page_id"), "fault") % 100
-    replica = kept.filter(fault != 2).withColumn(
-        "record", F.when(fault == 0, F.concat(F.substring("record", 1, 10), F.lit("~"), F.expr("substring(record, 12)")))
-        .when(fault == 1, F.expr("left(record, length(record) - 8)")).otherwise(F.col("record")))
-    return audit(kept, replica)
+    kept = pages.select((number(F.col("page_id"), "file") % files).alias("file"), "page_id", record(F.col("url"), F.col("html")).alias("record"),
+                        (number(F.col("page_id"), "fault") % 100).alias("fault"))
+    damaged = (F.when(F.col("fault") == 0, F.concat(F.substring("record", 1, 10), F.lit("~"), F.expr("substring(record, 12)")))
+               .when(F.col("fault") == 1, F.expr("left(record, length(record) - 8)")))
+    # records lie end to end; damage leaves the offsets of all others as they are
+    both = kept.withColumn("damaged", damaged).select("file", "page_id", "fault", F.octet_length("record").alias("length"), F.sha2("record", 256).alias("digest"),
+                                                      F.octet_length("damaged").alias("new_length"), F.sha2("damaged", 256).alias("new_digest"))
+    both = written(both.withColumn("start", end_to_end()))
+    replica = both.filter("fault <> 2").select("file", "page_id", "start", F.coalesce("new_length", "length").alias("length"), F.coalesce("new_digest", "digest").alias("digest"))
+    return audit(both.select("file", "page_id", "start", "length", "digest"), replica)

@@ -31,3 +31,46 @@ def test_compares_only_differing_branches(spark):
     assert compared[0] == 1 and max(compared) <= m.FANOUT and compared[-1] <= m.FANOUT
     same = m.compare(m.tree(one, inner, outer), m.tree(one, inner, outer))
     assert same[1][1:] == [0] * (inner + outer)
+
+
+def placed(rows):
+    """Rows (file, page_id, record) laid end to end in each file, as (file, page_id, record, start)."""
+    out, ends = [], {}
+    for f, p, r in rows:
+        out.append((f, p, r, ends.get(f, 0)))
+        ends[f] = out[-1][3] + len(r.encode())
+    return out
+
+
+def test_offsets_of_the_replica(spark):
+    def table(rows):
+        return spark.createDataFrame(rows, "file long, page_id long, record string, start long")
+
+    rows = placed([(f, (f * 1000 + i) * 7 % 30011, f"record {f} {i:02d} {'é' * (i % 3)}") for f in range(5) for i in range(60)] + [(2, None, "x"), (2, 9, "twin"), (2, 9, "twin")])
+    at = {(f, p): i for i, (f, p, _, _) in enumerate(rows)}
+
+    def faults(other):
+        return sorted((r.file, r.page_id or 0, r.found, r.start) for r in m.audit(table(rows), table(other)).collect())
+
+    assert faults(rows) == [] and faults(rows[::-1]) == []
+    x, y = rows[70], rows[100]  # exchanged: of the same length, so that no other record moves
+    assert len(x[2].encode()) == len(y[2].encode()) and x[0] == y[0]
+    swapped = rows[:70] + [(*y[:3], x[3])] + rows[71:100] + [(*x[:3], y[3])] + rows[101:]
+    assert faults(swapped) == sorted([(1, x[1], "moved", x[3]), (1, y[1], "moved", y[3])])
+    late = [(f, p, r, s + 4 if (f, p) == rows[10][:2] else s) for f, p, r, s in rows]
+    assert faults(late) == [(0, rows[10][1], "moved", rows[10][3])]
+    shifted = [(f, p, r, s + 512 * (f == 3)) for f, p, r, s in rows]  # a whole file
+    assert faults(shifted) == sorted((f, p, "moved", s) for f, p, _, s in rows if f == 3)
+    gone = [r for i, r in enumerate(rows) if i not in (5, at[2, None], len(rows) - 1)] + [(4, 77, "own", 10**6), (9, 1, "own file", 0)]
+    gone[50] = (*gone[50][:2], gone[50][2] + "!", gone[50][3])
+    assert faults(gone) == sorted([(0, rows[5][1], "missing", rows[5][3]), (2, 0, "missing", rows[at[2, None]][3]), (2, 9, "missing", rows[-1][3]),
+                                   (0, rows[51][1], "changed", rows[51][3]), (4, 77, "extra", None), (9, 1, "extra", None)])
+
+
+def test_nodes_cover_their_bytes(spark):
+    rows = [(f, i, "r" * 10, i * 10) for f in range(2) for i in range(40)]
+    one, two = (m.leaves(spark.createDataFrame([(*r[:3], r[3] + 5 * n * (r[0] == 1)) for r in rows], "file long, page_id long, record string, start long")) for n in (0, 1))
+    one, two = (m.tree(x, *m.depths(one)) for x in (one, two))
+    assert [(r.lo, r.hi) for r in one[-1].collect()] == [(0, 800)]
+    assert sorted((r.file, r.lo, r.hi) for r in two[2].collect()) == [(0, 0, 400), (1, 5, 405)]
+    assert one[-1].first().mark != two[-1].first().mark
