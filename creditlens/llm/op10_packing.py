@@ -10,7 +10,11 @@ and needs no other task's.  A queue that has run dry is passed over.  The rest t
 fill a last window is cut into sequences whose lengths are powers of two: nothing is padded.
 
 The targets are the queues' shares of all tokens, or given weights.  The 255 largest sources
-have a queue each, all others share one more; so what is sent to every task is bounded.
+have a queue each, all others share one more; so what is sent to every task is bounded.  The
+shared queue is dealt in the same way by rounds of its own: a chunk's round follows from its
+source's share alone (with a first deficit by the source's hash, so that small sources do not
+all come last), and the places of rounds and of chunks in them are prefix sums by exchanges.
+A weight for '' is for all sources of the shared queue that have none, by their tokens.
 
 Defined results: a null text is empty, and an empty document is its end id alone; a null
 source is a source of its own; repeated rows are packed once each; an empty table gives no
@@ -126,6 +130,55 @@ class Rounds:
         return out[0], out[1], out[2] - out[1], out[3], out[4]
 
 
+def _deal(chunk: int, size: int):
+    """mapInArrow over documents of the shared queue: their parts, and the round of the queue that serves each."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for lo in range(0, batch.num_rows, 512):
+                rows = batch.slice(lo, 512)
+                n, at, per, phase = (rows.column(x).to_numpy(zero_copy_only=False) for x in ("n_tokens", "at", "per", "phase"))
+                chunks = (at + n - 1) // chunk - at // chunk + 1
+                doc = np.repeat(np.arange(len(n)), chunks)
+                no = at[doc] // chunk + np.arange(len(doc)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
+                turn = np.floor((no + phase[doc]) * chunk / per[doc]).astype(np.int64)
+                first = np.flatnonzero(np.r_[True, (np.diff(doc) != 0) | (np.diff(turn) != 0)])
+                last = np.r_[first[1:], len(doc)] - 1
+                d = doc[first]
+                x = np.maximum(at[d], no[first] * chunk)
+                part = np.minimum(at[d] + n[d], (no[last] + 1) * chunk) - x
+                skip = x - at[d]
+                raw, take = rows.column("ids").to_pylist(), pa.array(d)
+                own = [raw[i][b * size:(b + m) * size] for i, b, m in zip(d.tolist(), skip.tolist(), part.tolist())]
+                yield pa.RecordBatch.from_arrays(
+                    [*(rows.column(c).take(take) for c in ("doc_id", "source", "n_tokens", "key")), pa.array(own, pa.binary()), pa.array(skip), pa.array(part),
+                     pa.array(turn[first]), pa.array(x)],
+                    names=["doc_id", "source", "n_tokens", "key", "ids", "skip", "part", "turn", "x"])
+
+    return run
+
+
+def _shared(placed: DataFrame, shares: DataFrame, width: float, chunk: int, size: int, queue: int) -> DataFrame:
+    """Parts of the documents of the shared queue and their places in it; shares: (key, share) of its sources."""
+    spark = placed.sparkSession
+    phase = F.pmod(F.xxhash64("key"), F.lit(1 << 20)) / F.lit(float(1 << 20))
+    parts = written(placed.join(shares.select("key", (F.col("share") * width).alias("per"), phase.alias("phase")), "key")
+                    .mapInArrow(_deal(chunk, size), "doc_id long, source string, n_tokens long, key string, ids binary, skip long, part long, turn long, x long"))
+    turns = parts.groupBy("turn").agg(F.sum("part").alias("n"))
+    most = turns.agg(F.max("turn")).first()[0] + 1
+    group = F.floor(F.col("turn") / F.lit(most / 1024)).cast("long")
+    turns = written(turns.withColumn("group", group))
+    ends, total = [], 0
+    for r in turns.groupBy("group").agg(F.sum("n").alias("n")).orderBy("group").collect():  # 1025 at most
+        ends.append((r["group"], total))
+        total += r["n"]
+    inside = F.coalesce(F.sum("n").over(Window.partitionBy("group").orderBy("turn").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    base = (turns.withColumn("inside", inside).join(F.broadcast(spark.createDataFrame(ends, "group long, before long")), "group")
+            .select("turn", (F.col("inside") + F.col("before")).alias("base")))
+    ahead = F.coalesce(F.sum("part").over(Window.partitionBy("turn").orderBy("key", "x").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # of one round
+    return (parts.withColumn("ahead", ahead).join(base, "turn")
+            .select("doc_id", "source", "n_tokens", "ids", F.lit(queue).alias("queue"), (F.col("base") + F.col("ahead")).alias("at"), "skip", "part"))
+
+
 def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, chunk: int = 4,
          weights: dict[str, float] | None = None) -> DataFrame:
     """Pieces of all documents: where each run of a document's ids lies in which sequence."""
@@ -142,28 +195,40 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, chunk
     rest = whole - sum(totals)
     if rest:
         totals.append(rest)
+    names = spark.createDataFrame([(r["key"], i) for i, r in enumerate(top)], "key string, queue int")
     given = [weights.get(r["key"][1:], 0) if r["key"][0] == "s" else 0 for r in top] if weights else None
-    if given is not None and rest:
-        given.append(weights.get("", 0))
+    if rest:
+        others = sums.join(F.broadcast(names), "key", "left_anti").groupBy("key").agg(F.sum("n").alias("n"))  # at most QUEUES rows are sent
+        if given is None:
+            shares = others.select("key", (F.col("n") / F.lit(rest)).alias("share"))
+        else:
+            own = spark.createDataFrame([(f"s{k}", float(w)) for k, w in weights.items() if k], "key string, weight double")
+            others = written(others.join(own, "key", "left"))
+            listed, least, plain = others.agg(F.sum("weight"), F.min("weight"), F.sum(F.when(F.col("weight").isNull(), F.col("n")))).first()
+            left = weights.get("", 0) if plain else 0
+            if plain and left <= 0 or least is not None and least <= 0:
+                raise ValueError("a queue's weight must be positive")
+            given.append((listed or 0) + left)
+            shares = others.select("key", (F.coalesce("weight", F.col("n") * F.lit(left / (plain or 1))) / F.lit(float(given[-1]))).alias("share"))
     rounds = Rounds(totals, given, window, chunk)
 
-    names = spark.createDataFrame([(r["key"], i) for i, r in enumerate(top)], "key string, queue int")
-    queued = sums.join(F.broadcast(names), "key", "left").withColumn("queue", F.coalesce("queue", F.lit(len(top))))  # at most QUEUES rows
-    by_task = queued.groupBy("queue", "task").agg(F.sum("n").alias("n"))
-    earlier = F.sum("n").over(Window.partitionBy("queue").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
-    inside = F.sum("n").over(Window.partitionBy("queue", "task").orderBy("key").rowsBetween(Window.unboundedPreceding, -1))
-    bases = (queued.withColumn("inside", F.coalesce(inside, F.lit(0)))
-             .join(by_task.withColumn("earlier", F.coalesce(earlier, F.lit(0))).drop("n"), ["queue", "task"])
-             .select("task", "key", "queue", (F.col("earlier") + F.col("inside")).alias("base")))
-    placed = (ids.withColumn("key", key).join(bases, ["task", "key"])
-              .select("doc_id", "source", "n_tokens", "ids", "queue", (F.col("base") + F.col("place")).alias("at")))
+    earlier = F.sum("n").over(Window.partitionBy("key").orderBy("task").rowsBetween(Window.unboundedPreceding, -1))
+    bases = (sums.withColumn("base", F.coalesce(earlier, F.lit(0)))
+             .join(F.broadcast(names), "key", "left").select("task", "key", "queue", "base"))  # at most QUEUES rows
+    found = (ids.withColumn("key", key).join(bases, ["task", "key"])
+             .select("doc_id", "source", "key", "n_tokens", "ids", "queue", (F.col("base") + F.col("place")).alias("at")))
+    placed = found.select("doc_id", "source", "n_tokens", "ids", "queue", "at", F.lit(0).cast("long").alias("skip"), F.col("n_tokens").alias("part"))
+    if rest:
+        width = max(float(rounds.quanta[-1]) / (1 << SHIFT), float(chunk))
+        dealt = _shared(found.filter("queue is null").drop("queue"), shares, width, chunk, np.dtype(dtype).itemsize, len(top))
+        placed = placed.filter("queue is not null").unionByName(dealt)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = rounds.chunk
         for batch in batches:
             for lo in range(0, batch.num_rows, 512):
                 part = batch.slice(lo, 512)
-                n, queue, at = (part.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("n_tokens", "queue", "at"))
+                n, queue, at, skip = (part.column(x).to_numpy(zero_copy_only=False).astype(np.int64) for x in ("part", "queue", "at", "skip"))
                 chunks = (at + n - 1) // c - at // c + 1
                 doc = np.repeat(np.arange(len(n)), chunks)
                 no = at[doc] // c + np.arange(len(doc)) - np.repeat(np.cumsum(chunks) - chunks, chunks)
@@ -182,7 +247,7 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, chunk
                 crc = [zlib.crc32(tokens[i][s:s + m]) for i, s, m in zip(d.tolist(), start.tolist(), length.tolist())]
                 take = pa.array(d)
                 yield pa.RecordBatch.from_arrays(
-                    [part.column("doc_id").take(take), pa.array(start), pa.array(length), pa.array(crc, pa.int64()),
+                    [part.column("doc_id").take(take), pa.array(start + skip[d]), pa.array(length), pa.array(crc, pa.int64()),
                      part.column("n_tokens").take(take), pa.array(seq), pa.array(offset), part.column("source").take(take)],
                     names=["doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset", "source"])
 

@@ -109,6 +109,36 @@ def test_weights_and_many_sources(spark):
     assert abs(sum(p.length for p in first if p.source == "a") / sum(p.length for p in first) - 0.75) < 0.05
 
 
+def test_shares_of_more_sources_than_queues(spark):
+    rows = [(i, "word " * (90 if i < 300 else 9), f"host{i % 300}" if i < 600 else f"tiny{i}") for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5)
+    given = docs.collect()
+
+    def tokens(pieces, wanted):
+        out = {}
+        for p in pieces:
+            if wanted(p):
+                out[p.source] = out.get(p.source, 0) + p.length
+        return out
+
+    pieces = pack(docs, WORDS, END, 2048).collect()
+    check_pieces(pieces, given, 2048)
+    whole = tokens(pieces, lambda p: True)
+    total = sum(whole.values())
+    for seq in range(total // 2048):
+        before = tokens(pieces, lambda p: p.sequence_id <= seq)
+        for source, n in whole.items():
+            assert abs(before.get(source, 0) - n * (seq + 1) * 2048 / total) <= 20, (seq, source)
+        tiny = sum(n for source, n in before.items() if source[0] == "t") / sum(before.values())
+        assert abs(tiny - sum(n for source, n in whole.items() if source[0] == "t") / total) < 0.05
+    heavy = pack(docs, WORDS, END, 2048, weights={"": 100.0, "tiny899": 100.0, **{f"host{i}": 1.0 for i in range(300)}}).collect()
+    check_pieces(heavy, given, 2048)
+    first = tokens(heavy, lambda p: p.sequence_id == 0)
+    assert first["tiny899"] == whole["tiny899"] > 0
+    with pytest.raises(ValueError):
+        pack(docs, WORDS, END, 2048, weights={f"host{i}": 1.0 for i in range(300)})
+
+
 def test_rounds_serve_everything_once():
     r = Rounds([1000, 37, 1, 555], None, 64, 4)
     k = np.arange(0, 200)
