@@ -49,16 +49,19 @@ def fingerprint(text: str, shingle: int) -> int:
     return int(np.packbits(2 * votes > n, bitorder="little").view("<u8")[0])
 
 
-def fingerprints(docs: DataFrame, shingle: int) -> DataFrame:
-    """(doc_id, fp): the fingerprint as a signed 64-bit integer."""
+def fingerprints(docs: DataFrame, shingle: int, hashed: bool = False) -> DataFrame:
+    """(doc_id, fp): the fingerprint as a signed 64-bit integer; with ``hashed`` also h, the hash of the text."""
+    more = [F.xxhash64("text").alias("h")] if hashed else []
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for at in range(0, batch.num_rows, 1024):
                 part = batch.slice(at, 1024)
                 fp = np.array([fingerprint(t.as_py(), shingle) for t in part.column("text")], dtype=np.uint64)
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), pa.array(fp.view(np.int64))], names=["doc_id", "fp"])
+                own = {"doc_id": part.column("doc_id"), "fp": pa.array(fp.view(np.int64))} | ({"h": part.column("h")} if hashed else {})
+                yield pa.RecordBatch.from_arrays(list(own.values()), names=list(own))
 
-    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text")).mapInArrow(run, "doc_id long, fp long")
+    return docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"), *more).mapInArrow(run, "doc_id long, fp long" + ", h long" * hashed)
 
 
 def trie_pairs(values: np.ndarray, starts: np.ndarray, ends: np.ndarray, depth: int, bits: int) -> tuple[np.ndarray, np.ndarray]:
@@ -196,20 +199,42 @@ def links(fps: DataFrame, bits: int, most: int = 4096) -> DataFrame:
     return found
 
 
-def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
-    """(doc_id, fingerprint, component_id) of every document."""
+def near_duplicates(docs: DataFrame, shingle: int = 3, bits: int = 2, hashed: bool = False) -> DataFrame:
+    """(doc_id, fingerprint, component_id) of every document; with ``hashed`` also h (of its text) and component."""
     if not 0 <= bits < 8:
         raise ValueError("the budget is from 0 to 7 bits")
-    fps = written(fingerprints(docs, shingle))
+    fps = written(fingerprints(docs, shingle, hashed))
     classes = written(fps.groupBy("fp").agg(F.min("doc_id").alias("first")))
     found = components(links(classes, bits)).select(F.col("node").alias("fp"), "component")
     named = classes.join(found, "fp", "left").withColumn("component", F.coalesce("component", "fp"))
     least = named.groupBy("component").agg(F.min("first").alias("component_id"))
-    return (fps.join(named.join(least, "component").select("fp", "component_id"), "fp")
-            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id"))
+    more = ["h", "component"] if hashed else []
+    return (fps.join(named.join(least, "component").select("fp", "component_id", *more[1:]), "fp")
+            .select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id", *more))
+
 
+def first_of_each(docs: DataFrame, shingle: int = 3, bits: int = 2, one: bool = False) -> DataFrame:
+    """The documents, all columns, that are the smallest doc_id of their component, and those without a doc_id.
 
-def first_of_each(docs: DataFrame, shingle: int = 3, bits: int = 2) -> DataFrame:
-    """The documents, all columns, that are the smallest doc_id of their component, and those without a doc_id."""
-    gone = near_duplicates(docs, shingle, bits).filter("doc_id <> component_id").select("doc_id").distinct()
-    return docs.join(gone, "doc_id", "left_anti").select(docs.columns)
+    Rows are told apart by doc_id and text.  With ``one`` a component keeps one row: of the
+    texts of its smallest doc_id the one with the smallest hash, and of equal rows any.
+    """
+    found = near_duplicates(docs, shingle, bits, hashed=True).filter("doc_id is not null")
+    if one:
+        found = written(found)
+        stays = found.filter("doc_id = component_id").groupBy("component").agg(F.min("h").alias("least"))
+        gone = found.join(stays, "component").filter("doc_id <> component_id or h <> least")
+    else:
+        gone = found.filter("doc_id <> component_id")
+
+    def same(keys: DataFrame):
+        keys = keys.select(F.col("doc_id").alias("s_id"), F.col("h").alias("s_h"))
+        return keys, (docs["doc_id"].cast("long") == keys["s_id"]) & (F.xxhash64(docs["text"]) == keys["s_h"])
+
+    kept = docs.join(*same(gone.select("doc_id", "h").distinct()), "left_anti")
+    if not one:
+        return kept
+    often = written(found.groupBy("doc_id", "h").count().filter("count > 1"))
+    single = kept.join(*same(often), "left_anti")
+    repeated = kept.join(*same(often), "left_semi").withColumn("s_h", F.xxhash64("text")).dropDuplicates(["doc_id", "s_h"])
+    return single.unionByName(repeated.select(docs.columns))

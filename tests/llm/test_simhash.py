@@ -88,3 +88,14 @@ def test_near_duplicates(spark, small_dir):
     assert kept.columns == docs.columns
     assert sorted(r.doc_id for r in kept.collect() if r.doc_id is not None) == sorted(r.doc_id for r, c in zip(given, label) if r.doc_id is not None and least[c] == r.doc_id)
     assert near_duplicates(docs.limit(0)).count() == 0
+
+
+def test_repeated_doc_ids(spark):
+    copied, clean, other = ("the quick brown fox jumps over a lazy dog", "an entirely different text stands alone here", "yet another text of its own words entirely")
+    rows = [(1, copied, "x"), (2, copied, "x"), (2, clean, "x"), (3, other, "x"), (3, other, "x"), (3, other.upper(), "x"), (None, copied, "x"), (None, copied, "x")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string").selectExpr("*", "1 as h", "2 as component")
+    kept = first_of_each(docs, one=True)
+    assert kept.columns == docs.columns
+    got = sorted((r.doc_id or 0, r.text.lower()) for r in kept.collect())
+    assert got == sorted([(0, copied), (0, copied), (1, copied), (2, clean), (3, other)])
+    assert sorted((r.doc_id or 0, r.text) for r in first_of_each(docs).collect()) == sorted((i or 0, t) for i, t, _ in rows if (i, t) != (2, copied))
