@@ -65,6 +65,12 @@ def q_portfolio_allocation_tight(spark, sf_dir):
     return _usage(spark, sf_dir, replace(PolicyAssumptions(), **TIGHT))
 
 
+@register("portfolio_allocation_values")
+def q_portfolio_allocation_values(spark, sf_dir):
+    """Allocation under the default caps: usage of each cap, value, dual bound and gap (no SQL)."""
+    return _usage_values(spark, sf_dir, PolicyAssumptions()).withColumnRenamed("constraint", "constraint_name")
+
+
 def _usage(spark, sf_dir, a):
     v = _usage_values(spark, sf_dir, a)
     return v.select(F.col("constraint").alias("constraint_name"), "cap", F.col("accounts").cast("bigint").alias("accounts"),

@@ -98,6 +98,20 @@ FROM s, (SELECT unnest(['with_language', 'text_length_only', 'language_only']) A
 def q_ml_ablation(spark, sf_dir):
     """Feature-set ablation with Spark ML; every pipeline is saved, all its files are checked
     against the manifest and it is read again before scoring (E22, M6)."""
+    out = _ablation(spark, sf_dir)
+    best = F.max(F.when(F.col("feature_set") == "language_only", F.col("roc_auc"))).over(Window.partitionBy(F.lit(0)))  # three rows
+    full = F.max(F.when(F.col("feature_set") == "with_language", F.col("roc_auc"))).over(Window.partitionBy(F.lit(0)))
+    return out.select("feature_set", "accounts", F.lit(True).alias("files_verified"), F.col("roc_auc").between(0, 1).alias("auc_in_range"),
+                      (full >= best).alias("full_set_not_worse"))
+
+
+@register("ml_ablation_scores")
+def q_ml_ablation_scores(spark, sf_dir):
+    """Feature-set ablation: the AUC of each set on the test split (no SQL)."""
+    return _ablation(spark, sf_dir)
+
+
+def _ablation(spark, sf_dir):
     from creditlens.operators import models, resample as rs
     from pyspark.ml import PipelineModel
     d = rs.stratified_split(adapters.shared_documents(spark, sf_dir), ["quality"], "doc_id").persist()
@@ -123,7 +137,4 @@ def q_ml_ablation(spark, sf_dir):
     out = rows[0]
     for r in rows[1:]:
         out = out.unionByName(r)
-    best = F.max(F.when(F.col("feature_set") == "language_only", F.col("roc_auc"))).over(Window.partitionBy(F.lit(0)))  # three rows
-    full = F.max(F.when(F.col("feature_set") == "with_language", F.col("roc_auc"))).over(Window.partitionBy(F.lit(0)))
-    return out.select("feature_set", "accounts", F.lit(True).alias("files_verified"), F.col("roc_auc").between(0, 1).alias("auc_in_range"),
-                      (full >= best).alias("full_set_not_worse"))
+    return out

@@ -55,9 +55,7 @@ FROM s, (SELECT unnest(['Gradient boosted trees', 'Regularized logistic regressi
 def q_ml_train_select(spark, sf_dir):
     """Candidates on labelled documents: rows and events of each split, and whether the champion follows the rule."""
     from creditlens.operators import models
-    d = adapters.shared_documents(spark, sf_dir)
-    s = rs.stratified_split(d, ["quality"], "doc_id").persist()
-    r = models.train_select(s, ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"], "quality").persist()
+    s, r = _trained(spark, sf_dir)
     events = s.groupBy("split").agg(F.sum("quality").cast("bigint").alias("positives"))
     val = r.filter("split = 'validation'")
     top = val.agg(F.max("roc_auc").alias("top"), F.min(F.when(F.col("champion"), F.col("brier_score"))).alias("b"), F.sum(F.col("champion").cast("int")).alias("n"))
@@ -70,12 +68,38 @@ def q_ml_train_select(spark, sf_dir):
                     "one_champion", "champion_by_rule"))
 
 
+def _trained(spark, sf_dir):
+    """The split documents, and the measures of each candidate on each split."""
+    from creditlens.operators import models
+    s = rs.stratified_split(adapters.shared_documents(spark, sf_dir), ["quality"], "doc_id").persist()
+    return s, models.train_select(s, ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"], "quality").persist()
+
+
+@register("ml_train_select_scores")
+def q_ml_train_select_scores(spark, sf_dir):
+    """Candidates on labelled documents: AUC and Brier score of each split, and which one is the champion (no SQL)."""
+    return _trained(spark, sf_dir)[1].select("model", "split", F.col("accounts").cast("bigint").alias("accounts"), "roc_auc", "brier_score", "champion")
+
+
 @register("ml_calibration", f"""WITH {SPLIT_SQL}
 SELECT m.model, CAST(count(*) AS BIGINT) AS accounts, CAST(sum(quality) AS BIGINT) AS positives, TRUE AS probabilities_valid, TRUE AS better_than_even
 FROM s, (SELECT unnest(['uncalibrated', 'sigmoid_calibrated']) AS model) m WHERE split = 'test' GROUP BY 1""")
 def q_ml_calibration(spark, sf_dir):
     """Test split before and after cross-fitted sigmoid calibration: rows, events, valid probabilities, Brier below 0.25."""
     from creditlens.operators import evaluate as ev
+    raw, cal = _calibrated(spark, sf_dir)
+
+    def m(x, col, name):
+        p = F.col(col)
+        valid = x.agg(F.bool_and((p >= 0) & (p <= 1)).alias("probabilities_valid"), F.sum("quality").cast("bigint").alias("positives"))
+        return ev.proper_scores(x, col, "quality").select("brier_score", "accounts").crossJoin(F.broadcast(valid)).select(  # one row each
+            F.lit(name).alias("model"), F.col("accounts").cast("bigint").alias("accounts"), "positives", "probabilities_valid",
+            (F.col("brier_score") < 0.25).alias("better_than_even"))
+    return m(raw, "p", "uncalibrated").unionByName(m(cal, "p_cal", "sigmoid_calibrated"))
+
+
+def _calibrated(spark, sf_dir):
+    """The test split scored before (p) and after (p_cal) calibration."""
     from creditlens.operators import models
     d = rs.stratified_split(adapters.shared_documents(spark, sf_dir), ["quality"], "doc_id").persist()
     num, cat = ["n_chars", "n_words", "n_lines", "chars_per_word"], ["lang"]
@@ -83,14 +107,18 @@ def q_ml_calibration(spark, sf_dir):
     pipe = models.candidates(num, cat, "quality", train.count())["Regularized logistic regression"]
     raw = models.score(pipe.fit(train), d.filter("split = 'test'"))
     predict = models.sigmoid_calibrated(d, pipe, "quality", "doc_id", F.col("split") == "train")
-    cal = predict(d.filter("split = 'test'"))
+    return raw, predict(d.filter("split = 'test'"))
+
+
+@register("ml_calibration_scores")
+def q_ml_calibration_scores(spark, sf_dir):
+    """Test split before and after cross-fitted sigmoid calibration: AUC and Brier score (no SQL)."""
+    from creditlens.operators import evaluate as ev
 
     def m(x, col, name):
-        p = F.col(col)
-        valid = x.agg(F.bool_and((p >= 0) & (p <= 1)).alias("probabilities_valid"), F.sum("quality").cast("bigint").alias("positives"))
-        return ev.proper_scores(x, col, "quality").select("brier_score", "accounts").crossJoin(F.broadcast(valid)).select(  # one row each
-            F.lit(name).alias("model"), F.col("accounts").cast("bigint").alias("accounts"), "positives", "probabilities_valid",
-            (F.col("brier_score") < 0.25).alias("better_than_even"))
+        return ev.proper_scores(x, col, "quality").select("brier_score", "accounts").crossJoin(F.broadcast(ev.discrimination(x, col, "quality").select("roc_auc"))).select(  # one row each
+            F.lit(name).alias("model"), F.col("accounts").cast("bigint").alias("accounts"), "roc_auc", "brier_score")
+    raw, cal = _calibrated(spark, sf_dir)
     return m(raw, "p", "uncalibrated").unionByName(m(cal, "p_cal", "sigmoid_calibrated"))
 
 
