@@ -128,16 +128,21 @@ def _is_word_file(spec: dict) -> bool:
             and bool(spec["model"].get("end_of_word_suffix")) and not spec["model"].get("dropout"))
 
 
+def tokenizer_path(name_or_path: str) -> str:
+    """Where a tokenizer file lies; a bare name is a public tokenizer."""
+    if "/" in name_or_path:
+        return name_or_path
+    import public_tokenizers
+
+    return str(public_tokenizers.path(name_or_path))
+
+
 @functools.lru_cache(maxsize=4)
 def encoder(name_or_path: str) -> LibraryEncoder:
     """The encoder of a tokenizer file, one per Python process; a bare name is a public tokenizer."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
-    path = name_or_path
-    if "/" not in path:
-        import public_tokenizers
-
-        path = str(public_tokenizers.path(path))
+    path = tokenizer_path(name_or_path)
     spec = json.load(open(path, encoding="utf-8"))
     return WordEncoder(path) if _is_word_file(spec) else LibraryEncoder(path)

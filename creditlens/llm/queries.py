@@ -9,6 +9,8 @@ from pyspark.sql import DataFrame, SparkSession
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLE: dict[str, str] = {}
 WORDS = "word_bpe_49k.json"
+BYTES = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 END = 2
 
 
@@ -145,3 +147,10 @@ def op6_fixity(spark: SparkSession, sf_dir: str) -> DataFrame:
     both = written(both.withColumn("start", end_to_end()))
     replica = both.filter("fault <> 2").select("file", "page_id", "start", F.coalesce("new_length", "length").alias("length"), F.coalesce("new_digest", "digest").alias("digest"))
     return audit(both.select("file", "page_id", "start", "length", "digest"), replica)
+
+
+@query("op11_alignment")
+def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op11_alignment import align
+
+    return align(table(spark, sf_dir, "documents"), BYTES, PIECES)

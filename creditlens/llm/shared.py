@@ -20,10 +20,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
-def written(df: DataFrame) -> DataFrame:
+def written(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends there."""
     path = shared_folder(df.sparkSession)
-    df.write.parquet(path)
+    writer = df.write.option("compression", compression) if compression else df.write
+    writer.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
