@@ -154,3 +154,34 @@ def op11_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
     from creditlens.llm.op11_alignment import align
 
     return align(table(spark, sf_dir, "documents"), BYTES, PIECES)
+
+
+# The CRC-32 of a decimal number, bit by bit: a byte is mixed in (value >= 0), then eight shifts (-1).
+_CRC = """xor(list_reduce(flatten([[4294967295::bigint]] || list_transform(string_split(conv_id::varchar, ''), lambda x: [ascii(x)::bigint, -1, -1, -1, -1, -1, -1, -1, -1])),
+ lambda c, e: case when e >= 0 then xor(c, e) else xor(c >> 1, 3988292384 * (c & 1)) end), 4294967295)"""
+_TURN = "sha256(length(coalesce(role, '')) || ':' || coalesce(role, '') || coalesce(text, ''))"
+
+
+@query("op13_prefix_trie", rf"""
+with t as (select conv_id, row_number() over (partition by conv_id order by turn nulls first, {_TURN}) - 1 as i, {_TURN} as d,
+             len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) as w from conversations where conv_id is not null),
+ c as (select conv_id, {_CRC} % 4 as h from (select distinct conv_id from t)),
+ r as (select c.conv_id, 0 as part, i, d, w from c join t on t.conv_id = c.conv_id - c.conv_id % 20 and t.i < h
+       union all select c.conv_id, 1, i, d, w from c join t on t.conv_id = c.conv_id and t.i >= h),
+ s as (select c.conv_id, coalesce(p, []) as p, coalesce(ws, []) as ws
+       from c left join (select conv_id, list(d order by part, i) as p, list(w order by part, i) as ws from r group by conv_id) using (conv_id)),
+ m as (select conv_id, p, ws, unnest(range(0, len(p) + 1)) as depth from s),
+ g as (select depth, md5(array_to_string(p[1:depth], ',')) as node, case when depth > 0 then md5(array_to_string(p[1:depth - 1], ',')) end as above, min(conv_id) as conv_id,
+         count(*) as n_convs, min(case when depth > 0 then ws[depth] else 0 end) as w, any_value(p[1:depth]) as path,
+         coalesce(string_agg(conv_id::varchar, ',' order by conv_id) filter (where len(p) = depth), '') as ends from m group by all),
+ k as (select above, depth - 1 as depth, count(*) as n from g where depth > 0 group by all),
+ f as (select g.*, coalesce(k.n, 0) as n_children from g left join k on k.above = g.node and k.depth = g.depth),
+ u as (select unnest(range(0, depth + 1)) as d, path, (n_convs - 1) * w as saved, n_children = 0 as leaf from f),
+ a as (select d as depth, md5(array_to_string(path[1:d], ',')) as node, sum(saved)::bigint as saved_tokens, count(*) filter (where leaf) as n_leaves from u group by all)
+select f.conv_id, f.depth, o.conv_id as parent_conv_id, f.n_convs, f.n_children, n_leaves, saved_tokens, sha256(f.ends) as ends_sha256
+from f join a on a.node = f.node and a.depth = f.depth left join g o on o.node = f.above and o.depth = f.depth - 1""")
+def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op13_prefix_trie import rebuilt, sequences, trie
+    from creditlens.llm.shared import written
+
+    return trie(rebuilt(written(sequences(table(spark, sf_dir, "conversations"))), every=20, most=4))
