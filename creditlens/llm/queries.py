@@ -185,3 +185,10 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     from creditlens.llm.shared import written
 
     return trie(rebuilt(written(sequences(table(spark, sf_dir, "conversations"))), every=20, most=4))
+
+
+@query("op12_suffix_tree")
+def op12_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
+    from creditlens.llm.op12_suffix_tree import scores
+
+    return scores(table(spark, sf_dir, "documents"), depth=3, least=16, divergence=2.0)
