@@ -1,18 +1,12 @@
-"""Portfolio-constrained allocation (D14, D15) as a Lagrangian multiple-choice knapsack.
+"""Portfolio-constrained allocation (D14, D15) as a multiple-choice knapsack over accounts.
 
 Every account chooses exactly one option (hold or an eligible increase).  Four
 portfolio caps couple the choices: total limit growth, expected-loss growth,
 capital for incremental exposure, and the number of higher-risk increases.
 Usage is measured relative to hold, so all-hold is always feasible.
 
-For multipliers lambda >= 0 each account independently takes
-argmax(value - lambda . usage) (ties to the smaller increase): a narrow,
-in-row computation.  A batch of lambda vectors is evaluated in ONE job (a
-literal array, one aggregation per batch); the dual value
-sum_max + lambda . caps bounds the optimum from above.  The best feasible
-lambda is kept, caps are verified once more, and the result reports the dual
-bound and the gap.  The instance is never collected: only per-lambda totals
-(a few numbers per lambda) reach the driver.
+``knapsack.solve`` finds multipliers, fills what they leave free and publishes the gap to
+the dual bound; a gap above the target is an error.  The instance is never collected.
 """
 
 from __future__ import annotations
@@ -22,12 +16,12 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import let
-from creditlens.operators import policy
+from creditlens.operators import knapsack, policy
 from creditlens.operators.policy import PolicyAssumptions
 
 HIGHER_RISK = ("Moderate", "High", "Very high")
-N_RES = 4
+N_RES = knapsack.N_RES
+CAPS = ("limit_growth", "loss_growth", "capital", "higher_risk_increases")
 
 
 @dataclass
@@ -63,28 +57,6 @@ def options(decided: DataFrame, a: PolicyAssumptions) -> DataFrame:
     return decided.withColumn("options", F.transform(cands, opt))
 
 
-def _choose(opts: Column, lam: list[Column]) -> Column:
-    scored = F.transform(opts, lambda o: F.struct(
-        (o["v"] - lam[0] * o["a1"] - lam[1] * o["a2"] - lam[2] * o["a3"] - lam[3] * o["a4"]).alias("r"),
-        (-o["pct"]).alias("neg_pct"), o.alias("o")))
-    return F.array_max(scored)
-
-
-def evaluate(opts: DataFrame, lambdas: list[tuple]) -> list[dict]:
-    """Totals per lambda vector in one job: value, usage per resource, sum of reduced maxima."""
-    lam_arr = F.array(*[F.struct(F.lit(i).alias("lid"), *[F.lit(float(x)).alias(f"l{k}") for k, x in enumerate(l)])
-                        for i, l in enumerate(lambdas)])
-
-    def per_lambda(l):
-        return let(_choose(F.col("options"), [l[f"l{k}"] for k in range(N_RES)]), lambda best: F.struct(
-            l["lid"].alias("lid"), best["r"].alias("r"), best["o"]["v"].alias("v"),
-            *[best["o"][f"a{k + 1}"].alias(f"u{k + 1}") for k in range(N_RES)]))
-    rows = opts.select(F.inline(F.transform(lam_arr, per_lambda)))
-    agg = rows.groupBy("lid").agg(F.sum("r").alias("r"), F.sum("v").alias("v"),
-                                  *[F.sum(f"u{k + 1}").alias(f"u{k + 1}") for k in range(N_RES)])
-    return [r.asDict() for r in agg.collect()]  # one row per lambda vector
-
-
 def caps_for(decided: DataFrame, a: PolicyAssumptions) -> tuple:
     t = decided.agg(F.sum("current_limit_inr").alias("lim"), F.sum("current_expected_loss").alias("loss"),
                     F.count(F.lit(1)).alias("n")).first()
@@ -92,88 +64,23 @@ def caps_for(decided: DataFrame, a: PolicyAssumptions) -> tuple:
             float(a.portfolio_capital_budget), float(t["n"]) * a.max_higher_risk_increase_share)
 
 
-def allocate(decided: DataFrame, a: PolicyAssumptions | None = None, rounds: int = 4,
-             batch: int = 24, tol: float = 1e-9, gap_target: float = 0.002, max_rounds: int = 40) -> AllocationResult:
+def allocate(decided: DataFrame, a: PolicyAssumptions | None = None, gap_target: float = 0.002, **search) -> AllocationResult:
     """Choose one option per account under the four portfolio caps (see module doc).
 
-    A common step on all violated caps is narrowed first: large enough multipliers hold every
-    account, so it ends with a feasible choice.  Then each cap's multiplier is moved by
-    itself, many candidates in one job, until the gap to the dual bound is ``gap_target`` of
-    the value or a round brings nothing.
+    The gap to the bound is at most ``gap_target`` of the value, or the gain of one account per
+    cap, which whole accounts cannot promise to beat; else ``knapsack.GapNotMet`` is raised.
     """
     a = a or PolicyAssumptions()
     caps = caps_for(decided, a)
-    opts = options(decided, a).select("account_id", "options").persist()
-    best = None   # (value, lam, usage)
-    dual = float("inf")
-
-    def consider(results, lams):
-        nonlocal best, dual
-        for r in results:
-            lam = lams[r["lid"]]
-            usage = tuple(float(r[f"u{k + 1}"]) for k in range(N_RES))
-            dual = min(dual, float(r["r"]) + sum(l * c for l, c in zip(lam, caps)))
-            if all(u <= c + tol * max(1.0, abs(c)) for u, c in zip(usage, caps)):
-                if best is None or r["v"] > best[0]:
-                    best = (float(r["v"]), lam, usage)
-
-    lams = [(0.0,) * N_RES]
-    res = evaluate(opts, lams)
-    consider(res, lams)
-    if best is None:
-        base = res[0]
-        total_v = max(abs(float(base["v"])), 1.0)
-        scale = [total_v / max(c, 1e-9) for c in caps]
-        viol = [1.0 if float(base[f"u{k + 1}"]) > caps[k] else 0.0 for k in range(N_RES)]
-        lo, hi = 2.0 ** -20, 2.0 ** 6
-        for turn in range(max_rounds):
-            if best is not None and turn >= rounds:
-                break
-            steps = [lo * (hi / lo) ** (i / (batch - 1)) for i in range(batch)]
-            lams = [tuple(s * scale[k] * viol[k] for k in range(N_RES)) for s in steps]
-            res = evaluate(opts, lams)
-            consider(res, lams)
-            feas = sorted(r["lid"] for r in res if all(
-                float(r[f"u{k + 1}"]) <= caps[k] + tol * max(1.0, abs(caps[k])) for k in range(N_RES)))
-            if not feas:
-                lo, hi = hi, hi * 2.0 ** 8
-                continue
-            j = feas[0]
-            lo, hi = (steps[j - 1] if j > 0 else steps[0] / 4), steps[j]
-            # widen the direction to every resource that binds at the best point
-            viol = [1.0 if (viol[k] or float(res[j][f"u{k + 1}"]) > 0.999 * caps[k]) else 0.0 for k in range(N_RES)]
-        if best is None:
-            opts.unpersist()
-            raise RuntimeError("no multipliers meet the portfolio caps")
-        for _ in range(rounds):
-            value, lam, _ = best
-            if dual - value <= gap_target * max(abs(value), 1.0):
-                break
-            factors = [0.0, 0.5, 0.8, 0.95, 1.1, 1.5]
-            lams = [tuple(x * f if i == k else x for i, x in enumerate(lam)) for k in range(N_RES) if lam[k] > 0 for f in factors]
-            before = (value, dual)
-            consider(evaluate(opts, lams), lams)
-            if best[0] <= before[0] and dual >= before[1]:
-                break
-    value, lam, usage = best
-    chosen = choose_with(decided, a, lam)
-    check = chosen.agg(*[F.sum(f"_u{k + 1}").alias(f"u{k + 1}") for k in range(N_RES)]).first()
-    for k in range(N_RES):
-        if float(check[f"u{k + 1}"] or 0.0) > caps[k] + tol * max(1.0, abs(caps[k])):
-            opts.unpersist()
-            raise RuntimeError(f"cap {k + 1} is exceeded by the chosen options")
-    opts.unpersist()
-    return AllocationResult(chosen, lam, value, max(dual, value), usage, caps)
-
-
-def choose_with(decided: DataFrame, a: PolicyAssumptions, lam) -> DataFrame:
-    """Apply the chosen multipliers (None = all hold) and relabel the decisions."""
-    o = options(decided, a)
-    if lam is None:
-        pick = F.col("options")[0]
-    else:
-        pick = _choose(F.col("options"), [F.lit(float(x)) for x in lam])["o"]
-    o = o.withColumn("_pick", pick)
+    found = knapsack.solve(options(decided, a).select(F.lit(0).alias("sid"), "account_id", "options"), {0: caps}, gap_target=gap_target,
+                           whole_accounts=True, **search)
+    o = found.outcomes[0]
+    return AllocationResult(choose_with(decided, a, found.chosen), o.lam, o.value, o.bound, o.usage, o.caps)
+
+
+def choose_with(decided: DataFrame, a: PolicyAssumptions, chosen: DataFrame) -> DataFrame:
+    """Take the chosen options (account_id, pick) and relabel the decisions."""
+    o = options(decided, a).join(chosen.select("account_id", "pick"), "account_id").withColumn("_pick", F.element_at("options", F.col("pick") + 1))
     restricted = F.col("action").isin(*policy.RESTRICTED_ACTIONS)
     c = F.col("_pick")["c"]
     pct = F.col("_pick")["pct"]
@@ -193,4 +100,4 @@ def choose_with(decided: DataFrame, a: PolicyAssumptions, lam) -> DataFrame:
         "policy_checks": keep("policy_checks", c["checks"]),
         **{f"_u{k + 1}": F.when(restricted, F.lit(0.0)).otherwise(F.col("_pick")[f"a{k + 1}"]) for k in range(N_RES)},
     })
-    return out.drop("options", "_pick", "candidates")
+    return out.drop("options", "pick", "_pick", "candidates")

@@ -13,7 +13,7 @@ from dataclasses import replace
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.functions.columns import let
+from creditlens.functions.columns import let, risk_band
 from creditlens.operators import policy
 from creditlens.operators.policy import PolicyAssumptions
 
@@ -99,6 +99,65 @@ def sensitivity(scored: DataFrame, base: PolicyAssumptions | None = None) -> Dat
          .otherwise(F.lit(0.0)).alias("risk_adjusted_return"))
 
 
+def constrained_sensitivity(scored: DataFrame, base: PolicyAssumptions | None = None, gap_target: float = 0.002) -> DataFrame:
+    """The 30 scenarios, each allocated again under its own portfolio caps (D16), with usage and gap.
+
+    The base scenario is solved first; its multipliers start the others, which are then solved
+    together: a round's job holds the candidates of every scenario that is still open, and each
+    scenario keeps its own bracket.  Its rows are those of ``sensitivity`` where no cap binds.
+    """
+    from creditlens.operators import allocate, knapsack
+
+    base = base or PolicyAssumptions()
+    grid = scenario_grid(base)
+    for *_, a in grid:
+        a.validate()
+    b = policy.with_behavior(scored).withColumn("_enabled", F.lit(True))
+    warning = policy._warning()[0]
+
+    def options(s):
+        P = {k: s[k] for k in PolicyAssumptions.names()}
+
+        def allowed(c):
+            kept = F.when(warning.isNotNull(), F.slice(c, 1, 1)).otherwise(F.filter(c, lambda x: x["eligible"]))
+            now_ead = c[0]["proposed_ead"]  # of the first option, hold
+            now_loss = c[0]["proposed_expected_loss"]
+            higher = F.col("_band").isin(*allocate.HIGHER_RISK)
+            return F.struct(s["sid"].alias("sid"), F.col("account_id"), F.col("_limit").alias("limit"), now_loss.alias("loss"), F.transform(kept, lambda x: F.struct(
+                x["increase_pct"].alias("pct"), x["incremental_contribution"].alias("v"), (x["proposed_limit"] - F.col("_limit")).alias("a1"),
+                (x["proposed_expected_loss"] - now_loss).alias("a2"), (F.greatest(x["proposed_ead"] - now_ead, F.lit(0.0)) * P["capital_allocation_rate"]).alias("a3"),
+                ((x["increase_pct"] > 0) & higher).cast("double").alias("a4"), x["proposed_limit"].alias("proposed_limit"),
+                x["proposed_expected_loss"].alias("proposed_expected_loss"), x["delta_ead"].alias("delta_ead"))).alias("options"))
+        return let(policy.candidates_expr(P, F.lit(True)), allowed)
+
+    rows = b.withColumn("_band", risk_band(F.col("pd"))).select(F.inline(F.transform(scenario_table(grid), options))).persist()
+    sums = rows.groupBy("sid").agg(F.sum("limit").alias("limit"), F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n")).collect()  # a row per scenario
+    caps = {}
+    for r in sums:
+        a = grid[r["sid"]][3]
+        caps[r["sid"]] = (r["limit"] * a.portfolio_growth_cap, r["loss"] * a.portfolio_loss_growth_cap, a.portfolio_capital_budget, r["n"] * a.max_higher_risk_increase_share)
+    first = next(i for i, (_, label, _, _) in enumerate(grid) if label == "Base")
+    start = knapsack.solve(rows.filter(F.col("sid") == first), {first: caps[first]}, gap_target=gap_target, whole_accounts=True).outcomes[first].lam
+    found = knapsack.solve(rows, caps, start=start, gap_target=gap_target, whole_accounts=True)
+    rows.unpersist()
+    named = scored.sparkSession.createDataFrame(
+        [(i, n, label, float(v), *map(float, found.outcomes[i].usage), *map(float, caps[i]), float(found.outcomes[i].bound), float(found.outcomes[i].gap))
+         for i, (n, label, v, _) in enumerate(grid) if i in caps],
+        "sid int, assumption string, scenario string, value double, " + ", ".join(f"usage_{c} double" for c in allocate.CAPS) + ", "
+        + ", ".join(f"cap_{c} double" for c in allocate.CAPS) + ", bound double, gap double")
+    c = F.element_at("options", F.col("pick") + 1)
+    dec = lambda x: F.sum(x.cast("decimal(38,9)"))
+    g = found.chosen.groupBy("sid").agg(
+        F.sum((c["pct"] > 0).cast("int")).cast("bigint").alias("eligible_increases"), dec(c["proposed_limit"]).alias("_pl"),
+        dec(c["proposed_expected_loss"]).alias("_pel"), dec(c["v"]).alias("_ic"), dec(c["delta_ead"]).alias("_ie"))
+    return g.join(named, "sid").select(
+        "sid", "assumption", "scenario", "value", "eligible_increases",
+        F.round("_pl", 2).cast("double").alias("proposed_limit"), F.round("_pel", 2).cast("double").alias("proposed_expected_loss"),
+        F.round("_ic", 2).cast("double").alias("incremental_contribution"),
+        F.when(F.col("_ie") != 0, F.round(F.col("_ic").cast("double") / F.col("_ie").cast("double"), 6)).otherwise(F.lit(0.0)).alias("risk_adjusted_return"),
+        *[f"{kind}_{x}" for kind in ("usage", "cap") for x in allocate.CAPS], "bound", "gap")
+
+
 def directional(decisions: DataFrame, base: PolicyAssumptions | None = None) -> DataFrame:
     """Fixed-action sensitivity: contribution is linear in LGD and elasticity."""
     a = base or PolicyAssumptions()
