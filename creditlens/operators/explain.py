@@ -68,6 +68,8 @@ def permutation_importance(df: DataFrame, key: str, source: str, label: str, rep
     bijection because the prime is above every n.  Each repeat is an equi-join on
     (source, mapped rank): unique keys, no skew, no second ranking job.
     """
+    if not 1 <= repeats <= len(PERM_PRIMES):
+        raise ValueError(f"1 to {len(PERM_PRIMES)} repeats: each needs a prime of its own")
     ranked = rank_within(df, [source], key, seed=1000).select(
         key, source, label, *PERMUTED, (F.col("stratum_rank") - 1).alias("k"), F.col("stratum_size").alias("n"))
     donors = ranked.select(source, F.col("k").alias("_k2"), *[F.col(f).alias(f"_perm_{f}") for f in PERMUTED])

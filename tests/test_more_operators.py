@@ -44,9 +44,11 @@ def test_counterfactual_ranks_and_directions(spark, small_dir):
 
 def test_affine_permutation_is_a_bijection():
     for n in (1, 2, 7, 97, 1000):
-        for r in range(1, 6):
-            image = {(k * explain.PERM_MULTIPLIER + r * 7919) % n for k in range(n)}
-            assert image == set(range(n))
+        for r, prime in enumerate(explain.PERM_PRIMES, 1):
+            image = [(k * prime + r * 7919) % n for k in range(n)]
+            assert sorted(image) == list(range(n))
+    with pytest.raises(ValueError):
+        explain.permutation_importance(None, "id", "source", "y", repeats=len(explain.PERM_PRIMES) + 1)
 
 
 def test_session_windows_match_gap_rule(spark):
