@@ -21,7 +21,7 @@ AUC_TOLERANCE = 0.02
 BOOSTING_ROUNDS = 160
 
 
-def candidates(numeric: list[str], categorical: list[str], label: str, n_train: int) -> dict[str, Pipeline]:
+def candidates(numeric: list[str], categorical: list[str], label: str, n_train: int, rounds: int = BOOSTING_ROUNDS) -> dict[str, Pipeline]:
     idx = [StringIndexer(inputCol=c, outputCol=f"{c}_idx", handleInvalid="keep") for c in categorical]
     ohe = OneHotEncoder(inputCols=[f"{c}_idx" for c in categorical], outputCols=[f"{c}_ohe" for c in categorical],
                         handleInvalid="keep") if categorical else None
@@ -32,7 +32,7 @@ def candidates(numeric: list[str], categorical: list[str], label: str, n_train:
     # C = 0.5 in the sklearn parameterisation -> regParam = 1 / (C * n)
     lr = LogisticRegression(featuresCol="features", labelCol=label, regParam=1.0 / (0.5 * max(n_train, 1)),
                             elasticNetParam=0.0, maxIter=100)
-    gbt = GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=BOOSTING_ROUNDS, stepSize=0.06, maxDepth=4,
+    gbt = GBTClassifier(featuresCol="raw_features", labelCol=label, maxIter=rounds, stepSize=0.06, maxDepth=4,
                         seed=SEED)
     return {"Regularized logistic regression": Pipeline(stages=[*pre, scaler, lr]),
             "Gradient boosted trees": Pipeline(stages=[*pre, gbt])}
