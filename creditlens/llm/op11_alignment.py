@@ -7,6 +7,9 @@
    the bytes into intervals; an interval lies in one token of each, which is one link, and no
    two intervals are the same pair of occurrences.  Common ends close the groups.  A batch of
    texts is one run of bytes for numpy, because every text ends in both.
+   Where a text has single spaces alone, neither tokenizer merges across one, so its tokens are
+   those of its words (a space and what follows up to the next) in turn; words already met
+   are kept in the worker.  All other texts are encoded whole.
 3. Pair counts: a text's distinct pairs (b << 16 | a) and their numbers are written with it.
    Tasks sum them, times the copies of the text, before the exchange by pair.
 4. Measures: the counts are written in ranges of pairs.  A task sorts the pairs of a group of texts
@@ -24,8 +27,11 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import json
 import os
+import re
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +47,10 @@ CHARS = 400_000     # characters of the texts that are aligned at once
 HELD = 1 << 22      # pairs that a task holds at once
 RANGE = 1 << 20     # pairs of one range of the counts
 MEASURES = "n_a long, n_b long, n_groups long, n_links long, groups_sha256 string"
+KEPT = 400_000      # words that a worker keeps
+_RUNS = re.compile(r"\s \s?| \s")  # white space beside a space
+_PLAIN = re.compile("[!-~¡-¬®-ſ]+")  # ASCII and Latin letters, no marks that combine
+_NONE = np.zeros(0, dtype="<u4")
 COLUMNS = ("doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups_sha256")
 
 
@@ -70,6 +80,26 @@ class Pair:
         self.len_a, self.len_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (self.bytes_a, self.bytes_b))
         self.parts = [f"{i}{end}".encode() for i in range(size_a) for end in ",|"] + [f"{i}{end}".encode() for i in range(size_b) for end in ",;"]
         self.first_b = 2 * size_a
+        self.apart, self.ranked = self._words_apart(), self._by_rank(path_a)
+        self.forget()
+
+    def _words_apart(self) -> bool:
+        """Whether no token has a space after a character that is none, so that none spans two words."""
+        return not any(re.search(r"\S ", x.decode("utf-8", "replace")) for x in (*self.bytes_a, *self.bytes_b))
+
+    def _by_rank(self, path: str):
+        """A faster library for plain words of the same file, where the order of its merges is that of its ids."""
+        import tiktoken
+
+        spec = json.load(open(path, encoding="utf-8"))
+        merges = ["".join(m) if isinstance(m, list) else m.replace(" ", "") for m in spec["model"]["merges"]]
+        vocab, added = spec["model"]["vocab"], {x["content"] for x in spec["added_tokens"]}
+        made, pre = [vocab[m] for m in merges], spec["pre_tokenizer"] or {}
+        if (spec.get("normalizer") or pre.get("type") != "ByteLevel" or pre.get("add_prefix_space") or not pre.get("use_regex", True)
+                or made != sorted(set(made)) or len(vocab.keys() - added) != len(made) + 256):
+            return None
+        words = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+        return tiktoken.Encoding("ranked", pat_str=words, special_tokens={}, mergeable_ranks={self.bytes_a[i]: i for t, i in vocab.items() if t not in added})
 
     def tokens(self, texts: list[str]) -> tuple[list[list[int]], list[list[int]]]:
         """Ids by both; none for a text that its tokens do not give back."""
@@ -81,53 +111,130 @@ class Pair:
                 a[i], b[i] = [], []
         return a, b
 
-    def align(self, texts: list[str]) -> list[tuple]:
-        """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, more) of every text.
-
-        pairs: its distinct pairs, ascending, as unsigned 32-bit integers; more: the places
-        and numbers of those that occur more than once.
-        """
+    def links(self, texts: list[str]) -> list[tuple | None]:
+        """(n_a, n_b, n_groups, the groups as text, the pair of every link in order) of each text; None for one without tokens."""
         lists_a, lists_b = self.tokens(texts)
-        none = (0, 0, 0, 0, "", b"", b"")
-        n_a, n_b = (np.array([len(x) for x in t], dtype=np.int64) for t in (lists_a, lists_b))
-        upto_a, upto_b = np.cumsum(n_a), np.cumsum(n_b)
-        if not len(texts) or not upto_a[-1]:
-            return [none] * len(texts)
-        a, b = (np.fromiter((i for x in t for i in x), dtype=np.int64, count=int(n)) for t, n in ((lists_a, upto_a[-1]), (lists_b, upto_b[-1])))
+        live = [t for t, x in enumerate(lists_a) if x]
+        rows: list = [None] * len(texts)
+        if live:
+            ends = np.cumsum([len(texts[t].encode()) + 1 for t in live])
+            a, b = (np.array(list(chain.from_iterable(x[t] for t in live)), dtype=np.int64) for x in (lists_a, lists_b))
+            counts, said, pairs = self.cut(a, b, ends)
+            for t, x, y, g, n, upto, text in zip(live, *counts.tolist(), np.cumsum(counts[3]).tolist(), said):
+                rows[t] = (x, y, g, text, pairs[upto - n:upto])
+        return rows
+
+    def cut(self, a: np.ndarray, b: np.ndarray, text_ends: np.ndarray) -> tuple[np.ndarray, list[bytes], np.ndarray]:
+        """Tokens of texts that end at these bytes, laid end to end: n_a, n_b, n_groups and n_links, the groups as text, all pairs."""
         end_a, end_b = np.cumsum(self.len_a[a]), np.cumsum(self.len_b[b])
         ends = np.union1d(end_a, end_b)
         i, j = np.searchsorted(end_a, ends), np.searchsorted(end_b, ends)
         common = np.flatnonzero((end_a[i] == ends) & (end_b[j] == ends))
-        live = np.flatnonzero(n_a)
-        text_ends = end_a[upto_a[live] - 1]
-        link_upto = np.searchsorted(ends, text_ends) + 1
-        group_upto = np.searchsorted(ends[common], text_ends) + 1
-        n_links, n_groups = np.diff(link_upto, prepend=0), np.diff(group_upto, prepend=0)
+        link_upto, group_upto = np.searchsorted(ends, text_ends) + 1, np.searchsorted(ends[common], text_ends) + 1
+        counts = np.array([np.diff(x, prepend=0) for x in (i[link_upto - 1] + 1, j[link_upto - 1] + 1, group_upto, link_upto)])
 
-        # the digest's parts: the A ids of a group, then its B ids
+        # the groups as text: the A ids of a group, then its B ids
         group_a, group_b = np.searchsorted(ends[common], end_a), np.searchsorted(ends[common], end_b)
         last_a, last_b = i[common], j[common]
         out = np.empty(len(a) + len(b), dtype=np.int64)
         before_b = np.concatenate([[0], last_b[:-1] + 1])
         out[np.arange(len(a)) + before_b[group_a]] = 2 * a + (np.arange(len(a)) == last_a[group_a])
         out[np.arange(len(b)) + last_a[group_b] + 1] = self.first_b + 2 * b + (np.arange(len(b)) == last_b[group_b])
-        parts, part_upto = self.parts, upto_a[live] + upto_b[live]
-
-        # a text's pairs, ascending
-        keys, numbers = np.unique((np.repeat(np.arange(len(live)), n_links) << 32) | (b[j] << 16) | a[i], return_counts=True)
-        key_upto = np.searchsorted(keys, np.arange(1, len(live) + 1) << 32)
-        pairs = (keys & 0xFFFFFFFF).astype("<u4")
-        rows, at, key_at = [none] * len(texts), 0, 0
-        for k, t in enumerate(live.tolist()):
-            digest = hashlib.sha256(b"".join(map(parts.__getitem__, out[at:part_upto[k]].tolist()))[:-1]).hexdigest()
-            at = part_upto[k]
-            own = numbers[key_at:key_upto[k]]
-            often = np.flatnonzero(own > 1)
-            rows[t] = (int(n_a[t]), int(n_b[t]), int(n_groups[k]), int(n_links[k]), digest,
-                       pairs[key_at:key_upto[k]].tobytes(), np.concatenate([often, own[often]]).astype("<u4").tobytes())
-            key_at = key_upto[k]
+        parts = list(map(self.parts.__getitem__, out.tolist()))
+        upto = np.cumsum(counts[0] + counts[1]).tolist()
+        return counts, [b"".join(parts[x:y])[:-1] for x, y in zip([0, *upto], upto)], ((b[j] << 16) | a[i]).astype("<u4")
+
+    def _together(self, words: list[str]) -> tuple | None:
+        """``cut`` of words that go to the tokenizers as one text; None where that does not give them back."""
+        text = " ".join(words)
+        a = self.ranked.encode_ordinary(" " + text) if self.ranked else self.a.encode_batch_fast([" " + text], add_special_tokens=False)[0].ids
+        b, whole = self.b.encode(text), (" " + text).encode()
+        if b"".join(map(self.bytes_a.__getitem__, a)) != whole or b"".join(map(self.bytes_b.__getitem__, b)) != whole:
+            return None
+        a, b, ends = np.array(a, dtype=np.int64), np.array(b, dtype=np.int64), np.cumsum([len(w.encode()) + 1 for w in words])
+        if not np.isin(ends, np.cumsum(self.len_a[a])).all() or not np.isin(ends, np.cumsum(self.len_b[b])).all():
+            return None
+        return self.cut(a, b, ends)
+
+    def learn(self, words: list[str]) -> None:
+        """Keep the words' counts, groups and pairs."""
+        plain = [w for w in words if _PLAIN.fullmatch(w)]
+        odd = [w for w in words if not _PLAIN.fullmatch(w)] if len(plain) < len(words) else []
+        groups = [(x[at:at + 4096], x is plain) for x in (plain, odd) for at in range(0, len(x), 4096)]
+        counts, pairs = [self.counts], [self.pairs]
+        for group, together in groups:
+            found = self._together(group) if together else None
+            if found is None:
+                rows = [r or (0, 0, 0, None, _NONE) for r in self.links(group)]
+                found = (np.array([(r[0], r[1], r[2], len(r[4])) for r in rows], dtype=np.int64).T, [r[3] for r in rows], np.concatenate([r[4] for r in rows]))
+            self.place.update(zip(group, range(len(self.said), len(self.said) + len(group))))
+            self.said += found[1]
+            counts.append(found[0])
+            pairs.append(found[2])
+        self.counts, self.pairs = np.concatenate(counts, axis=1), np.concatenate(pairs)
+        self.upto = np.cumsum(self.counts[3])
+
+    def forget(self) -> None:
+        self.place: dict[str, int] = {}
+        self.said: list[bytes | None] = []
+        self.counts, self.pairs, self.upto = np.zeros((4, 0), dtype=np.int64), _NONE, np.zeros(0, dtype=np.int64)
+
+    def align(self, texts: list[str]) -> list[tuple]:
+        """(n_a, n_b, n_groups, n_links, groups_sha256, pairs, more) of every text.
+
+        pairs: its distinct pairs, ascending, as unsigned 32-bit integers; more: the places
+        and numbers of those that occur more than once.
+        """
+        if len(self.said) > KEPT:
+            self.forget()
+        of, split, whole = [], [], []
+        for t, text in enumerate(texts):
+            if text and self.apart and not _RUNS.search(text) and not text[0].isspace() and not text[-1].isspace():
+                of.append(t)
+                split.append(text.split(" "))
+            else:
+                whole.append(t)
+        rows: list[tuple] = [(0, 0, 0, 0, "", b"", b"")] * len(texts)
+        self._finish(rows, of, *self._from_words(split))
+        found = [(t, r) for t, r in zip(whole, self.links([texts[t] for t in whole])) if r is not None]
+        for at in range(0, len(found), 64):
+            part = found[at:at + 64]
+            self._finish(rows, [t for t, _ in part], np.array([r[:3] for _, r in part]).T, [r[3] for _, r in part],
+                         np.array([len(r[4]) for _, r in part]), np.concatenate([r[4] for _, r in part]))
         return rows
 
+    def _from_words(self, split: list[list[str]]) -> tuple[np.ndarray, list[bytes | None], np.ndarray, np.ndarray]:
+        """Of texts in words: n_a, n_b and n_groups, the groups as text (None: no tokens), the number of links, all pairs."""
+        words = list(chain.from_iterable(split))
+        at = list(map(self.place.get, words))
+        if None in at:
+            self.learn(list({w for w, i in zip(words, at) if i is None}))
+            at = list(map(self.place.__getitem__, words))
+        said = list(map(self.said.__getitem__, at))
+        ids, sizes = np.array(at, dtype=np.int64), np.array([len(x) for x in split], dtype=np.int64)
+        upto = np.cumsum(sizes).tolist()
+        groups = [b";".join(x) if None not in (x := said[a:b]) else None for a, b in zip([0, *upto], upto)]
+        sums = [np.diff(np.concatenate([[0], np.cumsum(c[ids])])[[0, *upto]]) for c in self.counts]
+        n = self.counts[3][ids]
+        first = self.upto[ids] - n
+        place = np.repeat(first - np.cumsum(n) + n, n) + np.arange(int(n.sum()))
+        return np.array(sums[:3]), groups, sums[3], self.pairs[place]
+
+    def _finish(self, rows: list[tuple], of: list[int], sums: np.ndarray, groups: list[bytes | None], n_links: np.ndarray, links: np.ndarray) -> None:
+        if not of:
+            return
+        keys = np.sort(links.astype(np.int64) | np.repeat(np.arange(len(of)) << 32, n_links))
+        first = np.flatnonzero(np.r_[True, keys[1:] != keys[:-1]]) if len(keys) else np.zeros(0, dtype=np.int64)
+        numbers, keys = np.diff(np.r_[first, len(keys)]), keys[first]
+        upto = np.searchsorted(keys, np.arange(1, len(of) + 1) << 32).tolist()
+        pairs, at = (keys & 0xFFFFFFFF).astype("<u4"), 0
+        for k, (t, said, a, b, g, n) in enumerate(zip(of, groups, *sums.tolist(), n_links.tolist())):
+            if said is not None:
+                count = numbers[at:upto[k]]
+                often = np.flatnonzero(count > 1)
+                rows[t] = (a, b, g, n, hashlib.sha256(said).hexdigest(), pairs[at:upto[k]].tobytes(), np.concatenate([often, count[often]]).astype("<u4").tobytes())
+            at = upto[k]
+
 
 @functools.lru_cache(maxsize=2)
 def pair(path_a: str, path_b: str) -> Pair:
