@@ -191,4 +191,4 @@ def op13_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12_suffix_tree(spark: SparkSession, sf_dir: str) -> DataFrame:
     from creditlens.llm.op12_suffix_tree import scores
 
-    return scores(table(spark, sf_dir, "documents"), depth=2, least=32, divergence=2.0)
+    return scores(table(spark, sf_dir, "documents"), depth=2, divergence=2.0)
