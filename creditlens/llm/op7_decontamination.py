@@ -18,7 +18,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.llm.shared import ascii_lower, text_or_empty, written
+from creditlens.llm.shared import ascii_lower, fresh, text_or_empty, written
 
 # Between words: ASCII characters other than digits and, in lower case, letters.
 BETWEEN = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -84,5 +84,6 @@ def find(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
 
 def clean(docs: DataFrame, benchmark: DataFrame, window: int = 10) -> DataFrame:
     """The documents, all columns, that hold no window of the benchmark."""
-    bad = find(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias("b_id"), F.col("h").alias("b_h")).distinct()
-    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col("b_id")) & (F.xxhash64(docs["text"]) == F.col("b_h")), "left_anti")
+    own_id, own_h = fresh(2)
+    bad = find(docs, benchmark, window).filter("contaminated").select(F.col("doc_id").alias(own_id), F.col("h").alias(own_h)).distinct()
+    return docs.join(bad, docs["doc_id"].eqNullSafe(F.col(own_id)) & (F.xxhash64(docs["text"]) == F.col(own_h)), "left_anti")

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from creditlens.llm.shared import components, partitions, text_or_empty, written
+from creditlens.llm.shared import components, fresh, partitions, text_or_empty, written
 
 SEED = 42
 SLICE = 1 << 14
@@ -227,14 +227,16 @@ def first_of_each(docs: DataFrame, shingle: int = 3, bits: int = 2, one: bool =
     else:
         gone = found.filter("doc_id <> component_id")
 
+    own_id, own_h = fresh(2)
+
     def same(keys: DataFrame):
-        keys = keys.select(F.col("doc_id").alias("s_id"), F.col("h").alias("s_h"))
-        return keys, (docs["doc_id"].cast("long") == keys["s_id"]) & (F.xxhash64(docs["text"]) == keys["s_h"])
+        keys = keys.select(F.col("doc_id").alias(own_id), F.col("h").alias(own_h))
+        return keys, (docs["doc_id"].cast("long") == keys[own_id]) & (F.xxhash64(docs["text"]) == keys[own_h])
 
     kept = docs.join(*same(gone.select("doc_id", "h").distinct()), "left_anti")
     if not one:
         return kept
     often = written(found.groupBy("doc_id", "h").count().filter("count > 1"))
     single = kept.join(*same(often), "left_anti")
-    repeated = kept.join(*same(often), "left_semi").withColumn("s_h", F.xxhash64("text")).dropDuplicates(["doc_id", "s_h"])
+    repeated = kept.join(*same(often), "left_semi").withColumn(own_h, F.xxhash64("text")).dropDuplicates(["doc_id", own_h])
     return single.unionByName(repeated.select(docs.columns))

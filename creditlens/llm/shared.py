@@ -20,6 +20,11 @@ def shared_folder(spark: SparkSession) -> str:
     return f"{base.rstrip('/')}/llm-{uuid.uuid4().hex}"
 
 
+def fresh(n: int) -> list[str]:
+    """Column names that no input has."""
+    return [f"_{uuid.uuid4().hex}" for _ in range(n)]
+
+
 def written(df: DataFrame, compression: str | None = None) -> DataFrame:
     """Write ``df`` as Parquet into the shared folder and read it back: lineage ends there."""
     path = shared_folder(df.sparkSession)
