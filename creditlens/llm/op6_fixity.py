@@ -1,18 +1,21 @@
 """Merkle fixity audit of WARC replicas.
 
-A record's leaf is the SHA-256 of its offset, its length and the SHA-256 of its bytes.  Nodes
+A record's hash is the SHA-256 of its offset, its length and the SHA-256 of its bytes.  A leaf is
+a fixed range of ``WIDTH`` bytes of a file, numbered by its place, and hashes the records that
+start in it: a record that is missing, extra or longer changes its own range and no other.  Nodes
 cover ``FANOUT`` children in the order of their offsets, up to one root for a file, and on to
-one root for all files; a node's hash covers the range of bytes below it.  Two replicas, each
-in its own order, are compared from the root: where two nodes agree nothing below is read;
-where they differ their children are joined, down to the records.  Only the records that
-differ at the end are matched by page_id.
+one root for all files; a node's hash covers the bytes of the records below it.  Two replicas are
+compared from the root: where two nodes agree nothing below is read; where they differ their
+children are joined, down to the ranges.  Only the records of ranges that differ are read, and
+matched with each other.
 
 Defined results: a null html or url is empty; records are ordered by their offset in their
 file, page_id (nulls first) and digest, and equal rows are records of their own; a record that
 the second replica lacks is ``missing``, one that only it has is ``extra``, one with the same
 bytes at another offset is ``moved``; an empty table has no roots and no faults; other columns
 are not read.  Where a table has no ``start``, offsets are not compared: records are ordered by
-page_id and digest, and a replica's record takes the place of its like.
+page_id and digest, each record is a leaf of its own, and a replica's record takes the place of
+its like.  A record without an offset in a table that has them belongs to the first range.
 """
 
 from __future__ import annotations
@@ -24,6 +27,7 @@ from creditlens.llm.shared import written
 
 FANOUT = 16
 RECORDS = 2048  # of a file, about
+WIDTH = 1 << 13  # bytes of a leaf
 
 
 def record(url: Column, html: Column) -> Column:
@@ -66,6 +70,18 @@ def depths(*leaf: DataFrame) -> tuple[int, int]:
     return tuple(next(k for k in range(64) if FANOUT**k > max(m[i] or 0 for m in most)) for i in (0, 1))
 
 
+def ranges(records: DataFrame, width: int = WIDTH) -> DataFrame:
+    """Leaves (file, seq, at, length, digest) of ``width`` bytes from placed records; seq is a range's number, at and length the bytes of its records."""
+    own = F.struct(F.coalesce("at", F.lit(-1)).alias("at"), "length", "digest")
+    text = F.array_join(F.transform(F.array_sort(F.collect_list(own)), lambda x: F.concat_ws(":", x["at"], x["length"], x["digest"])), ",")
+    lo, hi = F.min("at"), F.max(F.col("at") + F.col("length"))
+    return records.groupBy("file", _range(width)).agg(F.coalesce(lo, F.lit(0)).alias("at"), F.coalesce(hi - lo, F.lit(0)).alias("length"), F.sha2(text, 256).alias("digest"))
+
+
+def _range(width: int) -> Column:
+    return F.expr(f"coalesce(at, 0) div {int(width)}").alias("seq")
+
+
 def tree(leaf: DataFrame, inner: int, outer: int) -> list[DataFrame]:
     """Levels from the records up: (file, node, mark, lo, hi, up_file, up_node), up naming the node above.
 
@@ -107,13 +123,20 @@ def compare(first: list[DataFrame], second: list[DataFrame]) -> tuple[DataFrame,
     return wrong, compared
 
 
-def _audit_places(first: DataFrame, second: DataFrame) -> DataFrame:
+def descend(here: DataFrame, there: DataFrame, width: int = WIDTH) -> tuple[DataFrame, list[int]]:
+    """(file, node) of the ranges in which two replicas' placed records differ, and the nodes compared at each level."""
+    one, two = written(ranges(here, width)), written(ranges(there, width))
+    levels = depths(one, two)
+    wrong, compared = compare(tree(one, *levels), tree(two, *levels))
+    return written(wrong.select("file", "node")), compared
+
+
+def _audit_places(first: DataFrame, second: DataFrame, width: int) -> DataFrame:
     here, there = written(leaves(first)), written(leaves(second))
-    levels = depths(here, there)
-    wrong, _ = compare(tree(here, *levels), tree(there, *levels))
+    wrong, _ = descend(here, there, width)
     names = ("page_id", "start", "length", "digest")
-    a, b = (wrong.filter(F.col(f"{x}_mark").isNotNull()).select("file", F.col("node").alias("seq"), *[F.col(f"{x}_{c}").alias(c) for c in names]) for x in ("a", "b"))
-    # records under differing nodes: equal ones behind a missing or an extra one go, then the same bytes are matched, then the same page_id
+    a, b = (x.withColumn("node", _range(width)).join(wrong, ["file", "node"], "left_semi").select("file", "seq", *names) for x in (here, there))
+    # records of differing ranges: equal ones go, then the same bytes are matched, then the same page_id
     pairs = None
     for by in (names, ("page_id", "digest"), ("page_id",)):
         turn = Window.partitionBy("file", *by).orderBy("start", "seq")
@@ -137,16 +160,16 @@ def _audit_places(first: DataFrame, second: DataFrame) -> DataFrame:
                         F.col("a_digest").alias("expected_sha256"), F.col("b_digest").alias("found_sha256"))
 
 
-def audit(first: DataFrame, second: DataFrame) -> DataFrame:
+def audit(first: DataFrame, second: DataFrame, width: int = WIDTH) -> DataFrame:
     """(file, seq, page_id, start, length, found, expected_sha256, found_sha256) of every record that differs.
 
     first: (file, page_id, start, record), or length and digest in place of the record;
     second: the same, a replica, with offsets of its own.  seq, start and length are the
     first's.  Without ``start`` in both, a replica's record takes the place of the first's
-    record with its file and page_id.
+    record with its file and page_id.  ``width``: bytes of a leaf.
     """
     if "start" in first.columns and "start" in second.columns:
-        return _audit_places(first, second)
+        return _audit_places(first, second, width)
     here = written(leaves(first.drop("start")))
     other = hashed(second).drop("start")
     # equal page_ids are matched in order of digest; a record that only the replica has goes behind the file's last

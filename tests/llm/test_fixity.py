@@ -74,3 +74,31 @@ def test_nodes_cover_their_bytes(spark):
     assert [(r.lo, r.hi) for r in one[-1].collect()] == [(0, 800)]
     assert sorted((r.file, r.lo, r.hi) for r in two[2].collect()) == [(0, 0, 400), (1, 5, 405)]
     assert one[-1].first().mark != two[-1].first().mark
+
+
+def test_missing_records_open_their_own_ranges_only(spark):
+    schema = "file long, page_id long, start long, length long, digest string"
+    rows = [(f, i, i * 900 + f, 880, f"{f}-{i}") for f in range(3) for i in range(2048)]
+    gone = set(range(40, 2040, 100))  # 20 records of file 1
+    one, two = (m.written(m.leaves(spark.createDataFrame(x, schema))) for x in (rows, [r for r in rows if r[0] != 1 or r[1] not in gone]))
+    wrong, compared = m.descend(one, two)
+    assert sorted((r.file, r.node) for r in wrong.collect()) == sorted({(1, (i * 900 + 1) // m.WIDTH) for i in gone})
+    assert compared[-1] <= len(gone) * m.FANOUT and compared[0] == 1
+    found = m.audit(spark.createDataFrame(rows, schema), spark.createDataFrame([r for r in rows if r[0] != 1 or r[1] not in gone], schema)).collect()
+    assert sorted((r.file, r.page_id, r.found) for r in found) == [(1, i, "missing") for i in sorted(gone)]
+    # a longer record before all others of its file: those behind it keep their offsets
+    longer = [(f, i, s, n + (f == 2 and i == 0) * 5, d + "!" * (f == 2 and i == 0)) for f, i, s, n, d in rows]
+    wrong, compared = m.descend(one, m.written(m.leaves(spark.createDataFrame(longer, schema))))
+    assert [(r.file, r.node) for r in wrong.collect()] == [(2, 0)] and max(compared) <= m.FANOUT
+
+
+def test_null_url_html_and_offset(spark):
+    pages = spark.createDataFrame([(1, None, None), (2, "u", None), (3, None, "<p>")], "page_id long, url string, html string")
+    text = {r.page_id: r.r for r in pages.select("page_id", m.record(m.F.col("url"), m.F.col("html")).alias("r")).collect()}
+    assert text[1] == "WARC/1.1\r\nWARC-Type: response\r\nWARC-Target-URI: \r\nContent-Length: 0\r\n\r\n\r\n\r\n"
+    assert "Target-URI: u\r\n" in text[2] and "Content-Length: 3\r\n\r\n<p>\r\n" in text[3]
+    schema = "file long, page_id long, record string, start long"
+    rows = [(0, 1, "a", None), (0, 2, "b", 0), (0, 3, "c", 50000)]
+    other = [(0, 1, "a!", None), *rows[1:]]
+    assert m.audit(spark.createDataFrame(rows, schema), spark.createDataFrame(rows[::-1], schema)).count() == 0
+    assert [(r.page_id, r.found) for r in m.audit(spark.createDataFrame(rows, schema), spark.createDataFrame(other, schema)).collect()] == [(1, "changed")]
