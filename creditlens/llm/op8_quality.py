@@ -5,13 +5,12 @@ filters run over each chunk, the largest answer of each filter in a chunk is kep
 mean and the largest over all chunks go into one logistic output.
 
 The fit uses at most ``max_train`` labelled documents that are not held out, in order of a
-hash of doc_id, and of each at most ``TRAIN_CHUNKS`` chunks, spread evenly from start to
-end.  Scores read every byte.  doc_id decides which rows are held out, and nothing else but
-the text enters a score.
+hash of doc_id, each in its whole length.  Scores read every byte too.  doc_id decides which
+rows are held out, and nothing else but the text enters a score.
 
 Defined results: a null text is empty; an empty text has one chunk of padding; a null
 doc_id is not held out and never trained on; where labels repeat for a doc_id the largest
-counts; without labels, or with those of one class alone, the score is the share of label 1
+counts, and where documents repeat the fit takes the smallest text; without labels, or with those of one class alone, the score is the share of label 1
 (0.5 without any); equal rows get equal results; other columns are not read.
 """
 
@@ -29,7 +28,7 @@ from pyspark.sql import functions as F
 from creditlens.llm.shared import text_or_empty
 
 CHUNK, OVERLAP, WIDTH, STRIDE, EMBED, FILTERS = 512, 64, 8, 4, 8, 32
-TRAIN_CHUNKS = 12
+BLOCK = 128  # chunks worked on at a time
 SCHEMA = "doc_id long, held_out boolean, score double, predicted int"
 
 
@@ -37,16 +36,13 @@ def held_out(doc_id: Column) -> Column:
     return F.coalesce(F.crc32(doc_id.cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
-def chunks(raw: bytes, most: int | None = None) -> np.ndarray:
-    """(chunks, CHUNK) bytes of a text, zero-padded; ``most``: so many at most, spread evenly."""
+def chunks(raw: bytes) -> np.ndarray:
+    """(chunks, CHUNK) bytes of a text, zero-padded."""
     step = CHUNK - OVERLAP
     n = max(1, -(-(len(raw) - OVERLAP) // step))
     padded = np.zeros((n - 1) * step + CHUNK, dtype=np.uint8)
     padded[:len(raw)] = np.frombuffer(raw, dtype=np.uint8)
-    out = sliding_window_view(padded, CHUNK)[::step]
-    if most and n > most:
-        out = out[np.linspace(0, n - 1, most).round().astype(int)]
-    return out
+    return sliding_window_view(padded, CHUNK)[::step]
 
 
 @dataclass
@@ -71,7 +67,7 @@ class Net:
         return np.maximum(np.take_along_axis(a, at[:, None, :], axis=1)[:, 0], 0), at, x
 
     def pooled(self, c: np.ndarray) -> np.ndarray:
-        return np.concatenate([self.answers(c[i:i + 128])[0] for i in range(0, len(c), 128)])
+        return np.concatenate([self.answers(c[i:i + BLOCK])[0] for i in range(0, len(c), BLOCK)])
 
     def features(self, groups: list[np.ndarray]) -> np.ndarray:
         best = self.pooled(np.concatenate(groups))
@@ -90,7 +86,12 @@ class Net:
 def _step(net: Net, groups: list[np.ndarray], y: np.ndarray) -> list[np.ndarray]:
     """Gradients of the mean log loss by embed, filters, offset, out and bias."""
     c = np.concatenate(groups)
-    best, at, x = net.answers(c)
+    best, picked = [], []  # each filter's largest answer in a chunk, and the WIDTH bytes that gave it
+    for i in range(0, len(c), BLOCK):
+        top, at, x = net.answers(c[i:i + BLOCK])
+        best.append(top)
+        picked.append(np.take_along_axis(x, at[:, :, None], axis=1))
+    best, picked = np.concatenate(best), np.concatenate(picked)
     ends = np.cumsum([len(g) for g in groups])
     starts = np.r_[0, ends[:-1]]
     n, of = ends - starts, np.repeat(np.arange(len(groups)), ends - starts)
@@ -101,12 +102,11 @@ def _step(net: Net, groups: list[np.ndarray], y: np.ndarray) -> list[np.ndarray]
     is_top = best == top[of]
     is_top = is_top / np.maximum(np.add.reduceat(is_top.astype(np.float32), starts), 1)[of]
     back = d[of, None] * (net.out[None, :FILTERS] / n[of, None] + net.out[None, FILTERS:] * is_top) * (best > 0)
-    picked = np.take_along_axis(x, at[:, :, None], axis=1)  # (chunks, FILTERS, WIDTH) bytes
-    e = net.embed[picked].reshape(len(c), FILTERS, WIDTH * EMBED)
-    filters = np.einsum("cf,cfe->ef", back, e, optimize=True)
-    to_embed = (back[:, :, None] * net.filters.T[None]).reshape(-1, EMBED)
-    embed = np.zeros_like(net.embed)
-    np.add.at(embed, picked.reshape(-1), to_embed)
+    filters, embed = np.zeros_like(net.filters), np.zeros_like(net.embed)
+    for i in range(0, len(c), BLOCK):
+        b, own = back[i:i + BLOCK], picked[i:i + BLOCK]
+        filters += np.einsum("cf,cfe->ef", b, net.embed[own].reshape(len(b), FILTERS, WIDTH * EMBED), optimize=True)
+        np.add.at(embed, own.reshape(-1), (b[:, :, None] * net.filters.T[None]).reshape(-1, EMBED))
     return [embed, filters.astype(np.float32), back.sum(axis=0), f.T @ d, np.array([d.sum()])]
 
 
@@ -139,17 +139,11 @@ def train(docs: DataFrame, labels: DataFrame, max_train: int = 2400) -> Net:
            .groupBy(F.col("doc_id").alias("l_id")).agg(F.max("quality").cast("int").alias("quality")))
     chosen = own.orderBy(F.xxhash64("l_id"), "l_id").limit(max_train)  # at most max_train rows
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            for t, d, q in zip(b.column("text"), b.column("doc_id"), b.column("quality")):
-                yield pa.RecordBatch.from_pydict({"doc_id": [d.as_py()], "quality": [q.as_py()], "chunks": [chunks(t.as_py().encode(), TRAIN_CHUNKS).tobytes()]},
-                                                 schema=pa.schema([("doc_id", pa.int64()), ("quality", pa.int32()), ("chunks", pa.binary())]))
-
     text = docs.select(F.col("doc_id").cast("long"), text_or_empty().alias("text"))
-    rows = (text.join(F.broadcast(chosen), text["doc_id"] == chosen["l_id"]).select("doc_id", "quality", "text")
-            .mapInArrow(run, "doc_id long, quality int, chunks binary").limit(2 * max_train).collect())
-    rows.sort(key=lambda r: (r["doc_id"], bytes(r["chunks"])))
-    return fit([(r["quality"], np.frombuffer(r["chunks"], dtype=np.uint8).reshape(-1, CHUNK)) for r in rows])
+    rows = (text.join(F.broadcast(chosen), text["doc_id"] == chosen["l_id"])
+            .groupBy("doc_id").agg(F.max("quality").alias("quality"), F.min("text").alias("text")).collect())  # at most max_train rows
+    rows.sort(key=lambda r: r["doc_id"])
+    return fit([(r["quality"], chunks(r["text"].encode())) for r in rows])
 
 
 def score(docs: DataFrame, net: Net) -> DataFrame:

@@ -103,3 +103,31 @@ def test_network_gradients():
         down = loss()
         p[at] = old
         assert abs((up - down) / 2e-5 - g[at]) < 1e-3 * max(1, abs(g[at])) + 1e-4
+
+
+def test_network_scores_against_a_plain_forward_pass():
+    rng = np.random.default_rng(5)
+    texts = [b"", b"abc", bytes(rng.integers(1, 256, 700, dtype=np.uint8)), bytes(rng.integers(1, 256, 90_000, dtype=np.uint8))]
+    net = qual.fit([(1, qual.chunks(texts[2])), (0, qual.chunks(texts[1]))], epochs=1)
+    found = net.scores([qual.chunks(t) for t in texts])
+    for text, score in zip(texts, found):
+        tops, at = [], 0
+        while True:
+            part = text[at:at + qual.CHUNK].ljust(qual.CHUNK, b"\0")
+            own = [part[i:i + qual.WIDTH] for i in range(0, qual.CHUNK - qual.WIDTH + 1, qual.STRIDE)]
+            answers = [net.embed[list(w)].reshape(-1) @ net.filters + net.offset if any(w) else np.zeros(qual.FILTERS) for w in own]
+            tops.append(np.maximum(np.max(answers, axis=0), 0))
+            if at + qual.CHUNK >= len(text):
+                break
+            at += qual.CHUNK - qual.OVERLAP
+        z = np.concatenate([np.mean(tops, axis=0), np.max(tops, axis=0)]) @ net.out + net.bias[0]
+        assert abs(1 / (1 + np.exp(-z)) - score) < 1e-4
+
+
+def test_quality_fit_with_repeated_documents(spark):
+    long = "plain words " * 3000
+    rows = [(i, long + str(i) if i % 2 else "x7 !! " * 40) for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, quality int")
+    again = rows + [(2, "zz")] + rows[:9]
+    nets = [qual.train(spark.createDataFrame(r, "doc_id long, text string").repartition(n), labels) for r, n in ((rows, 1), (again, 5))]
+    assert all((a == b).all() for a, b in zip((nets[0].embed, nets[0].out), (nets[1].embed, nets[1].out)))
