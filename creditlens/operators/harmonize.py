@@ -117,26 +117,39 @@ def missingness(union: DataFrame, group: str = "market") -> DataFrame:
     return wide.unpivot([group], NUMERIC_FEATURES, "feature", "missing_rate")
 
 
+def column_medians(df: DataFrame, columns: list[str], group_cols=None) -> DataFrame:
+    """(group, column, median) of every column that has a value; NULL and NaN are left out.
+
+    One histogram of (group, column, value) serves any number of columns; exact order
+    statistics of it follow.
+    """
+    from creditlens.operators import evaluate as ev
+    from creditlens.session import cut_lineage
+    g = list(group_cols or [])
+    cells = F.inline(F.array(*[F.struct(F.lit(c).alias("column"), F.col(c).cast("double").alias("score")) for c in columns]))
+    h = df.select(*g, cells).filter(F.col("score").isNotNull() & ~F.isnan("score")).groupBy(*g, "column", "score").agg(
+        F.lit(0.0).alias("pos"), F.count(F.lit(1)).cast("double").alias("neg"))
+    own = [*g, "column"]
+    return ev.order_statistics(ev.running_counts(cut_lineage(h), own), [0.5], own).withColumnRenamed("q0", "median")
+
+
 def median_impute(df: DataFrame, columns: list[str], group_cols=None, indicators: bool = True) -> DataFrame:
     """Exact (interpolated) median imputation with optional missing indicators.
 
-    Medians come from the distributed order statistic over the non-null values.
+    All columns share one histogram and, with groups, one join.  A group without any value of
+    a column keeps its NULLs.
     """
-    from creditlens.operators import evaluate as ev
     from creditlens.functions.columns import join_on_keys
-    g = list(group_cols or [])
-    out = df
-    for c in columns:
-        vals = df.filter(F.col(c).isNotNull()).select(*g, F.col(c).alias("_v"), F.lit(0).alias("_y"))
-        med = ev.order_statistics(ev.cumulative_scores(vals, "_v", "_y", g), [0.5], g).withColumnRenamed("q0", f"_med_{c}")
-        if g:
-            out = join_on_keys(out, med, g, "left")
-        else:
-            out = out.withColumn(f"_med_{c}", F.lit(med.first()[f"_med_{c}"]))  # one number
-        if indicators:
-            out = out.withColumn(f"{c}_missing", F.col(c).isNull().cast("int"))
-        out = out.withColumn(c, F.coalesce(F.col(c), F.col(f"_med_{c}"))).drop(f"_med_{c}")
-    return out
+    g, out = list(group_cols or []), df
+    med = column_medians(df, columns, g)
+    if g:
+        out = join_on_keys(out, med.groupBy(*g).agg(*[F.max(F.when(F.col("column") == c, F.col("median"))).alias(f"_med_{c}") for c in columns]), g, "left")
+    else:
+        found = {r["column"]: r["median"] for r in med.collect()}  # a row per column
+        out = out.withColumns({f"_med_{c}": F.lit(found.get(c)).cast("double") for c in columns})
+    if indicators:
+        out = out.withColumns({f"{c}_missing": F.col(c).isNull().cast("int") for c in columns})
+    return out.withColumns({c: F.coalesce(F.col(c), F.col(f"_med_{c}")) for c in columns}).drop(*[f"_med_{c}" for c in columns])
 
 
 # ---- helper patterns of the coded-source harmonizers (H2-H4, H7, H13) ----
