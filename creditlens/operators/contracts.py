@@ -230,12 +230,28 @@ def behavioral_rules(key: str = "ACCOUNT_ID") -> dict[str, Column]:
         "repayment_status_range": F.exists(F.array(*[v(c) for c in PAY_COLUMNS]), lambda x: (x < -2) | (x > 9)),
         "payment_negative": F.exists(F.array(*[v(c) for c in PAYMENT_COLUMNS]), lambda x: x < 0),
         "exposure_blank": v("current_limit_inr").isNull() | v("current_balance_inr").isNull(),
+        "exposure_not_finite": F.exists(F.array(*[v(c) for c in EXPOSURE_COLUMNS]), lambda x: F.isnan(x) | (F.abs(x) == float("inf"))),
         "limit_range": (v("current_limit_inr") <= 0) | (v("current_limit_inr") > MAX_LIMIT),
         "balance_range": (v("current_balance_inr") < 0) | (v("current_balance_inr") > v("current_limit_inr") * 2),
     }
     return {k: F.coalesce(c, F.lit(False)) for k, c in rules.items()}
 
 
+def behavioral_violations(df: DataFrame, key: str = "ACCOUNT_ID") -> DataFrame:
+    """(key, rule) rows of the six-month and exposure contracts, and ``id_duplicate`` once for each repeated trimmed id."""
+    dups = duplicate_keys(df.withColumn(key, F.trim(F.col(key).cast("string"))).filter(F.coalesce(F.col(key), F.lit("")) != ""), key)
+    return violations(df, key, behavioral_rules(key)).unionByName(dups.select(key, F.lit("id_duplicate").alias("rule")))
+
+
+def row_guards(df: DataFrame, label: str, group_cols: list[str], min_rows: int = 100) -> DataFrame:
+    """Rows and classes of each group, and the guard that it fails: ``too_few_rows``, ``one_class`` or NULL.
+
+    Rows without a label count as rows and belong to no class.
+    """
+    r = df.groupBy(*group_cols).agg(F.count(F.lit(1)).alias("rows"), F.size(F.collect_set(label)).cast("bigint").alias("classes"))  # a label has few values
+    return r.withColumn("guard", F.when(F.col("rows") < min_rows, "too_few_rows").when(F.col("classes") < 2, "one_class"))
+
+
 def require_rows(df: DataFrame, min_rows: int = 100, label: str | None = None) -> DataFrame:
     """Row-count and class guard before training or evaluation (P17): one small aggregate."""
     aggs = [F.count(F.lit(1)).alias("n")]

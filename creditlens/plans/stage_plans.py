@@ -1,4 +1,4 @@
-"""Queries of the ML stages (F18, M2, H14) and of seasoned-loan preparation."""
+"""Queries of the ML stages (F18, M2, H14), seasoned-loan preparation (T6), history contracts and row guards."""
 
 from __future__ import annotations
 
@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from creditlens.functions.columns import dround, sql_dround
+from creditlens.operators import contracts as ct
 from creditlens.operators import seasoned
 from creditlens.operators.features import FEATURE_NAMES
 from creditlens.operators.stages import BehavioralFeatures, MedianImputer, MedianImputerModel
@@ -73,3 +74,48 @@ def q_seasoned_loans(spark, sf_dir):
 @register("seasoned_rejects", _EXAMINED + " SELECT reason, CAST(count(*) AS BIGINT) AS loans FROM e WHERE reason IS NOT NULL GROUP BY 1")
 def q_seasoned_rejects(spark, sf_dir):
     return seasoned.rejects(_export(spark, sf_dir), CUTOFF)
+
+
+HISTORY = ["LIMIT_BAL", *ct.PAY_COLUMNS, *ct.HISTORY_BILLS, *ct.PAYMENT_COLUMNS]
+# Planted faults: column -> (every so many-th account, value), as both dialects read it.
+PLANTED = {"LIMIT_BAL": (61, "'-5'"), "PAY_0": (11, "'12'"), "PAY_AMT1": (13, "'-1'"), "PAY_AMT2": (23, "'abc'"), "BILL_AMT1": (19, "NULL"), "BILL_AMT2": (29, "'Infinity'"),
+           "current_limit_inr": (31, "'20000000'"), "current_balance_inr": (37, "'1e9'"), "account_id": (43, "'  '")}
+TWICE = 47
+
+
+def _planted(c: str, source: str | None = None) -> str:
+    own = f"CAST({source or c} AS STRING)"
+    return f"CASE WHEN c_custkey % {PLANTED[c][0]} = 0 THEN {PLANTED[c][1]} ELSE {own} END AS {c}" if c in PLANTED else f"{own} AS {c}"
+
+
+def _history_sql() -> str:
+    num = {c: f"try_cast({c} AS DOUBLE)" for c in [*HISTORY, *ct.EXPOSURE_COLUMNS]}
+    any_of = lambda cols, cond: " OR ".join(cond.format(num[c]) for c in cols)
+    lim, bal = num["current_limit_inr"], num["current_balance_inr"]
+    rules = {"id_blank": "coalesce(trim(account_id), '') = ''", "history_blank_or_not_numeric": any_of(HISTORY, "{0} IS NULL"),
+             "history_not_finite": any_of(HISTORY, "isnan({0}) OR isinf({0})"), "limit_not_positive": f"{num['LIMIT_BAL']} <= 0",
+             "repayment_status_range": any_of(ct.PAY_COLUMNS, "{0} < -2 OR {0} > 9"), "payment_negative": any_of(ct.PAYMENT_COLUMNS, "{0} < 0"),
+             "exposure_blank": f"{lim} IS NULL OR {bal} IS NULL", "exposure_not_finite": any_of(ct.EXPOSURE_COLUMNS, "isnan({0}) OR isinf({0})"),
+             "limit_range": f"{lim} <= 0 OR {lim} > {ct.MAX_LIMIT}", "balance_range": f"{bal} < 0 OR {bal} > {lim} * 2"}
+    cols = ", ".join([*[_planted(c) for c in ["account_id", *HISTORY]], _planted("current_limit_inr", "LIMIT_BAL"), _planted("current_balance_inr", "BILL_AMT1")])
+    rows = " UNION ALL ".join(f"SELECT account_id, '{r}' AS rule FROM f WHERE coalesce({c}, FALSE)" for r, c in rules.items())
+    return with_ctes(acct_ctes()) + f""",
+p AS (SELECT c_custkey, {cols} FROM acct6), f AS (SELECT * FROM p UNION ALL SELECT * FROM p WHERE c_custkey % {TWICE} = 0)
+{rows}
+UNION ALL SELECT trim(account_id), 'id_duplicate' FROM f WHERE coalesce(trim(account_id), '') <> '' GROUP BY 1 HAVING count(*) > 1"""
+
+
+@register("history_violations", _history_sql)
+def q_history_violations(spark, sf_dir):
+    """Violations of the six-month and exposure contracts, on planted faults."""
+    p = adapters.acct6(spark, sf_dir).selectExpr("c_custkey", *[_planted(c) for c in ["account_id", *HISTORY]], _planted("current_limit_inr", "LIMIT_BAL"),
+                                                 _planted("current_balance_inr", "BILL_AMT1"))
+    return ct.behavioral_violations(p.unionByName(p.filter(F.col("c_custkey") % TWICE == 0)), "account_id")
+
+
+@register("row_guards", lambda: with_ctes(acct_ctes()) + """
+SELECT vintage, region, CAST(count(*) AS BIGINT) AS rows, CAST(count(DISTINCT y) AS BIGINT) AS classes,
+       CASE WHEN count(*) < 20 THEN 'too_few_rows' WHEN count(DISTINCT y) < 2 THEN 'one_class' END AS guard FROM scored_y GROUP BY 1, 2""")
+def q_row_guards(spark, sf_dir):
+    """Which vintages of a region hold enough rows and both classes to be modelled."""
+    return ct.row_guards(adapters.shared_scored(spark, sf_dir), "y", ["vintage", "region"], min_rows=20)

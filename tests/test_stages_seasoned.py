@@ -72,3 +72,26 @@ def test_seasoned_cells(spark):
         (1, 2015, 702.0, 0, 0), (2, 2014, -1.0, 1, 1), (12, 2015, -1.0, 0, 1), (12, 2015, -1.0, 0, 1)]
     assert {r.reason: r.loans for r in seasoned.rejects(raw, cutoff).collect()} == {"date": 3, "term": 2, "other_term": 1, "late": 1, "status": 2}
     assert seasoned.prepare(raw.limit(0), cutoff).count() == 0
+
+
+def test_row_guards(spark):
+    from creditlens.operators import contracts as ct
+
+    df = spark.createDataFrame([("a", 1), ("a", 0), ("a", None), ("b", 1), ("b", 1), ("b", 1), (None, 1)], "g string, y int")
+    found = {r.g: (r.rows, r.classes, r.guard) for r in ct.row_guards(df, "y", ["g"], 3).collect()}
+    assert found == {"a": (3, 2, None), "b": (3, 1, "one_class"), None: (1, 1, "too_few_rows")}
+    assert ct.row_guards(df.limit(0), "y", ["g"]).count() == 0
+
+
+def test_history_contract_rows(spark, small_dir):
+    from creditlens.operators import contracts as ct
+
+    good = adapters.acct6(spark, small_dir).withColumns({"current_limit_inr": F.col("LIMIT_BAL") + 1, "current_balance_inr": F.lit(5.0)}).limit(3)
+    rows = good.collect()
+    cols = {"PAY_AMT3": "payment_negative", "PAY_6": "repayment_status_range", "LIMIT_BAL": "limit_not_positive", "current_balance_inr": "balance_range"}
+    assert ct.behavioral_violations(good, "account_id").count() == 0
+    for c, rule in cols.items():
+        worse = good.withColumn(c, F.when(F.col("account_id") == rows[0].account_id, F.lit(-7).cast(good.schema[c].dataType)).otherwise(F.col(c)))
+        assert [tuple(r) for r in ct.behavioral_violations(worse, "account_id").collect()] == [(rows[0].account_id, rule)]
+    again = good.unionByName(good.filter(F.col("account_id") == rows[1].account_id).withColumn("account_id", F.concat(F.lit(" "), "account_id")))
+    assert [tuple(r) for r in ct.behavioral_violations(again, "account_id").collect()] == [(rows[1].account_id, "id_duplicate")]
