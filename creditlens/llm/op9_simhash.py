@@ -9,6 +9,9 @@ node pairs are traversed together: differing bits add up, and a pair beyond the
 pruned with all below it.  Links of a node leave its task as a spanning forest, which keeps
 what is connected; components over all tasks follow from star steps on written edges.
 
+Components take a number of rounds that grows with the logarithm of the longest path; beyond 60
+rounds ``components`` raises an error, and no link is dropped.
+
 Defined results: a null text is empty; a text without words has fingerprint zero, which
 links like any other; equal rows get equal results; a null doc_id never names a component,
 and a component of null doc_ids alone has a null id; an empty table gives no rows; other
