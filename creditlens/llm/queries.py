@@ -104,7 +104,7 @@ def op4_neighbours(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op2_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
     from creditlens.llm.op2_passages import passages
 
-    return passages(table(spark, sf_dir, "documents"), min_words=50, similarity=0.8).drop("h")
+    return passages(table(spark, sf_dir, "documents"), min_words=50, similarity=0.8, stable=True).drop("h")
 
 
 @query("op1_token_counts")
