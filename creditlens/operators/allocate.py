@@ -72,7 +72,9 @@ def allocate(decided: DataFrame, a: PolicyAssumptions | None = None, gap_target:
     """
     a = a or PolicyAssumptions()
     caps = caps_for(decided, a)
-    found = knapsack.solve(options(decided, a).select(F.lit(0).alias("sid"), "account_id", "options"), {0: caps}, gap_target=gap_target,
+    # figures alone are kept and passed over again; what an option says comes back with its index in choose_with
+    figures = F.transform("options", lambda o: F.struct(o["pct"], o["v"], *[o[f"a{k + 1}"] for k in range(N_RES)]))
+    found = knapsack.solve(options(decided, a).select(F.lit(0).alias("sid"), "account_id", figures.alias("options")), {0: caps}, gap_target=gap_target,
                            whole_accounts=True, **search)
     o = found.outcomes[0]
     return AllocationResult(choose_with(decided, a, found.chosen), o.lam, o.value, o.bound, o.usage, o.caps)
