@@ -46,7 +46,7 @@ def _usage_sql(a: PolicyAssumptions) -> str:
             f"CAST({a.portfolio_capital_budget!r} AS DOUBLE)", f"count(*) * {a.max_higher_risk_increase_share!r}"]
     rows = " UNION ALL ".join(f"SELECT '{n}' AS constraint_name, {c} AS cap, count(*) AS accounts FROM reasons" for n, c in zip(CAP_NAMES, caps))
     return with_ctes(acct_ctes(), decision_ctes()) + f"""
-SELECT constraint_name, {sql_dround('cap', 2)} AS cap, CAST(accounts AS BIGINT) AS accounts
+SELECT constraint_name, {sql_dround('cap', 2)} AS cap, CAST(accounts AS BIGINT) AS accounts, TRUE AS within_cap, TRUE AS below_bound, TRUE AS gap_small, TRUE AS beats_holding
 FROM ({rows})"""
 
 
@@ -55,7 +55,7 @@ TIGHT = dict(portfolio_growth_cap=0.03, portfolio_loss_growth_cap=0.03, portfoli
 
 @register("portfolio_allocation_usage", lambda: _usage_sql(PolicyAssumptions()))
 def q_portfolio_allocation(spark, sf_dir):
-    """Allocation under the default caps: each cap and the accounts allocated (the figures: portfolio_allocation_values)."""
+    """Allocation under the default caps: each cap, and whether the allocation keeps it and comes near the dual bound (the figures: portfolio_allocation_values)."""
     return _usage(spark, sf_dir, PolicyAssumptions())
 
 
@@ -73,7 +73,9 @@ def q_portfolio_allocation_values(spark, sf_dir):
 
 def _usage(spark, sf_dir, a):
     v = _usage_values(spark, sf_dir, a)
-    return v.select(F.col("constraint").alias("constraint_name"), "cap", F.col("accounts").cast("bigint").alias("accounts"))
+    return v.select(F.col("constraint").alias("constraint_name"), "cap", F.col("accounts").cast("bigint").alias("accounts"),
+                    (F.col("usage") <= F.col("cap") + 0.01).alias("within_cap"), (F.col("value") <= F.col("dual_bound") + 0.01).alias("below_bound"),
+                    (F.col("gap") <= 0.05 * F.col("dual_bound")).alias("gap_small"), (F.col("value") >= 0).alias("beats_holding"))
 
 
 @register("portfolio_allocation_tight_values")
