@@ -19,6 +19,7 @@ from creditlens.operators import evaluate as ev
 SEED = 42
 AUC_TOLERANCE = 0.02
 BOOSTING_ROUNDS = 160
+ROWS_A_PART = 4096  # training rows of a partition
 
 
 def candidates(numeric: list[str], categorical: list[str], label: str, n_train: int, rounds: int = BOOSTING_ROUNDS) -> dict[str, Pipeline]:
@@ -38,6 +39,11 @@ def candidates(numeric: list[str], categorical: list[str], label: str, n_train:
             "Gradient boosted trees": Pipeline(stages=[*pre, gbt])}
 
 
+def packed(train: DataFrame, n: int) -> DataFrame:
+    """``train`` of ``n`` rows in partitions that follow the rows: boosting runs several jobs a round over every partition, however empty."""
+    return train.repartition(max(1, -(-n // ROWS_A_PART)))
+
+
 def score(model, df: DataFrame) -> DataFrame:
     """Batch scoring: probability of the positive class (M7)."""
     return model.transform(df).withColumn("p", vector_to_array("probability")[1])
@@ -47,8 +53,9 @@ def train_select(df: DataFrame, numeric: list[str], categorical: list[str], labe
                  split_col: str = "split") -> DataFrame:
     """Fit every candidate on train, evaluate on validation, pick the champion; report test metrics."""
     from creditlens.operators.contracts import require_rows
-    train = require_rows(df.filter(F.col(split_col) == "train"), 100, label).cache()
+    train = require_rows(df.filter(F.col(split_col) == "train"), 100, label)
     n_train = train.count()
+    train = packed(train.select(*dict.fromkeys([*numeric, *categorical, label])), n_train).cache()
     rows = []
     for name, pipe in candidates(numeric, categorical, label, n_train).items():
         model = pipe.fit(train)

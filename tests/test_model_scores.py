@@ -33,3 +33,11 @@ def test_allocation_values(spark, small_dir):
     for k, r in enumerate(got):
         assert r.accounts == len(rows) and float(r.value) == pytest.approx(value, abs=0.02) and r.gap == pytest.approx(r.dual_bound - value, abs=0.03)
         assert float(r.usage) == pytest.approx(float(sum(x[f"_u{k + 1}"] for x in rows)), abs=0.02)
+
+
+def test_few_training_rows_are_in_few_partitions(spark):
+    from creditlens.operators import models
+
+    rows = spark.range(5000).repartition(200)
+    got = models.packed(rows, 5000)
+    assert got.rdd.getNumPartitions() == 2 and got.count() == 5000
