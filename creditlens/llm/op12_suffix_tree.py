@@ -7,9 +7,8 @@ being one.  What follows a context c has the distribution
 
 with N(c) occurrences and T(c) different continuations in the training documents, down to the
 root, P(x) = (n(x) + 0.5) / (N + 0.5 (V + 1)), where all unknown words are one symbol.  A
-context with ``least`` occurrences (where not given, the root of the training tokens over 160: a
-larger corpus has more contexts to try, so one needs more evidence, and ever more of them
-have it) is a state if its distribution diverges from that of the
+context with ``least`` occurrences (two, where not given: each is left out of its own counts,
+so one alone tells nothing) is a state if its distribution diverges from that of the
 context one word shorter: the logarithm of their ratio, each occurrence left out of its own
 counts, summed over its occurrences, exceeds ``divergence``.  A token has the probability that
 the longest suffix state of its history gives it.
@@ -46,7 +45,8 @@ from creditlens.llm.shared import text_or_empty, written
 
 SEED = 42
 TOKENS = 1 << 20      # tokens of a chunk, about
-ROOT = 160            # by which the root of the training tokens is divided
+LEAST = 2             # occurrences that a context needs, whatever the size of the corpus
+ROOT = 160            # by which the root of the training tokens is divided in ``least_for``
 UNIT = 1 << 32        # fixed point of 1 / n
 GAIN = 1 << 20        # fixed point of a logarithm
 COUNT, KINDS, STATE = 0, 8, 16  # what a request of level k asks for: this + k
@@ -230,16 +230,16 @@ def _learn(row: dict, folders: list[str], whole: tuple[int, int], least: int, de
 
 
 def least_for(train_tokens: int) -> int:
-    """Occurrences that a context needs: they grow with the root of the corpus."""
+    """A ``least`` for callers who want a smaller model of a larger corpus; ``scores`` doesn't take it by itself."""
     return max(2, math.ceil(math.sqrt(train_tokens) / ROOT))
 
 
-def scores(docs: DataFrame, depth: int = 2, least: int | None = None, divergence: float = 2.0) -> DataFrame:
+def scores(docs: DataFrame, depth: int = 2, least: int = LEAST, divergence: float = 2.0) -> DataFrame:
     """Every document's log10 probability by the tree and by its root alone.
 
     ``doc_id`` whose crc32 leaves 1 when divided by 5 are held out.
     """
-    if least is not None and least < 2 or not 0 <= depth < 8:
+    if least < 2 or not 0 <= depth < 8:
         raise ValueError("contexts occur twice at least and have up to 7 words")
     cut = chunks(docs)
     tokens = cut.select(F.sum(F.expr("aggregate(lengths, 0L, (a, x) -> a + x)"))).first()[0] or 0
@@ -251,23 +251,21 @@ def scores(docs: DataFrame, depth: int = 2, least: int | None = None, divergence
         return (totals + UNIT // 2) // UNIT if kind >= KINDS else totals
 
     for _ in range(1 + (depth + 2 if depth else 0)):
-        def ask(batches: Iterator[pa.RecordBatch], done=tuple(folders), whole=whole, enough=least or least_for(whole[0])) -> Iterator[pa.RecordBatch]:
+        def ask(batches: Iterator[pa.RecordBatch], done=tuple(folders), whole=whole) -> Iterator[pa.RecordBatch]:
             for batch in batches:
                 for i in range(batch.num_rows):
-                    yield from _learn(batch.slice(i, 1).to_pylist()[0], list(done), whole, enough, depth, n)[1]
+                    yield from _learn(batch.slice(i, 1).to_pylist()[0], list(done), whole, least, depth, n)[1]
 
         folder, answers = answered(cut.mapInArrow(ask, REQUEST), judge)
         if not folders:
             whole = tuple(x or 0 for x in answers.agg(F.sum("whole"), F.sum("distinct")).first())
         folders.append(folder)
 
-    enough = least or least_for(whole[0])
-
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for i in range(batch.num_rows):
                 row = batch.slice(i, 1).to_pylist()[0]
-                chunk = _learn(row, folders, whole, enough, depth, n)[0]
+                chunk = _learn(row, folders, whole, least, depth, n)[0]
                 sums = [np.add.reduceat(x, chunk.first) for x in (chunk.known.astype(np.int64), np.log10(chunk.base), chunk.logp)]
                 yield pa.RecordBatch.from_arrays(
                     [pa.array(row["docs"], pa.int64()), pa.array(row["held"], pa.bool_()), pa.array(chunk.lengths), pa.array(sums[0]),

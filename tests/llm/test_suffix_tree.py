@@ -114,3 +114,9 @@ def test_packed_blocks_round_trip():
 
 def test_contexts_need_more_evidence_in_a_larger_corpus():
     assert [least_for(n) for n in (0, 10_000, 25_600, 1_000_000, 10**8)] == [2, 2, 2, 7, 63]
+
+
+def test_the_default_evidence_does_not_follow_the_size(spark, monkeypatch):
+    monkeypatch.setattr(op12_suffix_tree, "ROOT", 1)  # the corpus is as one 25,600 times larger
+    rows = [(i, f"w{i % 7} a b c w{i % 5} d e") for i in range(300)] + [(1000 + i, "rare pair of words") for i in range(3)]
+    same(run(spark, rows), brute(rows, 2, 2, 2.0)[0])
