@@ -37,6 +37,12 @@ def score_histogram(df: DataFrame, score: str = "pd", label: str = "y", group_co
         F.sum(y).alias("pos"), F.sum(1 - y).alias("neg"))
 
 
+def count_below(edges: Column, x: Column, most: int) -> Column:
+    """How many of the ascending ``edges``, ``most`` at most, are below x, by halving; 0 for a null."""
+    steps = F.array(*[F.lit(1 << i) for i in reversed(range(max(1, most).bit_length()))])
+    return F.aggregate(steps, F.lit(0), lambda n, step: F.when(F.get(edges, n + step - 1) < x, n + step).otherwise(n))
+
+
 def unscored(df: DataFrame, score: str = "pd", group_cols=None) -> DataFrame:
     """How many rows have no usable score (NULL or NaN), per group."""
     x = F.col(score).cast("double")
@@ -64,7 +70,7 @@ def running_counts(h: DataFrame, group_cols=None, buckets: int = SCORE_BUCKETS)
     else:  # one group: a bounded array as a literal
         row = edges.first()
         h = h.withColumn("_edges", F.array(*[F.lit(float(e)) for e in row["_edges"] or ()]).cast("array<double>"))
-    h = h.withColumn("bucket", F.size(F.filter("_edges", lambda e: e < F.col("score"))).cast("bigint")).drop("_edges")
+    h = h.withColumn("bucket", count_below(F.col("_edges"), F.col("score"), buckets).cast("bigint")).drop("_edges")
     bt = h.groupBy(*g, "bucket").agg(F.sum("pos").alias("bpos"), F.sum("neg").alias("bneg"))
     whole = Window.partitionBy(*g) if g else Window.partitionBy(F.lit(0))
     above = whole.orderBy(F.desc("bucket")).rowsBetween(Window.unboundedPreceding, -1)
@@ -290,7 +296,7 @@ def rank_cells(df: DataFrame, cuts: list[int], score: str = "pd", label: str = "
     """
     upto, count = F.col("tp") + F.col("fp"), F.col("pos") + F.col("neg")
     at = F.array(*[F.lit(int(c)) for c in cuts]).cast("array<bigint>")
-    below = lambda rank: F.size(F.filter(at, lambda c: c < rank))
+    below = lambda rank: count_below(at, rank, len(cuts))
     c = cumulative_scores(df, score, label).select("score", "pos", count.alias("n"), (upto - count).alias("before"))
     c = c.withColumn("cell", below(F.col("before") + 1)).withColumn("last", below(F.col("before") + F.col("n")))
     whole = c.filter("cell = last").groupBy("cell").agg(F.sum("n").alias("n"), F.sum("pos").alias("pos"), F.sum(F.col("n") * F.col("score")).alias("s"))
