@@ -1,9 +1,9 @@
 """Policy scenario analysis (D16-D18) and the governance kill switch.
 
-Many policies are evaluated in ONE pass over the accounts: each scenario's
-candidate array and chosen option are columns of the same row, the per-row
-scenario results are inlined and partially aggregated inside the same task, so
-the shuffle carries (#scenarios x #tasks) rows.  No cross join is used.
+Many policies are evaluated in ONE pass over the accounts: the scenarios of an
+account are inlined as rows, decided as plain columns and partially aggregated
+inside the same task, so the shuffle carries (#scenarios x #tasks) rows.  No
+cross join is used.
 """
 
 from __future__ import annotations
@@ -55,36 +55,42 @@ def scenario_table(grid) -> Column:
     return F.expr("array(" + ", ".join(items) + ")")
 
 
-def _scenario_result(s: Column) -> Column:
-    """Decision summary of one account under the scenario bound to lambda variable ``s``."""
-    P = {k: s[k] for k in PolicyAssumptions.names()}
-    en = F.lit(True)
+def _summed(rows: DataFrame) -> DataFrame:
+    """What every account chooses under the scenario of its row: increase, limit, loss, contribution and exposure.
+
+    ``rows`` has the behaviour columns, ``_warned`` and a scenario's fields.  The options are plain
+    columns, as lambda functions are interpreted for each row and not compiled.
+    """
+    P = {k: F.col(k) for k in PolicyAssumptions.names()}
+    options = {f"_c{i}": policy.candidate(pct, P, F.lit(True)) for i, pct in enumerate(policy.CANDIDATE_PCTS)}
 
-    def summary(sel):
-        return F.struct(
-            s["sid"].alias("sid"), s["assumption"].alias("assumption"), s["scenario"].alias("scenario"),
-            s["value"].alias("value"),
-            (sel["increase_pct"] > 0).cast("int").alias("increase"),
-            sel["proposed_limit"].alias("proposed_limit"),
-            sel["proposed_expected_loss"].alias("proposed_expected_loss"),
-            sel["incremental_contribution"].alias("incremental_contribution"),
-            sel["delta_ead"].alias("incremental_exposure"),
-        )
-    return let(policy.candidates_expr(P, en), lambda c: let(policy.selected_option(c, en), summary))
+    def ranked(c):
+        o = F.col(c)
+        return F.struct(o["incremental_contribution"].alias("v"), (-o["increase_pct"]).alias("neg_pct"), o["proposed_limit"].alias("proposed_limit"),
+                        o["proposed_expected_loss"].alias("proposed_expected_loss"), o["delta_ead"].alias("delta_ead"))
+
+    hold, *increases = options  # an increase above the largest that is allowed is not eligible
+    chosen = F.array_max(F.array(ranked(hold), *[F.when(~F.col("_warned") & F.col(c)["eligible"], ranked(c)) for c in increases]))
+    return rows.select("sid", "assumption", "scenario", "value", *[o.alias(c) for c, o in options.items()], "_warned").select(
+        "sid", "assumption", "scenario", "value", chosen.alias("_s")).select(
+        "sid", "assumption", "scenario", "value", (F.col("_s.neg_pct") < 0).cast("int").alias("increase"), "_s.proposed_limit", "_s.proposed_expected_loss",
+        F.col("_s.v").alias("incremental_contribution"), F.col("_s.delta_ead").alias("incremental_exposure"))
 
 
 def sensitivity(scored: DataFrame, base: PolicyAssumptions | None = None) -> DataFrame:
     """Unconstrained one-at-a-time sensitivity: 30 full re-decisions in one job.
 
-    The scenario grid is a literal array; one lambda evaluates every scenario
-    for an account, the per-scenario rows are inlined and partially aggregated
-    in the same task, so the shuffle carries (#scenarios x #tasks) rows.
+    The scenario grid is a literal array; an account's rows, one for each scenario, are
+    inlined, decided and partially aggregated in the same task, so the shuffle carries
+    (#scenarios x #tasks) rows.
     """
     grid = scenario_grid(base)
     for *_, a in grid:
         a.validate()
-    b = policy.with_behavior(scored)
-    per = b.select(F.inline(F.transform(scenario_table(grid), _scenario_result)))
+    b = policy.with_behavior(scored).select("pd", *policy.BEHAVIOR_COLUMNS, policy._warning()[0].isNotNull().alias("_warned"))
+    # the accounts are few bytes and 30 times the work, so they are spread over all cores
+    b = b.repartition(scored.sparkSession.sparkContext.defaultParallelism * 2)
+    per = _summed(b.select("*", F.inline(scenario_table(grid))))
     dec = lambda c: F.sum(F.col(c).cast("decimal(38,9)"))
     g = per.groupBy("sid", "assumption", "scenario", "value").agg(
         F.sum("increase").cast("bigint").alias("eligible_increases"),
