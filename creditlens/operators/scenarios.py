@@ -55,14 +55,25 @@ def scenario_table(grid) -> Column:
     return F.expr("array(" + ", ".join(items) + ")")
 
 
+def _inlined(scored: DataFrame, grid) -> DataFrame:
+    """A row for each account and scenario: account_id, behaviour columns, ``_warned``, ``_band`` and the scenario's fields."""
+    b = policy.with_behavior(scored).select("account_id", "pd", *policy.BEHAVIOR_COLUMNS, policy._warning()[0].isNotNull().alias("_warned"), risk_band(F.col("pd")).alias("_band"))
+    # the accounts are few bytes and as many times the work as there are scenarios, so they are spread over all cores
+    return b.repartition(scored.sparkSession.sparkContext.defaultParallelism * 2).select("*", F.inline(scenario_table(grid)))
+
+
+def _options() -> dict[str, Column]:
+    """The options of a row of ``_inlined`` as plain columns, hold first: lambda functions are interpreted for each row and not compiled."""
+    P = {k: F.col(k) for k in PolicyAssumptions.names()}
+    return {f"_c{i}": policy.candidate(pct, P, F.lit(True)) for i, pct in enumerate(policy.CANDIDATE_PCTS)}
+
+
 def _summed(rows: DataFrame) -> DataFrame:
     """What every account chooses under the scenario of its row: increase, limit, loss, contribution and exposure.
 
-    ``rows`` has the behaviour columns, ``_warned`` and a scenario's fields.  The options are plain
-    columns, as lambda functions are interpreted for each row and not compiled.
+    ``rows`` is from ``_inlined``.
     """
-    P = {k: F.col(k) for k in PolicyAssumptions.names()}
-    options = {f"_c{i}": policy.candidate(pct, P, F.lit(True)) for i, pct in enumerate(policy.CANDIDATE_PCTS)}
+    options = _options()
 
     def ranked(c):
         o = F.col(c)
@@ -87,10 +98,7 @@ def sensitivity(scored: DataFrame, base: PolicyAssumptions | None = None) -> Dat
     grid = scenario_grid(base)
     for *_, a in grid:
         a.validate()
-    b = policy.with_behavior(scored).select("pd", *policy.BEHAVIOR_COLUMNS, policy._warning()[0].isNotNull().alias("_warned"))
-    # the accounts are few bytes and 30 times the work, so they are spread over all cores
-    b = b.repartition(scored.sparkSession.sparkContext.defaultParallelism * 2)
-    per = _summed(b.select("*", F.inline(scenario_table(grid))))
+    per = _summed(_inlined(scored, grid))
     dec = lambda c: F.sum(F.col(c).cast("decimal(38,9)"))
     g = per.groupBy("sid", "assumption", "scenario", "value").agg(
         F.sum("increase").cast("bigint").alias("eligible_increases"),
@@ -118,34 +126,34 @@ def constrained_sensitivity(scored: DataFrame, base: PolicyAssumptions | None =
     grid = scenario_grid(base)
     for *_, a in grid:
         a.validate()
-    b = policy.with_behavior(scored).withColumn("_enabled", F.lit(True))
-    warning = policy._warning()[0]
-
-    def options(s):
-        P = {k: s[k] for k in PolicyAssumptions.names()}
-
-        def allowed(c):
-            kept = F.when(warning.isNotNull(), F.slice(c, 1, 1)).otherwise(F.filter(c, lambda x: x["eligible"]))
-            now_ead = c[0]["proposed_ead"]  # of the first option, hold
-            now_loss = c[0]["proposed_expected_loss"]
-            higher = F.col("_band").isin(*allocate.HIGHER_RISK)
-            return F.struct(s["sid"].alias("sid"), F.col("account_id"), F.col("_limit").alias("limit"), now_loss.alias("loss"), F.transform(kept, lambda x: F.struct(
+    first = next(i for i, (_, label, _, _) in enumerate(grid) if label == "Base")
+
+    def rows(of) -> DataFrame:
+        """(sid, account_id, limit, loss, options) of the scenarios; the options are those allowed, hold first."""
+        options = _options()
+        hold, *increases = options
+
+        def figures(c):
+            x, now = F.col(c), F.col(hold)
+            return F.struct(
                 x["increase_pct"].alias("pct"), x["incremental_contribution"].alias("v"), (x["proposed_limit"] - F.col("_limit")).alias("a1"),
-                (x["proposed_expected_loss"] - now_loss).alias("a2"), (F.greatest(x["proposed_ead"] - now_ead, F.lit(0.0)) * P["capital_allocation_rate"]).alias("a3"),
-                ((x["increase_pct"] > 0) & higher).cast("double").alias("a4"), x["proposed_limit"].alias("proposed_limit"),
-                x["proposed_expected_loss"].alias("proposed_expected_loss"), x["delta_ead"].alias("delta_ead"))).alias("options"))
-        return let(policy.candidates_expr(P, F.lit(True)), allowed)
+                (x["proposed_expected_loss"] - now["proposed_expected_loss"]).alias("a2"),
+                (F.greatest(x["proposed_ead"] - now["proposed_ead"], F.lit(0.0)) * F.col("capital_allocation_rate")).alias("a3"),
+                ((x["increase_pct"] > 0) & F.col("_band").isin(*allocate.HIGHER_RISK)).cast("double").alias("a4"), x["proposed_limit"].alias("proposed_limit"),
+                x["proposed_expected_loss"].alias("proposed_expected_loss"), x["delta_ead"].alias("delta_ead"))
 
-    rows = b.withColumn("_band", risk_band(F.col("pd"))).select(F.inline(F.transform(scenario_table(grid), options))).persist()
-    sums = rows.groupBy("sid").agg(F.sum("limit").alias("limit"), F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n")).collect()  # a row per scenario
+        allowed = F.array_compact(F.array(figures(hold), *[F.when(~F.col("_warned") & F.col(c)["eligible"], figures(c)) for c in increases]))
+        return (_inlined(scored, grid).filter(F.col("sid").isin(*of)).select("sid", "account_id", "_limit", "_warned", "_band", "capital_allocation_rate", *[o.alias(c) for c, o in options.items()])
+                .select("sid", "account_id", F.col("_limit").alias("limit"), F.col(hold)["proposed_expected_loss"].alias("loss"), allowed.alias("options")))
+
+    every = list(range(len(grid)))
+    sums = rows(every).groupBy("sid").agg(F.sum("limit").alias("limit"), F.sum("loss").alias("loss"), F.count(F.lit(1)).alias("n")).collect()  # a row per scenario
     caps = {}
     for r in sums:
         a = grid[r["sid"]][3]
         caps[r["sid"]] = (r["limit"] * a.portfolio_growth_cap, r["loss"] * a.portfolio_loss_growth_cap, a.portfolio_capital_budget, r["n"] * a.max_higher_risk_increase_share)
-    first = next(i for i, (_, label, _, _) in enumerate(grid) if label == "Base")
-    start = knapsack.solve(rows.filter(F.col("sid") == first), {first: caps[first]}, gap_target=gap_target, whole_accounts=True).outcomes[first].lam
-    found = knapsack.solve(rows, caps, start=start, gap_target=gap_target, whole_accounts=True)
-    rows.unpersist()
+    start = knapsack.solve(rows([first]), {first: caps[first]}, gap_target=gap_target, whole_accounts=True).outcomes[first].lam
+    found = knapsack.solve(rows(every), caps, start=start, gap_target=gap_target, whole_accounts=True)
     named = scored.sparkSession.createDataFrame(
         [(i, n, label, float(v), *map(float, found.outcomes[i].usage), *map(float, caps[i]), float(found.outcomes[i].bound), float(found.outcomes[i].gap))
          for i, (n, label, v, _) in enumerate(grid) if i in caps],
