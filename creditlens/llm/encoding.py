@@ -138,11 +138,11 @@ def tokenizer_path(name_or_path: str) -> str:
 
 
 @functools.lru_cache(maxsize=4)
-def encoder(name_or_path: str) -> LibraryEncoder:
-    """The encoder of a tokenizer file, one per Python process; a bare name is a public tokenizer."""
+def encoder(name_or_path: str, keep: int = 200_000) -> LibraryEncoder:
+    """The encoder of a tokenizer file, one per Python process and ``keep``; a bare name is a public tokenizer."""
     import os
 
     os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
     path = tokenizer_path(name_or_path)
     spec = json.load(open(path, encoding="utf-8"))
-    return WordEncoder(path) if _is_word_file(spec) else LibraryEncoder(path)
+    return WordEncoder(path, keep) if _is_word_file(spec) else LibraryEncoder(path)

@@ -37,6 +37,7 @@ from creditlens.llm.shared import text_or_empty, written
 
 QUEUES = 255
 GROUP = 64
+KEEP = 400_000      # pieces of text whose ids a task remembers
 SHIFT = 16
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, source string")
@@ -48,7 +49,7 @@ def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     ``place`` is the number of tokens before the document in its task and source.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(tokenizer)
+        e = encoder(tokenizer, KEEP)
         end, size = np.array([end_id], dtype=e.dtype).tobytes(), e.dtype.itemsize
         task, served = TaskContext.get().partitionId(), {}
         for batch in batches:

@@ -150,3 +150,12 @@ def test_empty(spark):
     docs = spark.createDataFrame([], "doc_id long, text string, source string")
     assert pack(docs, WORDS, END).count() == 0
     assert read_token_files(spark, write_token_files(docs, WORDS, END)).count() == 0
+
+
+def test_packing_remembers_more_pieces():
+    from creditlens.llm import op10_packing
+
+    texts = ["some words, and some more.", "WORDS again 12 é", ""]
+    few, many = encoder("word_bpe_49k.json"), encoder("word_bpe_49k.json", op10_packing.KEEP)
+    assert many.keep == op10_packing.KEEP > few.keep
+    assert few.encode_many(texts) == many.encode_many(texts) == many.library(texts)
