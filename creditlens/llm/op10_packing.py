@@ -37,19 +37,19 @@ from creditlens.llm.shared import text_or_empty, written
 
 QUEUES = 255
 GROUP = 64
-KEEP = 400_000      # pieces of text whose ids a task remembers
+KEEP = 400_000      # pieces of text whose ids a task remembers, where no other stage shares its Python workers
 SHIFT = 16
 PIECES = ("doc_id long, start long, length long, ids_crc32 long, doc_tokens long, "
           "sequence_id long, offset long, source string")
 
 
-def encoded(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
+def encoded(docs: DataFrame, tokenizer: str, end_id: int, keep: int = 200_000) -> DataFrame:
     """Every document's ids, written once: (doc_id, source, task, place, n_tokens, ids).
 
     ``place`` is the number of tokens before the document in its task and source.
     """
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        e = encoder(tokenizer, KEEP)
+        e = encoder(tokenizer, keep)
         end, size = np.array([end_id], dtype=e.dtype).tobytes(), e.dtype.itemsize
         task, served = TaskContext.get().partitionId(), {}
         for batch in batches:
@@ -181,11 +181,11 @@ def _shared(placed: DataFrame, shares: DataFrame, width: float, chunk: int, size
 
 
 def pack(docs: DataFrame, tokenizer: str, end_id: int, window: int = 4096, chunk: int = 4,
-         weights: dict[str, float] | None = None) -> DataFrame:
+         weights: dict[str, float] | None = None, keep: int = 200_000) -> DataFrame:
     """Pieces of all documents: where each run of a document's ids lies in which sequence."""
     spark = docs.sparkSession
     dtype = encoder(tokenizer).dtype.str
-    ids = encoded(docs, tokenizer, end_id)
+    ids = encoded(docs, tokenizer, end_id, keep)
     key = F.when(F.col("source").isNull(), F.lit("n")).otherwise(F.concat(F.lit("s"), F.col("source")))
     sums = written(ids.withColumn("key", key).groupBy("task", "key").agg(F.sum("n_tokens").alias("n")))
     top = sums.groupBy("key").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "key").limit(QUEUES).collect()
